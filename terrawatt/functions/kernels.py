@@ -7,6 +7,7 @@ import struct
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrawatt.functions.geo import WGS84_A, WGS84_F
 
@@ -46,7 +47,14 @@ def _read(buf: bytes, at: int) -> tuple[int, list, int]:
     return code, rings, at
 
 
-@F.pandas_udf("type string, rings array<array<struct<x:double,y:double>>>")
+_POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+# Type objects instead of text: text would need a running session at import.
+GEOMETRY = T.StructType(
+    [T.StructField("type", T.StringType()), T.StructField("rings", T.ArrayType(T.ArrayType(_POINT)))]
+)
+
+
+@F.pandas_udf(GEOMETRY)
 def st_geom_from_wkb(wkb: pd.Series) -> pd.DataFrame:
     """WKB bytes to a geometry; NULL or truncated bytes give NULL fields."""
     kinds, rings = [], []
@@ -92,6 +100,6 @@ def vincenty_m(lon1, lat1, lon2, lat2, rounds: int = 30) -> np.ndarray:
         return np.where(settled, b * big_a * (sigma - ds), np.nan)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def st_distance_vincenty(lon1: pd.Series, lat1: pd.Series, lon2: pd.Series, lat2: pd.Series) -> pd.Series:
     return pd.Series(vincenty_m(lon1, lat1, lon2, lat2))

@@ -39,7 +39,11 @@ def agg_meter_daily(df: DataFrame) -> DataFrame:
     )
 
 
-def agg_meter_summary(df: DataFrame, by: Sequence[str] = ("meter_id", "partition_date")) -> DataFrame:
+def agg_meter_summary(
+    df: DataFrame, by: Sequence[str] = ("meter_id", "partition_date"), exact_days: bool = False
+) -> DataFrame:
+    """Meter totals; the active days are a sketch estimate unless `exact_days` asks for the count."""
+    days = F.count_distinct("date") if exact_days else F.approx_count_distinct("date")
     return (
         df.groupBy(*by)
         .agg(
@@ -47,7 +51,7 @@ def agg_meter_summary(df: DataFrame, by: Sequence[str] = ("meter_id", "partition
             F.avg(_E).alias("avg_energy_meter"),
             F.max(_E).alias("peak_consumption"),
             F.count(F.lit(1)).alias("total_readings"),
-            F.approx_count_distinct("date").alias("active_days"),
+            days.alias("active_days"),
             F.sum("is_anomaly").alias("total_anomalies"),
         )
         .withColumn("aggregation_type", F.lit("METER_SUMMARY"))

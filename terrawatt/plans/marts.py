@@ -50,7 +50,10 @@ def v_admin_divisions(
     population: DataFrame, companies: DataFrame, supply: DataFrame, year_stats: DataFrame, districts: DataFrame,
 ) -> DataFrame:
     counts = agg.agg_count_by_key(districts, "community_id", "district_count")
-    out = community.join(city, "city_id").join(emirate, "emirate_id").join(sector, "sector_id", "left")
+    # An unknown sector shows as NULL, so its id is taken from the sector side.
+    named = sector.select(F.col("sector_id").alias("_sector"), "sector_id", "sector_name")
+    out = community.withColumnRenamed("sector_id", "_sector").join(city, "city_id").join(emirate, "emirate_id")
+    out = out.join(named, "_sector", "left")
     for side in (geom, population, companies, supply, year_stats, counts):
         out = out.join(side, "community_id", "left")
     return out.select(

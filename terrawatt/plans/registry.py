@@ -28,10 +28,10 @@ class Query:
     name: str
     build: Callable[[Inputs], DataFrame]
     oracle: str | None
-    rounds: tuple[str, ...] = ()
+    digits: dict[str, int] | None = None
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(self.build(Inputs(spark, sf_dir)))
+        return comparable(self.build(Inputs(spark, sf_dir)), self.digits or {})
 
 
 CATALOGUE: dict[str, Query] = {}
@@ -41,27 +41,27 @@ def query(name: str, oracle: str | None = None, rounds: str = ""):
     """Register `fn(inputs) -> DataFrame` under `name`.
 
     `oracle` is DuckDB SQL over the same dataset names; `rounds` lists its double columns, which
-    both sides round to 6 digits because floating-point sums depend on the order of addition.
+    both sides round to 6 digits (or `column:digits`) because floating-point sums depend on the
+    order of addition.
     """
+    digits = {c: int(d or 6) for c, _, d in (r.partition(":") for r in rounds.split())}
 
     def wrap(fn: Callable[[Inputs], DataFrame]):
         if name in CATALOGUE:
             raise ValueError(f"duplicate query {name}")
-        CATALOGUE[name] = Query(name, fn, oracle, tuple(rounds.split()))
+        CATALOGUE[name] = Query(name, fn, oracle, digits)
         return fn
 
     return wrap
 
 
-def comparable(df: DataFrame) -> DataFrame:
-    """Normalise types for a cross-engine comparison: doubles to 6 digits, instants to zone-less."""
+def comparable(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """Normalise types for a cross-engine comparison: rounded doubles, zone-less instants."""
     cols = []
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), 6)
-        elif isinstance(field.dataType, T.DecimalType):
-            c = F.round(c.cast("double"), 6)
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+            c = F.round(c.cast("double"), digits.get(field.name, 6))
         elif isinstance(field.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         cols.append(c.alias(field.name))
@@ -69,11 +69,11 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def oracle_sql(q: Query) -> str | None:
-    """The full DuckDB statement: dataset CTEs, the query, and the same 6-digit rounding."""
+    """The full DuckDB statement: dataset CTEs, the query, and the same rounding."""
     if q.oracle is None:
         return None
     ctes = datasets.with_clause(q.oracle)
     head = f"WITH {ctes}, " if ctes else "WITH "
-    rounded = ", ".join(f"round({c}, 6) AS {c}" for c in q.rounds)
+    rounded = ", ".join(f"round({c}, {d}) AS {c}" for c, d in (q.digits or {}).items())
     columns = f"* REPLACE ({rounded})" if rounded else "*"
     return f"{head}oracle_result AS ({q.oracle.strip()}) SELECT {columns} FROM oracle_result"

@@ -20,7 +20,7 @@ METER_SCHEMA = T.StructType(
     ]
 )
 
-TELEMETRY_SCHEMA = T.StructType.fromDDL(
+TELEMETRY_SCHEMA = (
     "equipmentId string, timestamp timestamp_ntz, equipmentType string, operator string, region string, city string, "
     "cpuUsage double, memoryUsage double, diskUsage double, networkThroughput double, activeConnections int, "
     "droppedCalls int, latency double, temperature double, powerConsumption double, status string"
