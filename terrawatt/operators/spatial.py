@@ -14,7 +14,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terrawatt.functions import geo
-from terrawatt.operators.skew import balanced_join, first_per_key
+from terrawatt.operators.skew import balanced_join
+from terrawatt.session import scratch_path
 
 METRIC = {"spheroid": geo.spheroid_m, "haversine": geo.haversine_m}
 
@@ -173,6 +174,7 @@ def st_bounds(df: DataFrame) -> DataFrame:
 
 _TOP = 45.0  # degrees; at most 8 x 4 (plus border) top cells cover the globe
 _FAN = 4  # children per axis and level
+_FEW = 256  # cells per side that may meet as full pairs when the descent starts
 
 
 def _levels(cell: float) -> int:
@@ -187,21 +189,40 @@ def _reach(lo1: Column, hi1: Column, lo2: Column, hi2: Column) -> Column:
     return F.greatest(hi1 - lo2, hi2 - lo1)
 
 
-def _pyramid(df: DataFrame, levels: int, side: str) -> list[DataFrame]:
-    """Bounding boxes of the members of every non-empty cell, finest level first."""
+def _pyramids(spots: DataFrame, members: DataFrame, levels: int) -> tuple[DataFrame, int]:
+    """Bounding boxes of the members of every non-empty cell, per side (p, g) and level.
+
+    The finest cells are aggregated from the rows once; their ancestors follow from them. The table
+    is written partitioned by side and level: each join reads just its own part, the planner knows
+    the sizes, and a lost executor does not repeat the aggregation. Also returns the finest level
+    on which both sides still have few cells: the descent starts there.
+    """
+    spark = spots.sparkSession
     box = [F.min("minx").alias("minx"), F.min("miny").alias("miny"), F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy")]
-    tables = [df.groupBy("cx", "cy").agg(*box)]
-    for _ in range(levels):
-        up = tables[-1].withColumns({"cx": F.floor(F.col("cx") / _FAN), "cy": F.floor(F.col("cy") / _FAN)})
-        tables.append(up.groupBy("cx", "cy").agg(*box))
-    return [
-        t.select(
-            F.struct("cx", "cy").alias(f"{side}_cell"),
-            F.struct(F.floor(F.col("cx") / _FAN).alias("cx"), F.floor(F.col("cy") / _FAN).alias("cy")).alias(f"{side}_parent"),
-            F.struct(*_RECT).alias(f"{side}_box"),
-        )
-        for t in tables
-    ]
+    rows = spots.withColumn("side", F.lit("p")).unionByName(members.withColumn("side", F.lit("g")))
+    finest = rows.groupBy("side", "cx", "cy").agg(*box)
+    step = lambda c: F.floor(F.col(c) / F.pow(F.lit(float(_FAN)), F.col("level"))).cast("long")
+    spread = finest.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+    table = spread.groupBy("side", "level", step("cx").alias("cx"), step("cy").alias("cy")).agg(*box)
+    path = scratch_path(spark, "pyramid")
+    table.write.partitionBy("side", "level").parquet(path)
+    stored = spark.read.schema(
+        "cx long, cy long, minx double, miny double, maxx double, maxy double, side string, level int"
+    ).parquet(path)
+    # One number: the finest level with at most _FEW cells per side (the top level qualifies always).
+    per_level = stored.groupBy("level", "side").agg(F.count(F.lit(1)).alias("n"))
+    few = per_level.groupBy("level").agg(F.max("n").alias("n")).where(F.col("n") <= _FEW)
+    start = few.agg(F.min("level")).first()[0]
+    return stored, levels if start is None else start
+
+
+def _cells(stored: DataFrame, side: str, level: int) -> DataFrame:
+    up = lambda c: F.floor(F.col(c) / _FAN).alias(c)
+    return stored.where((F.col("side") == side) & (F.col("level") == level)).select(
+        F.struct("cx", "cy").alias(f"{side}_cell"),
+        F.struct(up("cx"), up("cy")).alias(f"{side}_parent"),
+        F.struct(*_RECT).alias(f"{side}_box"),
+    )
 
 
 def _prune(pairs: DataFrame) -> DataFrame:
@@ -213,10 +234,14 @@ def _prune(pairs: DataFrame) -> DataFrame:
     # A cell's candidates are bounded by geometry, not by row counts, so this window stays small.
     bound = F.min("_far").over(W.partitionBy("p_cell"))
     # The factor absorbs rounding; an extra candidate costs little, a lost one would be wrong.
+    scored = pairs.withColumn("_near", near).withColumn("_far", far)
+    if "_limit" in pairs.columns:
+        # The parent's bound holds for its children: most pairs go before the shuffle.
+        scored = scored.where(F.col("_near") <= F.col("_limit") * (1 + 1e-9) + 1e-12)
     return (
-        pairs.withColumn("_near", near).withColumn("_far", far)
+        scored
         .withColumn("_bound", bound).where(F.col("_near") <= F.col("_bound") * (1 + 1e-9) + 1e-12)
-        .select("p_cell", "g_cell")
+        .select("p_cell", "g_cell", "_bound")
     )
 
 
@@ -266,18 +291,24 @@ def join_knn1(
     spots = located.select(
         "cx", "cy", F.col("lon").alias("minx"), F.col("lat").alias("miny"), F.col("lon").alias("maxx"), F.col("lat").alias("maxy")
     )
-    p_levels, g_levels = _pyramid(spots, levels, "p"), _pyramid(members, levels, "g")
+    stored, start = _pyramids(spots, members, levels)
 
-    # Top level: a few dozen cells at most on either side, whatever the data.
-    top_g = g_levels[levels].agg(F.collect_list(F.struct("g_cell", "g_box")).alias("cells")).scalar()
-    pairs = _prune(p_levels[levels].withColumn("_g", F.explode(top_g)).select("p_cell", "p_box", "_g.g_cell", "_g.g_box"))
-    for level in range(levels - 1, -1, -1):
-        parents = pairs.select(F.col("p_cell").alias("p_parent"), F.col("g_cell").alias("g_parent"))
-        pairs = _prune(parents.join(p_levels[level], "p_parent").join(g_levels[level], "g_parent"))
+    # Start level: at most _FEW cells on either side, whatever the data.
+    first = _cells(stored, "g", start).agg(F.collect_list(F.struct("g_cell", "g_box")).alias("cells")).scalar()
+    pairs = _prune(
+        _cells(stored, "p", start).withColumn("_g", F.explode(first)).select("p_cell", "p_box", "_g.g_cell", "_g.g_box")
+    )
+    for level in range(start - 1, -1, -1):
+        parents = pairs.select(
+            F.col("p_cell").alias("p_parent"), F.col("g_cell").alias("g_parent"), F.col("_bound").alias("_limit")
+        )
+        pairs = _prune(
+            parents.join(_cells(stored, "p", level), "p_parent").join(_cells(stored, "g", level), "g_parent")
+        )
 
     rows = located.withColumn("p_cell", F.struct("cx", "cy")).drop("cx", "cy")
-    stored = cells.withColumn("g_cell", F.struct("cx", "cy")).select("g_cell", "nearest_id", *[F.col(c).alias(f"g_{c}") for c in coords])
-    tried = rows.join(pairs, "p_cell").join(stored, "g_cell")
+    kept = cells.withColumn("g_cell", F.struct("cx", "cy")).select("g_cell", "nearest_id", *[F.col(c).alias(f"g_{c}") for c in coords])
+    tried = rows.join(pairs.drop("_bound"), "p_cell").join(kept, "g_cell")
     x, y = F.col("lon"), F.col("lat")
     g = [F.col(f"g_{c}") for c in coords]
     if shape == "rect":

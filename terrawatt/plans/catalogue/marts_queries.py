@@ -17,7 +17,7 @@ from terrawatt.plans.registry import query
     LEFT JOIN community_supply AS su ON su.community_id = co.community_id
     LEFT JOIN ({s.YEAR_STATS}) AS mv ON mv.community_id = co.community_id
     LEFT JOIN (SELECT community_id, count(*) AS district_count FROM district GROUP BY 1) AS dc ON dc.community_id = co.community_id""",
-       "area_km2 density total_supply_m2 transactions_volume_1y")
+       "area_km2 density total_supply_m2 transactions_volume_1y:2")
 def _(t):
     return marts.v_admin_divisions(
         t.emirate, t.city, t.sector, t.community, t.community_geom, t.community_population, t.active_companies,
@@ -82,7 +82,7 @@ def _(t):
     LEFT JOIN ({s.LEASE_CONTRACT}) AS cs ON cs.contract_type = l.contract_type
     LEFT JOIN ({s.LEASE_TENANT}) AS tp ON tp.tenant_type = l.tenant_type
     LEFT JOIN ({s.PREMISE_TOP}) AS pt ON pt.premise_type = l.premise_type""",
-       "annual_rent_aed total_rent_aed area_m2 rent_per_m2:8 lon lat total_rental_value_aed total_area_km2 avg_rent_per_m2 "
+       "annual_rent_aed total_rent_aed area_m2 rent_per_m2:8 lon lat total_rental_value_aed:1 total_area_km2 avg_rent_per_m2 "
        "dist_contract_area_m2 dist_contract_percentage dist_tenant_area_m2 dist_tenant_percentage top_premise_area_km2")
 def _(t):
     return marts.v_lease_transactions(t.lease, t.lease_geom)

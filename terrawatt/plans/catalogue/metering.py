@@ -107,7 +107,7 @@ HOURLY = f"""SELECT meter_id, date, hour, partition_date, sum(energy_consumption
     max(energy_consumption) AS max_consumption_hourly, min(energy_consumption) AS min_consumption_hourly,
     count(*) AS record_count_hourly, CAST(sum(is_anomaly) AS BIGINT) AS anomaly_count_hourly, 'HOURLY' AS aggregation_type
     FROM ({CLEAN}) GROUP BY ALL"""
-_MEASURES = "total_energy_{0} avg_energy_{0} avg_voltage_{0} avg_current_{0} max_consumption_{0} min_consumption_{0}"
+_MEASURES = "total_energy_{0} avg_energy_{0}:8 avg_voltage_{0}:8 avg_current_{0}:8 max_consumption_{0} min_consumption_{0}"
 
 
 @query("agg_meter_hourly", HOURLY, _MEASURES.format("hourly"))
@@ -133,13 +133,13 @@ _SUMMARY = """sum(energy_consumption) AS total_energy_meter, avg(energy_consumpt
 
 
 @query("agg_meter_summary", f"SELECT meter_id, partition_date, {_SUMMARY} FROM ({CLEAN}) GROUP BY meter_id, partition_date",
-       "total_energy_meter avg_energy_meter peak_consumption")
+       "total_energy_meter avg_energy_meter:8 peak_consumption")
 def _(t):
     return agg.agg_meter_summary(clean(t))
 
 
 @query("agg_meter_summary__by_meter", f"SELECT meter_id, {_SUMMARY} FROM ({CLEAN}) GROUP BY meter_id",
-       "total_energy_meter avg_energy_meter peak_consumption")
+       "total_energy_meter avg_energy_meter:8 peak_consumption")
 def _(t):
     return agg.agg_meter_summary(clean(t), ["meter_id"], exact_days=True)
 
@@ -149,7 +149,7 @@ def _(t):
     sum(energy_consumption) AS total_energy, avg(energy_consumption) AS avg_energy, max(energy_consumption) AS max_energy,
     min(energy_consumption) AS min_energy, count(*) AS n, CAST(sum(is_anomaly) AS BIGINT) AS anomalies
     FROM ({CLEAN}) GROUP BY GROUPING SETS ((meter_id, date, hour), (meter_id, date), (meter_id))""",
-       "total_energy avg_energy max_energy min_energy")
+       "total_energy avg_energy:8 max_energy min_energy")
 def _(t):
     return agg.agg_levels_rollup(clean(t))
 
@@ -159,7 +159,7 @@ REPORT = f"""SELECT meter_id, date, sum(energy_consumption) AS total_energy, avg
     FROM ({CLEAN}) GROUP BY meter_id, date"""
 
 
-@query("agg_daily_energy_report", REPORT, "total_energy avg_voltage avg_current max_consumption")
+@query("agg_daily_energy_report", REPORT, "total_energy avg_voltage:8 avg_current:8 max_consumption")
 def _(t):
     return agg.agg_daily_energy_report(clean(t))
 
@@ -179,7 +179,7 @@ def _(t):
 
 @query("merge_partial_states", f"""SELECT meter_id, date_trunc('day', timestamp) AS bucket, sum(energy_consumption) AS total_energy,
     avg(energy_consumption) AS avg_energy, count(*) AS readings_count, CAST(sum(is_anomaly) AS BIGINT) AS anomalies_count
-    FROM ({CLEAN}) GROUP BY ALL""", "total_energy avg_energy")
+    FROM ({CLEAN}) GROUP BY ALL""", "total_energy avg_energy:8")
 def _(t):
     return agg.merge_partial_states(agg.agg_partial_states(clean(t)), "day").withColumn("bucket", F.col("bucket"))
 

@@ -43,14 +43,14 @@ def _(t):
 
 
 @query("math_functions", """SELECT o_orderkey, abs(o_totalprice - 200000) AS distance, o_totalprice / nullif(o_orderkey % 3, 0) AS ratio,
-    round(o_totalprice / 7, 2) AS rounded, 1 / (1 + o_totalprice) AS closeness, greatest(0.0, least(1.0, o_totalprice / 300000)) AS clamped,
+    round(o_totalprice / 7, 2) AS rounded, 1 / (1 + o_totalprice) AS closeness, greatest(0.0, least(1.0, o_totalprice / 262144)) AS clamped,
     ln(o_totalprice) AS log_price, CASE WHEN o_totalprice < 0 THEN 0 WHEN o_totalprice >= 500000 THEN 11
-    ELSE CAST(floor(o_totalprice / 50000) AS BIGINT) + 1 END AS bucket FROM orders""", "distance ratio rounded closeness clamped log_price")
+    ELSE CAST(floor(o_totalprice / 50000) AS BIGINT) + 1 END AS bucket FROM orders""", "distance ratio:8 rounded closeness clamped:9 log_price")
 def _(t):
     p, k = F.col("o_totalprice"), F.col("o_orderkey")
     return t.orders.select(
         k, F.abs(p - 200000).alias("distance"), F.try_divide(p, F.nullif(k % 3, F.lit(0))).alias("ratio"),
-        F.round(p / 7, 2).alias("rounded"), (1 / (1 + p)).alias("closeness"), sc.clamp01(p / 300000).alias("clamped"),
+        F.round(p / 7, 2).alias("rounded"), (1 / (1 + p)).alias("closeness"), sc.clamp01(p / 262144).alias("clamped"),
         F.ln(p).alias("log_price"), F.width_bucket(p, F.lit(0.0), F.lit(500000.0), F.lit(10)).alias("bucket"),
     )
 

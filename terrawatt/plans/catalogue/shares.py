@@ -43,7 +43,7 @@ def share(name, sql, build, rounds):
 share("", MARKET_SHARE, lambda t: marts.developer_market_share(t.developer), "area_m2")
 for _name, _type in (("ownership", "ownership_types"), ("land_use", "permitted_usage"), ("economic_zone", "zone_type")):
     share(f"__{_name}", AREA_SHARE, lambda t: marts.area_distribution(t.zone, "type"), "area_m2")
-share("__sale_usage", SALE_USAGE, lambda t: marts.sale_usage_distribution(t.sale), "total_sale_volume total_area_m2")
+share("__sale_usage", SALE_USAGE, lambda t: marts.sale_usage_distribution(t.sale), "total_sale_volume:2 total_area_m2")
 share("__lease_contract", LEASE_CONTRACT, lambda t: marts.lease_distribution(t.lease, "contract_type"), "total_area_m2")
 share("__lease_tenant", LEASE_TENANT, lambda t: marts.lease_distribution(t.lease, "tenant_type"), "total_area_m2")
 share("__poi_category", POI_SHARE, lambda t: marts.poi_category_distribution(t.poi), "total_footfall")
@@ -168,8 +168,8 @@ LEASE_KPI = """SELECT count(*) AS total_contracts, sum(total_rent_aed) AS total_
     sum(area_m2) / 1e6 AS total_area_km2, avg(rent_per_m2) AS avg_rent_per_m2 FROM lease"""
 kpi("", """SELECT count(*) AS total_transactions, sum(price_aed) AS total_sale_volume_aed, sum(area_m2) / 1e6 AS total_area_km2,
     avg(price_per_m2) AS avg_price_per_m2 FROM sale""", lambda t: marts.sale_kpis(t.sale),
-    "total_sale_volume_aed total_area_km2 avg_price_per_m2")
-kpi("__lease", LEASE_KPI, lambda t: marts.lease_kpis(t.lease), "total_rental_value_aed total_area_km2 avg_rent_per_m2")
+    "total_sale_volume_aed:2 total_area_km2 avg_price_per_m2")
+kpi("__lease", LEASE_KPI, lambda t: marts.lease_kpis(t.lease), "total_rental_value_aed:1 total_area_km2 avg_rent_per_m2")
 kpi("__population", """SELECT count(*) AS total_areas, CAST(sum(total_population) AS BIGINT) AS total_population,
     CAST(sum(residents) AS BIGINT) AS total_residents, CAST(sum(workforce) AS BIGINT) AS total_workforce FROM population""",
     lambda t: marts.population_kpis(t.population))
@@ -190,7 +190,7 @@ YEAR_STATS = f"""SELECT community_id, sum(price_aed) AS transactions_volume_1y,
     WHERE transaction_date >= DATE '{AS_OF_SALES}' - INTERVAL 1 YEAR GROUP BY community_id"""
 
 
-@query("agg_one_year_volume", YEAR_STATS, "transactions_volume_1y")
+@query("agg_one_year_volume", YEAR_STATS, "transactions_volume_1y:2")
 def _(t):
     return agg.agg_one_year_volume(t.sale, AS_OF_SALES)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import os
+from collections import Counter
 
 import duckdb
 
@@ -49,8 +50,10 @@ def compare(df, con, sql) -> str | None:
         return f"columns {sorted(df.columns)} != {sorted(names)}"
     if len(got) != len(want):
         return f"{len(got)} rows, oracle has {len(want)}"
-    for g, w in zip(got, want):
-        if g != w:
-            bad = [(n, a, b) for n, a, b in zip(sorted(names), g, w) if a != b]
-            return f"{sum(x != y for x, y in zip(got, want))} rows differ, first: {bad}"
+    extra, missing = list((Counter(got) - Counter(want)).elements()), list((Counter(want) - Counter(got)).elements())
+    if extra:
+        # Pair the unmatched rows that share most values, to show what differs.
+        near = max(missing, key=lambda w: sum(a == b for a, b in zip(extra[0], w)))
+        bad = [(n, a, b) for n, a, b in zip(sorted(names), extra[0], near) if a != b]
+        return f"{len(extra)} rows differ, first: {bad}"
     return None

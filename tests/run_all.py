@@ -14,7 +14,7 @@ from tests.harness import compare, duck  # noqa: E402
 def main() -> None:
     sf, only = sys.argv[1], sys.argv[2:]
     spark = build_session(
-        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g"
+        master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g", spark__ui__showConsoleProgress="false"
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, oracles, bad = duck(sf), entry.oracle_sql(), 0
