@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrawatt.operators.skew import dyadic_cover, dyadic_path, first_per_key, next_in_group
+from terrawatt.operators.skew import block_of, explode_blocks, first_per_key, next_in_group, top_level
 
 
 def _day(as_of: str | Column) -> Column:
@@ -71,6 +71,7 @@ def interval_overlap_check(
     start: str = "effective_from",
     end: str = "effective_to",
     strict: bool = False,
+    direct_limit: int = 64,
 ) -> DataFrame:
     """Pairs (a, b) of one key where an end point of a lies within b.
 
@@ -78,37 +79,61 @@ def interval_overlap_check(
     that encloses the other without an end point inside is reported from the enclosed side only.
     `strict=True` reports each truly overlapping pair once, a_id < b_id, open ends included.
 
-    Ranges are split into dyadic day blocks and matched to points by block, so only true matches
-    meet: a key with very many ranges spreads over its blocks and no pair is tried in vain.
+    Keys with at most `direct_limit` ranges are joined with themselves. The ranges of larger keys
+    are split into nested day blocks and matched to points by block: only true matches meet, and
+    the key spreads over its blocks.
     """
-    day = lambda c: F.datediff(c, F.lit("1900-01-01").cast("date"))
     rows = assignments.select(
         F.col(key).alias("k"), F.col(row_id).alias("i"), F.col(start).alias("s"), F.col(end).alias("e")
-    )
-    until = F.coalesce("e", F.lit("2250-01-01").cast("date")) if strict else F.col("e")
-    blocks = (
-        rows.select("k", F.col("i").alias("b_id"), day(F.col("s")).alias("lo"), day(until).alias("hi"))
-        .where("lo <= hi")
-        .select("k", "b_id", "lo", F.explode(dyadic_cover(F.col("lo"), F.col("hi"))).alias("c"))
-        .select("k", "b_id", F.col("lo").alias("b_lo"), "c.level", "c.block")
-    )
+    ).where(F.col("k").isNotNull())
+    large = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > direct_limit).select("k")
+    direct = _overlaps_direct(rows.join(large, "k", "left_anti"), strict)
+    blocked = _overlaps_blocked(rows.join(large, "k", "left_semi"), strict)
+    return direct.unionByName(blocked).withColumnRenamed("k", key)
+
+
+_NO_END = "2250-01-01"  # stands for an open end inside the block grid
+
+
+def _overlaps_direct(rows: DataFrame, strict: bool) -> DataFrame:
+    a = rows.select("k", *[F.col(c).alias(f"a_{n}") for c, n in (("i", "id"), ("s", "s"), ("e", "e"))])
+    b = rows.select("k", *[F.col(c).alias(f"b_{n}") for c, n in (("i", "id"), ("s", "s"), ("e", "e"))])
+    pairs = a.join(b, "k")
+    if strict:
+        until = lambda c: F.coalesce(c, F.lit(_NO_END).cast("date"))
+        real = (F.col("a_s") <= until(F.col("a_e"))) & (F.col("b_s") <= until(F.col("b_e")))
+        meet = (F.col("a_id") < F.col("b_id")) & real & (F.col("a_s") <= until(F.col("b_e"))) & (F.col("b_s") <= until(F.col("a_e")))
+    else:
+        within = lambda c: F.col(c).between(F.col("b_s"), F.col("b_e"))
+        meet = (F.col("a_id") != F.col("b_id")) & (within("a_s") | within("a_e"))
+    return pairs.where(meet).select("k", "a_id", "b_id")
+
+
+def _overlaps_blocked(rows: DataFrame, strict: bool) -> DataFrame:
+    day = lambda c: F.datediff(c, F.lit("1900-01-01").cast("date"))
+    until = F.coalesce("e", F.lit(_NO_END).cast("date")) if strict else F.col("e")
+    spans = rows.select("k", F.col("i").alias("b_id"), day(F.col("s")).alias("lo"), day(until).alias("hi")).where("lo <= hi")
+    blocks = explode_blocks(spans, "lo", "hi").select("k", "b_id", F.col("lo").alias("b_lo"), "level", "block")
+    # No block is larger than the longest range, so points need no higher levels.
+    top = spans.agg(F.coalesce(top_level(F.max(F.col("hi") - F.col("lo")) + 1), F.lit(0))).scalar()
     if strict:
         ends = rows.where(F.col("s") <= until).select("k", "i", day(F.col("s")).alias("p"))
     else:
         ends = rows.select("k", "i", F.explode(F.array(day(F.col("s")), day(F.col("e")))).alias("p"))
         ends = ends.where("p is not null")
-    points = ends.select("k", F.col("i").alias("a_id"), "p", F.explode(dyadic_path(F.col("p"))).alias("c")).select(
-        "k", "a_id", "p", "c.level", "c.block"
+    points = (
+        ends.select("k", F.col("i").alias("a_id"), "p", top.alias("top"))
+        .select("k", "a_id", "p", F.explode(F.sequence(F.lit(0), F.col("top"))).alias("level"))
+        .withColumn("block", block_of(F.col("p"), F.col("level")))
     )
     pairs = points.join(blocks, ["k", "level", "block"]).where("a_id <> b_id")
     if strict:
         # Of two overlapping ranges the later start lies in the other; equal starts match both ways.
-        pairs = pairs.where("p > b_lo or (p = b_lo and a_id < b_id)").select(
+        return pairs.where("p > b_lo or (p = b_lo and a_id < b_id)").select(
             "k", F.least("a_id", "b_id").alias("a_id"), F.greatest("a_id", "b_id").alias("b_id")
         )
-        return pairs.select(F.col("k").alias(key), "a_id", "b_id")
     # Both end points of a may lie in b: the pair counts once.
-    return pairs.select(F.col("k").alias(key), "a_id", "b_id").distinct()
+    return pairs.select("k", "a_id", "b_id").distinct()
 
 
 def scd2_intervals(

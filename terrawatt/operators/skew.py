@@ -74,32 +74,50 @@ def balanced_join(
     return salted_left.join(salted_right, [*keys, "_salt"]).drop("_salt")
 
 
-# Dyadic blocks over day numbers: level L has blocks of 2**L days.
-DYADIC_LEVELS = 17
-
-
-def dyadic_cover(lo: Column, hi: Column) -> Column:
-    """The disjoint dyadic blocks that make up the integer range [lo, hi], at most two per level."""
-
-    def at_level(level: Column) -> Column:
-        width = F.pow(F.lit(2.0), level)
-        start = F.ceil(lo / width).cast("long")
-        stop = F.floor((hi + 1) / width).cast("long")
-        left = F.when((start < stop) & (start % 2 != 0), start)
-        right = F.when((start < stop) & (stop % 2 != 0), stop - 1)
-        return F.transform(
-            F.filter(F.array(left, right), lambda b: b.isNotNull()),
-            lambda b: F.struct(level.alias("level"), b.alias("block")),
-        )
-
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(DYADIC_LEVELS)), at_level))
-
-
-def dyadic_path(point: Column) -> Column:
-    """The block that holds an integer point, on every level."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(DYADIC_LEVELS)),
-        lambda level: F.struct(
-            level.alias("level"), F.floor(point / F.pow(F.lit(2.0), level)).cast("long").alias("block")
-        ),
+# Nested blocks over day numbers: level L has blocks of BLOCK_BASE**L days; level 5 spans 89 years.
+BLOCK_BASE = 8
+BLOCK_LEVELS = 6
+
+
+def top_level(length: Column) -> Column:
+    """The highest level whose blocks can lie within a range of `length` days."""
+    level = F.floor(F.ln(F.greatest(length, F.lit(1)).cast("double")) / F.ln(F.lit(float(BLOCK_BASE))) + F.lit(1e-9))
+    return F.least(level, F.lit(BLOCK_LEVELS)).cast("int")
+
+
+def explode_blocks(df: DataFrame, lo: str, hi: str) -> DataFrame:
+    """One row per disjoint largest block (level, block) that makes up the integer range [lo, hi].
+
+    On each level these are the blocks inside the range that no block of the next level covers.
+    """
+    width = F.pow(F.lit(float(BLOCK_BASE)), F.col("level"))
+    leveled = df.withColumn("level", F.explode(F.sequence(F.lit(0), top_level(F.col(hi) - F.col(lo) + 1))))
+    edges = leveled.withColumns(
+        {
+            # Blocks [_start, _stop) of this level lie inside the range; [_up, _down) of them lie
+            # in a larger block that does too.
+            "_start": F.ceil(F.col(lo) / width).cast("long"),
+            "_stop": F.floor((F.col(hi) + 1) / width).cast("long"),
+            "_up": F.ceil(F.col(lo) / (width * BLOCK_BASE)).cast("long") * BLOCK_BASE,
+            "_down": F.floor((F.col(hi) + 1) / (width * BLOCK_BASE)).cast("long") * BLOCK_BASE,
+        }
+    )
+    covered = (F.col("_up") < F.col("_down")) & (F.col("level") < BLOCK_LEVELS)
+    upto = F.when(covered, F.col("_up")).otherwise(F.col("_stop"))
+    since = F.when(covered, F.col("_down")).otherwise(F.col("_stop"))
+
+    def run(first: Column, stop: Column) -> Column:
+        # The filter below removes the element of an empty run.
+        return F.sequence(first, F.greatest(first, stop - 1))
+
+    blocks = F.array_union(run(F.col("_start"), upto), run(since, F.col("_stop")))
+    inside = (F.col("block") < upto) | ((F.col("block") >= since) & (F.col("block") < F.col("_stop")))
+    return (
+        edges.withColumn("block", F.explode(blocks)).where(inside & (F.col("block") >= F.col("_start")))
+        .drop("_start", "_stop", "_up", "_down")
     )
+
+
+def block_of(point: Column, level: Column) -> Column:
+    """The block of a level that holds an integer point."""
+    return F.floor(point / F.pow(F.lit(float(BLOCK_BASE)), level)).cast("long")

@@ -30,10 +30,12 @@ def win_share_of_total(
     """Group, then divide one measure by its total over all groups, as a fraction.
 
     The total is a one-row scalar subquery; a window without keys would pull every group into
-    one task.
+    one task. The subquery reads all measures, which keeps its grouping identical to the main one,
+    so Spark scans and shuffles once and reuses the exchange.
     """
     groups = df.groupBy(by).agg(*[c.alias(n) for n, c in measures.items()])
-    total = groups.agg(F.sum(share_of)).scalar()
+    others = [F.count(n).alias(f"_{n}") for n in [by, *measures] if n != share_of]
+    total = groups.agg(F.struct(F.sum(share_of).alias("total"), *others).alias("t")).scalar()["total"]
     return groups.withColumn(name, F.try_divide(F.col(share_of).cast("double"), total))
 
 

@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -38,18 +39,28 @@ def test_overlap_touching_ends(spark, rows):
     assert rows(iv.interval_overlap_check(a, strict=True)) == [(1, 0, 1)]
 
 
+@pytest.mark.parametrize("limit", [0, 64])
 @QUICK
-@given(st.lists(st.tuples(st.integers(0, 60), st.integers(-1, 40)), min_size=1, max_size=14))
-def test_strict_overlap_equals_brute_force(spark, spans):
+@given(st.lists(st.tuples(st.integers(0, 60), st.integers(-2, 40)), min_size=1, max_size=14))
+def test_overlap_equals_brute_force(spark, limit, spans):
     day = lambda n: D(2020, 1, 1) + dt.timedelta(n)
-    ranges = [(day(s), None if n < 0 else day(s + n)) for s, n in spans]
-    got = {(r.a_id, r.b_id) for r in iv.interval_overlap_check(assignments(spark, ranges), strict=True).collect()}
+    # -1 stands for an open end, -2 for a range that ends before it starts.
+    ranges = [(day(s), None if n == -1 else day(s + n)) for s, n in spans]
+    data = assignments(spark, ranges)
+    pairs = lambda strict: sorted(
+        (r.a_id, r.b_id) for r in iv.interval_overlap_check(data, strict=strict, direct_limit=limit).collect()
+    )
     end = lambda r: r[1] or D(2249, 1, 1)
-    want = {
-        (i, j) for i in range(len(ranges)) for j in range(i + 1, len(ranges))
-        if ranges[i][0] <= end(ranges[j]) and ranges[j][0] <= end(ranges[i])
-    }
-    assert got == want
+    n = range(len(ranges))
+    real = [s <= end((s, e)) for s, e in ranges]
+    assert pairs(True) == sorted(
+        (i, j) for i in n for j in n if i < j and real[i] and real[j]
+        and ranges[i][0] <= end(ranges[j]) and ranges[j][0] <= end(ranges[i])
+    )
+    inside = lambda p, r: p is not None and r[1] is not None and r[0] <= p <= r[1]
+    assert pairs(False) == sorted(
+        (i, j) for i in n for j in n if i != j and (inside(ranges[i][0], ranges[j]) or inside(ranges[i][1], ranges[j]))
+    )
 
 
 def test_asof_tariff(spark, rows):
