@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from terrawatt.operators import aggregates as agg
 from terrawatt.operators import windows as win
 from terrawatt.operators.joins import join_multi_child_fanout, join_on_true_fanout, join_on_true_scalar
+from terrawatt.session import scratch_path
 
 ADMIN_ANCHORS = ("emirate_id", "city_id", "sector_id", "community_id", "district_id")
 
@@ -156,9 +157,11 @@ def sale_usage_distribution(sale: DataFrame) -> DataFrame:
     }, "total_area_m2")
 
 
-def v_sale_transactions(sale: DataFrame, geom: DataFrame) -> DataFrame:
+def v_sale_transactions(sale: DataFrame, geom: DataFrame, usage: DataFrame | None = None) -> DataFrame:
+    """`usage` is the stored usage mart; without it the mart is computed from the sales again."""
+    usage = sale_usage_distribution(sale) if usage is None else usage
     names = {"transactions_count": "usage_transactions", "total_area_m2": "usage_area_m2", "percentage": "usage_percentage"}
-    return flatten(sale, (*_geom(geom, "sale_id"), "left"), (sale_usage_distribution(sale), "usage_type", names, "left"))
+    return flatten(sale, (*_geom(geom, "sale_id"), "left"), (usage, "usage_type", names, "left"))
 
 
 def lease_kpis(lease: DataFrame) -> DataFrame:
@@ -174,27 +177,59 @@ def lease_distribution(lease: DataFrame, by: str) -> DataFrame:
     return win.win_share_of_total(lease, by, measures, "total_area_m2")
 
 
+def lease_marts(lease: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(kpis, contracts, tenants, premises) from one pass over the leases.
+
+    The leases are first folded to one row per combination of the three short type columns; every
+    mart is then an aggregate of that table. It is stored, so the four marts do not rescan.
+    """
+    spark = lease.sparkSession
+    path = scratch_path(spark, "lease-cube")
+    lease.groupBy("contract_type", "tenant_type", "premise_type").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("total_rent_aed").alias("rent"), F.sum("area_m2").alias("area"),
+        F.sum("rent_per_m2").alias("rpm"), F.count("rent_per_m2").alias("rpm_n"),
+    ).write.parquet(path)
+    cube = spark.read.parquet(path)
+    kpis = agg.agg_kpi_global(cube, {
+        "total_contracts": F.sum("n"), "total_rental_value_aed": F.sum("rent"),
+        "total_area_km2": F.sum("area") / 1e6, "avg_rent_per_m2": F.try_divide(F.sum("rpm"), F.sum("rpm_n")),
+    })
+    measures = {"contracts_count": F.sum("n"), "total_area_m2": F.sum("area")}
+    by = lambda key: win.win_share_of_total(cube, key, measures, "total_area_m2")
+    premises = win.topk_after_group(cube, "premise_type", F.sum("area") / 1e6, "total_area_km2")
+    return kpis, by("contract_type"), by("tenant_type"), premises
+
+
 def lease_top_property_types(lease: DataFrame) -> DataFrame:
     return win.topk_after_group(lease, "premise_type", F.sum("area_m2") / 1e6, "total_area_km2")
 
 
-def v_lease_transactions(lease: DataFrame, geom: DataFrame) -> DataFrame:
+def v_lease_transactions(
+    lease: DataFrame, geom: DataFrame, kpis: DataFrame | None = None, contracts: DataFrame | None = None,
+    tenants: DataFrame | None = None, premises: DataFrame | None = None,
+) -> DataFrame:
+    """The optional frames are the stored marts; each one missing costs a pass over the leases."""
+    kpis = lease_kpis(lease) if kpis is None else kpis
+    contracts = lease_distribution(lease, "contract_type") if contracts is None else contracts
+    tenants = lease_distribution(lease, "tenant_type") if tenants is None else tenants
+    premises = lease_top_property_types(lease) if premises is None else premises
+
     def named(df: DataFrame, key: str) -> DataFrame:
         return df.withColumn("_id", F.col(key))
 
     flat = flatten(
         lease,
         (*_geom(geom, "lease_id"), "left"),
-        (named(lease_distribution(lease, "contract_type"), "contract_type"), "contract_type",
+        (named(contracts, "contract_type"), "contract_type",
          {"_id": "dist_contract_type", "contracts_count": "dist_contracts_count",
           "total_area_m2": "dist_contract_area_m2", "percentage": "dist_contract_percentage"}, "left"),
-        (named(lease_distribution(lease, "tenant_type"), "tenant_type"), "tenant_type",
+        (named(tenants, "tenant_type"), "tenant_type",
          {"_id": "dist_tenant_type", "contracts_count": "dist_tenant_count",
           "total_area_m2": "dist_tenant_area_m2", "percentage": "dist_tenant_percentage"}, "left"),
-        (named(lease_top_property_types(lease), "premise_type"), "premise_type",
+        (named(premises, "premise_type"), "premise_type",
          {"_id": "top_premise_type", "total_area_km2": "top_premise_area_km2"}, "left"),
     )
-    return join_on_true_scalar(flat, lease_kpis(lease))
+    return join_on_true_scalar(flat, kpis)
 
 
 # --- population, places, logistics ------------------------------------------------------
