@@ -40,9 +40,9 @@ CATALOGUE: dict[str, Query] = {}
 def query(name: str, oracle: str | None = None, rounds: str = ""):
     """Register `fn(inputs) -> DataFrame` under `name`.
 
-    `oracle` is DuckDB SQL over the same dataset names; `rounds` lists its double columns, which
-    both sides round to 6 digits (or `column:digits`) because floating-point sums depend on the
-    order of addition.
+    `oracle` is DuckDB SQL over the same dataset names; `rounds` lists double columns that
+    come from sums or transcendental functions: both sides round them to 6 digits (or
+    `column:digits`), as their last bits depend on the order of addition or the math library.
     """
     digits = {c: int(d or 6) for c, _, d in (r.partition(":") for r in rounds.split())}
 
@@ -56,13 +56,15 @@ def query(name: str, oracle: str | None = None, rounds: str = ""):
 
 
 def comparable(df: DataFrame, digits: dict[str, int]) -> DataFrame:
-    """Normalise types for a cross-engine comparison: rounded doubles, zone-less instants."""
+    """Normalise types for a cross-engine comparison: no decimals, zone-less instants, rounding as declared."""
     cols = []
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), digits.get(field.name, 6))
-        elif isinstance(field.dataType, T.TimestampType):
+        if isinstance(field.dataType, (T.FloatType, T.DecimalType)):
+            c = c.cast("double")
+        if field.name in digits:
+            c = F.round(c, digits[field.name])
+        if isinstance(field.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         cols.append(c.alias(field.name))
     return df.select(*cols)

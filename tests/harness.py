@@ -27,7 +27,7 @@ def text(value) -> str:
     if isinstance(value, bool):
         return str(value)
     if isinstance(value, (float, decimal.Decimal)):
-        return f"{float(value) + 0.0:.6f}".replace("-0.000000", "0.000000")
+        return repr(float(value) + 0.0)
     if isinstance(value, int):
         return str(value)
     if isinstance(value, dt.datetime):
