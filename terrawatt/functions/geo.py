@@ -20,7 +20,10 @@ EARTH_RADIUS = 6371008.8
 MERCATOR_RADIUS = 6378137.0
 METRES_PER_DEGREE = 111320.0
 
-POINT = "struct<x:double,y:double>"
+
+def _let(value: Column, body) -> Column:
+    """Evaluate `value` once and use it several times in `body` (a lambda variable is not re-computed)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def st_point(lon: Column, lat: Column) -> Column:
@@ -131,15 +134,18 @@ def st_area_planar(ring: Column) -> Column:
 
 def st_centroid(ring: Column) -> Column:
     """Area-weighted centroid of a closed ring; its first vertex when the area is zero."""
-    terms = _cross_terms(ring)
-    area3 = 3 * _total(F.transform(terms, lambda t: t["w"]))
-    sx = _total(F.transform(terms, lambda t: t["w"] * t["sx"]))
-    sy = _total(F.transform(terms, lambda t: t["w"] * t["sy"]))
-    first = F.element_at(ring, 1)
-    return st_point(
-        first["x"] + F.coalesce(F.try_divide(sx, area3), F.lit(0.0)),
-        first["y"] + F.coalesce(F.try_divide(sy, area3), F.lit(0.0)),
-    )
+
+    def from_terms(terms: Column) -> Column:
+        area3 = 3 * _total(F.transform(terms, lambda t: t["w"]))
+        sx = _total(F.transform(terms, lambda t: t["w"] * t["sx"]))
+        sy = _total(F.transform(terms, lambda t: t["w"] * t["sy"]))
+        first = F.element_at(ring, 1)
+        return st_point(
+            first["x"] + F.coalesce(F.try_divide(sx, area3), F.lit(0.0)),
+            first["y"] + F.coalesce(F.try_divide(sy, area3), F.lit(0.0)),
+        )
+
+    return _let(_cross_terms(ring), from_terms)
 
 
 def authalic_y(lat: Column) -> Column:
@@ -247,31 +253,42 @@ def lines_intersect(a: Column, b: Column) -> Column:
 
 def polygons_intersect(a: Column, b: Column) -> Column:
     """Two closed rings: borders touch, or one contains the other."""
-    pa, pb = F.element_at(a, 1), F.element_at(b, 1)
-    return (
-        lines_intersect(a, b)
-        | point_in_ring(pa["x"], pa["y"], b)
-        | point_in_ring(pb["x"], pb["y"], a)
-    )
+
+    def meet(v: Column) -> Column:
+        pa, pb = F.element_at(v["a"], 1), F.element_at(v["b"], 1)
+        return (
+            lines_intersect(v["a"], v["b"])
+            | point_in_ring(pa["x"], pa["y"], v["b"])
+            | point_in_ring(pb["x"], pb["y"], v["a"])
+        )
+
+    return _let(F.struct(a.alias("a"), b.alias("b")), meet)
 
 
 def ring_problem(ring: Column) -> Column:
     """Why a polygon ring is not valid, or NULL when it is."""
+    return _let(ring, _problem)
+
+
+def _problem(ring: Column) -> Column:
     finite = F.forall(
         ring,
         lambda p: p["x"].isNotNull() & p["y"].isNotNull() & ~F.isnan(p["x"]) & ~F.isnan(p["y"])
         & (F.abs(p["x"]) < float("inf")) & (F.abs(p["y"]) < float("inf")),
     )
-    segs = _segments(ring)
-    indexed = F.transform(segs, lambda s, i: F.struct(s["a"].alias("a"), s["b"].alias("b"), i.alias("i")))
-    last = F.size(segs) - 1
-    crossing = F.exists(
-        indexed,
-        lambda s: F.exists(
-            indexed,
-            lambda t: (t["i"] > s["i"] + 1) & ~((s["i"] == 0) & (t["i"] == last)) & _segments_touch(s, t),
-        ),
-    )
+    last = F.size(ring) - 2  # index of the last segment
+
+    def crosses(segs: Column) -> Column:
+        return F.exists(
+            segs,
+            lambda s: F.exists(
+                segs,
+                lambda t: (t["i"] > s["i"] + 1) & ~((s["i"] == 0) & (t["i"] == last)) & _segments_touch(s, t),
+            ),
+        )
+
+    indexed = F.transform(_segments(ring), lambda s, i: F.struct(s["a"].alias("a"), s["b"].alias("b"), i.alias("i")))
+    crossing = _let(indexed, crosses)
     return (
         F.when(ring.isNull(), "null")
         .when(~finite, "not finite")
@@ -283,11 +300,15 @@ def ring_problem(ring: Column) -> Column:
 
 def st_make_valid_ring(ring: Column) -> Column:
     """Limited repair: drop repeated consecutive vertices, then close the ring."""
-    distinct = F.filter(
-        ring, lambda p, i: (i == 0) | (p != F.get(ring, F.greatest(i - 1, F.lit(0))))
-    )
-    closed = F.element_at(distinct, 1) == F.element_at(distinct, -1)
-    return F.when(closed, distinct).otherwise(F.concat(distinct, F.array(F.element_at(distinct, 1))))
+
+    def distinct(r: Column) -> Column:
+        return F.filter(r, lambda p, i: (i == 0) | (p != F.get(r, F.greatest(i - 1, F.lit(0)))))
+
+    def close(r: Column) -> Column:
+        first = F.element_at(r, 1)
+        return F.when(first == F.element_at(r, -1), r).otherwise(F.concat(r, F.array(first)))
+
+    return _let(_let(ring, distinct), close)
 
 
 # --- distances --------------------------------------------------------------------------

@@ -209,10 +209,12 @@ def _pyramids(spots: DataFrame, members: DataFrame, levels: int) -> tuple[DataFr
     stored = spark.read.schema(
         "cx long, cy long, minx double, miny double, maxx double, maxy double, side string, level int"
     ).parquet(path)
-    # One number: the finest level with at most _FEW cells per side (the top level qualifies always).
+    # One number: the finest level with at most _FEW cells per side (degrees fit on the top level).
     per_level = stored.groupBy("level", "side").agg(F.count(F.lit(1)).alias("n"))
     few = per_level.groupBy("level").agg(F.max("n").alias("n")).where(F.col("n") <= _FEW)
     start = few.agg(F.min("level")).first()[0]
+    if start is None and stored.limit(1).count():
+        raise ValueError("coordinates are not degrees: too many top cells")
     return stored, levels if start is None else start
 
 

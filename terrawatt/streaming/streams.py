@@ -124,7 +124,8 @@ def latest_revision(log: DataFrame, keys: Sequence[str]) -> DataFrame:
 def upsert_batches(path: str, keys: Sequence[str], order: str) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function that keeps one current row per key under versioned folders.
 
-    Batch e reads version e - 1 and writes version e, so a retry rebuilds the same version.
+    Batch e reads version e - 1 and writes version e, so a retry rebuilds the same version. Every
+    batch rewrites the table: for a large one keep the revision log of `run_to_table` instead.
     """
 
     def apply(batch: DataFrame, epoch: int) -> None:
