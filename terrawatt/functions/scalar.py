@@ -30,9 +30,24 @@ def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def nanos_to_timestamp(nanos: Column) -> Column:
-    """Epoch nanoseconds to a zone-less timestamp; digits below a microsecond are cut off."""
-    return F.timestamp_micros(F.expr("bigint(0)") + F.floor(nanos / 1000)).cast("timestamp_ntz")
+    """Epoch nanoseconds (UTC) to a zone-less timestamp; digits below a microsecond are cut off.
+
+    Counted from a zone-less epoch, so the session time zone plays no part.
+    """
+    seconds = F.floor(nanos / F.lit(1000).cast("decimal(20,0)")).cast("decimal(18,0)") / F.lit(1_000_000)
+    return _epoch() + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
+def epoch_millis(ts: Column, zoned: bool) -> Column:
+    """Milliseconds since the epoch; a zone-less timestamp counts as UTC."""
+    if zoned:
+        return F.unix_millis(ts)
+    return F.floor(F.timestamp_diff("MICROSECOND", _epoch(), ts) / 1000)
 
 
 def boundary_minutes(start: Column, end: Column) -> Column:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrawatt.functions import geo
-from terrawatt.functions.scalar import natural_id
+from terrawatt.functions.scalar import epoch_millis, natural_id
 from terrawatt.operators.changes import merge_upsert
 from terrawatt.operators.joins import join_geometry_equality
 from terrawatt.operators.setops import union_all_edges_reverse
@@ -17,7 +18,8 @@ from terrawatt.session import ensure_checkpoint_dir
 def graph_views(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Projections for graph consumers; edge times as epoch milliseconds."""
     v = vertices.select(*[c for c in ("id", "value", "v_type", "properties", "created_at") if c in vertices.columns])
-    millis = F.unix_millis(F.col("timestamp").cast("timestamp"))
+    zoned = isinstance(edges.schema["timestamp"].dataType, T.TimestampType)
+    millis = epoch_millis(F.col("timestamp"), zoned)
     cols = [c for c in ("src", "dst", "weight", "e_type", "properties") if c in edges.columns]
     return v, edges.select(*cols, millis.alias("timestamp_ms"))
 

@@ -155,10 +155,10 @@ def _(t):
     return union_all_literals(t.meter_readings, 2865)
 
 
-@query("union_all_literals__missing", """SELECT meter_id FROM (VALUES ('METER_001'), ('METER_002'), ('HAMILTON_150')) AS e(meter_id)
+@query("union_all_literals__missing", """SELECT meter_id FROM (VALUES ('METER_001'), ('METER_002'), ('METER_X99')) AS e(meter_id)
     WHERE meter_id NOT IN (SELECT meter_id FROM meter_readings WHERE meter_id IS NOT NULL)""")
 def _(t):
-    return missing_ids(t.meter_readings, ["METER_001", "METER_002", "HAMILTON_150"], "meter_id")
+    return missing_ids(t.meter_readings, ["METER_001", "METER_002", "METER_X99"], "meter_id")
 
 
 RULE = {"rule_name": "EXTENT", "rule_type": "GEOMETRY", "is_enabled": True, "bbox": (55.0, 24.8, 55.9, 25.2)}
