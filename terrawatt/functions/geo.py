@@ -187,6 +187,16 @@ def st_end_point(line: Column) -> Column:
     return F.element_at(line, -1)
 
 
+def st_dump(geom: Column) -> Column:
+    """Parts of a MULTI point or line as single geometries; other geometries are their only part."""
+    single = F.regexp_replace(geom["type"], "^MULTI", "")
+    apart = geom["type"].isin("MULTIPOINT", "MULTILINESTRING")
+    points = F.transform(F.flatten(geom["rings"]), lambda p: F.array(p))
+    lines = F.when(geom["type"] == "MULTIPOINT", points).otherwise(geom["rings"])
+    parts = F.transform(lines, lambda r: F.struct(single.alias("type"), F.array(r).alias("rings")))
+    return F.when(apart, parts).otherwise(F.array(geom))
+
+
 def st_segmentize(line: Column, max_length: float) -> Column:
     """Densify so that no planar segment exceeds `max_length` degrees."""
 

@@ -195,12 +195,12 @@ def evaluate(formula: Formula, vertices: DataFrame, edges: DataFrame, by: str |
     return base.select("id", to_column(formula, leaf).alias("value"))
 
 
-def literal_value(formula: Formula) -> float:
+def formula_literal_eval(formula: Formula) -> float:
     """Value of a formula made of constants only; anything else is an error."""
     if isinstance(formula, Const):
         return float(formula.value)
     if isinstance(formula, Binary):
-        a, b = literal_value(formula.left), literal_value(formula.right)
+        a, b = formula_literal_eval(formula.left), formula_literal_eval(formula.right)
         if formula.op == "div":
             return a / b
         return _ARITH[formula.op](a, b) if formula.op in _ARITH else float(_COMPARE[formula.op](a, b))

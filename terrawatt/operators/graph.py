@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,15 @@ from terrawatt.operators.spatial import METRIC, join_knn1, join_radius
 from terrawatt.session import ensure_checkpoint_dir
 
 
+VERTEX_SCHEMA = "id string, value double, v_type string, properties map<string,string>"
+EDGE_SCHEMA = "src string, dst string, weight double, e_type string, properties map<string,string>"
+
+
+def graph_to_dataframes(spark: SparkSession, vertices: list[tuple], edges: list[tuple]) -> tuple[DataFrame, DataFrame]:
+    """Literal vertices and edges as frames; real graphs are read from tables."""
+    return spark.createDataFrame(vertices, VERTEX_SCHEMA), spark.createDataFrame(edges, EDGE_SCHEMA)
+
+
 def graph_views(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Projections for graph consumers; edge times as epoch milliseconds."""
     v = vertices.select(*[c for c in ("id", "value", "v_type", "properties", "created_at") if c in vertices.columns])

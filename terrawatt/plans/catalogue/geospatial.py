@@ -200,6 +200,14 @@ def _(t):
     return t.road.select("road_id", F.size(geo.st_segmentize(line(), 0.01)).cast("bigint").alias("vertices"))
 
 
+@query("st_dump", """SELECT road_id, 0 AS pos, 'LINESTRING' AS type, x1 AS x FROM road UNION ALL SELECT road_id, 1, 'LINESTRING', x2 FROM road""")
+def _(t):
+    back = F.reverse(line())
+    both = F.struct(F.lit("MULTILINESTRING").alias("type"), F.array(line(), back).alias("rings"))
+    parts = t.road.select("road_id", F.posexplode(geo.st_dump(both)).alias("pos", "g"))
+    return parts.select("road_id", "pos", F.col("g.type").alias("type"), F.element_at(F.element_at("g.rings", 1), 1)["x"].alias("x"))
+
+
 @query("st_start_end_point", "SELECT road_id, x1 AS sx, y1 AS sy, x2 AS ex, y2 AS ey FROM road", "sx sy ex ey")
 def _(t):
     s, e = geo.st_start_point(line()), geo.st_end_point(line())

@@ -38,6 +38,18 @@ def test_wkt_forms(spark):
     assert g.bad is None and g.none is None
 
 
+def test_dump(spark):
+    r = one(
+        spark,
+        m=geo.st_dump(geo.st_geom_from_text(F.lit("MULTILINESTRING((0 0, 1 1), (2 2, 3 3, 4 4))"))),
+        p=geo.st_dump(geo.st_geom_from_text(F.lit("MULTIPOINT((0 0), (1 1))"))),
+        s=geo.st_dump(geo.st_geom_from_text(F.lit("LINESTRING(0 0, 1 1)"))),
+    )
+    assert [(g.type, len(g.rings[0])) for g in r.m] == [("LINESTRING", 2), ("LINESTRING", 3)]
+    assert [(g.type, g.rings[0][0].x) for g in r.p] == [("POINT", 0.0), ("POINT", 1.0)]
+    assert [g.type for g in r.s] == ["LINESTRING"]
+
+
 def test_wkb_polygon_and_bad_bytes(spark):
     pts = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)]
     body = struct.pack("<BII I", 1, 3, 1, 4) + b"".join(struct.pack("<dd", *p) for p in pts)

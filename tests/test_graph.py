@@ -9,9 +9,8 @@ from terrawatt.operators import graph as gr
 
 @pytest.fixture(scope="module")
 def sample(spark):
-    v = spark.createDataFrame([("A", 1.0), ("B", 2.0)], "id string, value double")
-    e = spark.createDataFrame([("A", "B", 1.0)], "src string, dst string, weight double")
-    return v, e
+    vertices = [("A", 1.0, "Subscriber", {"k": "v"}), ("B", 2.0, "Building", {})]
+    return gr.graph_to_dataframes(spark, vertices, [("A", "B", 1.0, "ConnectedTo", {})])
 
 
 def value(f, v, e):
@@ -50,9 +49,9 @@ def test_every_node_type(sample):
 
 
 def test_literals():
-    assert fm.literal_value((fm.Const(2) + 3) * 4 / 2) == 10.0
+    assert fm.formula_literal_eval((fm.Const(2) + 3) * 4 / 2) == 10.0
     with pytest.raises(ValueError):
-        fm.literal_value(fm.VertexField("value"))
+        fm.formula_literal_eval(fm.VertexField("value"))
 
 
 def test_field_needs_context(sample):
