@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from terrawatt.llm.bpe import bpe_digest
+from terrawatt.llm.rule_ledger import quality_rules
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -18,9 +19,54 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"), RANKS)
 
 
+def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "fail_bits"
+    )
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op5_rule_ledger": op5_rule_ledger,
 }
 
 #: DuckDB statements; the operators that SQL cannot express are tested against brute force instead.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_rule_ledger": r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), spots AS (
+  SELECT k, unnest(range(1, len(words) + 1)) AS i, unnest(words) AS w FROM texts
+), windows AS (
+  SELECT k, i, w || chr(0) || lead(w) OVER p || chr(0) || lead(w, 2) OVER p AS triple FROM spots WINDOW p AS (PARTITION BY k ORDER BY i)
+), again AS (
+  SELECT k, i FROM (SELECT k, i, count(*) OVER (PARTITION BY k, triple) AS n FROM windows WHERE triple IS NOT NULL) WHERE n > 1
+), covered AS (
+  SELECT k, count(DISTINCT i + d) AS n_repeat_words FROM again, (VALUES (0), (1), (2)) AS shift(d) GROUP BY k
+), lines AS (
+  SELECT k, unnest(string_split(text, chr(10))) AS line FROM texts
+), line_counts AS (
+  SELECT k, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY k
+), measured AS (
+  SELECT doc_id, len(words) AS n_words,
+         coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+         len(list_filter(words, x -> regexp_matches(x, '[A-Za-z\x{C0}-\x{10FFFF}]'))) AS n_alpha_words,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
+         length(regexp_replace(text, '[^A-Za-z\x{C0}-\x{10FFFF}]', '', 'g')) AS n_letters,
+         len(list_filter(words, x -> x = '|')) AS n_table_marks
+  FROM texts LEFT JOIN covered USING (k) LEFT JOIN line_counts USING (k)
+), marked AS (
+  SELECT *, (n_words < 50)::BIGINT + (100 * n_repeat_words > 50 * n_words)::BIGINT * 2 + (10 * n_symbols > n_words)::BIGINT * 4
+            + (2 * n_dup_lines > n_lines)::BIGINT * 8 + (word_chars < 3 * n_words)::BIGINT * 16 + (word_chars > 12 * n_words)::BIGINT * 32
+            + (10 * n_alpha_words < 7 * n_words)::BIGINT * 64 + (10 * n_upper > 5 * n_letters)::BIGINT * 128
+            + (5 * n_table_marks > n_words)::BIGINT * 256 + (n_words > 1000000)::BIGINT * 512 AS fail_bits
+  FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM marked
+""",
+}
