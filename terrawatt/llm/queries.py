@@ -52,13 +52,13 @@ WITH texts AS (
   FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY k
 ), measured AS (
   SELECT doc_id, len(words) AS n_words,
-         coalesce(list_sum(list_transform(words, x -> length(x))), 0)::BIGINT AS word_chars,
+         coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
          coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
-         len(list_filter(words, x -> regexp_matches(x, '[A-Za-z\x{C0}-\x{10FFFF}]'))) AS n_alpha_words,
+         len(list_filter(words, lambda x: regexp_matches(x, '[A-Za-z\x{C0}-\x{10FFFF}]'))) AS n_alpha_words,
          length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
          length(regexp_replace(text, '[^A-Za-z\x{C0}-\x{10FFFF}]', '', 'g')) AS n_letters,
-         len(list_filter(words, x -> x = '|')) AS n_table_marks
+         len(list_filter(words, lambda x: x = '|')) AS n_table_marks
   FROM texts LEFT JOIN covered USING (k) LEFT JOIN line_counts USING (k)
 ), marked AS (
   SELECT *, (n_words < 50)::BIGINT + (100 * n_repeat_words > 50 * n_words)::BIGINT * 2 + (10 * n_symbols > n_words)::BIGINT * 4
