@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from terrawatt.llm.bpe import bpe_digest
+from terrawatt.llm.langid import identify
 from terrawatt.llm.rule_ledger import quality_rules
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -15,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out() -> Column:
+    """Rows that no model may learn from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"), RANKS)
 
@@ -25,9 +32,20 @@ def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_training(docs: DataFrame) -> DataFrame:
+    return docs.where(~held_out()).select(F.col("doc_id").cast("long").alias("id"), "text", "lang")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs, language_training(docs), RANKS)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op5_rule_ledger": op5_rule_ledger,
+    "op9_language_id": op9_language_id,
 }
 
 #: DuckDB statements; the operators that SQL cannot express are tested against brute force instead.
