@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from terrawatt.llm.bpe import bpe_digest
 from terrawatt.llm.langid import identify
+from terrawatt.llm.pu_quality import score_quality
 from terrawatt.llm.rule_ledger import quality_rules
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -36,6 +37,15 @@ def language_training(docs: DataFrame) -> DataFrame:
     return docs.where(~held_out()).select(F.col("doc_id").cast("long").alias("id"), "text", "lang")
 
 
+def trusted_positives(labels: DataFrame) -> DataFrame:
+    return labels.where(~held_out() & (F.col("quality") == 1)).select("doc_id")
+
+
+def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_quality(table(spark, sf_dir, "documents"), trusted_positives(table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, language_training(docs), RANKS)
@@ -44,6 +54,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op4_pu_quality": op4_pu_quality,
     "op5_rule_ledger": op5_rule_ledger,
     "op9_language_id": op9_language_id,
 }

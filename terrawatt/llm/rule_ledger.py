@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from terrawatt.llm.textcore import buffers, mix, owners, slices, span_hash, tile, word_spans
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_alpha_words", "n_upper", "n_letters", "n_table_marks")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_alpha_words", "n_upper", "n_letters", "n_table_marks", "n_twin_words")
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -110,9 +110,10 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
         out["n_lines"] = out["n_dup_lines"] = np.zeros(n, np.int64)
 
     # Words inside three-word windows that occur twice or more in their text.
-    out["n_repeat_words"] = np.zeros(n, np.int64)
-    if len(starts) > 3:
+    out["n_repeat_words"] = out["n_twin_words"] = np.zeros(n, np.int64)
+    if len(starts) > 1:
         h = span_hash(data, starts, ends - starts)
+        out["n_twin_words"] = _totals(doc[1:][(h[1:] == h[:-1]) & (doc[1:] == doc[:-1])], n)
         first = np.flatnonzero(doc[2:] == doc[:-2])
         key = mix(h[first] ^ mix(h[first + 1] ^ mix(h[first + 2] ^ mix(doc[first].astype(np.uint64) + np.uint64(1)))))
         order = np.argsort(key)
