@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrawatt.llm.bpe import bpe_digest
+from terrawatt.llm.interleave import interleaved_shards
 from terrawatt.llm.langid import identify
 from terrawatt.llm.pu_quality import score_quality
 from terrawatt.llm.rule_ledger import quality_rules
@@ -37,6 +38,10 @@ def language_training(docs: DataFrame) -> DataFrame:
     return docs.where(~held_out()).select(F.col("doc_id").cast("long").alias("id"), "text", "lang")
 
 
+def op3_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interleaved_shards(table(spark, sf_dir, "documents"), 40)
+
+
 def trusted_positives(labels: DataFrame) -> DataFrame:
     return labels.where(~held_out() & (F.col("quality") == 1)).select("doc_id")
 
@@ -54,6 +59,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_interleave": op3_interleave,
     "op4_pu_quality": op4_pu_quality,
     "op5_rule_ledger": op5_rule_ledger,
     "op9_language_id": op9_language_id,
@@ -61,6 +67,35 @@ QUERIES = {
 
 #: DuckDB statements; the operators that SQL cannot express are tested against brute force instead.
 ORACLE_SQL: dict[str, str] = {
+    # CRC-32 byte by byte over the hex form of the text; its table is computed in `crc_table`.
+    "op3_interleave": r"""
+WITH RECURSIVE crc_steps AS (
+  SELECT range AS n, range AS c, 0 AS step FROM range(256)
+  UNION ALL
+  SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM crc_steps WHERE step < 8
+), crc_table AS (
+  SELECT list(c ORDER BY n) AS t FROM crc_steps WHERE step = 8
+), texts AS (
+  SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS h FROM documents
+), bytes AS (
+  SELECT doc_id, source, len(h) // 2 + 16 AS size,
+         list_prepend(4294967295::BIGINT, list_transform(range(0, len(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::BIGINT)) AS b
+  FROM texts
+), summed AS (
+  SELECT doc_id, source, size, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS crc FROM bytes, crc_table
+), drawn AS (
+  SELECT *, md5(concat_ws('|', '0', doc_id::VARCHAR, crc::VARCHAR)) AS draw, count(*) OVER (PARTITION BY source) AS n FROM summed
+), fractions AS (
+  SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY draw, doc_id) - 1)::DOUBLE / (2 * n) AS fraction FROM drawn
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY fraction, source NULLS FIRST, draw, doc_id) - 1 AS pos, count(*) OVER () AS total FROM fractions
+), cut AS (
+  SELECT *, (pos * 40 // total)::INTEGER AS shard FROM placed
+)
+SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'rows' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY pos) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM cut
+""",
     "op5_rule_ledger": r"""
 WITH texts AS (
   SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
