@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrawatt.llm.bpe import bpe_digest
+from terrawatt.llm.dart_minhash import near_duplicates
 from terrawatt.llm.interleave import interleaved_shards
 from terrawatt.llm.langid import identify
 from terrawatt.llm.pu_quality import score_quality
@@ -57,12 +58,17 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_byte_bpe": op2_byte_bpe,
     "op3_interleave": op3_interleave,
     "op4_pu_quality": op4_pu_quality,
     "op5_rule_ledger": op5_rule_ledger,
     "op9_language_id": op9_language_id,
+    "op10_dart_minhash": op10_dart_minhash,
 }
 
 #: DuckDB statements; the operators that SQL cannot express are tested against brute force instead.
