@@ -11,6 +11,7 @@ from terrawatt.llm.dart_minhash import near_duplicates
 from terrawatt.llm.interleave import interleaved_shards
 from terrawatt.llm.langid import identify
 from terrawatt.llm.pu_quality import score_quality
+from terrawatt.llm.pstable_dedup import near_vectors
 from terrawatt.llm.rule_ledger import quality_rules
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -25,6 +26,10 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
+def op1_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(table(spark, sf_dir, "documents"), RANKS)
 
@@ -63,6 +68,7 @@ def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pstable": op1_pstable,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_interleave": op3_interleave,
     "op4_pu_quality": op4_pu_quality,
