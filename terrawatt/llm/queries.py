@@ -13,6 +13,7 @@ from terrawatt.llm.langid import identify
 from terrawatt.llm.pu_quality import score_quality
 from terrawatt.llm.pstable_dedup import near_vectors
 from terrawatt.llm.rule_ledger import quality_rules
+from terrawatt.llm.soft_mixing import mixed
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -57,6 +58,20 @@ def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+#: Wanted shares of tokens: documents like the toxic ones are to be rare, low ones rarer than they are.
+MIXTURE = {"clean": 0.97, "low": 0.02, "toxic": 0.01}
+
+
+def domains(labels: DataFrame) -> DataFrame:
+    """(id, domain) from the labels that a model may learn from."""
+    domain = F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(F.col("quality") == 1, "clean")
+    return labels.where(~held_out()).select(F.col("doc_id").cast("long").alias("id"), domain.alias("domain")).where("domain IS NOT NULL")
+
+
+def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents"), domains(table(spark, sf_dir, "labels")), MIXTURE, "clean")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, language_training(docs), RANKS)
@@ -73,6 +88,7 @@ QUERIES = {
     "op3_interleave": op3_interleave,
     "op4_pu_quality": op4_pu_quality,
     "op5_rule_ledger": op5_rule_ledger,
+    "op8_soft_mixing": op8_soft_mixing,
     "op9_language_id": op9_language_id,
     "op10_dart_minhash": op10_dart_minhash,
 }
