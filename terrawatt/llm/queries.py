@@ -12,9 +12,13 @@ from terrawatt.llm.interleave import interleaved_shards
 from terrawatt.llm.langid import identify
 from terrawatt.llm.pu_quality import score_quality
 from terrawatt.llm.pstable_dedup import near_vectors
+from terrawatt.llm.quote_links import link_quotations
 from terrawatt.llm.rule_ledger import quality_rules
+from terrawatt.llm.separator_scan import document_token_counts
 from terrawatt.llm.soft_mixing import mixed
 
+#: Marks the end of a document in token files; the vocabulary ends one below.
+END_OF_DOCUMENT = 50256
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -58,6 +62,18 @@ def op4_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op6_quote_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = link_quotations(table(spark, sf_dir, "conversations"))
+    return linked.select(
+        "conv_id", "turn", "role", "position", "parent_turn", "root_turn", "depth", "n_quoted", "n_linked",
+        F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"),
+    )
+
+
+def op7_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_token_counts(table(spark, sf_dir, "documents"), RANKS, END_OF_DOCUMENT)
+
+
 #: Wanted shares of tokens: documents like the toxic ones are to be rare, low ones rarer than they are.
 MIXTURE = {"clean": 0.97, "low": 0.02, "toxic": 0.01}
 
@@ -88,6 +104,8 @@ QUERIES = {
     "op3_interleave": op3_interleave,
     "op4_pu_quality": op4_pu_quality,
     "op5_rule_ledger": op5_rule_ledger,
+    "op6_quote_links": op6_quote_links,
+    "op7_separator_scan": op7_separator_scan,
     "op8_soft_mixing": op8_soft_mixing,
     "op9_language_id": op9_language_id,
     "op10_dart_minhash": op10_dart_minhash,

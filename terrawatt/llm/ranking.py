@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrawatt.llm.scratch import Scratch
+
 #: Buckets of the second level; one task sums at most so many counts of the first.
 _FAN = 1024
 
@@ -29,3 +31,20 @@ def ranked(df: DataFrame, keys: list[str], bucket: Column, order: list[Column],
     inner = F.row_number().over(Window.partitionBy(*own, "_bucket").orderBy(*order))
     placed = marked.withColumn("_inner", inner).join(offsets, [*own, "_bucket"])
     return placed.withColumn(out, F.col("_before") + F.col("_inner") - 1).select(*df.columns, out)
+
+
+def ranked_by_sort(df: DataFrame, key: str, order: list[str], out: str) -> DataFrame:
+    """Adds `out`: the rank (from 0, no gaps) by `order`, nulls last, among rows of equal `key` (which may be null).
+
+    Rows are sorted by range partitions, which cut through a large key wherever its `order` values
+    differ. A row's rank is its place in its partition, less the place where its key starts there, plus the key's rows in earlier
+    partitions: one count per key and partition.
+    """
+    scratch = Scratch(df.sparkSession, "ranked")
+    by = [F.col(key), *[F.col(c).asc_nulls_last() for c in order]]
+    placed = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
+    placed = scratch.keep(placed, "sorted").withColumn("_part", F.shiftright("_at", 33)).withColumn("_key", F.struct(key))
+    starts = placed.groupBy("_key", "_part").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select("_key", "_part", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return placed.join(starts, ["_key", "_part"]).select(*df.columns, (F.col("_at") + F.col("_shift")).alias(out))
