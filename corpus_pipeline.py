@@ -1,12 +1,59 @@
-"""From raw documents to token digests: the stages of the training-corpus pipeline."""
+"""From raw documents to token digests: the stages of the training-corpus pipeline.
+
+Every stage takes what its predecessor kept, with the columns of `documents`, and its decisions
+take effect: rejected documents go, one document of each near-duplicate group stays, documents are
+thinned or repeated by their fitted rates. The last stage returns token counts and digests.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from terrawatt.llm.queries import RANKS
 from terrawatt.llm.bpe import bpe_digest
+from terrawatt.llm.dart_minhash import near_duplicates
+from terrawatt.llm.langid import identify
+from terrawatt.llm.pu_quality import score_quality
+from terrawatt.llm.queries import RANKS, domains, language_training, table, trusted_positives
 from terrawatt.llm.scratch import Scratch
+from terrawatt.llm.soft_mixing import mixed
+
+#: A language is accepted at this posterior; `und` never is.
+LEAST_LANGUAGE = 0.35
+#: A document is rejected below this quality.
+LEAST_QUALITY = 0.7
+#: Wanted shares of tokens. Low documents are gone by then, so they have no share.
+MIXTURE = {"clean": 0.99, "toxic": 0.01}
+
+
+def without(docs: DataFrame, gone: DataFrame, label: str) -> DataFrame:
+    """Documents whose id is not in `gone`; the ids are written first, so that Spark knows their size when it picks the join."""
+    ids = Scratch(docs.sparkSession, label).keep(gone.select(F.col("doc_id").alias("gone_id")).where("gone_id IS NOT NULL"), "gone")
+    return docs.join(ids, F.col("doc_id") == F.col("gone_id"), "left_anti")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects texts without letters and those whose language stays open."""
+    found = identify(docs, language_training(docs), RANKS)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE)).select(docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents of low quality."""
+    scored = score_quality(docs, trusted_positives(table(spark, sf_dir, "labels")))
+    return without(docs, scored.where(F.col("score") < LEAST_QUALITY), "quality")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of smallest id in each group."""
+    return without(docs, near_duplicates(docs).where(~F.col("kept")), "near-dedup")
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its fitted rate says, rounded by a hash of its id."""
+    rates = mixed(docs, domains(table(spark, sf_dir, "labels")), MIXTURE, "clean").select(F.col("doc_id").alias("mixed_id"), "copies")
+    kept = docs.join(rates.where("copies > 0"), F.col("doc_id").eqNullSafe(F.col("mixed_id")))
+    return kept.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,7 +61,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe_digest(docs, RANKS)
 
 
-STAGES = [("byte-level BPE", encode)]
+STAGES = [
+    ("language ID", language),
+    ("quality classifier", quality),
+    ("MinHash near-dedup", near_dedup),
+    ("mixing", mixing),
+    ("byte-level BPE", encode),
+]
 
 #: Learned stages and BPE merges have no SQL form; the tests hold them against brute force.
 ORACLE_SQL = None
@@ -22,7 +75,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`; each stage's result is written and read again as the next one's input."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     scratch = Scratch(spark, "pipeline")
     for k, (_, stage) in enumerate(STAGES):
         docs = scratch.keep(stage(spark, docs, sf_dir), f"stage{k}")

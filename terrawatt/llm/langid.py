@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrawatt.llm.scratch import Scratch
 from terrawatt.llm.textcore import LETTER, buffers, byte_classes, class_table, mix, pretoken_starts, slices, tile
@@ -196,12 +197,12 @@ def train(docs: DataFrame, ranks_path: str, rounds: int = 2, train_docs: int = T
     return langs, weight / weight.sum(), probs, pieces
 
 
-def identify(docs: DataFrame, training: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score): the language of highest posterior and that posterior.
+def identify(docs: DataFrame, training: DataFrame, ranks_path: str, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` with `lang_pred` and `score`: the language of highest posterior and that posterior.
 
     `training` has (id, text, lang). `lang_pred` is `und` with score 0 where the text is null, has no
     letter, or nothing could be learned. Ties go to the alphabetically first language. Repeated rows
-    each get a row; other columns of the input are ignored.
+    each get a row; other columns are passed on, but for any called `lang_pred` or `score`.
     """
     spark = docs.sparkSession
     langs, shares, probs, pieces = train(training, ranks_path)
@@ -210,8 +211,8 @@ def identify(docs: DataFrame, training: DataFrame, ranks_path: str, id_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, classes, model, prior = shared.value
         for batch in batches:
-            for part in slices(batch, "text"):
-                words = Words(part.column("text"), classes)
+            for part in slices(batch, text_col):
+                words = Words(part.column(text_col), classes)
                 n = len(part)
                 counts = np.bincount(words.doc, minlength=n)
                 best, score = np.zeros(n, int), np.zeros(n)
@@ -223,7 +224,7 @@ def identify(docs: DataFrame, training: DataFrame, ranks_path: str, id_col: str
                     score = 1 / np.exp(total).sum(1)
                 named = [langs[b] if c and langs else "und" for b, c in zip(best, counts, strict=True)]
                 score = np.where((counts > 0) & bool(langs), score, 0.0)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(named, pa.string()), pa.array(score)], names=[id_col, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(named, pa.string()), pa.array(score)], names=[*part.schema.names, "lang_pred", "score"])
 
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(run, f"{id_col} long, lang_pred string, score double")
+    rows = docs.drop("lang_pred", "score")
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))

@@ -90,7 +90,7 @@ def op8_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = identify(docs, language_training(docs), RANKS)
+    found = identify(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), language_training(docs), RANKS)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
