@@ -7,7 +7,7 @@ thinned or repeated by their fitted rates. The last stage returns token counts a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrawatt.llm.bpe import bpe_digest
@@ -26,16 +26,20 @@ LEAST_QUALITY = 0.7
 MIXTURE = {"clean": 0.99, "toxic": 0.01}
 
 
+def columns(docs: DataFrame) -> list[Column]:
+    return [docs[f"`{c}`"] for c in docs.columns]
+
+
 def without(docs: DataFrame, gone: DataFrame, label: str) -> DataFrame:
     """Documents whose id is not in `gone`; the ids are written first, so that Spark knows their size when it picks the join."""
     ids = Scratch(docs.sparkSession, label).keep(gone.select(F.col("doc_id").alias("gone_id")).where("gone_id IS NOT NULL"), "gone")
-    return docs.join(ids, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    return docs.join(ids, docs["doc_id"] == ids["gone_id"], "left_anti")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without letters and those whose language stays open."""
-    found = identify(docs, language_training(docs), RANKS)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE)).select(docs.columns)
+    found = identify(docs.select(F.struct(*columns(docs)).alias("row"), "text"), language_training(docs), RANKS)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE)).select("row.*")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,15 +49,21 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id in each group."""
-    return without(docs, near_duplicates(docs).where(~F.col("kept")), "near-dedup")
+    """Keeps the document of smallest id in each group, and one row of it."""
+    found = near_duplicates(docs)
+    rest = without(docs, found.where(~F.col("kept")), "near-dedup")
+    twice = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    if twice.isEmpty():
+        return rest
+    once = rest.join(twice.withColumnRenamed("doc_id", "twice_id"), F.col("doc_id") == F.col("twice_id"), "left_semi").dropDuplicates(["doc_id"])
+    return without(rest, twice, "near-dedup").unionByName(once)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its fitted rate says, rounded by a hash of its id."""
-    rates = mixed(docs, domains(table(spark, sf_dir, "labels")), MIXTURE, "clean").select(F.col("doc_id").alias("mixed_id"), "copies")
-    kept = docs.join(rates.where("copies > 0"), F.col("doc_id").eqNullSafe(F.col("mixed_id")))
-    return kept.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select(docs.columns)
+    rates = mixed(docs, domains(table(spark, sf_dir, "labels")), MIXTURE, "clean").select(F.col("doc_id").alias("mixed_id"), "copies").where("copies > 0")
+    kept = docs.join(rates, docs["doc_id"].eqNullSafe(rates["mixed_id"]))
+    return kept.select(F.struct(*columns(docs)).alias("row"), F.explode(F.array_repeat(F.lit(0), rates["copies"])).alias("copy")).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

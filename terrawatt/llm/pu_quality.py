@@ -120,7 +120,7 @@ def score_quality(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id",
 
     `positives` holds the ids of trusted positives. The prior is estimated over all documents; the
     fit takes about `train_rows` positives and as many documents of any kind, chosen by a hash of
-    their ids. With no positive or no document nothing is learned and every score is 0.5. Null and
+    their ids. With no positive nothing is known against a document and every score is 1. Null and
     empty texts are scored by their (zero) features. Repeated rows each get a row; other columns of
     the input are ignored.
     """
@@ -170,7 +170,7 @@ def score_quality(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id",
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("x")
-            got = np.full(len(x), 0.5)
+            got = np.ones(len(x))
             if model is not None and len(x):
                 got = _sigmoid(model.logit(np.asarray(x.flatten()).reshape(len(x), -1)))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(got)], names=[id_col, "score"])

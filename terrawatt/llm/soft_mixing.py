@@ -116,7 +116,7 @@ def mixed(
     the `anchor` domain as large as it is, so a weight below a domain's natural share thins it out and
     one above repeats it. `copies` is the rate rounded down or up by a hash of the id, so its mean is
     the rate. A null or empty text has no tokens, posteriors by the prior and takes part with its rate.
-    Without labelled rows every domain is equally likely. Rows that repeat an id are one document with
+    Without labelled rows nothing is known of the domains and every rate is 1. Rows that repeat an id are one document with
     all their words; other columns of the input are ignored.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
@@ -127,7 +127,7 @@ def mixed(
     i = domains.index(anchor)
     whole = float(table.agg(F.sum(tokens * F.col(f"p{i}"))).first()[0] or 0.0) / (weights[anchor] / math.fsum(weights.values()))
     targets = np.array([weights[d] for d in domains]) / math.fsum(weights.values()) * whole
-    rate, _ = fit_rates(table, targets, rounds)
+    rate = F.lit(1.0) if labelled.isEmpty() else fit_rates(table, targets, rounds)[0]
     draw = F.pmod(F.xxhash64("id", F.lit(23)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     names = [F.col(f"p{j}").alias(f"p_{d}") for j, d in enumerate(domains)]
     fitted = table.withColumn("rate", rate)
