@@ -77,25 +77,20 @@ def cdc_operation_labels(df: DataFrame, code: str = "operation") -> DataFrame:
     return df.withColumn("operation_type", label)
 
 
-def cdc_net_changes(changes: DataFrame, key: str, from_lsn: int, to_lsn: int, seq: str = "lsn") -> DataFrame:
+def cdc_net_changes(changes: DataFrame, key: str, from_lsn, to_lsn, seq: str = "lsn", tie: str | None = None) -> DataFrame:
     """One net change per key in a log range, with the last values.
 
-    Created and deleted within the range: nothing. Created: c. Deleted: d. Otherwise u.
+    Created and deleted within the range: nothing. Created: c. Deleted: d. Otherwise u. Rows of one
+    transaction may share `seq`; `tie` orders those of one key. The bounds are numbers or columns.
     """
     window = changes.where(F.col(seq).between(from_lsn, to_lsn))
-    ends = window.groupBy(key).agg(
-        F.min_by("op", seq).alias("_first"), F.max(F.col(seq)).alias(seq)
-    )
-    last = window.select(seq, *[c for c in changes.columns if c not in (key, seq)])
-    net = (
-        F.when((F.col("_first") == "c") & (F.col("op") != "d"), "c").when(F.col("op") == "d", "d").otherwise("u")
-    )
-    return (
-        ends.join(last, seq)
-        .where(~((F.col("_first") == "c") & (F.col("op") == "d")))
-        .withColumn("op", net)
-        .drop("_first")
-    )
+    at = F.struct(seq, tie) if tie else F.col(seq)
+    others = [c for c in changes.columns if c not in (key, "op")]
+    ends = window.groupBy(key).agg(F.min_by("op", at).alias("_first"), F.max_by(F.struct("op", *others), at).alias("_last"))
+    first, last = F.col("_first"), F.col("_last.op")
+    net = F.when((first == "c") & (last != "d"), "c").when(last == "d", "d").otherwise("u")
+    values = {c: F.col(f"_last.{c}") for c in others} | {"op": net, key: F.col(key)}
+    return ends.where(~((first == "c") & (last == "d"))).select(*[values[c].alias(c) for c in changes.columns])
 
 
 def cdc_apply_snapshot(changes: DataFrame, key: str, seq: str = "lsn") -> DataFrame:
@@ -108,10 +103,11 @@ def cdc_parse_debezium(df: DataFrame, value: str = "payload") -> DataFrame:
 
     Missing or empty optional values are NULL. Epoch nanoseconds are cut to microseconds.
     """
-    e = F.from_json(F.col(value), ENVELOPE_SCHEMA)
+    # Behind a generator the envelope is parsed once; a column would be parsed for the filter and again for the values.
+    e = F.inline(F.array(F.struct(F.from_json(F.col(value), ENVELOPE_SCHEMA).alias("_e"))))
     a = lambda name: F.col(f"_e.after.{name}")
     return (
-        df.withColumn("_e", e)
+        df.select(e)
         .where(F.col("_e.op").isin(*KEPT_OPERATIONS))
         .select(
             a("id").alias("id"),

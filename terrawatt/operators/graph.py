@@ -92,9 +92,14 @@ def cache_coverage_check(cache: DataFrame) -> DataFrame:
     )
 
 
+def _centroids(nodes: DataFrame) -> DataFrame:
+    """(node_id, building_id) of the nodes that stand for buildings; `ref_id` of the others names roads."""
+    return nodes.where(F.col("node_type") == "building_centroid").select("node_id", F.col("ref_id").alias("building_id"))
+
+
 def enrich_nodes(nodes: DataFrame, geoms: DataFrame, ids: DataFrame) -> DataFrame:
     """Geometry of the building behind each requested node."""
-    wanted = nodes.join(ids, "node_id", "left_semi").select("node_id", F.col("ref_id").alias("building_id"))
+    wanted = _centroids(nodes).join(ids, "node_id", "left_semi")
     return wanted.join(geoms, "building_id").drop("building_id")
 
 
@@ -114,7 +119,7 @@ def _neighbours(edges: DataFrame) -> DataFrame:
     return edges.select(F.inline(both)).where("u <> v").distinct()
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): the smallest vertex id of each undirected component.
 
     Alternates two steps that only ever look at one vertex's neighbours: link larger neighbours to
@@ -131,7 +136,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         return tuple(row)
 
     seen = signature(links)
-    for _ in range(max_rounds):
+    while True:
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -145,8 +150,6 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         if now == seen:
             break
         seen = now
-    else:
-        raise RuntimeError("components did not settle")
     roots = links.groupBy("u").agg(F.min("v").alias("component"))
     return vertices.select("id").join(roots.withColumnRenamed("u", "id"), "id", "left").select(
         "id", F.coalesce("component", "id").alias("component")
@@ -185,7 +188,7 @@ def graph_metrics(vertices: DataFrame, edges: DataFrame, k: int | None = None, l
 
 
 def building_accessibility(buildings: DataFrame, nodes: DataFrame, cache: DataFrame, roads: DataFrame) -> DataFrame:
-    n = nodes.select("node_id", F.col("ref_id").alias("building_id"))
+    n = _centroids(nodes)
     c = cache.select("node_id", "distance_to_road", "nearest_road_id")
     r = roads.select(F.col("road_id").alias("nearest_road_id"), "road_type", "maxspeed")
     return (
@@ -200,8 +203,7 @@ def _closeness(distance: Column) -> Column:
 
 def _building_nodes(nodes: DataFrame, cache: DataFrame) -> DataFrame:
     """Distance of each building's centroid node to its nearest road."""
-    centroids = nodes.where(F.col("node_type") == "building_centroid").select("node_id", F.col("ref_id").alias("building_id"))
-    return centroids.join(cache.select("node_id", "distance_to_road"), "node_id")
+    return _centroids(nodes).join(cache.select("node_id", "distance_to_road"), "node_id")
 
 
 def risk_score(buildings: DataFrame, nodes: DataFrame, cache: DataFrame) -> DataFrame:
@@ -271,7 +273,7 @@ def api_building_enriched(
 ) -> DataFrame:
     """Buildings with scores and graph metrics; `graph` is keyed by node_id."""
     geom = [c for c in geoms.columns if c != "building_id"]
-    n = nodes.select("node_id", F.col("ref_id").alias("building_id"))
+    n = _centroids(nodes)
     own = [c for c in ("building_id", "name", "building_type", "status") if c in buildings.columns]
     return (
         buildings.join(geoms, "building_id").join(metrics, "building_id", "left")

@@ -92,7 +92,7 @@ def interval_overlap_check(
     return direct.unionByName(blocked).withColumnRenamed("k", key)
 
 
-_NO_END = "2250-01-01"  # stands for an open end inside the block grid
+_NO_END = "9999-12-31"  # stands for an open end inside the block grid: the last date there is
 
 
 def _overlaps_direct(rows: DataFrame, strict: bool) -> DataFrame:

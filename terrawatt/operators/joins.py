@@ -29,25 +29,10 @@ def join_on_true_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.select("*", *[packed[n].alias(n) for n in names])
 
 
-def join_on_true_fanout(df: DataFrame, small: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """Every row of `df` with every row of a small frame; rows survive an empty one.
-
-    The small side is an aggregate with a known number of groups. It travels as one array value,
-    and more than `max_rows` rows are refused rather than cut.
-    """
-    names = small.columns
-    packed = (
-        small.agg(F.collect_list(F.struct(*names)).alias("rows"))
-        .select(
-            F.when(F.size("rows") <= max_rows, F.col("rows")).otherwise(
-                F.raise_error(F.lit(f"fan-out side exceeds {max_rows} rows"))
-            ).alias("rows")
-        )
-        .scalar()
-    )
-    return df.select("*", F.explode_outer(packed).alias("_s")).select(
-        *df.columns, *[F.col(f"_s.{n}").alias(n) for n in names]
-    )
+def join_on_true_fanout(df: DataFrame, small: DataFrame) -> DataFrame:
+    """Every row of `df` with every row of an aggregate that has a known, small number of groups; rows
+    survive an empty one."""
+    return df.join(small, F.lit(True), "left")
 
 
 def join_multi_child_fanout(parent: DataFrame, key: str, children: Sequence[DataFrame]) -> DataFrame:

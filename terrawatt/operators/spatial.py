@@ -30,12 +30,20 @@ def _radius_box(lat: Column, radius_m: float) -> tuple[Column, Column]:
     return F.lit(dlat), F.lit(radius_m * 1.01 / 111_320.0) / F.cos(F.radians(widest))
 
 
+def _near_lon(lon: float, half: Column, low: Column, high: Column, lat_limit: Column) -> Column:
+    """Whether the longitudes low..high come within `half` degrees of `lon`, on either side of ±180.
+
+    Where the box holds a pole (`lat_limit` is at or beyond 90 degrees) every longitude does.
+    """
+    meets = lambda shift: (high + shift >= F.lit(lon) - half) & (low + shift <= F.lit(lon) + half)
+    return (lat_limit >= 90.0) | meets(0.0) | meets(360.0) | meets(-360.0)
+
+
 def within_radius(df: DataFrame, lon: float, lat: float, radius_m: float, metric: str = "spheroid") -> DataFrame:
     """Points at most `radius_m` from a location. The box test comes first and can skip row groups."""
     dlat, dlon = _radius_box(F.lit(float(lat)), radius_m)
-    near = F.col("lat").between(F.lit(lat) - dlat, F.lit(lat) + dlat) & F.col("lon").between(
-        F.lit(lon) - dlon, F.lit(lon) + dlon
-    )
+    near = F.col("lat").between(F.lit(lat) - dlat, F.lit(lat) + dlat)
+    near = near & _near_lon(float(lon), dlon, F.col("lon"), F.col("lon"), F.lit(abs(float(lat))) + dlat)
     d = METRIC[metric](F.col("lon"), F.col("lat"), F.lit(float(lon)), F.lit(float(lat)))
     return df.where(near).withColumn("distance_m", d).where(F.col("distance_m") <= radius_m)
 
@@ -55,10 +63,10 @@ def buildings_within_radius(
     """Ids of rectangles at most `radius_m` from a location."""
     dlat, dlon = _radius_box(F.lit(float(lat)), radius_m)
     x, y = F.lit(float(lon)), F.lit(float(lat))
-    near = (
-        (F.col("maxy") >= y - dlat) & (F.col("miny") <= y + dlat) & (F.col("maxx") >= x - dlon) & (F.col("minx") <= x + dlon)
-    )
-    d = rect_distance_m(x, y, tuple(F.col(c) for c in _RECT), metric)
+    near = (F.col("maxy") >= y - dlat) & (F.col("miny") <= y + dlat)
+    near = near & _near_lon(float(lon), dlon, F.col("minx"), F.col("maxx"), F.lit(abs(float(lat))) + dlat)
+    # The planar closest point may lie on the other side of ±180, so the location is tried there too.
+    d = F.least(*[rect_distance_m(x + shift, y, tuple(F.col(c) for c in _RECT), metric) for shift in (0.0, 360.0, -360.0)])
     return geoms.where(near & (d <= radius_m)).select(key)
 
 

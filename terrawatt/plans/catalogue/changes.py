@@ -25,9 +25,10 @@ def _(t):
 
 @query("cdc_net_changes", """SELECT id, lsn, value, changed_at, CASE WHEN op = 'd' THEN 'd' WHEN f = 'c' THEN 'c' ELSE 'u' END AS op FROM (
     SELECT *, first_value(op) OVER (PARTITION BY id ORDER BY lsn) AS f, row_number() OVER (PARTITION BY id ORDER BY lsn DESC) AS rn
-    FROM change_feed WHERE lsn BETWEEN 100 AND 700) WHERE rn = 1 AND NOT (f = 'c' AND op = 'd')""", "value")
+    FROM change_feed WHERE lsn BETWEEN (SELECT max(lsn) / 2 FROM change_feed) AND (SELECT max(lsn) FROM change_feed)) WHERE rn = 1 AND NOT (f = 'c' AND op = 'd')""", "value")
 def _(t):
-    return ch.cdc_net_changes(t.change_feed, "id", 100, 700)
+    top = t.change_feed.agg(F.max("lsn")).scalar()
+    return ch.cdc_net_changes(t.change_feed, "id", top / 2, top)
 
 
 LATEST = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY lsn DESC) AS rn FROM change_feed) WHERE rn = 1"

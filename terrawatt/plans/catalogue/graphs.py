@@ -163,7 +163,7 @@ CENTROID = f"(SELECT ref_id AS building_id, distance_to_road, nearest_road_id FR
 
 
 @query("building_accessibility", f"""SELECT b.building_id, c.distance_to_road, c.nearest_road_id, r.road_type, r.maxspeed FROM building AS b
-    JOIN (SELECT ref_id, distance_to_road, nearest_road_id FROM ({CACHE})) AS c ON c.ref_id = b.building_id
+    JOIN {CENTROID} AS c ON c.building_id = b.building_id
     LEFT JOIN road AS r ON r.road_id = c.nearest_road_id""", "distance_to_road")
 def _(t):
     return gr.building_accessibility(t.building, nodes(t), cache(t), t.road)
@@ -217,7 +217,7 @@ def _(t):
 
 @query("api_building_enriched", f"""SELECT b.building_id, name, {BOXES}, risk_score, accessibility_score, centrality, reachability_score
     FROM building AS b JOIN building_geom AS g ON g.building_id = b.building_id LEFT JOIN ({METRICS}) AS m ON m.building_id = b.building_id
-    LEFT JOIN ({NODES}) AS n ON n.ref_id = b.building_id LEFT JOIN (SELECT md5(concat('b|', CAST(building_id AS VARCHAR))) AS node_id,
+    LEFT JOIN (SELECT node_id, ref_id FROM ({NODES}) WHERE node_type = 'building_centroid') AS n ON n.ref_id = b.building_id LEFT JOIN (SELECT md5(concat('b|', CAST(building_id AS VARCHAR))) AS node_id,
     CAST(building_id AS DOUBLE) / 1000 AS centrality, CAST(building_id AS DOUBLE) / 2000 AS reachability_score FROM building) AS gm ON gm.node_id = n.node_id""",
        "minx miny maxx maxy risk_score accessibility_score centrality reachability_score")
 def _(t):

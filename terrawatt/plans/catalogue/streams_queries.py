@@ -13,16 +13,25 @@ from terrawatt.session import scratch_path
 from terrawatt.streaming import streams as st
 
 
+#: Micro-batches that a staged table is read in: results must not depend on how rows fall into them.
+BATCHES = 6
+
+
 def stream_of(t, name: str):
-    """A derived dataset as a stream: its rows are staged as files, which the stream reads."""
+    """A derived dataset as a stream: its rows are staged as files in no particular order, which the stream reads in several batches."""
     staged = scratch_path(t.spark, f"topic-{name}")
     rows = getattr(t, name)
-    rows.write.parquet(staged)
-    return st.file_stream(t.spark, staged, rows.schema, files_per_batch=1000)
+    files = max(BATCHES, t.spark.sparkContext.defaultParallelism)
+    rows.repartition(files).write.parquet(staged)
+    return st.file_stream(t.spark, staged, rows.schema, files_per_batch=-(-files // BATCHES))
+
+
+def out(t) -> str:
+    return scratch_path(t.spark, "stream-out")
 
 
 def run(t, sdf, mode="append"):
-    return st.run_to_table(sdf, scratch_path(t.spark, "stream-out"), mode)
+    return st.run_to_table(sdf, out(t), mode)
 
 
 @query("stream_kafka_json", "SELECT * REPLACE (CAST(kwh_usage AS DOUBLE) AS kwh_usage) FROM (" + PRODUCER_ROWS + ")", "kwh_usage")
@@ -42,12 +51,11 @@ def _(t):
     count(energy_consumption) AS cnt_e, count(*) AS n, CAST(sum(is_anomaly) AS BIGINT) AS anomalies FROM ({CLEAN}) GROUP BY ALL""", "sum_e")
 def _(t):
     cleaned = cl.clean_readings(stream_of(t, "meter_readings")).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-    log = run(t, st.stream_incremental_agg(cleaned), "update")
-    return st.latest_revision(log, ["meter_id", "bucket"])
+    return st.merge_meter_partials(st.run_partials(cleaned, out(t), st.meter_partials))
 
 
 KPI = """SELECT w AS window_start, w + INTERVAL {1} MINUTE AS window_end, avg(signal_strength) AS avg_network_quality, {2}
-    sum(data_usage_mb) AS data_usage, avg(latency_ms) AS avg_latency, count(*) AS event_count FROM (
+    count(DISTINCT device_id) AS active_devices, sum(data_usage_mb) AS data_usage, avg(latency_ms) AS avg_latency, count(*) AS event_count FROM (
     SELECT *, time_bucket(INTERVAL {0} MINUTE, event_time) - to_minutes(CAST(k * {0} AS INTEGER)) AS w FROM network_events,
     (SELECT unnest(range({1} // {0})) AS k) AS shifts) GROUP BY ALL"""
 
@@ -55,15 +63,14 @@ KPI = """SELECT w AS window_start, w + INTERVAL {1} MINUTE AS window_end, avg(si
 @query("stream_rolling_kpi", KPI.format(15, 15, ""), "avg_network_quality data_usage avg_latency")
 def _(t):
     events = stream_of(t, "network_events").withColumn("event_time", F.col("event_time").cast("timestamp"))
-    log = run(t, st.stream_rolling_kpi(events), "update")
-    return st.latest_revision(log, ["window_start"]).drop("active_devices")
+    return st.merge_kpi_partials(st.run_partials(events, out(t), st.kpi_partials))
 
 
 @query("stream_rolling_kpi__sliding", KPI.format(15, 60, "region,"), "avg_network_quality data_usage avg_latency")
 def _(t):
     events = stream_of(t, "network_events").withColumn("event_time", F.col("event_time").cast("timestamp"))
-    log = run(t, st.stream_rolling_kpi(events, "1 hour", "15 minutes", by=["region"]), "update")
-    return st.latest_revision(log, ["window_start", "region"]).drop("active_devices")
+    log = st.run_partials(events, out(t), lambda b: st.kpi_partials(b, "1 hour", "15 minutes", ["region"]))
+    return st.merge_kpi_partials(log, ["region"])
 
 
 @query("stream_anomaly", f"""SELECT event_id FROM (SELECT event_id, abs(signal_strength - avg_signal) / nullif(signal_stddev, 0) AS a,
@@ -78,4 +85,4 @@ def _(t):
 def _(t):
     events = stream_of(t, "network_events")
     twice = events.unionByName(events).withColumn("event_time", F.col("event_time").cast("timestamp"))
-    return run(t, st.stream_dedupe(twice, ["event_id"], "event_time")).select("event_id")
+    return st.run_dedupe(twice, out(t), ["event_id"]).select("event_id")

@@ -30,13 +30,12 @@ def sink_parquet_snappy(df: DataFrame, base: str, partition: str = "date", mode:
     )
 
 
-def sink_jsonl_batches(df: DataFrame, path: str, lo: int = 8, hi: int = 32, per: int = 50_000, mode: str = "overwrite") -> None:
-    """JSON lines in files of at most `per` rows, written by `lo` to `hi` tasks.
+def sink_jsonl_batches(df: DataFrame, path: str, per: int = 50_000, mode: str = "overwrite") -> None:
+    """JSON lines in files of at most `per` rows, written by the tasks that compute the rows.
 
-    The row limit is the writer's own, so the rows are not counted first.
+    The row limit is the writer's own, so the rows are neither counted nor dealt anew.
     """
-    parts = min(hi, max(lo, df.sparkSession.sparkContext.defaultParallelism))
-    df.repartition(parts).write.mode(mode).option("maxRecordsPerFile", per).option("ignoreNullFields", False).json(path)
+    df.write.mode(mode).option("maxRecordsPerFile", per).option("ignoreNullFields", False).json(path)
 
 
 def sink_multi_export(df: DataFrame, base: str, formats: Sequence[str] = ("parquet", "csv", "json")) -> None:

@@ -41,7 +41,10 @@ def stream_cdc_json(sdf: DataFrame, value: str = "payload") -> DataFrame:
 
 
 def stream_incremental_agg(sdf: DataFrame, grain: str = "1 hour", watermark: str = "1 hour", ts: str = "timestamp") -> DataFrame:
-    """Running state per meter and time bucket: use update mode and keep the latest row per key."""
+    """Running state per meter and time bucket: use update mode and keep the latest row per key.
+
+    Rows later than the watermark are dropped; `run_partials` with `meter_partials` keeps them.
+    """
     return (
         sdf.withWatermark(ts, watermark).groupBy(F.window(ts, grain).alias("w"), "meter_id")
         .agg(
@@ -55,7 +58,8 @@ def stream_incremental_agg(sdf: DataFrame, grain: str = "1 hour", watermark: str
 def stream_rolling_kpi(sdf: DataFrame, window: str = "15 minutes", slide: str | None = None, watermark: str = "1 hour", by: Sequence[str] = ()) -> DataFrame:
     """Network KPIs per tumbling or sliding window.
 
-    Active devices are an approximate distinct count, as streaming aggregation requires.
+    Active devices are an approximate distinct count, as streaming aggregation requires. Rows later
+    than the watermark are dropped; `run_partials` with `kpi_partials` keeps them.
     """
     w = F.window("event_time", window, slide) if slide else F.window("event_time", window)
     return (
@@ -79,10 +83,99 @@ def stream_anomaly(sdf: DataFrame, baseline: DataFrame, k: float = 3.0) -> DataF
 
 
 def stream_dedupe(sdf: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 hour") -> DataFrame:
-    """Drop repeats that arrive within the delay; state older than that is released."""
+    """Drop repeats that arrive within the delay; state older than that is released, and rows later than
+    the watermark are dropped. `run_dedupe` keeps them."""
     return sdf.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+# --- partial results by micro-batch -----------------------------------------------------
+#
+# A watermark drops what comes after it, so its results depend on how rows fall into batches. The
+# forms below keep every row: each micro-batch is aggregated on its own, the partial results are
+# stored by batch, and merging them gives what one batch over all rows would.
+
+
+def meter_partials(batch: DataFrame, grain: str = "1 hour", ts: str = "timestamp") -> DataFrame:
+    """Sums and counts of one micro-batch per meter and time bucket."""
+    return (
+        batch.groupBy(F.window(ts, grain).alias("w"), "meter_id")
+        .agg(
+            F.sum("energy_consumption").alias("sum_e"), F.count("energy_consumption").alias("cnt_e"),
+            F.count(F.lit(1)).alias("n"), F.sum("is_anomaly").alias("anomalies"),
+        )
+        .select("meter_id", F.col("w.start").cast("timestamp_ntz").alias("bucket"), "sum_e", "cnt_e", "n", "anomalies")
+    )
+
+
+def merge_meter_partials(log: DataFrame) -> DataFrame:
+    return log.groupBy("meter_id", "bucket").agg(*[F.sum(c).alias(c) for c in ("sum_e", "cnt_e", "n", "anomalies")])
+
+
+_KPI_SUMS = {"s_signal": "signal_strength", "s_usage": "data_usage_mb", "s_latency": "latency_ms"}
+
+
+def kpi_partials(batch: DataFrame, window: str = "15 minutes", slide: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Sums and counts of one micro-batch per window, group and device; devices can be counted exactly later."""
+    w = F.window("event_time", window, slide) if slide else F.window("event_time", window)
+    sums = [F.sum(c).alias(s) for s, c in _KPI_SUMS.items()]
+    counts = [F.count(c).alias(f"n{s}") for s, c in _KPI_SUMS.items()]
+    kept = batch.groupBy(w.alias("w"), *by, "device_id").agg(*sums, *counts, F.count(F.lit(1)).alias("n"))
+    return kept.withColumns({"window_start": F.col("w.start").cast("timestamp_ntz"), "window_end": F.col("w.end").cast("timestamp_ntz")}).drop("w")
+
+
+def merge_kpi_partials(log: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """KPIs per window from all partials: devices are folded first, so counting them is counting rows."""
+    keys, sums = ["window_start", "window_end", *by], [*_KPI_SUMS, *(f"n{s}" for s in _KPI_SUMS), "n"]
+    devices = log.groupBy(*keys, "device_id").agg(*[F.sum(c).alias(c) for c in sums])
+    whole = devices.groupBy(*keys).agg(F.count("device_id").alias("active_devices"), *[F.sum(c).alias(c) for c in sums])
+    mean = lambda s: F.try_divide(F.col(s), F.col(f"n{s}"))
+    return whole.select(
+        *keys, mean("s_signal").alias("avg_network_quality"), "active_devices", F.col("s_usage").alias("data_usage"),
+        mean("s_latency").alias("avg_latency"), F.col("n").alias("event_count"),
+    )
+
+
+def run_partials(sdf: DataFrame, path: str, partial: Callable[[DataFrame], DataFrame], checkpoint: str | None = None) -> DataFrame:
+    """Process everything available; each micro-batch stores `partial` of its rows under its own epoch.
+
+    A repeated batch overwrites its own result. Returns the stored partials of all batches.
+    """
+    spark = sdf.sparkSession
+    empty = spark.createDataFrame([], sdf.schema)
+    schema = T.StructType([*partial(empty).schema.fields, T.StructField("epoch", T.LongType())])
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        partial(batch).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    checkpoint = checkpoint or scratch_path(spark, "stream-state")
+    sdf.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(write).start().awaitTermination()
+    return spark.read.schema(schema).parquet(path)
+
+
+def run_dedupe(sdf: DataFrame, path: str, keys: Sequence[str], checkpoint: str | None = None) -> DataFrame:
+    """Process everything available and keep the first row of each key, however late its repeats come.
+
+    A micro-batch drops its own repeats and what earlier batches have stored; a repeated batch looks
+    only at the batches before it and overwrites its own rows. Keys may be null.
+    """
+    spark = sdf.sparkSession
+    schema = T.StructType([*sdf.schema.fields, T.StructField("epoch", T.LongType())])
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        fresh = batch.dropDuplicates(list(keys))
+        if epoch:
+            known = spark.read.schema(schema).parquet(path).where(F.col("epoch") < epoch).select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+            same = F.lit(True)
+            for k in keys:
+                same = same & F.col(k).eqNullSafe(F.col(f"_known_{k}"))
+            fresh = fresh.join(known, same, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    checkpoint = checkpoint or scratch_path(spark, "stream-state")
+    sdf.writeStream.trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(write).start().awaitTermination()
+    return spark.read.schema(schema).parquet(path).drop("epoch")
+
+
 # --- running streams --------------------------------------------------------------------
 
 

@@ -137,3 +137,14 @@ def test_balanced_join_equals_join(spark, rows):
 def test_constraint_passes_on_unknown(spark):
     df = spark.createDataFrame([(1, None), (2, "X")], "id int, s string")
     assert [tuple(r) for r in ch.check_constraint_report(df, {"s": F.col("s").isin("A")}, "id").collect()] == [(2, "s")]
+
+
+def test_net_changes_with_shared_sequence_numbers(spark, rows):
+    f = spark.createDataFrame([(1, 10, "c", "a", 1), (2, 10, "u", "b", 2), (3, 10, "c", "x", 3), (3, 10, "d", "x", 4)], "id int, lsn int, op string, value string, part int")
+    assert rows(ch.cdc_net_changes(f, "id", 0, 99, tie="part")) == [(1, 10, "c", "a", 1), (2, 10, "u", "b", 2)]
+
+
+def test_envelope_is_parsed_once(spark):
+    df = spark.createDataFrame([("{}",)], "payload string")
+    plan = ch.cdc_parse_debezium(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terrawatt.functions import geo
 from terrawatt.functions.kernels import st_geom_from_wkb, vincenty_m
+from terrawatt.operators import intervals as iv
 from terrawatt.operators import spatial as sp
 
 QUICK = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -189,3 +190,22 @@ def test_geo_vector_filters(spark, rows):
         base.select(F.lit("2").alias("osm_id"), geom(small).alias("geom"))
     ).unionByName(base.select(F.lit(None).cast("string").alias("osm_id"), geom(big).alias("geom")))
     assert [r.source_object for r in sp.scan_geo_vector(df, min_area=0.1).collect()] == ["1"]
+
+
+def test_radius_over_the_date_line_and_the_pole(spark):
+    points = spark.createDataFrame([(1, -179.95, 0.0), (2, 179.9, 0.0), (3, 0.0, 0.0), (4, 180.0, 89.95)], "id int, lon double, lat double")
+    ids = lambda df, c: sorted(r[c] for r in df.collect())
+    assert ids(sp.within_radius(points, 179.99, 0.0, 20_000), "id") == [1, 2]
+    assert ids(sp.within_radius(points, 0.0, 89.95, 20_000), "id") == [4]
+    boxes = spark.createDataFrame([(1, -179.96, -0.01, -179.95, 0.01), (2, 10.0, 0.0, 11.0, 1.0)], "building_id int, minx double, miny double, maxx double, maxy double")
+    assert ids(sp.buildings_within_radius(boxes, 179.99, 0.0, 20_000), "building_id") == [1]
+
+
+def test_open_ends_meet_far_ranges(spark):
+    rows = [(1, 1, "2020-01-01", None), (1, 2, "2300-01-01", "2400-01-01"), (2, 3, "2300-01-01", "2400-01-01")]
+    df = spark.createDataFrame(rows, "contract_id int, assignment_id int, s string, e string").selectExpr(
+        "contract_id", "assignment_id", "CAST(s AS DATE) AS effective_from", "CAST(e AS DATE) AS effective_to"
+    )
+    for limit in (64, 0):
+        got = iv.interval_overlap_check(df, strict=True, direct_limit=limit).collect()
+        assert [(r.a_id, r.b_id) for r in got] == [(1, 2)]

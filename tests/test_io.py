@@ -50,7 +50,7 @@ def test_compaction_and_refresh(spark, tmp_path):
 
 def test_json_batches_and_exports(spark, tmp_path):
     df = spark.range(1000).withColumn("nothing", F.lit(None).cast("string"))
-    sinks.sink_jsonl_batches(df, str(tmp_path / "j"), lo=8, hi=32, per=50)
+    sinks.sink_jsonl_batches(df, str(tmp_path / "j"), per=50)
     files = list((tmp_path / "j").glob("part-*"))
     assert sum(len(f.read_text().splitlines()) for f in files) == 1000
     assert max(len(f.read_text().splitlines()) for f in files) <= 50
