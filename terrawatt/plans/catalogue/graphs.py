@@ -70,18 +70,18 @@ def _(t):
     return gr.cache_coverage_check(cache(t))
 
 
-@query("snap_node_to_building", f"""SELECT node_id, building_id, distance_to_bldg AS distance_m FROM ({CACHE}) WHERE node_type = 'road_endpoint' AND ref_id % 9 = 0""", "distance_m")
+@query("snap_node_to_building", f"""SELECT node_id, building_id, distance_to_bldg AS distance_m FROM ({CACHE}) WHERE node_type = 'road_endpoint'""", "distance_m")
 def _(t):
     from terrawatt.operators.spatial import snap_node_to_building
 
-    wanted = nodes(t).where("node_type = 'road_endpoint' and ref_id % 9 = 0").select("node_id")
+    wanted = nodes(t).where("node_type = 'road_endpoint'").select("node_id")
     return snap_node_to_building(nodes(t), wanted, t.building_geom).select("node_id", "building_id", "distance_m")
 
 
 @query("enrich_nodes", f"""SELECT node_id, minx, miny, maxx, maxy FROM ({NODES}) AS n JOIN building_geom AS g ON g.building_id = n.ref_id
-    WHERE ref_id % 10 = 0 AND node_type = 'building_centroid'""", "minx miny maxx maxy")
+    WHERE node_type = 'building_centroid'""", "minx miny maxx maxy")
 def _(t):
-    ids = t.building_geom.where("building_id % 10 = 0").select(natural_id(F.lit("b"), F.col("building_id")).alias("node_id"))
+    ids = t.building_geom.select(natural_id(F.lit("b"), F.col("building_id")).alias("node_id"))
     return gr.enrich_nodes(nodes(t), t.building_geom, ids)
 
 

@@ -75,7 +75,7 @@ DATASETS: dict[str, str] = {
                       ',"voltage":', CAST(215 + event_id % 10 AS STRING),
                       ',"customer_id":"C', CAST(user_id % 40 AS STRING),
                       '","region":"R', CAST(user_id % 5 AS STRING), '"}') AS payload
-        FROM events WHERE event_id % 2 = 1""",
+        FROM events""",
     "change_feed": """
         SELECT event_id AS lsn, user_id AS id,
                CASE WHEN event_id % 11 = 0 THEN 'd' WHEN event_id % 3 = 0 THEN 'u' ELSE 'c' END AS op,
@@ -165,11 +165,11 @@ DATASETS: dict[str, str] = {
                24.63 + CAST(p_partkey * 50021 % 7400 AS DOUBLE) / 10000 + CAST(p_size AS DOUBLE) / 100000 AS maxy
         FROM part""",
     "development_plan": """
-        SELECT p_partkey AS plan_id, p_name AS plan_name, p_brand AS source FROM part WHERE p_partkey % 40 = 0""",
+        SELECT p_partkey - p_partkey % 40 AS plan_id, min(p_name) AS plan_name, min(p_brand) AS source FROM part GROUP BY 1""",
     "plan_geom": """
-        SELECT p_partkey AS plan_id,
-               CASE WHEN p_partkey % 43 = 0 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS area_km2
-        FROM part WHERE p_partkey % 40 = 0""",
+        SELECT p_partkey - p_partkey % 40 AS plan_id,
+               CASE WHEN min(p_partkey) % 43 = 0 THEN NULL ELSE CAST(sum(p_size) AS DOUBLE) END AS area_km2
+        FROM part GROUP BY 1""",
     "plan_usage": """
         SELECT p_partkey - p_partkey % 40 AS plan_id, p_type AS usage_name, sum(p_retailprice) AS area_m2
         FROM part GROUP BY 1, 2""",
@@ -265,7 +265,7 @@ DATASETS: dict[str, str] = {
         FROM points""",
     "road_pair": """
         SELECT c_custkey AS road_id, (c_custkey * 31 + 17) % (SELECT count(*) FROM customer) AS to_id
-        FROM customer WHERE c_custkey % 3 = 0""",
+        FROM customer""",
     "road": """
         SELECT r.road_id, a.lon AS x1, a.lat AS y1, b.lon AS x2, b.lat AS y2,
                CASE WHEN r.road_id % 2 = 0 THEN 'B' ELSE 'F' END AS oneway,

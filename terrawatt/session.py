@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,16 +32,15 @@ def build_session(app: str = "terrawatt", master: str | None = None, **conf: str
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for intermediate tables, on the storage the cluster shares.
 
-    The folder comes from `spark.checkpoint.dir`. Only a local master without that setting
-    gets a temporary folder: executors of a real cluster could not read one.
+    The folder comes from `spark.checkpoint.dir`; where that is unset, as in tests, it lies beside
+    the warehouse, which executors share too. What is written there goes when the application ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="terrawatt-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/terrawatt/{label}-{uuid.uuid4().hex}"
+    base = base or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-scratch"
+    path = f"{base.rstrip('/')}/terrawatt/{label}-{uuid.uuid4().hex}"
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
+    return path
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
