@@ -10,6 +10,7 @@ from terrawatt.plans.catalogue import (  # noqa: F401
     metering,
     nested_data,
     quality_checks,
+    roundtrips,
     scalars,
     shares,
     streams_queries,

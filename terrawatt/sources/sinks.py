@@ -18,6 +18,10 @@ TABLE_NAMES = {
 }
 
 
+#: Text formats cut times to milliseconds unless told otherwise.
+FULL_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def route_table_name(frame: str, names: Mapping[str, str] = TABLE_NAMES) -> str:
     return names.get(frame, frame)
 
@@ -35,7 +39,7 @@ def sink_jsonl_batches(df: DataFrame, path: str, per: int = 50_000, mode: str =
 
     The row limit is the writer's own, so the rows are neither counted nor dealt anew.
     """
-    df.write.mode(mode).option("maxRecordsPerFile", per).option("ignoreNullFields", False).json(path)
+    df.write.mode(mode).option("maxRecordsPerFile", per).option("ignoreNullFields", False).options(**FULL_TIMES).json(path)
 
 
 def sink_multi_export(df: DataFrame, base: str, formats: Sequence[str] = ("parquet", "csv", "json")) -> None:
@@ -44,6 +48,7 @@ def sink_multi_export(df: DataFrame, base: str, formats: Sequence[str] = ("parqu
     try:
         for kind in formats:
             writer = df.write.mode("overwrite").format(kind)
+            writer = writer if kind == "parquet" else writer.options(**FULL_TIMES)
             (writer.option("header", True) if kind == "csv" else writer).save(f"{base.rstrip('/')}/{kind}")
     finally:
         df.unpersist()
