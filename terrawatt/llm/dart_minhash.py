@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from terrawatt.llm.components import components
 from terrawatt.llm.scratch import Scratch
 from terrawatt.llm.textcore import SPACE, buffers, mix, slices, span_hash, word_spans
+from terrawatt.llm.units import each_unit
 
 WIDTH = 5
 #: 25 bands of 6 coordinates: similarity 0.8 is found with probability 0.9995, 0.9 with 1 - 1e-8.
@@ -28,6 +29,8 @@ BANDS, ROWS = 25, 6
 THRESHOLD = 0.8
 #: At most so many ids are broadcast to pick the candidates' texts (a few MB); beyond, the join shuffles.
 BROADCAST_IDS = 200_000
+#: A bucket with more members or shingles than this is compared block by block.
+BLOCK_ROWS, BLOCK_CODES = 512, 4_000_000
 #: Length of the first range of ranks; every later one doubles the range.
 _FIRST = 1 / 16
 _NIBBLES = 0x1111111111111111
@@ -160,7 +163,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
                 keys = [np.zeros(n, np.uint64), np.zeros(n, np.uint64)]
                 for k, seed in zip(keys, (11, 12), strict=True):  # sums do not depend on the order
                     np.add.at(k, doc, mix(mix(shingle ^ np.uint64(seed)) + weight.astype(np.uint64)))
-                total = np.bincount(doc, weight, minlength=n)
+                total = np.bincount(doc, weight, minlength=n).astype(float)
                 none = pa.array(~some)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -195,15 +198,64 @@ def _alike(a: Column, b: Column, threshold: float) -> Column:
     return F.least(a, b) >= F.lit(threshold) * F.greatest(a, b)
 
 
-def _agreeing(n: int, coordinates: int) -> Column:
-    """Coordinates whose four bits agree in `sketch` and `other_sketch`."""
-    differ = F.lit(0)
-    for i in range(n):
-        x = F.col("sketch")[i].bitwiseXOR(F.col("other_sketch")[i])
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
-        x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-        differ = differ + F.bit_count(x.bitwiseAND(F.lit(_NIBBLES)))
-    return F.lit(coordinates) - differ
+class Remainder:
+    """Links between the components that a bucket still holds, found inside one task.
+
+    A unit is one bucket, or two blocks of a large one. Pairs of different components that sketches
+    and weights do not rule out are verified, most alike first, and skipped once their components
+    have met; what leaves the unit is at most one edge per member.
+    """
+
+    def __init__(self, threshold: float, coordinates: int):
+        self.threshold = threshold
+        deviation = math.sqrt(coordinates * threshold * (1 - threshold))
+        self.floor = coordinates * (threshold + (1 - threshold) / 16) - 4.5 * deviation
+        self.coordinates = coordinates
+
+    def _candidates(self, key: int, side, weight, component, sketch, bands, crossed: bool):
+        """(a, b, agreeing coordinates) of the pairs to verify."""
+        for at in range(0, len(side), 256):
+            part = slice(at, at + 256)
+            differ = np.zeros((len(side[part]), len(side)), np.int64)
+            for c in range(sketch.shape[1]):
+                x = sketch[part, c][:, None] ^ sketch[:, c][None, :]
+                x |= x >> np.uint64(2)
+                x |= x >> np.uint64(1)
+                differ += np.bitwise_count(x & np.uint64(_NIBBLES))
+            agree = self.coordinates - differ
+            fits = (agree >= self.floor) & (component[part][:, None] != component)
+            fits &= np.minimum(weight[part][:, None], weight) >= self.threshold * np.maximum(weight[part][:, None], weight)
+            fits &= side[part][:, None] < side if crossed else np.arange(len(side))[part][:, None] < np.arange(len(side))
+            a, b = np.nonzero(fits)
+            same = bands[a + at] == bands[b]
+            first = bands[a + at, same.argmax(1)] == key  # a pair that shares several buckets is verified in the first
+            yield a[first] + at, b[first], agree[a[first], b[first]]
+
+    def edges(self, key: int, rep, side, weight, component, sketch, bands, codes, crossed: bool) -> list[tuple[int, int]]:
+        found = list(self._candidates(key, side, weight, component, sketch, bands, crossed))
+        a, b, agree = (np.concatenate(x) for x in zip(*found, strict=True))
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (up := root.get(x, x)) != x:
+                root[x] = root.get(up, up)
+                x = up
+            return x
+
+        out, sets = [], {}
+        for i in np.argsort(-agree, kind="stable").tolist():
+            x, y = int(a[i]), int(b[i])
+            u, v = find(int(component[x])), find(int(component[y]))
+            if u == v:
+                continue
+            for z in (x, y):
+                if z not in sets:
+                    sets[z] = np.sort(codes(z))
+            common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            if common >= self.threshold * (len(sets[x]) + len(sets[y]) - common):
+                root[max(u, v)] = min(u, v)
+                out.append((int(rep[x]), int(rep[y])))
+        return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -213,11 +265,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are one class. Classes that share a bucket are candidates; a link is a candidate pair whose exact
     weighted Jaccard similarity is at least `threshold`. First each bucket's members are compared
     with its most central member. Then, where a bucket still holds several components, its members
-    outside the largest one are compared with all others there that sketches and weights do not rule
-    out (4.5 standard deviations below the threshold), so no candidate link between components is
-    left out, while a bucket of true copies costs as many comparisons as it has members. Documents
-    without words are never linked and kept. Repeated rows of one id count once; other columns of the
-    input are ignored.
+    are compared across components inside tasks, except where sketches (4.5 standard deviations below
+    the threshold) and weights rule a pair out. So no candidate link between components is left out,
+    while a bucket of true copies costs as many comparisons as it has members. Documents
+    without words are never linked and kept. Rows that repeat an id each get a row, judged by its own
+    text; a null id is kept. Other columns of the input are ignored.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "darts")
@@ -256,26 +308,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     merged = scratch.keep(components(links), "merged")
 
     # What the first comparisons left apart.
-    placed = members.select("key", "rep").join(merged.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    parts = placed.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    split = parts.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", F.struct("n", -F.col("component"))).alias("largest")).where("parts > 1")
-    left = placed.join(split.select("key", "largest"), "key").join(classes.select("rep", "weight", "bands", "sketch"), "rep")
-    left = scratch.keep(left, "left")
-    other = left.select("key", *(F.col(c).alias(f"other_{c}") for c in ("rep", "component", "weight", "bands", "sketch", "largest")))
-    floor = coordinates * (threshold + (1 - threshold) / 16) - 4.5 * math.sqrt(coordinates * threshold * (1 - threshold))
-    apart = (
-        (F.col("component") != F.col("other_component"))
-        # Each pair once: the straggler seeks; of two stragglers the smaller does.
-        & ((F.col("other_component") == F.col("other_largest")) | (F.col("rep") < F.col("other_rep")))
-        & _alike(F.col("weight"), F.col("other_weight"), threshold)
-        & (_agreeing(-(-coordinates // 16), coordinates) >= F.lit(floor))
-        & (F.array_min(F.array_intersect("bands", "other_bands")) == F.col("own_key"))
-    )
-    seekers = left.where("component <> largest").withColumnRenamed("key", "own_key")
-    second = seekers.join(other.withColumnRenamed("key", "other_key"), (F.col("own_key") == F.col("other_key")) & apart)
-    second = second.select(F.least("rep", "other_rep").alias("a"), F.greatest("rep", "other_rep").alias("b"))
-    second = scratch.keep(second.join(first, ["a", "b"], "left_anti"), "second")
-    more = verified(second, "links2")
+    placed = members.select("key", "rep", "weight").join(merged.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    split = placed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"), F.sum("weight").alias("codes")
+    ).where("low <> high")
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_ROWS), F.ceil(F.col("codes") / BLOCK_CODES)).cast("int")
+    left = placed.join(split.select("key", blocks.alias("blocks")), "key").withColumn("own", F.pmod(F.xxhash64("rep", "key"), F.col("blocks")).cast("int"))
+    left = left.join(classes.select("rep", "bands", "sketch"), "rep").join(codes.withColumnRenamed("id", "rep"), "rep")
+    units = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = units.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "weight", "component", "bands", "sketch", "codes")
+    worker = Remainder(threshold, coordinates)
+
+    def compared(held: pa.Table) -> pa.RecordBatch:
+        col = lambda c: np.asarray(held.column(c))
+        table = lambda c: np.asarray(held.column(c).combine_chunks().flatten()).view(np.uint64).reshape(len(held), -1)
+        key, i, j = (held.column(c)[0].as_py() for c in ("key", "i", "j"))
+        sets = held.column("codes").combine_chunks()
+        pairs = worker.edges(
+            np.uint64(key & (2**64 - 1)), col("rep"), col("own"), col("weight"), col("component"), table("sketch"), table("bands"), lambda z: np.asarray(sets[z].values), i != j
+        )
+        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    dealt = units.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    more = scratch.keep(dealt.mapInArrow(each_unit(["key", "i", "j"], compared), "a long, b long"), "links2")
     merged = components(links.union(more))
 
     found = classes.select("k1", "k2", "rep").join(merged.withColumnRenamed("id", "rep"), "rep", "left")
@@ -284,5 +339,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     result = every.select(F.col("id").alias(id_col), F.coalesce("component", "id").alias("component_id"))
     result = result.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
     result = scratch.keep(result, "result")
-    scratch.drop("signed", "classes", "members", "first", "ids", "codes", "links1", "merged", "left", "second", "links2")
+    scratch.drop("signed", "classes", "members", "first", "ids", "codes", "links1", "merged", "links2")
     return result
