@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from terrawatt.llm.scratch import Scratch
 
-#: Words are hashed into so many buckets; the model has buckets x domains numbers.
-BUCKETS = 1 << 15
+#: A word counts for a domain if its document frequency there is off by so many standard deviations and
+#: by this factor.
+LEAST_DEVIATION, LEAST_FACTOR = 12.0, 4.0
 #: Labelled documents that the classifier is fitted on, in expectation (documented bound of the fit).
 TRAIN_DOCS = 20_000
 ROUNDS = 25
@@ -31,44 +32,65 @@ def token_count(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
 
 
-def _bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(F.regexp_replace(word, "^[.,;:!?]+|[.,;:!?]+$", "")), F.lit(BUCKETS)).cast("int")
+def _key(word: Column) -> Column:
+    """64-bit key of a word without the punctuation around it."""
+    return F.xxhash64(F.regexp_replace(word, "^[.,;:!?]+|[.,;:!?]+$", ""))
 
 
 def word_model(docs: DataFrame, labelled: DataFrame, domains: list[str], train_docs: int):
-    """(log prior by domain, table of bucket -> log ratios against the mean word) from labelled documents."""
+    """(log prior by domain, table of word key -> log odds and log absence by domain) from labelled documents.
+
+    Words count once per document, and documents that agree in three least hashes of their words once
+    per domain, so that a text with many exact or near copies lends its words little weight. The model
+    keeps the words that some domain has significantly more often than all documents have; domains
+    where a word's frequency is not out of the ordinary take the overall one. Presence and absence of
+    these words both count. Words that a domain lacks are no evidence: they follow language and length.
+    """
     known = docs.join(labelled.select("id", "domain").where(F.col("domain").isin(domains)).dropDuplicates(["id"]), "id")
     total = labelled.count()
     known = known.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < min(1.0, train_docs / max(total, 1)) * (1 << 30))
+    known = known.select("domain", F.array_distinct(words_of(F.col("text"))).alias("words"))
+    least = [F.array_min(F.transform("words", lambda w, k=k: F.xxhash64(w, F.lit(k)))) for k in range(3)]
+    known = known.withColumn("print", F.xxhash64(*least)).dropDuplicates(["domain", "print"])
     one = lambda d: F.sum((F.col("domain") == d).cast("long"))
     sizes = known.agg(*[one(d).alias(f"n{i}") for i, d in enumerate(domains)]).first()
-    docs_in = np.array([sizes[f"n{i}"] or 0 for i in range(len(domains))], float)
-    counts = known.select("domain", F.explode(words_of(F.col("text"))).alias("word")).groupBy(_bucket(F.col("word")).alias("bucket")).agg(
-        *[one(d).cast("double").alias(f"n{i}") for i, d in enumerate(domains)]
-    )
-    sums = counts.agg(*[F.sum(f"n{i}").alias(f"n{i}") for i in range(len(domains))]).first()
-    sums = [float(sums[f"n{i}"] or 0.0) for i in range(len(domains))]
-    # Smoothing by the overall distribution: an unseen bucket says nothing about the domain.
+    docs_in = [float(sizes[f"n{i}"] or 0) for i in range(len(domains))]
+    words = known.select("domain", F.explode("words").alias("word"))
+    counts = words.groupBy(_key(F.col("word")).alias("key")).agg(*[one(d).cast("double").alias(f"n{i}") for i, d in enumerate(domains)])
     seen = sum((F.col(f"n{i}") for i in range(1, len(domains))), F.col("n0"))
-    share = (seen + 1.0) / (sum(sums) + BUCKETS)
-    logs = [F.log((F.col(f"n{i}") + share * 200.0) / (s + 200.0) / share).alias(f"l{i}") for i, s in enumerate(sums)]
-    prior = np.log((docs_in + 1) / (docs_in.sum() + len(domains)))
-    return prior, counts.select("bucket", *logs)
+    share = F.least(seen / max(sum(docs_in), 1.0), F.lit(1.0))
+    odds, absent, told = [], [], F.lit(False)
+    for i, n in enumerate(docs_in):
+        p = F.least((F.col(f"n{i}") + share * 20.0) / (n + 20.0), F.lit(0.999))
+        off = F.abs(F.col(f"n{i}") - share * n) / F.sqrt(share * n + 0.5)
+        tells = (off >= LEAST_DEVIATION) & (F.abs(F.log(p / share)) >= math.log(LEAST_FACTOR))
+        p = F.when(tells, p).otherwise(F.least(share, F.lit(0.999)))
+        told = told | (tells & (p > share))
+        odds.append(F.log(p / (1 - p)).alias(f"l{i}"))
+        absent.append(F.log(1 - p).alias(f"a{i}"))
+    prior = np.log((np.array(docs_in) + 1) / (sum(docs_in) + len(domains)))
+    model = counts.where(told).select("key", *odds, *absent)
+    return prior, model
 
 
 def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], train_docs: int = TRAIN_DOCS) -> DataFrame:
     """(id, n_tokens, p0 .. pk) of `docs` (id, text): domain probabilities, which sum to 1.
 
-    Words are exploded, meet the model table (at most BUCKETS rows, so it is broadcast) and are summed
-    by document before any shuffle, as all words of a document are in one partition.
+    A document's distinct words are exploded, meet the model table and are
+    summed by document before any shuffle, as all words of a document are in one partition. The table
+    is broadcast: its words are each in a dozen training documents or more, whose number is bounded.
     """
     scratch = Scratch(docs.sparkSession, "mixing-model")
     prior, model = word_model(docs, labelled, domains, train_docs)
     model = scratch.keep(model, "model")
-    words = docs.withColumn("word", F.explode_outer(words_of(F.col("text"))))
-    keyed = words.select("id", "word", _bucket(F.col("word")).alias("bucket")).join(F.broadcast(model), "bucket", "left")
+    none = model.agg(*[F.sum(f"a{i}").alias(f"a{i}") for i in range(len(domains))]).first()  # no word of the model present
+    prior = prior + np.array([none[f"a{i}"] or 0.0 for i in range(len(domains))])
+    model = model.select("key", *[f"l{i}" for i in range(len(domains))])
+    split = docs.select("id", words_of(F.col("text")).alias("words"))
+    words = split.select("id", F.size("words").alias("n"), F.posexplode_outer(F.array_distinct("words")).alias("nth", "word"))
+    keyed = words.select("id", "n", "nth", _key(F.col("word")).alias("key")).join(F.broadcast(model), "key", "left")
     logs = [F.coalesce(F.sum(f"l{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(len(domains))]
-    scored = keyed.groupBy("id").agg(F.count("word").alias("n_tokens"), *logs)
+    scored = keyed.groupBy("id").agg(F.coalesce(F.sum(F.when(F.col("nth") == 0, F.col("n"))), F.lit(0)).cast("long").alias("n_tokens"), *logs)
     score = [F.col(f"s{i}") + F.lit(float(prior[i])) for i in range(len(domains))]
     best = F.greatest(*score) if len(score) > 1 else score[0]
     weights = [F.exp(s - best) for s in score]

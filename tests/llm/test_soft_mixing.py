@@ -7,20 +7,21 @@ WORDS = {"x": "alpha beta gamma", "y": "delta epsilon zeta"}
 
 
 def corpus(spark):
-    rows = [(i, " ".join([WORDS["x" if i % 4 else "y"]] * (1 + i % 5)), 0, 0) for i in range(200)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, bucket int, n_tokens int")
-    labelled = spark.createDataFrame([(i, "x" if i % 4 else "y") for i in range(0, 200, 3)], "id long, domain string")
+    own = lambda i: " ".join(f"u{i}n{k}" for k in range(15))
+    rows = [(i, " ".join([own(i)] + [WORDS["x" if i % 12 else "y"]] * (1 + i % 5)), 0, 0) for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key int, n_tokens int")
+    labelled = spark.createDataFrame([(i, "x" if i % 12 else "y") for i in range(1200) if i % 5], "id long, domain string")
     return docs, labelled
 
 
 def test_targets_are_met_and_rates_are_nonnegative(spark):
     docs, labelled = corpus(spark)
-    rows = mixed(docs, labelled, {"x": 0.9, "y": 0.1}, "x").toPandas()
-    assert len(rows) == 200 and (rows.rate >= 0).all()
+    rows = mixed(docs, labelled, {"x": 0.97, "y": 0.03}, "x").toPandas()
+    assert len(rows) == 1200 and (rows.rate >= 0).all()
     x, y = ((rows.rate * rows.n_tokens * rows[c]).sum() for c in ("p_x", "p_y"))
-    assert y / (x + y) == pytest.approx(0.1, abs=1e-6) and x == pytest.approx((rows.n_tokens * rows.p_x).sum(), rel=1e-6)
+    assert y / (x + y) == pytest.approx(0.03, abs=1e-6) and x == pytest.approx((rows.n_tokens * rows.p_x).sum(), rel=1e-6)
     assert (np.abs(rows.copies - rows.rate) < 1).all()
-    assert (rows.p_x.round() == [float(bool(i % 4)) for i in rows.doc_id]).all()
+    assert (rows.p_x.round() == [float(bool(i % 12)) for i in rows.doc_id]).all()
 
 
 def test_rounds_like_numpy(spark):
