@@ -113,7 +113,8 @@ QUERIES = {
 
 #: DuckDB statements; the operators that SQL cannot express are tested against brute force instead.
 ORACLE_SQL: dict[str, str] = {
-    # CRC-32 byte by byte over the hex form of the text; its table is computed in `crc_table`.
+    # CRC-32 by pieces of 256 bytes (the first may be shorter), each byte by byte over the hex form of the
+    # text; `shifts` says what 256 more bytes make of each bit of what came before.
     "op3_interleave": r"""
 WITH RECURSIVE crc_steps AS (
   SELECT range AS n, range AS c, 0 AS step FROM range(256)
@@ -121,14 +122,27 @@ WITH RECURSIVE crc_steps AS (
   SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM crc_steps WHERE step < 8
 ), crc_table AS (
   SELECT list(c ORDER BY n) AS t FROM crc_steps WHERE step = 8
+), shift_steps AS (
+  SELECT range AS j, 1::BIGINT << range AS c, 0 AS step FROM range(32)
+  UNION ALL
+  SELECT j, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM shift_steps WHERE step < 2048
+), shifts AS (
+  SELECT list(c ORDER BY j) AS m FROM shift_steps WHERE step = 2048
 ), texts AS (
-  SELECT doc_id, source, hex(encode(coalesce(text, ''))) AS h FROM documents
+  SELECT row_number() OVER () AS k, doc_id, source, hex(encode(coalesce(text, ''))) AS h FROM documents
+), cut_texts AS (
+  SELECT *, len(h) // 2 AS n, (len(h) // 2 - 1) % 256 + 1 AS head FROM texts
+), pieces AS (
+  SELECT k, h, head, unnest(range(0, (n + 255) // 256)) AS i FROM cut_texts
 ), bytes AS (
-  SELECT doc_id, source, len(h) // 2 + 16 AS size,
-         list_prepend(4294967295::BIGINT, list_transform(range(0, len(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::BIGINT)) AS b
-  FROM texts
+  SELECT k, i, list_prepend(CASE WHEN i = 0 THEN 4294967295 ELSE 0 END::BIGINT, list_transform(range(0, len(p) // 2), lambda j: ('0x' || p[2 * j + 1 : 2 * j + 2])::BIGINT)) AS b
+  FROM (SELECT k, i, CASE WHEN i = 0 THEN h[1 : 2 * head] ELSE h[2 * (head + (i - 1) * 256) + 1 : 2 * (head + i * 256)] END AS p FROM pieces)
+), registers AS (
+  SELECT k, list(list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])) ORDER BY i) AS r FROM bytes, crc_table GROUP BY k
 ), summed AS (
-  SELECT doc_id, source, size, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS crc FROM bytes, crc_table
+  SELECT doc_id, source, n + 16 AS size, coalesce(xor(list_reduce(r, lambda a, x: xor(x,
+           list_reduce(list_transform(range(32), lambda j: CASE WHEN (a >> j) & 1 = 1 THEN m[j + 1] ELSE 0 END), lambda u, v: xor(u, v)))), 4294967295), 0) AS crc
+  FROM cut_texts LEFT JOIN registers USING (k), shifts
 ), drawn AS (
   SELECT *, md5(concat_ws('|', '0', doc_id::VARCHAR, crc::VARCHAR)) AS draw, count(*) OVER (PARTITION BY source) AS n FROM summed
 ), fractions AS (

@@ -7,7 +7,6 @@ from tests.harness import SF_DIR
 
 
 def test_held_out_accuracy(spark):
-    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
     sf = SF_DIR.replace("sf0.001", "sf0.01")
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     rows = op4_pu_quality(spark, sf).join(labels, "doc_id").where("held_out").collect()
