@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrawatt.operators.skew import first_per_key
 
 
 def join_inner_equi(left: DataFrame, *dims: tuple[DataFrame, str]) -> DataFrame:
@@ -69,9 +70,9 @@ def semi_in_subquery(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids, key, "left_semi")
 
 
-def anti_conflict_do_nothing(target: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """Append only rows with new keys; of several new rows with one key any single one is kept."""
-    fresh = rows.join(target, key, "left_anti").dropDuplicates([key])
+def anti_conflict_do_nothing(target: DataFrame, rows: DataFrame, key: str, order: Sequence[str] = ()) -> DataFrame:
+    """Append only rows with new keys; of several new rows with one key the first by `order` (by all columns) is kept."""
+    fresh = first_per_key(rows.join(target, key, "left_anti"), [key], [F.col(c) for c in order or rows.columns])
     return target.unionByName(fresh)
 
 

@@ -31,10 +31,11 @@ EDGES = f"""SELECT r.road_id, oneway, a.node_id AS f, b.node_id AS t, {spheroid(
     JOIN ({NODES}) AS a ON a.lon = x1 AND a.lat = y1 JOIN ({NODES}) AS b ON b.lon = x2 AND b.lat = y2"""
 
 
-@query("graph_road_edges", f"""SELECT f AS from_node, t AS to_node, weight, 'road' AS edge_type, road_id AS ref_id FROM ({EDGES}) UNION ALL
-    SELECT t, f, weight, 'road', road_id FROM ({EDGES}) WHERE oneway = 'B'""", "weight")
+@query("graph_road_edges", f"""SELECT md5(concat_ws('|', road_id, from_node, to_node)) AS edge_id, * FROM (
+    SELECT f AS from_node, t AS to_node, weight, 'road' AS edge_type, road_id AS ref_id, road_id FROM ({EDGES}) UNION ALL
+    SELECT t, f, weight, 'road', road_id, road_id FROM ({EDGES}) WHERE oneway = 'B')""", "weight")
 def _(t):
-    return gr.graph_road_edges(t.road, nodes(t)).drop("edge_id")
+    return gr.graph_road_edges(t.road, nodes(t)).withColumn("road_id", F.col("ref_id"))
 
 
 @query("join_geometry_equality", f"SELECT road_id, f AS from_node, t AS to_node FROM ({EDGES})")

@@ -31,9 +31,17 @@ def _(t):
     return dq.profile_numeric(t.meter_readings, NUMERIC)
 
 
-@query("profile_describe")
+def _describe_sql() -> str:
+    measures = {"count": "count({0})", "mean": "avg({0})", "stddev": "stddev_samp({0})", "min": "min({0})", "max": "max({0})"}
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS summary, " + ", ".join(f"CAST({m.format(c)} AS DOUBLE) AS {c}" for c in NUMERIC) + " FROM meter_readings"
+        for name, m in measures.items()
+    )
+
+
+@query("profile_describe", _describe_sql(), " ".join(NUMERIC))
 def _(t):
-    return dq.profile_describe(t.meter_readings, NUMERIC)
+    return dq.profile_describe(t.meter_readings, NUMERIC).select("summary", *[F.col(c).cast("double").alias(c) for c in NUMERIC])
 
 
 @query("profile_quantiles", _each("""SELECT 'energy_consumption' AS "column", CAST({0} AS DOUBLE) AS q,
