@@ -78,7 +78,7 @@ def contrast(positives: np.ndarray, unlabelled: np.ndarray) -> Linear:
     """Positives against unlabelled rows by logistic regression: only ranks rows, for the prior."""
     model = Linear(unlabelled)
     p, u = model.rows(positives), model.rows(unlabelled)
-    return model.fit(lambda w: -p.T @ _sigmoid(-p @ w) / len(p) + u.T @ _sigmoid(u @ w) / len(u))
+    return model.fit(lambda w: -p.T @ _sigmoid(-p @ w) / len(p) + u.T @ _sigmoid(u @ w) / len(u), decay=5.0 / len(p))
 
 
 def prior_from_histograms(positive: np.ndarray, everything: np.ndarray) -> float:
@@ -112,7 +112,7 @@ def fit_non_negative(positives: np.ndarray, unlabelled: np.ndarray, prior: float
         g_positive = -prior * p.T @ _sigmoid(-fp) / len(p)
         return g_positive + g_negative if negative >= 0 else -g_negative
 
-    return model.fit(gradient)
+    return model.fit(gradient, decay=1.0 / len(p))
 
 
 def score_quality(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -143,13 +143,18 @@ def score_quality(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id",
     def sample(df: DataFrame, n: int, seed: int) -> np.ndarray:
         chosen = df.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) < min(1.0, train_rows / max(n, 1)) * (1 << 30))
         rows = chosen.orderBy("id").select("x").toPandas().x
-        return np.array(rows.tolist(), float).reshape(len(rows), -1)
+        return np.array(rows.tolist(), float)
 
     model = None
     if n_good and n_all:
         p, u = sample(good, n_good, 1), sample(table, n_all, 2)
         if len(p) and len(u):
-            ranker = contrast(p, u)
+            # The ranker learns from one half of the ids and the prior is read off the other half: positives
+            # that it was fitted on would score too high and press the prior down.
+            half = lambda df, k: df.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(2)) == k)
+            p_half, u_half = sample(half(good, 0), n_good, 1), sample(half(table, 0), n_all, 2)
+            split = len(p_half) > 0 and len(u_half) > 0 and not half(good, 1).isEmpty()
+            ranker = contrast(p_half, u_half) if split else contrast(p, u)
 
             def bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for batch in batches:
@@ -165,7 +170,7 @@ def score_quality(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id",
                     out[r["bin"]] = r["n"]
                 return out
 
-            model = fit_non_negative(p, u, prior_from_histograms(histogram(good), histogram(table)))
+            model = fit_non_negative(p, u, prior_from_histograms(*(histogram(half(df, 1) if split else df) for df in (good, table))))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

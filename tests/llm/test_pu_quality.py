@@ -12,7 +12,7 @@ def test_held_out_accuracy(spark):
     rows = op4_pu_quality(spark, sf).join(labels, "doc_id").where("held_out").collect()
     good = np.mean([r.predicted for r in rows if r.quality == 1])
     bad = np.mean([r.predicted for r in rows if r.quality == 0])
-    assert good > 0.95 and bad < 0.3
+    assert good > 0.85 and bad < 0.1
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.7) for r in rows)
 
 
