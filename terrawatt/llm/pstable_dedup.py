@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from terrawatt.llm.components import components
 from terrawatt.llm.scratch import Scratch
 from terrawatt.llm.textcore import mix
+from terrawatt.llm.units import each_unit
 
 THRESHOLD = 0.9
 #: A pair at cosine 0.9 meets in some table with probability 0.997, at 0.95 with 1 - 6e-6.
@@ -34,20 +35,34 @@ def unit_rows(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return v, np.sqrt((v * v).sum(axis=1))
 
 
-def bucket_keys(v: np.ndarray, norms: np.ndarray, tables: int, projections: int, step: float) -> np.ndarray:
-    """(rows, tables) bucket keys. Integers stand for the operands, so sums are exact in any order and
-    a vector has the same keys in whatever batch it comes."""
-    dim = v.shape[1]
-    rng = np.random.default_rng(20_000 + dim)
-    directions = np.rint(rng.standard_normal((dim, tables * projections)) * _DIRECTION)
-    shift = np.rint(rng.random(tables * projections) * step * _UNIT * _DIRECTION)
-    dots = np.rint(v / norms[:, None] * _UNIT) @ directions
-    cells = np.floor((dots + shift) / (step * _UNIT * _DIRECTION)).astype(np.int64).view(np.uint64)
-    cells = cells.reshape(len(v), tables, projections)
-    keys = np.repeat(mix(np.arange(1, tables + 1, dtype=np.uint64) + np.uint64(dim << 20))[None, :], len(v), 0)
-    for p in range(projections):
-        keys = mix(keys ^ cells[:, :, p])
-    return keys
+class Hashing:
+    """Bucket keys of vectors of any length; the random directions are drawn once per length."""
+
+    def __init__(self, tables: int = TABLES, projections: int = PROJECTIONS, step: float = STEP):
+        self.tables, self.projections, self.step = tables, projections, step
+        self.drawn: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def directions(self, dim: int) -> tuple[np.ndarray, np.ndarray]:
+        if dim not in self.drawn:
+            rng, n = np.random.default_rng(20_000 + dim), self.tables * self.projections
+            self.drawn[dim] = np.rint(rng.standard_normal((dim, n)) * _DIRECTION), np.rint(rng.random(n) * self.step * _UNIT * _DIRECTION)
+        return self.drawn[dim]
+
+    def table_seeds(self, dim: int) -> np.ndarray:
+        return mix(np.arange(1, self.tables + 1, dtype=np.uint64) + np.uint64(dim << 20))
+
+    def keys(self, v: np.ndarray, norms: np.ndarray) -> np.ndarray:
+        """(rows, tables) bucket keys. Integers stand for the operands, so sums are exact in any order
+        and a vector has the same keys in whatever batch it comes."""
+        dim = v.shape[1]
+        directions, shift = self.directions(dim)
+        dots = np.rint(v / norms[:, None] * _UNIT) @ directions
+        cells = np.floor((dots + shift) / (self.step * _UNIT * _DIRECTION)).astype(np.int64).view(np.uint64)
+        cells = cells.reshape(len(v), self.tables, self.projections)
+        keys = np.repeat(self.table_seeds(dim)[None, :], len(v), 0)
+        for p in range(self.projections):
+            keys = mix(keys ^ cells[:, :, p])
+        return keys
 
 
 def _matrices(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -85,29 +100,31 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 class Block:
     """Compares the vectors of one unit: all of one bucket, or two blocks of a large one."""
 
-    def __init__(self, threshold: float, tables: int, projections: int, step: float):
-        self.threshold, self.hashing = threshold, (tables, projections, step)
+    def __init__(self, threshold: float, hashing: Hashing):
+        self.threshold, self.hashing = threshold, hashing
 
     def compare(self, key: int, rep: np.ndarray, copies: np.ndarray, v: np.ndarray, side: np.ndarray, second: bool):
         """(rep, links that this table finds first, smallest rep linked here), for reps with a link."""
         order = np.argsort(rep, kind="stable")
         rep, copies, side = rep[order], copies[order], side[order]
         v, norms = unit_rows(v[order])
-        keys = bucket_keys(v, norms, *self.hashing)
-        table = int(np.flatnonzero(keys[0].view(np.int64) == key)[0])
         near = (v @ v.T) / norms / norms[:, None] >= self.threshold
         np.fill_diagonal(near, False)
         if second:
             near &= side[:, None] != side
         a, b = np.nonzero(near)
+        if not len(a):
+            return rep[:0], copies[:0], rep[:0]
         n = len(rep)
+        keys = self.hashing.keys(v, norms)
+        table = int(np.flatnonzero(keys[0].view(np.int64) == key)[0])
         links = np.zeros(n, np.int64)
         for at in range(0, len(a), 1 << 17):
             x, y = a[at : at + (1 << 17)], b[at : at + (1 << 17)]
             mine = (keys[x] == keys[y]).argmax(1) == table
             links += np.bincount(x[mine], copies[y[mine]], minlength=n).astype(np.int64)
         label = np.arange(n)
-        while len(a):
+        while True:
             new = label.copy()
             np.minimum.at(new, a, label[b])
             new = new[new]
@@ -142,11 +159,13 @@ def near_vectors(
     classes = prints.where("id IS NOT NULL AND d1 IS NOT NULL").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = scratch.keep(classes, "classes")
 
+    hashing = Hashing(tables, projections, step)
+
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = np.zeros((len(batch), tables), np.uint64)
             for rows, v in _matrices(batch.column("v")):
-                keys[rows] = bucket_keys(*unit_rows(v), tables, projections, step)
+                keys[rows] = hashing.keys(*unit_rows(v))
             offsets = np.arange(len(batch) + 1, dtype=np.int32) * tables
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "keys"])
@@ -162,38 +181,16 @@ def near_vectors(
     units = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     units = units.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "copies", "v")
     dealt = units.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    worker = Block(threshold, tables, projections, step)
+    worker = Block(threshold, hashing)
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+    def compared(held: pa.Table) -> pa.RecordBatch:
+        col = lambda c: np.asarray(held.column(c))
+        matrix = np.asarray(held.column("v").combine_chunks().flatten()).reshape(len(held), -1)
+        key, i, j = (held.column(c)[0].as_py() for c in ("key", "i", "j"))
+        got = worker.compare(key, col("rep"), col("copies"), matrix, col("own"), i != j)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in got], names=["rep", "links", "low"])
 
-        def finish() -> pa.RecordBatch:
-            data = pa.Table.from_batches(held).combine_chunks()
-            v = data.column("v").combine_chunks()
-            matrix = np.asarray(v.flatten()).reshape(len(v), -1)
-            col = lambda c: np.asarray(data.column(c))
-            key, i, j = (int(data.column(c)[0].as_py()) for c in ("key", "i", "j"))
-            got = worker.compare(key, col("rep"), col("copies"), matrix, col("own"), i != j)
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in got], names=["rep", "links", "low"])
-
-        current = None
-        for batch in batches:
-            at = [np.asarray(batch.column(c)) for c in ("key", "i", "j")]
-            cuts = np.flatnonzero(np.any([x[1:] != x[:-1] for x in at], axis=0)) + 1 if len(batch) else []
-            bounds = [0, *cuts, len(batch)]
-            for a, b in zip(bounds, bounds[1:], strict=False):
-                if a == b:
-                    continue
-                unit = tuple(int(x[a]) for x in at)
-                if held and unit != current:
-                    yield finish()
-                    held.clear()
-                current = unit
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield finish()
-
-    found = scratch.keep(dealt.mapInArrow(compared, "rep long, links long, low long"), "found")
+    found = scratch.keep(dealt.mapInArrow(each_unit(["key", "i", "j"], compared), "rep long, links long, low long"), "found")
     scratch.drop("reps", "sizes")
     merged = components(found.where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b")).distinct())
     counted = found.groupBy("rep").agg(F.sum("links").alias("links"))
