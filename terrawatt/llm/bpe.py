@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrawatt.llm.shipping import ship, shipped
 from terrawatt.llm.textcore import buffers, class_table, pretoken_starts, ragged, slices, tile
 from terrawatt.llm.vocab_hash import Vocabulary, read_ranks
 
@@ -104,7 +105,7 @@ class Encoder:
 
 def tables(spark: SparkSession, ranks_path: str):
     """Broadcast of (vocabulary, code point classes): a few MB, fixed by the vocabulary file."""
-    return spark.sparkContext.broadcast((Vocabulary(read_ranks(ranks_path)), class_table()))
+    return ship(spark, (Vocabulary(read_ranks(ranks_path)), class_table()))
 
 
 def bpe_digest(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False) -> DataFrame:
@@ -117,7 +118,7 @@ def bpe_digest(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", text_co
     shared = tables(docs.sparkSession, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, classes = shared.value
+        vocabulary, classes = shipped(shared)
         encoder = Encoder(vocabulary, classes)
         decimal = pa.array([b"%d " % i for i in range(len(vocabulary.tokens))], pa.large_binary())
         for batch in batches:
@@ -145,7 +146,7 @@ def decode(docs: DataFrame, ranks_path: str, ids_col: str = "ids", out_col: str
 
     @F.pandas_udf("binary")
     def joined(column):
-        tokens = shared.value[0].tokens.to_pylist()
+        tokens = shipped(shared)[0].tokens.to_pylist()
         return column.map(lambda ids: None if ids is None else b"".join(tokens[i] for i in ids))
 
     return docs.withColumn(out_col, joined(F.col(ids_col)))

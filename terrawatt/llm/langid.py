@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrawatt.llm.scratch import Scratch
+from terrawatt.llm.shipping import ship, shipped
 from terrawatt.llm.textcore import LETTER, buffers, byte_classes, class_table, mix, pretoken_starts, slices, tile
 from terrawatt.llm.vocab_hash import VocabHash, read_ranks
 
@@ -152,10 +153,10 @@ def train(docs: DataFrame, ranks_path: str, rounds: int = 2, train_docs: int = T
         return [], np.zeros(0), np.zeros((pieces.n + 1, 0)), pieces
     share = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, train_docs / sizes[k]))])
     chosen = known.where(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
-    shared = spark.sparkContext.broadcast((pieces, class_table()))
+    shared = ship(spark, (pieces, class_table()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = shared.value[1]
+        classes = shipped(shared)[1]
         for batch in batches:
             for part in slices(batch, "text"):
                 words = Words(part.column("text"), classes)
@@ -175,7 +176,7 @@ def train(docs: DataFrame, ranks_path: str, rounds: int = 2, train_docs: int = T
         model = spark.sparkContext.broadcast(probs)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own, total = shared.value[0], None
+            own, total = shipped(shared)[0], None
             for batch in batches:
                 got = expected_counts(batch.column("word"), np.asarray(batch.column("lang")), np.asarray(batch.column("n"), float), own, model.value)
                 total = got if total is None else total + got
@@ -206,10 +207,10 @@ def identify(docs: DataFrame, training: DataFrame, ranks_path: str, text_col: st
     """
     spark = docs.sparkSession
     langs, shares, probs, pieces = train(training, ranks_path)
-    shared = spark.sparkContext.broadcast((pieces, class_table(), probs, np.log(shares)))
+    shared = ship(spark, (pieces, class_table(), probs, np.log(shares)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, classes, model, prior = shared.value
+        own, classes, model, prior = shipped(shared)
         for batch in batches:
             for part in slices(batch, text_col):
                 words = Words(part.column(text_col), classes)

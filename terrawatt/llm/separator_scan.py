@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from terrawatt.llm.bpe import Encoder, tables
 from terrawatt.llm.scratch import Scratch
+from terrawatt.llm.shipping import shipped
 from terrawatt.llm.textcore import slices
 
 #: Ids of 16 bits hold vocabularies of up to 65,536 tokens.
@@ -37,7 +38,7 @@ def flat_blocks(docs: DataFrame, ranks_path: str, separator: int, block_bytes: i
     shared = tables(docs.sparkSession, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*shared.value)
+        encoder = Encoder(*shipped(shared))
         file, block = TaskContext.get().partitionId(), 0
         size = block_bytes // 2
         rest, closed = np.zeros(0, DTYPE), []  # closed: (position of the separator in `rest`, id)
