@@ -168,7 +168,7 @@ def spatial_clip_to_boundary(df: DataFrame, boundary: DataFrame, key: str = "id"
     """
     left = df if key == "id" else df.withColumnRenamed(key, "id")
     parts = boundary.withColumn("id", F.monotonically_increasing_id()) if "id" not in boundary.columns else boundary
-    inside = join_spatial_intersects(left, parts, cell).select(F.col("a_id").alias(key)).distinct()
+    inside = join_spatial_intersects(left, parts, cell).select(F.col("a_id").alias(key))
     return df.join(inside, key, "left_semi")
 
 
