@@ -8,6 +8,8 @@ expected tokens of each domain, rate x tokens x posterior summed over documents,
 from __future__ import annotations
 
 import math
+import warnings
+from statistics import NormalDist
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -15,11 +17,12 @@ from pyspark.sql import functions as F
 
 from terrawatt.llm.scratch import Scratch
 
-#: A word counts for a domain if its document frequency there is off by so many standard deviations and
-#: by this factor.
-LEAST_DEVIATION, LEAST_FACTOR = 12.0, 4.0
-#: Labelled documents that the classifier is fitted on, in expectation (documented bound of the fit).
+#: Words that differ between domains by chance alone and still enter the model, in expectation.
+FALSE_WORDS = 1.0
+#: Labelled documents of each domain that the classifier is fitted on, in expectation (documented bound of the fit).
 TRAIN_DOCS = 20_000
+#: Parts of the labelled documents; each is scored by words of the other parts to weigh the scores.
+FOLDS = 4
 ROUNDS = 25
 
 
@@ -32,44 +35,149 @@ def token_count(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
 
 
-def _key(word: Column) -> Column:
-    """64-bit key of a word without the punctuation around it."""
-    return F.xxhash64(F.regexp_replace(word, "^[.,;:!?]+|[.,;:!?]+$", ""))
+def _keys(words: Column) -> Column:
+    """64-bit keys of the distinct words without the punctuation around them."""
+    return F.array_distinct(F.transform(F.array_distinct(words), lambda w: F.xxhash64(F.btrim(w, F.lit(".,;:!?")))))
 
 
-def word_model(docs: DataFrame, labelled: DataFrame, domains: list[str], train_docs: int):
-    """(log prior by domain, table of word key -> log odds and log absence by domain) from labelled documents.
+def _ratio(k, rest, n, m, lib=np):
+    """Likelihood ratio statistic of k in n documents against `rest` in m, as arrays or (lib F) columns."""
+    share = (k + rest) / (n + m)
+
+    def part(x, e):
+        if lib is F:
+            return F.when(x > 0, x * F.log(x / e)).otherwise(0.0)
+        return np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / np.maximum(e, 1e-9)), 0.0)
+
+    return 2 * (part(k, share * n) + part(n - k, n - share * n) + part(rest, share * m) + part(m - rest, m - share * m))
+
+
+def _threshold(totals: np.ndarray, words: np.ndarray, docs_in: np.ndarray) -> tuple[float, int]:
+    """(least significant statistic, least documents that can reach it).
+
+    One-sided and corrected for the number of tests, words x domains; a word too rare or too common to reach the
+    threshold whatever its domains are is no test. `words` words are in `totals` documents.
+    """
+    n = docs_in[:, None]
+    most = np.minimum(totals[None, :], n)
+    reach = np.where((n > 0) & (n < docs_in.sum()), _ratio(most, totals[None, :] - most, n, docs_in.sum() - n), 0.0)
+    grid = np.sort(np.unique(reach))[::-1]
+    order = np.argsort(-reach, axis=None)
+    tests = np.cumsum(np.broadcast_to(words, reach.shape).ravel()[order])[np.searchsorted(-reach.ravel()[order], -grid, "right") - 1]
+    cut = np.array([NormalDist().inv_cdf(1 - min(0.5, FALSE_WORDS / max(t, 1.0))) ** 2 for t in tests])
+    # Tests fall and the threshold with them as the reach asked for rises; the least reach that meets its own threshold counts.
+    fits = np.flatnonzero(grid >= cut)
+    least = float(cut[fits[-1]]) if len(fits) else np.inf
+    able = totals[(reach >= least).any(0)]
+    return least, int(able.min()) if len(able) else 0
+
+
+def weigh(scores: np.ndarray, domain: np.ndarray, k: int) -> np.ndarray:
+    """Weights (k + 1 x k, the last row added) that turn scores of unseen documents into log posteriors.
+
+    Multinomial logistic regression by Newton steps, with a unit ridge on the weights and one document of each
+    domain added without any evidence.
+    """
+    x = np.vstack([np.column_stack([scores, np.ones(len(scores))]), np.column_stack([np.zeros((k, k)), np.ones(k)])])
+    y = np.vstack([np.eye(k)[domain], np.eye(k)])
+    ridge = np.append(np.ones(k), 1e-6)[:, None] * np.ones(k)
+
+    def loss(w):
+        z = x @ w
+        top = z.max(1)
+        return (top + np.log(np.exp(z - top[:, None]).sum(1)) - (z * y).sum(1)).sum() + (ridge * w * w).sum() / 2
+
+    w = np.zeros((k + 1, k))
+    for _ in range(100):
+        z = x @ w
+        p = np.exp(z - z.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        gradient = x.T @ (p - y) + ridge * w
+        hessian = np.block([[(x * (p[:, i] * ((i == j) - p[:, j]))[:, None]).T @ x for j in range(k)] for i in range(k)])
+        step = np.linalg.solve(hessian + np.diag(ridge.T.ravel()), gradient.T.ravel()).reshape(k, k + 1).T
+        size = 1.0
+        while size > 1e-6 and loss(w - size * step) > loss(w):
+            size /= 2
+        w = w - size * step
+        if np.abs(size * step).max() < 1e-8:
+            break
+    return w
+
+
+def word_model(docs: DataFrame, labelled: DataFrame, domains: list[str], train_docs: int) -> tuple[np.ndarray, DataFrame]:
+    """(log prior by domain of a document without model words, table of word key -> weighted log odds) from labelled documents.
 
     Words count once per document, and documents that agree in three least hashes of their words once
     per domain, so that a text with many exact or near copies lends its words little weight. The model
-    keeps the words that some domain has significantly more often than all documents have; domains
-    where a word's frequency is not out of the ordinary take the overall one. Presence and absence of
-    these words both count. Words that a domain lacks are no evidence: they follow language and length.
+    keeps the words that some domain has significantly more often than the other labels, by a likelihood
+    ratio test corrected for the number of words; domains that do not differ take the overall frequency.
+    Presence and absence of these words both count. Words go together (language, length), so their plain sum
+    is far too sure: each part of the documents is scored by the words of the others, and a regression
+    on these scores weighs them. Domains are sampled each for itself; the prior makes up for it.
     """
-    known = docs.join(labelled.select("id", "domain").where(F.col("domain").isin(domains)).dropDuplicates(["id"]), "id")
-    total = labelled.count()
-    known = known.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < min(1.0, train_docs / max(total, 1)) * (1 << 30))
-    known = known.select("domain", F.array_distinct(words_of(F.col("text"))).alias("words"))
-    least = [F.array_min(F.transform("words", lambda w, k=k: F.xxhash64(w, F.lit(k)))) for k in range(3)]
+    k, spark = len(domains), docs.sparkSession
+    scratch = Scratch(spark, "mixing-model")
+    own = labelled.select("id", "domain").where(F.col("domain").isin(domains)).dropDuplicates(["id"])
+    sizes = {r["domain"]: r["n"] for r in own.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rates = [min(1.0, train_docs / max(sizes.get(d, 0), 1)) for d in domains]
+    which = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")).cast("int") - 1
+    own = own.select("id", which.alias("domain"))
+    own = own.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < F.get(F.array(*[F.lit(r) for r in rates]), F.col("domain")) * (1 << 30))
+    known = docs.join(own, "id").select("domain", _keys(words_of(F.col("text"))).alias("keys"))
+    least = [F.array_min(F.transform("keys", lambda w, s=s: F.xxhash64(w, F.lit(s)))) for s in range(3)]
     known = known.withColumn("print", F.xxhash64(*least)).dropDuplicates(["domain", "print"])
-    one = lambda d: F.sum((F.col("domain") == d).cast("long"))
-    sizes = known.agg(*[one(d).alias(f"n{i}") for i, d in enumerate(domains)]).first()
-    docs_in = [float(sizes[f"n{i}"] or 0) for i in range(len(domains))]
-    words = known.select("domain", F.explode("words").alias("word"))
-    counts = words.groupBy(_key(F.col("word")).alias("key")).agg(*[one(d).cast("double").alias(f"n{i}") for i, d in enumerate(domains)])
-    seen = sum((F.col(f"n{i}") for i in range(1, len(domains))), F.col("n0"))
-    share = F.least(seen / max(sum(docs_in), 1.0), F.lit(1.0))
-    odds, absent, told = [], [], F.lit(False)
-    for i, n in enumerate(docs_in):
-        p = F.least((F.col(f"n{i}") + share * 20.0) / (n + 20.0), F.lit(0.999))
-        off = F.abs(F.col(f"n{i}") - share * n) / F.sqrt(share * n + 0.5)
-        tells = (off >= LEAST_DEVIATION) & (F.abs(F.log(p / share)) >= math.log(LEAST_FACTOR))
-        p = F.when(tells, p).otherwise(F.least(share, F.lit(0.999)))
-        told = told | (tells & (p > share))
-        odds.append(F.log(p / (1 - p)).alias(f"l{i}"))
-        absent.append(F.log(1 - p).alias(f"a{i}"))
-    prior = np.log((np.array(docs_in) + 1) / (sum(docs_in) + len(domains)))
-    model = counts.where(told).select("key", *odds, *absent)
+    known = scratch.keep(known.withColumn("fold", F.pmod("print", F.lit(FOLDS)).cast("int")), "known")
+    docs_in = np.zeros((FOLDS, k))
+    for r in known.groupBy("fold", "domain").agg(F.count(F.lit(1)).alias("n")).collect():
+        docs_in[r["fold"], r["domain"]] = r["n"]
+    cells = [(f, i) for f in range(FOLDS) for i in range(k)]
+    sums = [F.sum(((F.col("fold") == f) & (F.col("domain") == i)).cast("long")).cast("double").alias(f"n{f}_{i}") for f, i in cells]
+    counts = known.select("fold", "domain", F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).cast("double").alias("total"), *sums)
+    counts = scratch.keep(counts.where("total > 1"), "counts")
+    tally = counts.groupBy("total").agg(F.count(F.lit(1)).cast("double").alias("words")).orderBy("total").collect()
+    limit, rarest = _threshold(np.array([r["total"] for r in tally]), np.array([r["words"] for r in tally]), docs_in.sum(0)) if tally else (np.inf, 0)
+
+    # One row per word and part left out, and one (FOLDS) with nothing left out.
+    left = np.array([docs_in.sum(0) - (docs_in[f] if f < FOLDS else 0) for f in range(FOLDS + 1)])
+    rows = [
+        F.struct(
+            F.lit(v).alias("part"),
+            *[sum((F.col(f"n{f}_{i}") for f in range(FOLDS) if f != v), F.lit(0.0)).alias(f"c{i}") for i in range(k)],
+            *[F.lit(float(left[v, i])).alias(f"d{i}") for i in range(k)],
+        )
+        for v in range(FOLDS + 1)
+    ]
+    able = counts.where((F.col("total") >= rarest) & F.lit(bool(np.isfinite(limit))))
+    split = able.select("key", F.explode(F.array(*rows)).alias("row")).select("key", "row.*")
+    c, d = [F.col(f"c{i}") for i in range(k)], [F.col(f"d{i}") for i in range(k)]
+    split = split.select("*", sum(c[1:], c[0]).alias("seen"), sum(d[1:], d[0]).alias("all")).where("seen > 0 AND seen < all")
+    share = F.col("seen") / F.col("all")
+    tells, told, split_p = [], F.lit(False), []
+    for i in range(k):
+        differs = (d[i] > 0) & (d[i] < F.col("all")) & (_ratio(c[i], F.col("seen") - c[i], d[i], F.col("all") - d[i], F) >= F.lit(float(limit)))
+        tells.append(differs.alias(f"t{i}"))
+        told = told | (F.col(f"t{i}") & (c[i] > share * d[i]))
+        p = F.when(F.col(f"t{i}"), (c[i] + share * 2.0) / (d[i] + 2.0)).otherwise(share)
+        split_p.append(F.least(F.greatest(p, F.lit(1e-6)), F.lit(0.999)).alias(f"p{i}"))
+    split = split.select("*", *tells).where(told).select("key", "part", *split_p)
+    logs = [[F.log(F.col(f"p{i}") / (1 - F.col(f"p{i}"))) for i in range(k)], [F.log(1 - F.col(f"p{i}")) for i in range(k)]]
+    centred = [[(x - sum(of[1:], of[0]) / k).alias(f"{name}{i}") for i, x in enumerate(of)] for name, of in zip("la", logs, strict=True)]
+    model = scratch.keep(split.select("key", "part", *centred[0], *centred[1]), "words")
+
+    none = np.zeros((FOLDS + 1, k))  # log odds where no word of the model is present
+    for r in model.groupBy("part").agg(*[F.sum(f"a{i}").alias(f"a{i}") for i in range(k)]).collect():
+        none[r["part"]] = [r[f"a{i}"] for i in range(k)]
+    if not none[FOLDS].any() and docs_in.any():
+        warnings.warn("no word tells the domains apart: every document gets their shares as its posterior", stacklevel=2)
+    words = known.select("domain", "print", "fold", F.explode_outer("keys").alias("key"))
+    met = words.join(F.broadcast(model.where(F.col("part") < FOLDS).withColumnRenamed("part", "fold")), ["fold", "key"], "left")
+    found = met.groupBy("domain", "print").agg(F.first("fold").alias("fold"), *[F.coalesce(F.sum(f"l{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(k)]).toPandas()
+    scores = found[[f"s{i}" for i in range(k)]].to_numpy(float).reshape(-1, k) + none[found["fold"].to_numpy(int)]
+    w = weigh(scores, found["domain"].to_numpy(int), k)
+    prior = none[FOLDS] @ w[:k] + w[k] - np.log(rates)
+    mixed_logs = [sum((F.col(f"l{i}") * float(w[i, j]) for i in range(1, k)), F.col("l0") * float(w[0, j])).alias(f"l{j}") for j in range(k)]
+    model = scratch.keep(model.where(F.col("part") == FOLDS).select("key", *mixed_logs), "model")
+    scratch.drop("known", "counts", "words")
     return prior, model
 
 
@@ -78,17 +186,11 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], train_d
 
     A document's distinct words are exploded, meet the model table and are
     summed by document before any shuffle, as all words of a document are in one partition. The table
-    is broadcast: its words are each in a dozen training documents or more, whose number is bounded.
+    is broadcast: its words are each in several training documents, whose number is bounded.
     """
-    scratch = Scratch(docs.sparkSession, "mixing-model")
     prior, model = word_model(docs, labelled, domains, train_docs)
-    model = scratch.keep(model, "model")
-    none = model.agg(*[F.sum(f"a{i}").alias(f"a{i}") for i in range(len(domains))]).first()  # no word of the model present
-    prior = prior + np.array([none[f"a{i}"] or 0.0 for i in range(len(domains))])
-    model = model.select("key", *[f"l{i}" for i in range(len(domains))])
     split = docs.select("id", words_of(F.col("text")).alias("words"))
-    words = split.select("id", F.size("words").alias("n"), F.posexplode_outer(F.array_distinct("words")).alias("nth", "word"))
-    keyed = words.select("id", "n", "nth", _key(F.col("word")).alias("key")).join(F.broadcast(model), "key", "left")
+    keyed = split.select("id", F.size("words").alias("n"), F.posexplode_outer(_keys(F.col("words"))).alias("nth", "key")).join(F.broadcast(model), "key", "left")
     logs = [F.coalesce(F.sum(f"l{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(len(domains))]
     scored = keyed.groupBy("id").agg(F.coalesce(F.sum(F.when(F.col("nth") == 0, F.col("n"))), F.lit(0)).cast("long").alias("n_tokens"), *logs)
     score = [F.col(f"s{i}") + F.lit(float(prior[i])) for i in range(len(domains))]

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from terrawatt.llm.queries import domains, held_out
 from terrawatt.llm.soft_mixing import fit_rates, mixed, posteriors
 
 WORDS = {"x": "alpha beta gamma", "y": "delta epsilon zeta"}
@@ -53,3 +54,32 @@ def test_odd_rows_and_no_python(spark):
     assert all(r.rate == 1.0 and r.copies == 1 for r in none.collect())
     assert mixed(docs.where("false"), labelled, {"x": 0.5, "y": 0.5}, "x").count() == 0
     assert posteriors(docs.selectExpr("doc_id AS id", "text"), labelled, ["x", "y"]).count() == 5
+
+
+@pytest.mark.parametrize("share", [4, 2])
+def test_few_labels_and_even_domains_separate(spark, share):
+    rows = [(i, " ".join([f"u{i} v{i} w{i}"] + [WORDS["x" if i % share else "y"]] * (1 + i % 5))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    labelled = spark.createDataFrame([(i, "x" if i % share else "y") for i in range(0, 200, 3)], "id long, domain string")
+    got = posteriors(docs, labelled, ["x", "y"]).collect()
+    assert len(got) == 200 and all(abs(r.p0 - bool(r.id % share)) < 0.05 for r in got)
+
+
+def test_held_out_labels_at_a_hundredth(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("cast(doc_id AS long) AS id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    unseen = labels.where(held_out()).selectExpr("cast(doc_id AS long) AS id", "toxic", "quality")
+    p = posteriors(docs, domains(labels), ["clean", "low", "toxic"]).join(unseen, "id").toPandas()
+    truth = np.where(p.toxic == 1, 2, np.where(p.quality == 0, 1, 0))
+    q = p[["p0", "p1", "p2"]].to_numpy()
+    # The shares of the domains as everybody's posterior have a loss of 0.87 here.
+    assert -np.log(q[np.arange(len(q)), truth]).mean() < 0.6
+    assert q[truth == 2, 2].mean() > 0.5 and q[truth != 2, 2].mean() < 0.1
+    assert q[truth == 1, 1].mean() > 3 * q[truth == 0, 1].mean()
+
+
+def test_labels_that_nothing_tells_apart_are_reported(spark):
+    docs = spark.createDataFrame([(i, "alpha beta") for i in range(20)], "id long, text string")
+    labelled = spark.createDataFrame([(i, "xy"[i % 2]) for i in range(20)], "id long, domain string")
+    with pytest.warns(UserWarning, match="tells the domains apart"):
+        assert all(r.p0 == pytest.approx(0.5) for r in posteriors(docs, labelled, ["x", "y"]).collect())
