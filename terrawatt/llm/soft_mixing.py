@@ -24,6 +24,8 @@ TRAIN_DOCS = 20_000
 #: Parts of the labelled documents; each is scored by words of the other parts to weigh the scores.
 FOLDS = 4
 ROUNDS = 25
+#: Gap between expected and wanted tokens, as a share of a domain's tokens, that counts as none.
+LEAST_GAP = 1e-9
 
 
 def words_of(text: Column) -> Column:
@@ -221,7 +223,7 @@ def fit_rates(table: DataFrame, targets: np.ndarray, rounds: int = ROUNDS) -> tu
     expected = np.array([base[f"e{i}"] or 0.0 for i in range(k)])
     for _ in range(rounds):
         gap = (targets - expected) / mass
-        if np.abs(gap).max() < 1e-9:
+        if np.abs(gap).max() < LEAST_GAP:
             break
         move = sum((p[i] * float(eta * gap[i]) for i in range(1, k)), p[0] * float(eta * gap[0]))
         rate = F.greatest(F.lit(0.0), rate + move)
@@ -230,6 +232,50 @@ def fit_rates(table: DataFrame, targets: np.ndarray, rounds: int = ROUNDS) -> tu
     return rate, expected
 
 
+def exact_rates(table: DataFrame, targets: np.ndarray) -> tuple[Column, np.ndarray]:
+    """(rate as an expression over p0 .. pk, expected tokens by domain under it), by Newton steps on the k sums.
+
+    Among the rates >= 0 that meet the targets, the ones nearest to 1 (squares weighted by n_tokens) are
+    max(0, 1 + sum_k x_k p_dk); the k numbers x are found by Newton steps with halving, one aggregation each. Where
+    no rates meet the targets, a ridge of 1e-8 makes it the least squares solution of `fit_rates`.
+    """
+    k = len(targets)
+    p = [F.col(f"p{i}") for i in range(k)]
+    tokens = F.col("n_tokens").cast("double")
+
+    def at(x: np.ndarray):
+        rate = F.greatest(F.lit(0.0), sum((p[i] * float(x[i]) for i in range(k)), F.lit(1.0)))
+        pairs = [(i, j) for i in range(k) for j in range(i + 1)]
+        active = F.when(F.col("rate") > 0, F.col("n")).otherwise(0.0)
+        sums = [F.sum(F.col("n") * F.col("rate") * p[i]).alias(f"e{i}") for i in range(k)]
+        second = [F.sum(active * p[i] * p[j]).alias(f"h{i}_{j}") for i, j in pairs]
+        got = table.select(*p, tokens.alias("n"), rate.alias("rate")).agg(*sums, *second, F.sum(F.col("n") * F.col("rate") * F.col("rate")).alias("q")).first()
+        hessian = np.zeros((k, k))
+        for i, j in pairs:
+            hessian[i, j] = hessian[j, i] = got[f"h{i}_{j}"] or 0.0
+        return rate, np.array([got[f"e{i}"] or 0.0 for i in range(k)]), hessian, got["q"] or 0.0
+
+    x = np.zeros(k)
+    rate, expected, hessian, square = at(x)
+    mass = np.maximum(expected, 1.0)
+    ridge = 1e-8 * mass
+    dual = lambda x, square: targets @ x - square / 2 - (ridge * x * x).sum() / 2
+    for _ in range(100):
+        slope = targets - expected - ridge * x
+        if np.abs(slope / mass).max() < LEAST_GAP:
+            break
+        step, size = np.linalg.solve(hessian + np.diag(ridge), slope), 1.0
+        new = at(x + step)
+        while dual(x + size * step, new[3]) < dual(x, square) and size > 1e-6:
+            size /= 2
+            new = at(x + size * step)
+        if size <= 1e-6:  # no gain is left within the precision of the sums
+            break
+        x = x + size * step
+        rate, expected, hessian, square = new
+    return rate, expected
+
+
 def mixed(
     docs: DataFrame, labelled: DataFrame, weights: dict[str, float], anchor: str,
     id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, rounds: int = ROUNDS,
@@ -239,7 +285,8 @@ def mixed(
     `labelled` has (id, domain) rows; `weights` are the wanted shares of tokens. The total is what keeps
     the `anchor` domain as large as it is, so a weight below a domain's natural share thins it out and
     one above repeats it. `copies` is the rate rounded down or up by a hash of the id, so its mean is
-    the rate. A null or empty text has no tokens, posteriors by the prior and takes part with its rate.
+    the rate. Where the gradient rounds leave a gap, exact steps close it; targets that no rates meet are
+    reported as a warning. A null or empty text has no tokens, posteriors by the prior and takes part with its rate.
     Without labelled rows nothing is known of the domains and every rate is 1. Rows that repeat an id are one document with
     all their words; other columns of the input are ignored.
     """
@@ -251,7 +298,14 @@ def mixed(
     i = domains.index(anchor)
     whole = float(table.agg(F.sum(tokens * F.col(f"p{i}"))).first()[0] or 0.0) / (weights[anchor] / math.fsum(weights.values()))
     targets = np.array([weights[d] for d in domains]) / math.fsum(weights.values()) * whole
-    rate = F.lit(1.0) if labelled.isEmpty() else fit_rates(table, targets, rounds)[0]
+    rate = F.lit(1.0)
+    if not labelled.isEmpty():
+        rate, expected = fit_rates(table, targets, rounds)
+        if np.abs(targets - expected).max() > LEAST_GAP * max(whole, 1.0):
+            rate, expected = exact_rates(table, targets)
+        if np.abs(targets - expected).max() > 1e-6 * max(whole, 1.0):
+            reached = ", ".join(f"{d} {e:.6g} of {t:.6g}" for d, e, t in zip(domains, expected, targets, strict=True))
+            warnings.warn(f"the posteriors cannot meet the mixing targets; expected tokens: {reached}", stacklevel=2)
     draw = F.pmod(F.xxhash64("id", F.lit(23)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     names = [F.col(f"p{j}").alias(f"p_{d}") for j, d in enumerate(domains)]
     fitted = table.withColumn("rate", rate)

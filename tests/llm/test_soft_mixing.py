@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from terrawatt.llm.queries import domains, held_out
-from terrawatt.llm.soft_mixing import fit_rates, mixed, posteriors
+from terrawatt.llm.soft_mixing import exact_rates, fit_rates, mixed, posteriors
 
 WORDS = {"x": "alpha beta gamma", "y": "delta epsilon zeta"}
 
@@ -83,3 +83,25 @@ def test_labels_that_nothing_tells_apart_are_reported(spark):
     labelled = spark.createDataFrame([(i, "xy"[i % 2]) for i in range(20)], "id long, domain string")
     with pytest.warns(UserWarning, match="tells the domains apart"):
         assert all(r.p0 == pytest.approx(0.5) for r in posteriors(docs, labelled, ["x", "y"]).collect())
+
+
+def test_overlapping_domains_meet_their_targets(spark):
+    rng = np.random.default_rng(1)
+    first = rng.uniform(0.4, 0.6, 300)
+    rows = [(int(n), float(a), float(1 - a)) for n, a in zip(rng.integers(1, 50, 300), first, strict=True)]
+    table = spark.createDataFrame(rows, "n_tokens long, p0 double, p1 double")
+    whole = sum(r[0] for r in rows)
+    target = np.array([0.56, 0.44]) * whole
+    assert np.abs(fit_rates(table, target)[1] - target).max() > 0.001 * whole
+    rate, expected = exact_rates(table, target)
+    got = table.select("*", rate.alias("r")).toPandas()
+    assert (got.r >= 0).all() and np.allclose([(got.r * got.n_tokens * got[c]).sum() for c in ("p0", "p1")], target, rtol=1e-6)
+    assert np.allclose(expected, target, rtol=1e-6)
+
+
+def test_unreachable_targets_are_reported(spark):
+    docs = spark.createDataFrame([(i, "alpha beta") for i in range(20)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "xy"[i % 2]) for i in range(20)], "id long, domain string")
+    with pytest.warns(UserWarning, match="cannot meet the mixing targets"):
+        rows = mixed(docs, labelled, {"x": 0.9, "y": 0.1}, "x").collect()
+    assert len(rows) == 20 and all(r.rate >= 0 for r in rows)
