@@ -125,7 +125,8 @@ def word_model(docs: DataFrame, labelled: DataFrame, domains: list[str], train_d
     which = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")).cast("int") - 1
     own = own.select("id", which.alias("domain"))
     own = own.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < F.get(F.array(*[F.lit(r) for r in rates]), F.col("domain")) * (1 << 30))
-    known = docs.join(own, "id").select("domain", _keys(words_of(F.col("text"))).alias("keys"))
+    own = scratch.keep(own, "labels")  # at most train_docs of each domain in expectation: sent to the texts, which stay where they are
+    known = docs.join(F.broadcast(own), "id").select("domain", _keys(words_of(F.col("text"))).alias("keys"))
     least = [F.array_min(F.transform("keys", lambda w, s=s: F.xxhash64(w, F.lit(s)))) for s in range(3)]
     known = known.withColumn("print", F.xxhash64(*least)).dropDuplicates(["domain", "print"])
     known = scratch.keep(known.withColumn("fold", F.pmod("print", F.lit(FOLDS)).cast("int")), "known")
@@ -179,7 +180,7 @@ def word_model(docs: DataFrame, labelled: DataFrame, domains: list[str], train_d
     prior = none[FOLDS] @ w[:k] + w[k] - np.log(rates)
     mixed_logs = [sum((F.col(f"l{i}") * float(w[i, j]) for i in range(1, k)), F.col("l0") * float(w[0, j])).alias(f"l{j}") for j in range(k)]
     model = scratch.keep(model.where(F.col("part") == FOLDS).select("key", *mixed_logs), "model")
-    scratch.drop("known", "counts", "words")
+    scratch.drop("labels", "known", "counts", "words")
     return prior, model
 
 
