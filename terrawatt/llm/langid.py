@@ -20,74 +20,102 @@ from pyspark.sql import types as T
 from terrawatt.llm.scratch import Scratch
 from terrawatt.llm.shipping import ship, shipped
 from terrawatt.llm.textcore import LETTER, buffers, byte_classes, class_table, mix, pretoken_starts, slices, tile
-from terrawatt.llm.vocab_hash import VocabHash, read_ranks
+from terrawatt.llm.vocab_hash import VocabHash, Vocabulary, read_ranks
 
-#: Pieces are the vocabulary's tokens of at most this many bytes; with the length they fit 64 bits exactly.
+#: Pieces of at most this many bytes fit 64 bits with their length; longer ones are compared byte by byte.
 PIECE_BYTES = 7
-#: Longer pre-tokens are scored in consecutive runs of this many bytes.
-RUN_BYTES = 48
+#: Forward and backward sums are rescaled after so many bytes, which keeps them within the range of doubles.
+STEP_BYTES = 16
+#: Bytes of pre-tokens that are worked on at once.
+GRID_BYTES = 1 << 16
 #: Training documents per language, in expectation (documented bound of the fit).
 TRAIN_DOCS = 400
-#: Keeps forward sums of long pre-tokens within the range of doubles; taken out again in logarithms.
-_SCALE = 64.0
 _LOW = np.array([(1 << (8 * n)) - 1 for n in range(PIECE_BYTES + 1)], np.uint64)
 
 
 class Pieces:
-    """The vocabulary's pieces of up to PIECE_BYTES bytes, found by an exact 64-bit key."""
+    """The vocabulary's pieces: short ones by an exact 64-bit key, longer ones (ids from `short` on) by a hash and their bytes."""
 
     def __init__(self, ranks_path: str):
-        pieces = sorted({t for t in read_ranks(ranks_path) if 0 < len(t) <= PIECE_BYTES} | {bytes([b]) for b in range(256)})
+        tokens = set(read_ranks(ranks_path)) - {b""}
+        pieces = sorted({t for t in tokens if len(t) <= PIECE_BYTES} | {bytes([b]) for b in range(256)})
         keys = np.array([int.from_bytes(t, "little") | len(t) << 56 for t in pieces], np.uint64)
-        self.n = len(pieces)
-        self.lens = np.array([len(t) for t in pieces])
         self.hash = VocabHash(mix(keys))
+        self.short = len(pieces)
+        longer = sorted(t for t in tokens if len(t) > PIECE_BYTES)
+        self.longer = Vocabulary(longer)
+        self.sizes = sorted({len(t) for t in longer})
+        #: The first 8 bytes of longer pieces; few places of a text pass.
+        self.heads = VocabHash(mix(np.unique(np.array([int.from_bytes(t[:8], "little") for t in longer], np.uint64))))
+        self.n = len(pieces) + len(longer)
+        self.lens = np.array([len(t) for t in pieces + longer])
 
     def starting(self, loads: np.ndarray, length: int) -> np.ndarray:
-        """The piece of `length` bytes in each 8-byte load, or `n` where there is none."""
+        """The piece of `length` bytes, PIECE_BYTES at most, in each 8-byte load, or `n` where there is none."""
         found = self.hash.find(mix((loads & _LOW[length]) | np.uint64(length << 56)))
         return np.where(found < 0, self.n, found)
 
 
 def _grid(words: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """(word index, bytes as a matrix, length) for runs of equal length; long words come in several runs."""
+    """(word index, bytes as a matrix with 8 more columns, length) for whole words of equal length."""
     data, offsets = buffers(words)
     lens = np.diff(offsets)
-    runs = np.maximum(1, -(-lens // RUN_BYTES))
-    index = np.repeat(np.arange(len(lens)), runs)
-    nth = np.arange(len(index)) - np.repeat(np.cumsum(runs) - runs, runs)
-    starts = offsets[:-1][index] + nth * RUN_BYTES
-    size = np.minimum(lens[index] - nth * RUN_BYTES, RUN_BYTES)
-    order = np.argsort(size, kind="stable")
-    bounds = np.searchsorted(size[order], np.arange(1, RUN_BYTES + 2))
+    order = np.argsort(lens, kind="stable")
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    for length in range(1, RUN_BYTES + 1):
-        group = order[bounds[length - 1] : bounds[length]]
-        for at in range(0, len(group), 8192):
-            part = group[at : at + 8192]
-            yield index[part], padded[starts[part][:, None] + np.arange(length + 8)], length
+    for length in np.unique(lens[lens > 0]).tolist():
+        group = order[np.searchsorted(lens[order], length) : np.searchsorted(lens[order], length, "right")]
+        many = max(1, GRID_BYTES // length)
+        for at in range(0, len(group), many):
+            part = group[at : at + many]
+            yield part, padded[offsets[:-1][part][:, None] + np.arange(length + 8)], length
+
+
+def _found(pieces: Pieces, cells: np.ndarray, length: int) -> list[list[tuple[int, np.ndarray]]]:
+    """found[i]: (bytes, the piece of so many bytes that starts at byte i of each word), for each size met there."""
+    out = [[] for _ in range(length)]
+    loads = [np.ascontiguousarray(cells[:, i : i + 8]).view("<u8")[:, 0] for i in range(length)]
+    for i in range(length):
+        out[i] = [(size, pieces.starting(loads[i], size)) for size in range(1, min(PIECE_BYTES, length - i) + 1)]
+    for i in range(length - PIECE_BYTES):
+        rows = np.flatnonzero(pieces.heads.find(mix(loads[i])) >= 0)
+        for size in pieces.sizes if len(rows) else []:
+            if size > length - i:
+                break
+            spans = np.ascontiguousarray(cells[rows, i : i + size]).ravel()
+            offsets = pa.py_buffer(np.arange(len(rows) + 1, dtype=np.int64) * size)
+            ids = pieces.longer.ids(pa.Array.from_buffers(pa.large_binary(), len(rows), [None, offsets, pa.py_buffer(spans)]))
+            if (ids >= 0).any():
+                whole = np.full(len(cells), pieces.n)
+                whole[rows[ids >= 0]] = ids[ids >= 0] + pieces.short
+                out[i].append((size, whole))
+    return out
 
 
-def _found(pieces: Pieces, cells: np.ndarray, length: int) -> list[list[np.ndarray]]:
-    """found[i][l - 1]: the piece of l bytes that starts at byte i of each word."""
-    out = []
+def _sums(moves: list[list[tuple[int, np.ndarray]]], length: int, shape: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """(sums over all segmentations up to each byte, logarithm of their scale); moves[i] are (bytes, probability) from byte i."""
+    alpha, scale = np.zeros((length + 1, *shape)), np.zeros((length + 1, *shape))
+    alpha[0] = 1.0
+    longest = max(size for row in moves for size, _ in row)
     for i in range(length):
-        loads = np.ascontiguousarray(cells[:, i : i + 8]).view("<u8")[:, 0]
-        out.append([pieces.starting(loads, size) for size in range(1, min(PIECE_BYTES, length - i) + 1)])
-    return out
+        if i:
+            scale[i] = scale[i - 1]
+        if i and i % STEP_BYTES == 0:
+            by = alpha[i].copy()
+            alpha[i : i + longest + 1] /= by
+            scale[i] += np.log(by)
+        for size, q in moves[i]:
+            alpha[i + size] += alpha[i] * q
+    scale[length] = scale[length - 1]
+    return alpha, scale
 
 
 def forward(words: pa.Array, pieces: Pieces, probs: np.ndarray) -> np.ndarray:
     """log P(word | language), one row per word; `probs` has pieces + 1 rows, the last one zero."""
     logs = np.zeros((len(words), probs.shape[1]))
     for index, cells, length in _grid(words):
-        found = _found(pieces, cells, length)
-        alpha = np.zeros((length + 1, len(index), probs.shape[1]))
-        alpha[0] = 1.0
-        for i in range(length):
-            for size, ids in enumerate(found[i], 1):
-                alpha[i + size] += alpha[i] * probs[ids] * _SCALE**size
-        np.add.at(logs, index, np.log(alpha[length]) - length * np.log(_SCALE))
+        moves = [[(size, probs[ids]) for size, ids in row] for row in _found(pieces, cells, length)]
+        alpha, scale = _sums(moves, length, (len(index), probs.shape[1]))
+        logs[index] = np.log(alpha[length]) + scale[length]
     return logs
 
 
@@ -97,19 +125,19 @@ def expected_counts(words: pa.Array, langs: np.ndarray, counts: np.ndarray, piec
     for index, cells, length in _grid(words):
         found = _found(pieces, cells, length)
         lang = langs[index]
-        p = [[probs[ids, lang] * _SCALE**size for size, ids in enumerate(row, 1)] for row in found]
-        alpha, beta = np.zeros((length + 1, len(index))), np.zeros((length + 1, len(index)))
-        alpha[0], beta[length] = 1.0, 1.0
-        for i in range(length):
-            for size, q in enumerate(p[i], 1):
-                alpha[i + size] += alpha[i] * q
-        for i in range(length - 1, -1, -1):
-            for size, q in enumerate(p[i], 1):
-                beta[i] += q * beta[i + size]
-        weight = counts[index] / alpha[length]
+        moves = [[(size, probs[ids, lang]) for size, ids in row] for row in found]
+        back: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(length)]
+        for i, row in enumerate(moves):
+            for size, q in row:
+                back[length - i - size].append((size, q))
+        alpha, up = _sums(moves, length, (len(index),))
+        beta, down = _sums(back, length, (len(index),))
+        beta, down = beta[::-1], down[::-1]
+        whole = np.log(alpha[length]) + up[length]
         for i in range(length):
-            for size, q in enumerate(p[i], 1):
-                np.add.at(total, (found[i][size - 1], lang), alpha[i] * q * beta[i + size] * weight)
+            for (size, q), (_, ids) in zip(moves[i], found[i], strict=True):
+                share = np.exp(up[i] + down[i + size] - whole)
+                np.add.at(total, (ids, lang), alpha[i] * q * beta[i + size] * share * counts[index])
     return total[:-1]
 
 

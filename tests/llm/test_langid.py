@@ -53,3 +53,26 @@ def test_odd_rows_and_empty_training(spark):
     assert got == [(1, "und"), (2, "und"), (3, "und"), (4, "en"), (5, "en"), (5, "en")]
     assert {r.lang_pred for r in identify(docs, language_training(docs.where("false")), RANKS).collect()} == {"und"}
     assert identify(docs.where("false"), language_training(docs), RANKS).count() == 0
+
+
+def test_long_pieces_and_long_words_count_whole():
+    pieces = Pieces(RANKS)
+    tokens = set(read_ranks(RANKS)) - {b""}
+    short = sorted({t for t in tokens if len(t) <= 7} | {bytes([b]) for b in range(256)})
+    known = {t: i for i, t in enumerate(short + sorted(t for t in tokens if len(t) > 7))}
+    rng = np.random.default_rng(3)
+    probs = normalised(rng.uniform(0.1, 1, (pieces.n, 2)), pieces.lens)
+
+    def ways(word):
+        sums = [np.ones(2)] + [np.zeros(2) for _ in word]
+        for i in range(len(word)):
+            for j in range(i + 1, len(word) + 1):
+                if word[i:j] in known:
+                    sums[j] = sums[j] + sums[i] * probs[known[word[i:j]]]
+        return np.log(sums[-1])
+
+    words = [b" because", b" international" * 5, "ж".encode() * 30, "国际".encode() * 9, b" because", b"understanding" * 4]
+    assert np.allclose(forward(pa.array(words, pa.large_binary()), pieces, probs), [ways(w) for w in words])
+    got = expected_counts(pa.array(words, pa.large_binary()), np.array([0, 1, 0, 1, 0, 1]), np.ones(6), pieces, probs)
+    assert np.isclose((got.sum(1) * pieces.lens).sum(), sum(map(len, words))) and got[known[b" because"], 0] > 0
+    assert np.isfinite(forward(pa.array([b"x" * 3000], pa.large_binary()), pieces, probs)).all()
