@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrawatt.llm.bpe import bpe_digest
+from terrawatt.llm.chunk_factors import source_divergence
 from terrawatt.llm.dart_minhash import near_duplicates
 from terrawatt.llm.interleave import interleaved_shards
 from terrawatt.llm.langid import identify
@@ -98,6 +99,10 @@ def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_chunk_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pstable": op1_pstable,
     "op2_byte_bpe": op2_byte_bpe,
@@ -109,6 +114,7 @@ QUERIES = {
     "op8_soft_mixing": op8_soft_mixing,
     "op9_language_id": op9_language_id,
     "op10_dart_minhash": op10_dart_minhash,
+    "op11_chunk_factors": op11_chunk_factors,
 }
 
 #: DuckDB statements; the operators that SQL cannot express are tested against brute force instead.
@@ -192,5 +198,41 @@ WITH texts AS (
   FROM measured
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM marked
+""",
+    "op11_chunk_factors": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), uses AS (
+  SELECT k, lang, source, unnest(terms) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM uses GROUP BY lang, term HAVING count(DISTINCT k) >= 3
+), langs AS (
+  SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), cells AS (
+  SELECT g.lang, g.source, kept.term, kept.n AS lang_n, count(u.k) AS n
+  FROM groups g JOIN kept USING (lang) LEFT JOIN uses u ON u.lang = g.lang AND u.source = g.source AND u.term = kept.term
+  GROUP BY ALL
+), rated AS (
+  SELECT lang, source, term, n, 1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER (PARTITION BY lang, source) + v) AS p,
+         1 + 1000000000::HUGEINT * (lang_n + 1) // (total + v) AS q
+  FROM cells JOIN langs USING (lang)
+), pairs AS (
+  SELECT g.lang, g.source, h.source AS item, coalesce(sum((a.p - b.p) * (a.p - b.p) // b.p), 0)::BIGINT AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN rated a ON a.lang = g.lang AND a.source = g.source
+  LEFT JOIN rated b ON b.lang = h.lang AND b.source = h.source AND b.term = a.term
+  GROUP BY ALL
+), both_parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM rated WHERE n > 0 AND p > q
+), placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM both_parts
+)
+SELECT * FROM placed WHERE part = 'pair' OR rank <= 200
 """,
 }
