@@ -11,6 +11,7 @@ from terrawatt.llm.chunk_factors import source_divergence
 from terrawatt.llm.dart_minhash import near_duplicates
 from terrawatt.llm.interleave import interleaved_shards
 from terrawatt.llm.langid import identify
+from terrawatt.llm.phrase_trees import collocations
 from terrawatt.llm.pu_quality import score_quality
 from terrawatt.llm.pstable_dedup import near_vectors
 from terrawatt.llm.quote_links import link_quotations
@@ -103,6 +104,10 @@ def op11_chunk_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_phrase_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pstable": op1_pstable,
     "op2_byte_bpe": op2_byte_bpe,
@@ -115,6 +120,7 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_dart_minhash": op10_dart_minhash,
     "op11_chunk_factors": op11_chunk_factors,
+    "op12_phrase_trees": op12_phrase_trees,
 }
 
 #: DuckDB statements; the operators that SQL cannot express are tested against brute force instead.
@@ -234,5 +240,39 @@ WITH docs AS (
   SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank FROM both_parts
 )
 SELECT * FROM placed WHERE part = 'pair' OR rank <= 200
+""",
+    "op12_phrase_trees": r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS k, lang, words FROM (
+    SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words
+    FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents)
+  ) WHERE len(words) > 0
+), totals AS (
+  SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang
+), spans AS (
+  SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM pieces
+), counts AS (
+  SELECT lang, words[i : i + size - 1] AS p, count(*) AS f
+  FROM spans, range(1, 5) AS sizes(size) WHERE i + size - 1 <= len(words)
+  GROUP BY ALL HAVING count(*) >= 30
+), candidates AS (
+  SELECT lang, p, f AS a FROM counts WHERE len(p) > 1
+), cuts AS (
+  SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM candidates
+), scored AS (
+  SELECT c.lang, c.p, c.a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a // (l.f + r.f))::BIGINT AS score
+  FROM cuts c JOIN counts l ON l.lang = c.lang AND l.p = c.p[1 : k] JOIN counts r ON r.lang = c.lang AND r.p = c.p[k + 1 :]
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inner_spans AS (
+  SELECT lang, p, a, unnest([[2, 1], [2, 2], [2, 3], [3, 1], [3, 2]]) AS s FROM candidates
+), held AS (
+  SELECT lang, p[s[2] : s[2] + s[1] - 1] AS p, max(a) AS longest FROM inner_spans WHERE s[1] < len(p) AND s[2] + s[1] - 1 <= len(p) GROUP BY 1, 2
+)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, array_to_string(b.p, ' ')) AS rank,
+       array_to_string(b.p, ' ') AS phrase, a, l, r, n, score
+FROM best b JOIN totals USING (lang) LEFT JOIN held h ON h.lang = b.lang AND h.p = b.p
+WHERE longest IS NULL OR 100 * longest < 80 * a
+QUALIFY rank <= 2000
 """,
 }
