@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrawatt.llm.scratch import Scratch
-from terrawatt.llm.textcore import buffers, ragged, slices, word_spans
+from terrawatt.llm.textcore import buffers, ragged, slices, span_hash, word_spans
 from terrawatt.llm.units import each_unit
 
 #: Terms are runs of these bytes: ASCII letters and everything beyond ASCII.
@@ -24,10 +24,10 @@ _TERM = np.zeros(256, bool)
 _TERM[65:91] = _TERM[97:123] = _TERM[128:] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-TERM_PATTERN = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Text and documents whose chunks are counted together (a longer text stands alone); documents are numbered in 16 bits.
 UNIT_BYTES, UNIT_DOCS = 16 << 20, 1 << 16
-_ROWS = 50_000
+#: Chunks of units per bucket of chunks, and of terms.
+BUCKET_ROWS = 300_000
 #: A term counts from so many documents of its language on.
 LEAST_DOCS = 3
 SCALE = 1_000_000_000
@@ -36,6 +36,40 @@ TOP_TERMS = 200
 PAIR_ROWS, PAIRS = 200_000, 1 << 21
 
 
+def _blob(columns: dict[str, pa.Array]) -> bytes:
+    """Columns as one compressed value."""
+    batch = pa.RecordBatch.from_pydict(columns)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _table(blobs: list[bytes]) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in blobs]).unify_dictionaries().combine_chunks()
+
+
+def _whole(table: pa.Table, name: str) -> pa.Array:
+    column = table.column(name).combine_chunks()
+    return column if isinstance(column, pa.Array) else column.chunk(0)
+
+
+def _spans(data: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> pa.Array:
+    packed = data[ragged(starts, lens)] if len(starts) else data[:0]
+    return pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(0, np.cumsum(lens))), pa.py_buffer(packed)])
+
+
+def _hashes(chunks: pa.Array) -> np.ndarray:
+    """32-bit hashes of binary values."""
+    data, offsets = buffers(chunks)
+    return (span_hash(data, offsets[:-1], np.diff(offsets)) >> np.uint64(32)).astype(np.int64)
+
+
+def _bucket(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets that follow the order of the hashes."""
+    return hashes * buckets >> 32
+
+
 class Unit:
     """Counts of the chunks in a run of documents."""
 
@@ -50,11 +84,7 @@ class Unit:
         data, offsets = buffers(batch.column("text"))
         data = _LOWER[data]
         starts, ends, doc = word_spans(data, offsets)
-        lens = ends - starts
-        at = np.append(0, np.cumsum(lens))
-        packed = data[ragged(starts, lens)] if len(starts) else data[:0]
-        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(at), pa.py_buffer(packed)])
-        coded = words.dictionary_encode()
+        coded = _spans(data, starts, ends - starts).dictionary_encode()
         own, own_offsets = buffers(coded.dictionary)
         terms = np.append(0, np.cumsum(_TERM[own]))[own_offsets]
         some = np.flatnonzero(terms[1:] > terms[:-1])
@@ -71,41 +101,24 @@ class Unit:
         self.docs += len(batch)
         self.bytes += len(data)
 
-    def rows(self, number: int) -> Iterator[pa.RecordBatch]:
-        """(unit, chunk, docs, lang, source): the documents of each chunk, then, without a chunk, those of each (lang, source)."""
+    def row(self, number: int) -> pa.RecordBatch:
+        """(unit, n_chunks, chunks, uses, groups, lang, source): distinct chunks by hash, the documents of each with counts, each document's (lang, source)."""
         coded = pa.concat_arrays(self.chunks).dictionary_encode()
         doc, code, n = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        code = np.asarray(coded.indices).astype(np.int64)[code]
+        by_hash = np.argsort(_hashes(coded.dictionary), kind="stable")
+        place = np.empty(len(by_hash), np.int64)
+        place[by_hash] = np.arange(len(by_hash))
+        code = place[np.asarray(coded.indices)[code]] if len(code) else code
         order = np.argsort(code, kind="stable")
-        chunks = coded.dictionary.cast(pa.binary()).cast(pa.string())
-        yield from _listed(number, doc[order], n[order], np.bincount(code, minlength=len(chunks)), chunks, None, None)
-        lang, source = (pa.concat_arrays(x).fill_null("").dictionary_encode() for x in (self.langs, self.sources))
+        lang, source = (pa.concat_arrays(x).dictionary_encode() for x in (self.langs, self.sources))
         pair, group = np.unique(np.asarray(lang.indices).astype(np.int64) * len(source.dictionary) + np.asarray(source.indices), return_inverse=True)
-        order = np.argsort(group, kind="stable")
-        names = [pa.nulls(len(pair), pa.string()), lang.dictionary.take(pa.array(pair // len(source.dictionary))), source.dictionary.take(pa.array(pair % len(source.dictionary)))]
-        yield from _listed(number, order, np.ones(len(order), np.int64), np.bincount(group), *names)
-
-
-def _listed(number: int, doc: np.ndarray, n: np.ndarray, size: np.ndarray, chunks: pa.Array, langs: pa.Array | None, sources: pa.Array | None) -> Iterator[pa.RecordBatch]:
-    """Rows whose `docs` are 16-bit pairs (document, count); a larger count takes several pairs."""
-    more = -(-n // 65535)
-    if (more > 1).any():
-        size = np.add.reduceat(more, np.cumsum(size) - size) if len(size) else size
-        last = np.cumsum(more) - 1
-        rest = n - (more - 1) * 65535
-        doc, n = np.repeat(doc, more), np.full(more.sum(), 65535)
-        n[last] = rest
-    pairs = np.column_stack([doc, n]).astype("<u2")
-    ends = np.append(0, np.cumsum(size))
-    for a in range(0, len(size), _ROWS):
-        b = min(a + _ROWS, len(size))
-        offsets = ((ends[a : b + 1] - ends[a]) * 4).astype(np.int32)
-        docs = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(pairs[ends[a] : ends[b]]))])
-        none = pa.nulls(b - a, pa.string())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(b - a, number)), chunks[a:b], docs, none if langs is None else langs[a:b], none if sources is None else sources[a:b]],
-            names=["unit", "chunk", "docs", "lang", "source"],
-        )
+        values = [
+            pa.array([number]), pa.array([len(by_hash)]), pa.array([_blob({"chunk": coded.dictionary.take(pa.array(by_hash))})]),
+            pa.array([_blob({"doc": pa.array(doc[order].astype(np.uint16)), "n": pa.array(n[order]), "code": pa.array(code[order].astype(np.uint32))})]),
+            pa.array([_blob({"group": pa.array(group.astype(np.uint16))})]),
+            pa.array([lang.dictionary.take(pa.array(pair // len(source.dictionary))).to_pylist()]), pa.array([source.dictionary.take(pa.array(pair % len(source.dictionary))).to_pylist()]),
+        ]
+        return pa.RecordBatch.from_arrays(values, names=["unit", "n_chunks", "chunks", "uses", "groups", "lang", "source"])
 
 
 def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,62 +126,149 @@ def _count_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for part in (run.slice(at, UNIT_DOCS) for run in slices(batch, "text") for at in range(0, len(run), UNIT_DOCS)):
             if unit.docs and (unit.bytes + part.column("text").nbytes > UNIT_BYTES or unit.docs + len(part) > UNIT_DOCS):
-                yield from unit.rows(number)
+                yield unit.row(number)
                 number, unit = number + 1, Unit()
             unit.add(part)
     if unit.docs:
-        yield from unit.rows(number)
-
-
-def _merge_terms(held: pa.Table) -> pa.RecordBatch:
-    """(lang, source, term, n, docs) of one unit from the rows of its terms and its groups."""
-    held = held.combine_chunks()
-    blobs = held.column("docs").combine_chunks().cast(pa.large_binary())
-    data, offsets = buffers(blobs)
-    lens = np.diff(offsets) // 4
-    pairs = np.frombuffer(np.ascontiguousarray(data), "<u2").reshape(-1, 2)
-    coded = held.column("term").combine_chunks().dictionary_encode()
-    term = np.asarray(coded.indices.fill_null(-1)).astype(np.int64)
-    groups = np.flatnonzero(term < 0)
-    row = np.repeat(np.arange(len(held)), lens)
-    place = np.full(len(held), -1)
-    place[groups] = np.arange(len(groups))
-    group = np.zeros(UNIT_DOCS, np.int64)
-    names = place[row] >= 0
-    group[pairs[names, 0]] = place[row[names]]
-    doc, n, t = pairs[~names, 0].astype(np.int64), pairs[~names, 1].astype(np.int64), term[row[~names]]
-    key = t * UNIT_DOCS + doc
+        yield unit.row(number)
+
+
+def _dealt_chunks(buckets: int):
+    """(bucket, unit, start, chunks): each unit's chunks by buckets; `start` is the place of the first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for unit, blob in zip(batch.column("unit").to_pylist(), batch.column("chunks").to_pylist(), strict=True):
+                chunks = _whole(_table([blob]), "chunk")
+                own = _bucket(_hashes(chunks), buckets)
+                cuts = np.flatnonzero(np.append(True, own[1:] != own[:-1])[: len(own)])
+                for a, b in zip(cuts.tolist(), np.append(cuts, len(own))[1:].tolist(), strict=True):
+                    yield pa.RecordBatch.from_arrays([pa.array([int(own[a])]), pa.array([unit]), pa.array([a]), pa.array([_blob({"chunk": chunks[a:b]})])], names=["bucket", "unit", "start", "chunks"])
+
+    return run
+
+
+def tokenized(chunks: pa.Array) -> pa.LargeListArray:
+    """The terms of each chunk (large_binary)."""
+    data, offsets = buffers(chunks)
+    inside = _TERM[data]
+    first, last = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    edges = offsets[:-1][np.diff(offsets) > 0]
+    if len(data):
+        first[1:], last[:-1] = ~inside[:-1], ~inside[1:]
+        first[edges] = True
+        last[np.append(edges[1:], len(data)) - 1] = True
+    starts, ends = np.flatnonzero(inside & first), np.flatnonzero(inside & last) + 1
+    return pa.LargeListArray.from_arrays(pa.array(np.searchsorted(starts, offsets)), _spans(data, starts, ends - starts))
+
+
+def _tokenize_bucket(held: pa.Table) -> pa.RecordBatch:
+    """(unit, start, terms): every distinct chunk of the bucket is tokenized once and its terms are given back to the units."""
+    blobs = [_whole(_table([b]), "chunk") for b in held.column("chunks").to_pylist()]
+    coded = pa.concat_arrays(blobs).dictionary_encode()
+    lists, codes = tokenized(coded.dictionary), np.asarray(coded.indices)
+    ends = np.cumsum([len(b) for b in blobs])
+    terms = [_blob({"terms": lists.take(pa.array(codes[e - len(b) : e]))}) for b, e in zip(blobs, ends.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays([held.column("unit").combine_chunks(), held.column("start").combine_chunks(), pa.array(terms, pa.binary())], names=["unit", "start", "terms"])
+
+
+def _sums(key: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Distinct keys in order and the sums of the values at each."""
     order = np.argsort(key, kind="stable")
-    key, n = key[order], n[order]
+    key = key[order]
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
-    n = np.add.reduceat(n, first) if len(first) else n
-    key = key[first]
-    cell, inverse = np.unique(key // UNIT_DOCS * max(1, len(groups)) + group[key % UNIT_DOCS], return_inverse=True)
-    counts = np.bincount(inverse, n, minlength=len(cell)).astype(np.int64)  # below 2^53: exact
-    docs = np.bincount(inverse, minlength=len(cell))
-    which = pa.array(groups[cell % max(1, len(groups))] if len(cell) else groups[:0])
-    lang, source = (held.column(c).combine_chunks().take(which) for c in ("lang", "source"))
-    terms = coded.dictionary.take(pa.array(cell // max(1, len(groups))))
-    return pa.RecordBatch.from_arrays([lang, source, terms, pa.array(counts), pa.array(docs.astype(np.int64))], names=["lang", "source", "term", "n", "docs"])
-
-
-def chunk_terms(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(lang, source, term, n, docs) and all (lang, source) of `docs` (text, lang, source): occurrences and documents of each term.
-
-    A chunk's rows are one per unit of about 16 MB of text, however frequent it is, so a hot chunk is
-    folded before it is shuffled; adaptive execution splits what is left of it in the join.
+    return [key[first], *(np.add.reduceat(v[order], first) if len(first) else v[:0] for v in values)]
+
+
+def _term_blob(term: pa.Array, lang: pa.Array, source: pa.Array, n: np.ndarray, docs: np.ndarray) -> bytes:
+    return _blob({"term": term.dictionary_encode(), "lang": lang.dictionary_encode(), "source": source.dictionary_encode(), "n": pa.array(n), "docs": pa.array(docs)})
+
+
+def _merge_terms(buckets: int):
+    """(bucket, stats) of one unit: the terms of its chunks meet the documents that have them."""
+
+    def work(held: pa.Table) -> pa.RecordBatch:
+        blob = {c: held.column(c).drop_null().to_pylist() for c in ("terms", "uses", "groups", "start")}
+        group = np.asarray(_whole(_table(blob["groups"]), "group")).astype(np.int64)
+        named = [np.array(x, object) for x in (held.column(c).drop_null()[0].as_py() for c in ("lang", "source"))]
+        if not blob["terms"]:
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int64()), pa.array([], pa.binary())], names=["bucket", "stats"])
+        lists = _whole(_table([blob["terms"][i] for i in np.argsort(blob["start"])]), "terms")
+        coded = lists.flatten().dictionary_encode()
+        size = np.diff(np.asarray(lists.offsets))
+        uses = _table(blob["uses"])
+        doc, n, code = (np.asarray(_whole(uses, c)).astype(np.int64) for c in ("doc", "n", "code"))
+        term = np.asarray(coded.indices).astype(np.int64)[ragged((np.cumsum(size) - size)[code], size[code])]
+        doc, n = np.repeat(doc, size[code]), np.repeat(n, size[code])
+        key, n = _sums(term * UNIT_DOCS + doc, n)
+        cell, n, docs = _sums(key // UNIT_DOCS * len(named[0]) + group[key % UNIT_DOCS], n, np.ones(len(key), np.int64))
+        own = _bucket(_hashes(coded.dictionary), buckets)[cell // len(named[0])]
+        order = np.argsort(own, kind="stable")
+        own, cell, n, docs = own[order], cell[order], n[order], docs[order]
+        terms = coded.dictionary.take(pa.array(cell // len(named[0])))
+        lang, source = (pa.array(x, pa.string()).take(pa.array(cell % len(named[0]))) for x in named)
+        cuts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        stats = [_term_blob(terms[a:b], lang[a:b], source[a:b], n[a:b], docs[a:b]) for a, b in zip(cuts.tolist(), np.append(cuts, len(own))[1:].tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(own[cuts]), pa.array(stats, pa.binary())], names=["bucket", "stats"])
+
+    return work
+
+
+def _bucket_sums(held: pa.Table):
+    """(terms, langs, sources, codes of each, n, docs) of the term statistics held, folded."""
+    table = _table(held.column("stats").to_pylist())
+    term, lang, source = (_whole(table, c) for c in ("term", "lang", "source"))
+    wide = len(lang.dictionary), len(source.dictionary)
+    at = [np.asarray(x.indices).astype(np.int64) for x in (term, lang, source)]
+    key, n, docs = _sums((at[0] * wide[0] + at[1]) * wide[1] + at[2], *(np.asarray(_whole(table, c)) for c in ("n", "docs")))
+    codes = key // wide[1] // wide[0], key // wide[1] % wide[0], key % wide[1]
+    return [x.dictionary.take(pa.array(c)) for x, c in zip((term, lang, source), codes, strict=True)], codes, n, docs
+
+
+def _fold_bucket(held: pa.Table) -> pa.RecordBatch:
+    values, _, n, docs = _bucket_sums(held)
+    return pa.RecordBatch.from_arrays([held.column("bucket")[:1].combine_chunks(), pa.array([_term_blob(*values, n, docs)], pa.binary())], names=["bucket", "stats"])
+
+
+def _finish_bucket(least_docs: int):
+    """(lang, source, term, n, docs, lang_n) of the bucket's terms that are in `least_docs` documents of the language."""
+
+    def work(held: pa.Table) -> pa.RecordBatch:
+        (term, lang, source), codes, n, docs = _bucket_sums(held)
+        _, inverse = np.unique(codes[0] * (int(codes[1].max(initial=0)) + 1) + codes[1], return_inverse=True)
+        order = np.argsort(inverse, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(inverse[order]) > 0)[: len(order)])
+        lang_n, lang_docs = (np.add.reduceat(v[order], first)[inverse] if len(first) else v for v in (n, docs))
+        kept = pa.array(np.flatnonzero(lang_docs >= least_docs))
+        values = [lang, source, term.cast(pa.binary()).cast(pa.string()), pa.array(n), pa.array(docs), pa.array(lang_n)]
+        return pa.RecordBatch.from_arrays([v.take(kept) for v in values], names=["lang", "source", "term", "n", "docs", "lang_n"])
+
+    return work
+
+
+def chunk_terms(docs: DataFrame, scratch: Scratch, least_docs: int = 1, bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(lang, source, term, n, docs, lang_n) and all (lang, source) of `docs` (text, lang, source).
+
+    n are a term's occurrences in the source and lang_n in the language, docs the documents of the source
+    that have it; terms in less than `least_docs` documents of their language are left out.
+
+    Units of about 16 MB of text hold which documents have which chunk. Their distinct chunks go, packed, to
+    buckets by hash, where each is tokenized once, and the terms go back to the units; a hot chunk is there
+    once per unit. Units meet terms with documents and send sums, again by buckets. A bucket has
+    about `bucket_rows` chunks of units; sums of a hot term are folded as they arrive.
     """
     slim = docs.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("text", "lang", "source")])
-    counted = scratch.keep(slim.mapInArrow(_count_chunks, "unit long, chunk string, docs binary, lang string, source string"), "counted")
-    chunks, named = counted.where("chunk IS NOT NULL").select("chunk", "unit", "docs"), counted.where("chunk IS NULL")
-    split = chunks.select("chunk").distinct().select("chunk", F.regexp_extract_all("chunk", F.lit(TERM_PATTERN), F.lit(0)).alias("terms"))
-    split = scratch.keep(split, "split")
-    met = chunks.join(split, "chunk").select("unit", F.explode("terms").alias("term"), "docs", F.lit(None).cast("string").alias("lang"), F.lit(None).cast("string").alias("source"))
-    rows = met.unionByName(named.select("unit", F.lit(None).cast("string").alias("term"), "docs", "lang", "source"))
-    merged = rows.repartition("unit").sortWithinPartitions("unit").mapInArrow(each_unit(["unit"], _merge_terms), "lang string, source string, term string, n long, docs long")
-    stats = scratch.keep(merged.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "stats")
-    groups = scratch.keep(named.select("lang", "source").distinct(), "groups")
-    scratch.drop("counted", "split")
+    schema = "unit long, n_chunks long, chunks binary, uses binary, groups binary, lang array<string>, source array<string>"
+    counted = scratch.keep(slim.mapInArrow(_count_chunks, schema), "counted")
+    buckets = min(1 << 30, max(1, -(-int(counted.agg(F.sum("n_chunks")).first()[0] or 0) // bucket_rows)))
+    dealt = counted.select("unit", "chunks").mapInArrow(_dealt_chunks(buckets), "bucket long, unit long, start long, chunks binary").repartition("bucket").sortWithinPartitions("bucket")
+    terms = dealt.mapInArrow(each_unit(["bucket"], _tokenize_bucket), "unit long, start long, terms binary")
+    rows = terms.unionByName(counted.select("unit", "uses", "groups", "lang", "source"), allowMissingColumns=True).repartition("unit").sortWithinPartitions("unit")
+    met = rows.mapInArrow(each_unit(["unit"], _merge_terms(buckets)), "bucket long, stats binary").repartition("bucket").sortWithinPartitions("bucket")
+    stats = met.mapInArrow(each_unit(["bucket"], _finish_bucket(least_docs), _fold_bucket), "lang string, source string, term string, n long, docs long, lang_n long")
+    stats = scratch.keep(stats, "stats")
+    groups = scratch.keep(counted.select(F.inline(F.arrays_zip("lang", "source"))).distinct(), "groups")
+    scratch.drop("counted")
     return stats, groups
 
 
@@ -241,9 +341,8 @@ def source_divergence(
     documents of their own. An empty table gives no rows; other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "divergence")
-    stats, groups = chunk_terms(docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source")), scratch)
-    kept = stats.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n")).where(F.col("docs") >= least_docs).drop("docs")
-    used = scratch.keep(stats.join(kept, ["lang", "term"]).drop("docs"), "used")
+    slim = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"))
+    used, groups = chunk_terms(slim, scratch, least_docs)
     # A term's count in its language is on each of its rows; its first source alone adds it up.
     langs = used.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n")).groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count(F.lit(1)).alias("terms"))
     own = used.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("own_terms"))
@@ -276,5 +375,5 @@ def source_divergence(
     pairs = pairs.withColumn("rank", rank).withColumn("part", F.lit("pair")).select(columns)
     terms = terms.withColumn("rank", rank).where(F.col("rank") <= top).withColumn("part", F.lit("term")).select(columns)
     result = scratch.keep(pairs.unionByName(terms), "result")
-    scratch.drop("stats", "groups", "used", "totals", "rated")
+    scratch.drop("stats", "groups", "totals", "rated")
     return result

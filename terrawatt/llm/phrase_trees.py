@@ -329,7 +329,7 @@ def phrase_counts(docs: DataFrame, scratch: Scratch, least: int, depth: int, bud
             group, whole_from, n = group[order], whole_from[order], n[order]
             w = [x[order] for x in w]
             cuts = np.flatnonzero(np.append(True, (group[1:] != group[:-1]) | (whole_from[1:] != whole_from[:-1])))[: len(group)]
-            for a, b in zip(cuts.tolist(), np.append(cuts[1:], len(group)).tolist(), strict=True):
+            for a, b in zip(cuts.tolist(), np.append(cuts, len(group))[1:].tolist(), strict=True):
                 blob = _packed([*(x[a:b] for x in w), n[a:b]])
                 yield pa.RecordBatch.from_arrays([pa.array([int(group[a])]), pa.array([int(whole_from[a])]), pa.array([blob])], names=["grp", "depth", "leaves"])
 

@@ -3,11 +3,13 @@ from itertools import permutations
 from re import findall
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from terrawatt.llm import chunk_factors
-from terrawatt.llm.chunk_factors import _listed, chunk_terms, source_divergence
+from terrawatt.llm.chunk_factors import _finish_bucket, _fold_bucket, _term_blob, chunk_terms, source_divergence, tokenized
 from terrawatt.llm.scratch import Scratch
+from terrawatt.llm.units import each_unit
 
 SCHEMA = "doc_id long, text string, lang string, source string, unit long, term string, p int, value string"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -72,12 +74,19 @@ def test_statistics_count_documents_and_occurrences(spark):
     assert {tuple(r) for r in groups.collect()} == {("en", "a"), ("en", "b")}
 
 
-def test_counts_above_16_bits_take_several_pairs():
-    import pyarrow as pa
+def test_terms_of_chunks():
+    chunks = [b"a-b", b"--", b"", b"x", "über'é".encode(), b"9a9"]
+    got = tokenized(pa.array(chunks, pa.large_binary())).to_pylist()
+    assert got == [[b"a", b"b"], [], [], [b"x"], ["über".encode(), "é".encode()], [b"a"]]
 
-    (batch,) = _listed(0, np.array([3, 4, 3]), np.array([1, 200_000, 65_535]), np.array([2, 1]), pa.array(["a", "b"]), None, None)
-    pairs = [np.frombuffer(x, "<u2").reshape(-1, 2) for x in batch.column("docs").to_pylist()]
-    assert [{int(d): int(p[p[:, 0] == d, 1].sum(dtype=np.int64)) for d in set(p[:, 0].tolist())} for p in pairs] == [{3: 1, 4: 200_000}, {3: 65_535}]
+
+def test_sums_are_folded_as_they_arrive():
+    held = pa.Table.from_pydict({"bucket": [4, 4], "stats": [_term_blob(pa.array([t.encode() for t in ts], pa.large_binary()), pa.array(["en"] * 2), pa.array(ss), np.array(n), np.array([1, 1])) for ts, ss, n in (("ab", "xx", [1, 2]), ("ba", "xy", [5, 7]))]})
+    whole = _finish_bucket(2)(held).to_pylist()
+    assert [tuple(r.values()) for r in whole] == [("en", "x", "a", 1, 1, 8), ("en", "y", "a", 7, 1, 8), ("en", "x", "b", 7, 2, 7)]
+    calls = []
+    run = each_unit(["bucket"], _finish_bucket(2), lambda t: calls.append(len(t)) or _fold_bucket(t), held_bytes=1)
+    assert [r for b in run(iter(held.to_batches() + held.to_batches())) for r in b.to_pylist()][0]["n"] == 2 and calls
 
 
 def test_empty_and_pairs_of_sources_without_terms(spark):
