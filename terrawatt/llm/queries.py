@@ -12,6 +12,7 @@ from terrawatt.llm.dart_minhash import near_duplicates
 from terrawatt.llm.interleave import interleaved_shards
 from terrawatt.llm.langid import identify
 from terrawatt.llm.phrase_trees import collocations
+from terrawatt.llm.pivot_search import nearest
 from terrawatt.llm.pu_quality import score_quality
 from terrawatt.llm.pstable_dedup import near_vectors
 from terrawatt.llm.quote_links import link_quotations
@@ -108,6 +109,10 @@ def op12_phrase_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_pstable": op1_pstable,
     "op2_byte_bpe": op2_byte_bpe,
@@ -121,6 +126,7 @@ QUERIES = {
     "op10_dart_minhash": op10_dart_minhash,
     "op11_chunk_factors": op11_chunk_factors,
     "op12_phrase_trees": op12_phrase_trees,
+    "op13_pivot_search": op13_pivot_search,
 }
 
 #: DuckDB statements; the operators that SQL cannot express are tested against brute force instead.
@@ -274,5 +280,16 @@ SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DES
 FROM best b JOIN totals USING (lang) LEFT JOIN held h ON h.lang = b.lang AND h.p = b.p
 WHERE longest IS NULL OR 100 * longest < 80 * a
 QUALIFY rank <= 2000
+""",
+    "op13_pivot_search": r"""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scores QUALIFY rank <= 5
 """,
 }

@@ -16,7 +16,7 @@ def test_matches_oracle(spark, name):
 
 def test_all_are_registered():
     names = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert names == {f"op{i}" for i in range(1, 13)} and "pipeline" in entry.queries()
+    assert names == {f"op{i}" for i in range(1, 14)} and "pipeline" in entry.queries()
 
 
 def test_stages_keep_the_columns_and_the_order(spark):
