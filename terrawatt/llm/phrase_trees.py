@@ -31,7 +31,7 @@ COVER = 80
 TOP = 2000
 #: Suffixes per group of prefixes: the least one, and how many prefixes can be above it at each level. Prefixes above the budget are broadcast, 24 bytes each.
 BUDGET, MOST_SPLIT = 1_000_000, 1 << 20
-UNIT_BYTES = 16 << 20
+UNIT_BYTES = 8 << 20
 _ROWS = 50_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -136,19 +136,19 @@ def _mapped(held: pa.Table) -> pa.RecordBatch:
 
 
 class Suffixes:
-    """The suffixes of a unit, one array per word; 0 where the piece has ended or a rare word stands."""
+    """The suffixes of a unit as two pairs of words each; 0 where the piece has ended or a rare word stands."""
 
     def __init__(self, row: dict, depth: int):
         stream = np.frombuffer(row["stream"], "<u4")
-        self.ids, self.packs, self.parts = (np.frombuffer(row[c], t) for c, t in (("ids", "<u4"), ("packs", "<i8"), ("parts", "<i8")))
-        padded = np.concatenate([stream, np.zeros(depth, stream.dtype)])
+        ids, self.packs, self.parts = (np.frombuffer(row[c], t) for c, t in (("ids", "<u4"), ("packs", "<i8"), ("parts", "<i8")))
+        ids = ids.astype(np.uint64)
+        padded = np.concatenate([stream, np.zeros(DEPTH, stream.dtype)])
         at = np.flatnonzero((stream != 0) & (padded[1 : len(stream) + 1] != 0))
         self.first = padded[at]
-        words, live = [self.ids[padded[at]]], np.ones(len(at), bool)
-        for k in range(1, depth):
-            live = live & (padded[at + k] != 0)
-            words.append(np.where(live, self.ids[padded[at + k]], 0))
-        self.words = [w.astype(np.uint64) for w in words] + [np.zeros(len(at), np.uint64)] * (DEPTH - depth)
+        self.front = _pair(ids[self.first], ids[padded[at + 1]])
+        third = padded[at + 2] if depth > 2 else np.zeros(len(at), stream.dtype)
+        fourth = np.where(third != 0, padded[at + 3], 0) if depth > 3 else np.zeros(len(at), stream.dtype)
+        self.back = _pair(ids[third], ids[fourth])
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -260,7 +260,7 @@ def _subtree(least: int):
 def phrase_counts(docs: DataFrame, scratch: Scratch, least: int, depth: int, budget: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(lang, n), (id, lang, word, f) and (w1 .. w4, a): words by language, frequent words, and phrases of 2 to `depth` words, with `a` >= `least`.
 
-    Word counts come first, folded by units of about 16 MB of text; a word below `least` ends every
+    Word counts come first, folded by units of about 8 MB of text; a word below `least` ends every
     phrase. Suffixes are folded to distinct leaves in their unit and sent to their group packed, one
     row per unit and group. Prefixes above the budget are at most words / budget, so their
     tables are bounded when `budget` is at least words / 2^20, which is enforced.
@@ -295,11 +295,10 @@ def phrase_counts(docs: DataFrame, scratch: Scratch, least: int, depth: int, bud
                 for row in _unit_rows(batches):
                     own = Suffixes(row, depth)
                     split = own.parts[own.first] > 1
-                    w = [x[split] for x in own.words]
-                    key, third = _pair(w[0], w[1]), np.zeros(len(w[0]), np.uint64)
+                    key, third = own.front[split], np.zeros(split.sum(), np.uint64)
                     if level == 3:
                         deep = have.find_two(key) > 0
-                        key, third = key[deep], w[2][deep]
+                        key, third = key[deep], own.back[split][deep] >> _HIGH
                         key, third = key[third != 0], third[third != 0]
                     (key, third), n = _distinct(key, third)
                     yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (key >> _HIGH, key & _WORD, third, np.zeros(len(n)), n)], names=["w1", "w2", "w3", "w4", "a"])
@@ -321,8 +320,7 @@ def phrase_counts(docs: DataFrame, scratch: Scratch, least: int, depth: int, bud
         have = shipped(parcel)
         for row in _unit_rows(batches):
             own = Suffixes(row, depth)
-            local = np.zeros(0, np.int64) if not len(own.first) else own.first.astype(np.int64)
-            (first, front, back), n = _distinct(local, _pair(own.words[0], own.words[1]), _pair(own.words[2], own.words[3]))
+            (first, front, back), n = _distinct(own.first, own.front, own.back)
             w = [front >> _HIGH, front & _WORD, back >> _HIGH, back & _WORD]
             group, whole_from = _groups(w, own.packs[first], own.parts[first], have)
             order = np.lexsort((whole_from, group))
