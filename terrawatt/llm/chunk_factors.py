@@ -25,7 +25,7 @@ _TERM[65:91] = _TERM[97:123] = _TERM[128:] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Text and documents whose chunks are counted together (a longer text stands alone); documents are numbered in 16 bits.
-UNIT_BYTES, UNIT_DOCS = 16 << 20, 1 << 16
+UNIT_BYTES, UNIT_DOCS = 8 << 20, 1 << 16
 #: Chunks of units per bucket of chunks, and of terms.
 BUCKET_ROWS = 300_000
 #: A term counts from so many documents of its language on.
@@ -252,7 +252,7 @@ def chunk_terms(docs: DataFrame, scratch: Scratch, least_docs: int = 1, bucket_r
     n are a term's occurrences in the source and lang_n in the language, docs the documents of the source
     that have it; terms in less than `least_docs` documents of their language are left out.
 
-    Units of about 16 MB of text hold which documents have which chunk. Their distinct chunks go, packed, to
+    Units of about 8 MB of text hold which documents have which chunk. Their distinct chunks go, packed, to
     buckets by hash, where each is tokenized once, and the terms go back to the units; a hot chunk is there
     once per unit. Units meet terms with documents and send sums, again by buckets. A bucket has
     about `bucket_rows` chunks of units; sums of a hot term are folded as they arrive.
