@@ -28,6 +28,8 @@ PIECE_BYTES = 7
 STEP_BYTES = 16
 #: Bytes of pre-tokens that are worked on at once.
 GRID_BYTES = 1 << 16
+#: Longer pre-tokens are walked byte by byte, so many positions at a time.
+LONG_BYTES, WALK_BYTES = 256, 1 << 14
 #: Training documents per language, in expectation (documented bound of the fit).
 TRAIN_DOCS = 400
 _LOW = np.array([(1 << (8 * n)) - 1 for n in range(PIECE_BYTES + 1)], np.uint64)
@@ -109,10 +111,119 @@ def _sums(moves: list[list[tuple[int, np.ndarray]]], length: int, shape: tuple)
     return alpha, scale
 
 
+class Walk:
+    """One long pre-token, a stretch of positions at a time."""
+
+    def __init__(self, word: bytes, pieces: Pieces):
+        self.word, self.pieces, self.n = word, pieces, len(word)
+        self.longest = max([PIECE_BYTES, *pieces.sizes])
+
+    def stretches(self) -> Iterator[tuple[int, np.ndarray, dict[int, list[tuple[int, int]]]]]:
+        """(first position, ids of the pieces of 1 .. PIECE_BYTES bytes from each position, longer ones as position -> (bytes, id))."""
+        for at in range(0, self.n, WALK_BYTES):
+            n = min(WALK_BYTES, self.n - at)
+            data = np.frombuffer(self.word, np.uint8, min(n + self.longest, self.n - at), at)
+            padded = np.concatenate([data, np.zeros(8, np.uint8)])
+            loads = np.ndarray((n,), "<u8", buffer=padded, strides=(1,)).copy()
+            ids = np.full((n, PIECE_BYTES), self.pieces.n)
+            for size in range(1, PIECE_BYTES + 1):
+                fits = max(0, min(n, self.n - at - size + 1))
+                ids[:fits, size - 1] = self.pieces.starting(loads[:fits], size)
+            longer: dict[int, list[tuple[int, int]]] = {}
+            rows = np.flatnonzero(self.pieces.heads.find(mix(loads)) >= 0)
+            for size in self.pieces.sizes:
+                rows = rows[rows + size <= len(data)]
+                if not len(rows):
+                    break
+                spans = np.ascontiguousarray(padded[rows[:, None] + np.arange(size)]).ravel()
+                offsets = pa.py_buffer(np.arange(len(rows) + 1, dtype=np.int64) * size)
+                found = self.pieces.longer.ids(pa.Array.from_buffers(pa.large_binary(), len(rows), [None, offsets, pa.py_buffer(spans)]))
+                for row, piece in zip(rows[found >= 0].tolist(), found[found >= 0].tolist(), strict=True):
+                    longer.setdefault(row, []).append((size, piece + self.pieces.short))
+            yield at, ids, longer
+
+    def forward(self, probs: np.ndarray) -> np.ndarray:
+        """log P by column of `probs`; only the sums of one stretch are held."""
+        wide = probs.shape[1]
+        alpha, scale = np.vstack([np.ones((1, wide)), np.zeros((self.longest - 1, wide))]), np.zeros(wide)
+        for at, ids, longer in self.stretches():
+            n = len(ids)
+            sums = np.vstack([alpha, np.zeros((n, wide))])
+            moves = probs[ids]
+            for i in range(n):
+                if (at + i) % STEP_BYTES == 0:
+                    by = sums[i : i + self.longest].max(0)
+                    sums[i : i + self.longest] /= by
+                    scale += np.log(by)
+                sums[i + 1 : i + PIECE_BYTES + 1] += moves[i] * sums[i]
+                for size, piece in longer.get(i, ()):
+                    sums[i + size] += sums[i] * probs[piece]
+            alpha = sums[n:]
+        return np.log(alpha[0]) + scale
+
+    def _logs(self, state: tuple[np.ndarray, float], at: int, moves: np.ndarray, longer: dict[int, list[tuple[int, float]]]) -> tuple[np.ndarray, tuple[np.ndarray, float]]:
+        """(logarithms of the sums at a stretch of positions, state for the next one); moves[i] and longer[i] lead on from the i-th."""
+        n = len(moves)
+        sums, scale = np.append(state[0], np.zeros(n)), state[1]
+        logs = np.zeros(n)
+        for i in range(n):
+            if (at + i) % STEP_BYTES == 0:
+                by = sums[i : i + self.longest].max()
+                sums[i : i + self.longest] /= by
+                scale += float(np.log(by))
+            logs[i] = scale
+            sums[i + 1 : i + PIECE_BYTES + 1] += moves[i] * sums[i]
+            for size, q in longer.get(i, ()):
+                sums[i + size] += sums[i] * q
+        with np.errstate(divide="ignore"):  # a sum too small beside its neighbours counts as none
+            return logs + np.log(sums[:n]), (sums[n:], scale)
+
+    def count(self, probs: np.ndarray, times: float, total: np.ndarray) -> None:
+        """Adds `times` the expected uses of each piece under one language's probabilities.
+
+        The logarithms of the sums are kept, one number per byte forward and one backward, and the pieces met.
+        """
+        up, down = np.zeros(self.n + 1), np.zeros(self.n + 1)  # up to each byte, and from it on
+        start = np.append(1.0, np.zeros(self.longest - 1)), 0.0
+        state, ids, ends = start, [], {}
+        for at, own, longer in self.stretches():
+            up[at : at + len(own)], state = self._logs(state, at, probs[own], {i: [(size, probs[piece]) for size, piece in met] for i, met in longer.items()})
+            ids.append(own.astype(np.int32))
+            for i, met in longer.items():
+                for size, piece in met:
+                    ends.setdefault(at + i + size, []).append((size, piece))
+        up[self.n] = state[1] + np.log(state[0][0])
+        ids, size, state = np.concatenate(ids), np.arange(1, PIECE_BYTES + 1), start
+        for at in range(0, self.n, WALK_BYTES):  # from the end, over the pieces that end at each byte
+            end = self.n - np.arange(at, min(at + WALK_BYTES, self.n))
+            first = end[:, None] - size
+            moves = np.where(first >= 0, probs[ids[np.maximum(first, 0), size - 1]], 0.0)
+            longer = {i: [(n, probs[piece]) for n, piece in ends[e]] for i, e in enumerate(end.tolist()) if e in ends}
+            down[end], state = self._logs(state, at, moves, longer)
+        for at in range(0, self.n, WALK_BYTES):
+            own = ids[at : at + WALK_BYTES]
+            reach = np.minimum(np.arange(at, at + len(own))[:, None] + size, self.n)
+            uses = probs[own] * np.exp(up[at : at + len(own), None] + down[reach] - up[self.n])
+            np.add.at(total, own.ravel(), uses.ravel() * times)
+        for end, met in ends.items():
+            for n, piece in met:
+                total[piece] += times * probs[piece] * np.exp(up[end - n] + down[end] - up[self.n])
+
+
+def _parted(words: pa.Array) -> tuple[np.ndarray, list[int]]:
+    """(numbers of the words of up to LONG_BYTES bytes, those of longer ones)."""
+    long = np.asarray(pc.binary_length(words)) > LONG_BYTES
+    return np.flatnonzero(~long), np.flatnonzero(long).tolist()
+
+
 def forward(words: pa.Array, pieces: Pieces, probs: np.ndarray) -> np.ndarray:
     """log P(word | language), one row per word; `probs` has pieces + 1 rows, the last one zero."""
     logs = np.zeros((len(words), probs.shape[1]))
-    for index, cells, length in _grid(words):
+    short, long = _parted(words)
+    for i in long:
+        logs[i] = Walk(words[i].as_py(), pieces).forward(probs)
+    for own, cells, length in _grid(words.take(pa.array(short))):
+        index = short[own]
         moves = [[(size, probs[ids]) for size, ids in row] for row in _found(pieces, cells, length)]
         alpha, scale = _sums(moves, length, (len(index), probs.shape[1]))
         logs[index] = np.log(alpha[length]) + scale[length]
@@ -122,7 +233,13 @@ def forward(words: pa.Array, pieces: Pieces, probs: np.ndarray) -> np.ndarray:
 def expected_counts(words: pa.Array, langs: np.ndarray, counts: np.ndarray, pieces: Pieces, probs: np.ndarray) -> np.ndarray:
     """Expected uses of each piece by language: forward and backward sums over all segmentations."""
     total = np.zeros((pieces.n + 1, probs.shape[1]))
-    for index, cells, length in _grid(words):
+    short, long = _parted(words)
+    for i in long:
+        own = np.zeros(pieces.n + 1)
+        Walk(words[i].as_py(), pieces).count(probs[:, langs[i]], counts[i], own)
+        total[:, langs[i]] += own
+    for own, cells, length in _grid(words.take(pa.array(short))):
+        index = short[own]
         found = _found(pieces, cells, length)
         lang = langs[index]
         moves = [[(size, probs[ids, lang]) for size, ids in row] for row in found]

@@ -1,6 +1,11 @@
+import time
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
+import pytest
 
+from terrawatt.llm import langid
 from terrawatt.llm.langid import Pieces, Words, expected_counts, forward, identify, normalised
 from terrawatt.llm.queries import RANKS, language_training, op9_language_id
 from terrawatt.llm.textcore import class_table
@@ -76,3 +81,32 @@ def test_long_pieces_and_long_words_count_whole():
     got = expected_counts(pa.array(words, pa.large_binary()), np.array([0, 1, 0, 1, 0, 1]), np.ones(6), pieces, probs)
     assert np.isclose((got.sum(1) * pieces.lens).sum(), sum(map(len, words))) and got[known[b" because"], 0] > 0
     assert np.isfinite(forward(pa.array([b"x" * 3000], pa.large_binary()), pieces, probs)).all()
+
+
+@pytest.mark.parametrize("stretch", [40, 1 << 14])
+def test_walks_equal_the_grid(monkeypatch, stretch):
+    """Long pre-tokens, walked in stretches, have the sums and the expected uses of the whole matrix."""
+    pieces = Pieces(RANKS)
+    rng = np.random.default_rng(7)
+    probs = normalised(rng.uniform(0.1, 1, (pieces.n, 2)), pieces.lens)
+    letters = np.frombuffer(b"etaoinshr", np.uint8)
+    words = [b" because", b"international" * 40, rng.choice(letters, 700).tobytes(), "国际".encode() * 60, bytes(rng.integers(0, 256, 300, dtype=np.uint8)), b"-" * 333, b" " * 257]
+    array, langs, counts = pa.array(words, pa.large_binary()), np.array([0, 1, 0, 1, 1, 0, 0]), np.arange(1.0, 8.0)
+    monkeypatch.setattr(langid, "LONG_BYTES", 10_000)
+    want, uses = forward(array, pieces, probs), expected_counts(array, langs, counts, pieces, probs)
+    monkeypatch.setattr(langid, "LONG_BYTES", 5)
+    monkeypatch.setattr(langid, "WALK_BYTES", stretch)
+    assert np.allclose(forward(array, pieces, probs), want, rtol=1e-12)
+    assert np.allclose(expected_counts(array, langs, counts, pieces, probs), uses, rtol=1e-9, atol=1e-12)
+
+
+def test_a_megabyte_without_spaces():
+    pieces = Pieces(RANKS)
+    probs = model(pieces, 4)
+    word = np.random.default_rng(8).choice(np.frombuffer(b"ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789+/", np.uint8), 1_000_000).tobytes()
+    tracemalloc.start()
+    start = time.perf_counter()
+    got = forward(pa.array([word], pa.large_binary()), pieces, probs)
+    took, peak = time.perf_counter() - start, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.isfinite(got).all() and took < 120 and peak < 200e6
