@@ -3,6 +3,8 @@
 A naive Bayes classifier, learned from a table of labelled rows, gives every document a posterior over
 domains. Projected-gradient least squares then fits a nonnegative rate per document so that the
 expected tokens of each domain, rate x tokens x posterior summed over documents, meet the targets.
+Rates stay within bounds, so that targets out of reach give the nearest mixture within them and never
+an emptied corpus.
 """
 
 from __future__ import annotations
@@ -23,14 +25,17 @@ FALSE_WORDS = 1.0
 TRAIN_DOCS = 20_000
 #: Parts of the labelled documents; each is scored by words of the other parts to weigh the scores.
 FOLDS = 4
-ROUNDS = 25
-#: Gap between expected and wanted tokens, as a share of a domain's tokens, that counts as none.
-LEAST_GAP = 1e-9
+#: Most gradient steps; fitting ends before where the gap, as a share of a domain's tokens, or the gain of a step is below these.
+ROUNDS, LEAST_GAP, LEAST_GAIN = 40, 1e-9, 1e-4
+#: Bounds of a rate: at least this share of the document's posterior of the anchor domain, and at most so many copies.
+KEPT, MOST_COPIES = 0.8, 4.0
+#: The model is broadcast up to so many words (about 50 bytes each); beyond, the join shuffles.
+BROADCAST_WORDS = 2_000_000
 
 
 def words_of(text: Column) -> Column:
     """Lower-case words between white space, without empty ones."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[ \\t\\n\\u000B\\f\\r]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), "[ \\t\\n\\u000B\\f\\r]+"), "")
 
 
 def token_count(text: Column) -> Column:
@@ -126,7 +131,7 @@ def word_model(docs: DataFrame, labelled: DataFrame, domains: list[str], train_d
     own = own.select("id", which.alias("domain"))
     own = own.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < F.get(F.array(*[F.lit(r) for r in rates]), F.col("domain")) * (1 << 30))
     own = scratch.keep(own, "labels")  # at most train_docs of each domain in expectation: sent to the texts, which stay where they are
-    known = docs.join(F.broadcast(own), "id").select("domain", _keys(words_of(F.col("text"))).alias("keys"))
+    known = docs.join(F.broadcast(own), "id").select("domain", F.explode(F.array(words_of(F.col("text")))).alias("words")).select("domain", _keys(F.col("words")).alias("keys"))
     least = [F.array_min(F.transform("keys", lambda w, s=s: F.xxhash64(w, F.lit(s)))) for s in range(3)]
     known = known.withColumn("print", F.xxhash64(*least)).dropDuplicates(["domain", "print"])
     known = scratch.keep(known.withColumn("fold", F.pmod("print", F.lit(FOLDS)).cast("int")), "known")
@@ -173,7 +178,7 @@ def word_model(docs: DataFrame, labelled: DataFrame, domains: list[str], train_d
     if not none[FOLDS].any() and docs_in.any():
         warnings.warn("no word tells the domains apart: every document gets their shares as its posterior", stacklevel=2)
     words = known.select("domain", "print", "fold", F.explode_outer("keys").alias("key"))
-    met = words.join(F.broadcast(model.where(F.col("part") < FOLDS).withColumnRenamed("part", "fold")), ["fold", "key"], "left")
+    met = words.join(model.where(F.col("part") < FOLDS).withColumnRenamed("part", "fold"), ["fold", "key"], "left")
     found = met.groupBy("domain", "print").agg(F.first("fold").alias("fold"), *[F.coalesce(F.sum(f"l{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(k)]).toPandas()
     scores = found[[f"s{i}" for i in range(k)]].to_numpy(float).reshape(-1, k) + none[found["fold"].to_numpy(int)]
     w = weigh(scores, found["domain"].to_numpy(int), k)
@@ -185,129 +190,116 @@ def word_model(docs: DataFrame, labelled: DataFrame, domains: list[str], train_d
 
 
 def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """(id, n_tokens, p0 .. pk) of `docs` (id, text): domain probabilities, which sum to 1.
+    """The rows of `docs` (id, text, others) with n_tokens and p0 .. pk, domain probabilities that sum to 1, without the text.
 
-    A document's distinct words are exploded, meet the model table and are
-    summed by document before any shuffle, as all words of a document are in one partition. The table
-    is broadcast: its words are each in several training documents, whose number is bounded.
+    A document's text is split once; its distinct words are exploded, meet the model table and are
+    summed by row before any shuffle, as all words of a row are in one partition.
     """
     prior, model = word_model(docs, labelled, domains, train_docs)
-    split = docs.select("id", words_of(F.col("text")).alias("words"))
-    keyed = split.select("id", F.size("words").alias("n"), F.posexplode_outer(_keys(F.col("words"))).alias("nth", "key")).join(F.broadcast(model), "key", "left")
+    model = model.withColumnRenamed("key", "_key")
+    if model.count() <= BROADCAST_WORDS:
+        model = F.broadcast(model)
+    carried = [c for c in docs.columns if c != "text"]
+    # The text's words pass a generator, beyond which their expression is not repeated.
+    split = docs.select(*carried, F.monotonically_increasing_id().alias("_row"), F.explode(F.array(words_of(F.col("text")))).alias("_words"))
+    keyed = split.select(*carried, "_row", F.size("_words").alias("_n"), F.posexplode_outer(_keys(F.col("_words"))).alias("_nth", "_key")).join(model, "_key", "left")
     logs = [F.coalesce(F.sum(f"l{i}"), F.lit(0.0)).alias(f"s{i}") for i in range(len(domains))]
-    scored = keyed.groupBy("id").agg(F.coalesce(F.sum(F.when(F.col("nth") == 0, F.col("n"))), F.lit(0)).cast("long").alias("n_tokens"), *logs)
+    tokens = F.coalesce(F.sum(F.when(F.coalesce("_nth", F.lit(0)) == 0, F.col("_n"))), F.lit(0)).cast("long").alias("n_tokens")
+    scored = keyed.groupBy("_row").agg(*[F.first(c).alias(c) for c in carried], tokens, *logs)
     score = [F.col(f"s{i}") + F.lit(float(prior[i])) for i in range(len(domains))]
     best = F.greatest(*score) if len(score) > 1 else score[0]
     weights = [F.exp(s - best) for s in score]
     total = sum(weights[1:], weights[0])
-    return scored.select("id", "n_tokens", *[(w / total).alias(f"p{i}") for i, w in enumerate(weights)])
+    return scored.select(*carried, "n_tokens", *[(w / total).alias(f"p{i}") for i, w in enumerate(weights)])
 
 
-def fit_rates(table: DataFrame, targets: np.ndarray, rounds: int = ROUNDS) -> tuple[Column, np.ndarray]:
+def fit_rates(table: DataFrame, targets: np.ndarray, low: Column | None = None, high: float = MOST_COPIES, rounds: int = ROUNDS) -> tuple[Column, np.ndarray]:
     """(rate as an expression over n_tokens and p0 .. pk, expected tokens by domain under it).
 
-    Minimises  sum_k (sum_d r_d n_d p_dk - T_k)^2 / m_k  over r >= 0 from r = 1, where m_k are the tokens of
-    domain k at r = 1. A step moves r_d by eta sum_k p_dk (T_k - E_k) / m_k and cuts it at zero: the
-    gradient scaled by 1 / n_d, so that long documents move no further than short ones. Each round is
-    one aggregation to k sums; rates are never stored, since they follow from the posteriors and the
-    steps so far. eta is 1 / (largest eigenvalue), bounded by the largest row sum.
+    Minimises  sum_k (E_k - T_k)^2 / m_k,  E_k = sum_d r_d n_d p_dk,  over `low` <= r <= `high` (low: 0) by
+    projected gradient from r = 1, where m_k are the tokens of domain k at r = 1. A step moves r_d by
+    sum_k p_dk c_k and cuts it at the bounds. c is the gap T - E scaled by the k x k curvature,
+    sum n_d p_d p_d' over the documents strictly inside the bounds, so a step would close the gap if nothing were cut;
+    the step is halved until the sum falls. Documents weigh n_d, so long ones move no further
+    than short ones. Each step is one aggregation to k + k x k sums; rates are never stored, since they
+    follow from the posteriors and the steps so far. It ends when every gap is below LEAST_GAP, a step
+    gains less than LEAST_GAIN of the sum, or after `rounds` steps.
     """
     k = len(targets)
     p = [F.col(f"p{i}") for i in range(k)]
     tokens = F.col("n_tokens").cast("double")
-    second = [F.sum(tokens * p[i] * p[j]).alias(f"m{i}_{j}") for i in range(k) for j in range(k)]
-    base = table.agg(*[F.sum(tokens * p[i]).alias(f"e{i}") for i in range(k)], *second).first()
-    mass = np.maximum([base[f"e{i}"] or 0.0 for i in range(k)], 1.0)
-    gram = np.array([[base[f"m{i}_{j}"] or 0.0 for j in range(k)] for i in range(k)]) / np.sqrt(np.outer(mass, mass))
-    eta = 1.0 / max(float(np.linalg.eigvalsh(gram).max()), 1e-12)
-    rate: Column = F.lit(1.0)
-    expected = np.array([base[f"e{i}"] or 0.0 for i in range(k)])
-    for _ in range(rounds):
-        gap = (targets - expected) / mass
-        if np.abs(gap).max() < LEAST_GAP:
-            break
-        move = sum((p[i] * float(eta * gap[i]) for i in range(1, k)), p[0] * float(eta * gap[0]))
-        rate = F.greatest(F.lit(0.0), rate + move)
-        got = table.select(*p, (rate * tokens).alias("t")).agg(*[F.sum(F.col("t") * p[i]).alias(f"e{i}") for i in range(k)]).first()
-        expected = np.array([got[f"e{i}"] or 0.0 for i in range(k)])
-    return rate, expected
-
-
-def exact_rates(table: DataFrame, targets: np.ndarray) -> tuple[Column, np.ndarray]:
-    """(rate as an expression over p0 .. pk, expected tokens by domain under it), by Newton steps on the k sums.
-
-    Among the rates >= 0 that meet the targets, the ones nearest to 1 (squares weighted by n_tokens) are
-    max(0, 1 + sum_k x_k p_dk); the k numbers x are found by Newton steps with halving, one aggregation each. Where
-    no rates meet the targets, a ridge of 1e-8 makes it the least squares solution of `fit_rates`.
-    """
-    k = len(targets)
-    p = [F.col(f"p{i}") for i in range(k)]
-    tokens = F.col("n_tokens").cast("double")
-
-    def at(x: np.ndarray):
-        rate = F.greatest(F.lit(0.0), sum((p[i] * float(x[i]) for i in range(k)), F.lit(1.0)))
-        pairs = [(i, j) for i in range(k) for j in range(i + 1)]
-        active = F.when(F.col("rate") > 0, F.col("n")).otherwise(0.0)
-        sums = [F.sum(F.col("n") * F.col("rate") * p[i]).alias(f"e{i}") for i in range(k)]
-        second = [F.sum(active * p[i] * p[j]).alias(f"h{i}_{j}") for i, j in pairs]
-        got = table.select(*p, tokens.alias("n"), rate.alias("rate")).agg(*sums, *second, F.sum(F.col("n") * F.col("rate") * F.col("rate")).alias("q")).first()
-        hessian = np.zeros((k, k))
+    low = F.lit(0.0) if low is None else low
+    pairs = [(i, j) for i in range(k) for j in range(i + 1)]
+
+    def at(rate: Column) -> tuple[np.ndarray, np.ndarray]:
+        inside = F.when((F.col("r") > F.col("low")) & (F.col("r") < high), F.col("n")).otherwise(0.0)
+        sums = [F.sum(F.col("n") * F.col("r") * p[i]).alias(f"e{i}") for i in range(k)] + [F.sum(inside * p[i] * p[j]).alias(f"h{i}_{j}") for i, j in pairs]
+        got = table.select(*p, tokens.alias("n"), rate.alias("r"), low.alias("low")).agg(*sums).first()
+        curve = np.zeros((k, k))
         for i, j in pairs:
-            hessian[i, j] = hessian[j, i] = got[f"h{i}_{j}"] or 0.0
-        return rate, np.array([got[f"e{i}"] or 0.0 for i in range(k)]), hessian, got["q"] or 0.0
+            curve[i, j] = curve[j, i] = got[f"h{i}_{j}"] or 0.0
+        return np.array([got[f"e{i}"] or 0.0 for i in range(k)]), curve
 
-    x = np.zeros(k)
-    rate, expected, hessian, square = at(x)
+    rate: Column = F.lit(1.0)
+    expected, curve = at(rate)
     mass = np.maximum(expected, 1.0)
-    ridge = 1e-8 * mass
-    dual = lambda x, square: targets @ x - square / 2 - (ridge * x * x).sum() / 2
-    for _ in range(100):
-        slope = targets - expected - ridge * x
-        if np.abs(slope / mass).max() < LEAST_GAP:
+    loss = lambda e: float(((targets - e) ** 2 / mass).sum())
+    for _ in range(rounds):
+        gap = targets - expected
+        if np.abs(gap / mass).max() < LEAST_GAP:
             break
-        step, size = np.linalg.solve(hessian + np.diag(ridge), slope), 1.0
-        new = at(x + step)
-        while dual(x + size * step, new[3]) < dual(x, square) and size > 1e-6:
-            size /= 2
-            new = at(x + size * step)
-        if size <= 1e-6:  # no gain is left within the precision of the sums
+        step, size = np.linalg.solve(curve + np.diag(1e-6 * mass), gap), 1.0
+        while True:
+            move = sum((p[i] * float(size * step[i]) for i in range(1, k)), p[0] * float(size * step[0]))
+            new = F.least(F.lit(float(high)), F.greatest(low, rate + move))
+            got, inner = at(new)
+            if loss(got) < loss(expected) or size < 1e-3:
+                break
+            size /= 4
+        gain = loss(expected) - loss(got)
+        if gain <= 0:
+            break
+        small = gain < LEAST_GAIN * loss(expected)
+        rate, expected, curve = new, got, inner
+        if small:
             break
-        x = x + size * step
-        rate, expected, hessian, square = new
     return rate, expected
 
 
 def mixed(
-    docs: DataFrame, labelled: DataFrame, weights: dict[str, float], anchor: str,
-    id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS, rounds: int = ROUNDS,
+    docs: DataFrame, labelled: DataFrame, weights: dict[str, float], anchor: str, id_col: str = "doc_id",
+    text_col: str = "text", train_docs: int = TRAIN_DOCS, rounds: int = ROUNDS, kept: float = KEPT, most_copies: float = MOST_COPIES, key_col: str | None = None,
 ) -> DataFrame:
-    """One row per document: id, n_tokens, a posterior `p_<domain>` per domain, rate, copies.
+    """One row per row of `docs`: id, n_tokens, a posterior `p_<domain>` per domain, rate, copies, and the tokens
+    `wanted_<domain>` and `reached_<domain>` in expectation, the same in every row; `key_col`, if given, is carried along.
 
     `labelled` has (id, domain) rows; `weights` are the wanted shares of tokens. The total is what keeps
     the `anchor` domain as large as it is, so a weight below a domain's natural share thins it out and
-    one above repeats it. `copies` is the rate rounded down or up by a hash of the id, so its mean is
-    the rate. Where the gradient rounds leave a gap, exact steps close it; targets that no rates meet are
-    reported as a warning. A null or empty text has no tokens, posteriors by the prior and takes part with its rate.
-    Without labelled rows nothing is known of the domains and every rate is 1. Rows that repeat an id are one document with
-    all their words; other columns of the input are ignored.
+    one above repeats it. A rate is at least `kept` times the document's posterior of the anchor
+    domain and at most `most_copies`: where posteriors are too soft or weights too far from what there is,
+    the targets are missed (a warning says so) and not the corpus. `copies` is the rate rounded down or up by a hash of id and text,
+    so its mean is the rate. A null or empty text has no tokens, posteriors by the prior and takes part with its rate.
+    Without labelled rows nothing is known of the domains and every rate is 1. Rows that repeat an id, or have none,
+    are documents of their own; labels go by the id. Other columns of the input are ignored.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     domains = sorted(weights)
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    own = [F.col(key_col).alias("key")] if key_col else []
+    slim = docs.select(*own, F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("print"), F.col(text_col).alias("text"))
     table = scratch.keep(posteriors(slim, labelled, domains, train_docs), "posteriors")
     tokens = F.col("n_tokens").cast("double")
     i = domains.index(anchor)
     whole = float(table.agg(F.sum(tokens * F.col(f"p{i}"))).first()[0] or 0.0) / (weights[anchor] / math.fsum(weights.values()))
     targets = np.array([weights[d] for d in domains]) / math.fsum(weights.values()) * whole
-    rate = F.lit(1.0)
+    rate, expected = F.lit(1.0), targets
     if not labelled.isEmpty():
-        rate, expected = fit_rates(table, targets, rounds)
-        if np.abs(targets - expected).max() > LEAST_GAP * max(whole, 1.0):
-            rate, expected = exact_rates(table, targets)
+        rate, expected = fit_rates(table, targets, F.col(f"p{i}") * F.lit(float(kept)), most_copies, rounds)
         if np.abs(targets - expected).max() > 1e-6 * max(whole, 1.0):
             reached = ", ".join(f"{d} {e:.6g} of {t:.6g}" for d, e, t in zip(domains, expected, targets, strict=True))
-            warnings.warn(f"the posteriors cannot meet the mixing targets; expected tokens: {reached}", stacklevel=2)
-    draw = F.pmod(F.xxhash64("id", F.lit(23)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+            warnings.warn(f"the mixing targets are not met within the bounds of the rates; expected tokens: {reached}", stacklevel=2)
+    draw = F.pmod(F.xxhash64("print", F.lit(23)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     names = [F.col(f"p{j}").alias(f"p_{d}") for j, d in enumerate(domains)]
-    fitted = table.withColumn("rate", rate)
-    return fitted.select(F.col("id").alias(id_col), "n_tokens", *names, "rate", (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")).cast("int").alias("copies"))
+    totals = [F.lit(float(x[j])).alias(f"{name}_{d}") for name, x in (("wanted", targets), ("reached", expected)) for j, d in enumerate(domains)]
+    copies = (F.floor("rate") + (draw < F.col("rate") - F.floor("rate")).cast("long")).cast("int").alias("copies")
+    carried = [F.col("key").alias(key_col)] if key_col else []
+    return table.withColumn("rate", rate).select(*carried, F.col("id").alias(id_col), "n_tokens", *names, "rate", copies, *totals)
