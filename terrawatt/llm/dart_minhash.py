@@ -258,8 +258,10 @@ class Remainder:
         return out
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per document: id, component_id (smallest id its links lead to), kept (id = component_id).
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, key_col: str | None = None
+) -> DataFrame:
+    """One row per row of `docs`: id, component_id (smallest id its links lead to), kept (the first row of its component); `key_col`, if given, is carried along.
 
     Words are lower case and without sentence punctuation. Documents of equal weighted shingle sets
     are one class. Classes that share a bucket are candidates; a link is a candidate pair whose exact
@@ -268,15 +270,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are compared across components inside tasks, except where sketches (4.5 standard deviations below
     the threshold) and weights rule a pair out. So no candidate link between components is left out,
     while a bucket of true copies costs as many comparisons as it has members. Documents
-    without words are never linked and kept. Rows that repeat an id each get a row, judged by its own
-    text; a null id is kept. Other columns of the input are ignored.
+    without words are never linked and kept.
+
+    Rows go by a key of their own (`key_col`, unique longs of a stored table, or else one that is
+    written with the texts first), so rows that repeat an id, or have none, are documents like others: each is
+    judged by its own text, and one row of a component is kept, that of the smallest id (nulls last), then key.
+    A component without ids has a null component_id. Other columns of the input are ignored.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "darts")
     coordinates = bands * rows
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    key = F.col(key_col) if key_col else F.monotonically_increasing_id()
+    named = docs.select(key.alias("id"), F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text"))
+    named = named if key_col else scratch.keep(named, "rows")
+    slim = named.select("id", "text")
     signed = scratch.keep(signatures(slim, bands, rows), "signed")
-    classes = signed.where("k1 IS NOT NULL AND id IS NOT NULL").groupBy("k1", "k2").agg(
+    classes = signed.where("k1 IS NOT NULL").groupBy("k1", "k2").agg(
         F.min("id").alias("rep"), F.first("weight").alias("weight"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
     )
     classes = scratch.keep(classes, "classes")
@@ -295,7 +304,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ids = scratch.keep(members.select(F.col("rep").alias("id")).distinct(), "ids")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     texts = slim.join(wanted, "id", "left_semi")
-    codes = scratch.keep(coded_sets(texts).dropDuplicates(["id"]), "codes")
+    codes = scratch.keep(coded_sets(texts), "codes")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         side = lambda c: codes.select(F.col("id").alias(c), F.col("codes").alias(f"codes_{c}"))
@@ -335,9 +344,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     found = classes.select("k1", "k2", "rep").join(merged.withColumnRenamed("id", "rep"), "rep", "left")
     found = found.select("k1", "k2", F.coalesce("component", "rep").alias("component"))
-    every = signed.select("id", "k1", "k2").join(found, ["k1", "k2"], "left")
-    result = every.select(F.col("id").alias(id_col), F.coalesce("component", "id").alias("component_id"))
-    result = result.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True)))
+    placed = signed.select("id", "k1", "k2").join(found, ["k1", "k2"], "left").select("id", F.coalesce("component", "id").alias("component"))
+    every = scratch.keep(named.select("id", "doc").join(placed, "id"), "placed")
+    first = every.groupBy("component").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "id")).alias("first"))
+    result = every.join(first, "component").select(
+        F.col("doc").alias(id_col), F.col("first.doc").alias("component_id"), (F.col("id") == F.col("first.id")).alias("kept"), *([F.col("id").alias(key_col)] if key_col else [])
+    )
     result = scratch.keep(result, "result")
-    scratch.drop("signed", "classes", "members", "first", "ids", "codes", "links1", "merged", "links2")
+    scratch.drop("rows", "signed", "classes", "members", "first", "ids", "codes", "links1", "merged", "links2", "placed")
     return result

@@ -148,15 +148,17 @@ def near_vectors(
     several tables counts in the first. A bucket above `block` vectors is cut into blocks by a hash of
     the id, and each pair of blocks is compared on its own; what leaves a comparison are counts and one
     edge per vector, never pairs. Vectors that are null, zero or hold null or non-finite components
-    link with nothing. Rows that repeat an id count once; a null id gives a row without component.
+    link with nothing. Each row is a vector of its own under a key that is written first, so rows that
+    repeat an id, or have none, link like others; component_id is then the smallest id of the component's rows,
+    null if they have none, and a row without id is kept where it is the first row of such a component.
     Other columns of the input are ignored.
     """
     spark = vectors.sparkSession
     scratch = Scratch(spark, "pstable")
-    slim = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    prints = slim.mapInArrow(_fingerprints, "id long, d1 long, d2 long").groupBy("id").agg(F.min(F.struct("d1", "d2")).alias("d"))
-    prints = scratch.keep(prints.select("id", "d.d1", "d.d2"), "prints")
-    classes = prints.where("id IS NOT NULL AND d1 IS NOT NULL").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    named = scratch.keep(vectors.select(F.monotonically_increasing_id().alias("id"), F.col(id_col).cast("long").alias("vec"), F.col(vector_col).alias("v")), "rows")
+    slim = named.select("id", F.col("v").cast("array<double>").alias("v"))
+    prints = scratch.keep(slim.mapInArrow(_fingerprints, "id long, d1 long, d2 long"), "prints")
+    classes = prints.where("d1 IS NOT NULL").groupBy("d1", "d2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     classes = scratch.keep(classes, "classes")
 
     hashing = Hashing(tables, projections, step)
@@ -170,7 +172,7 @@ def near_vectors(
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "keys"])
 
-    chosen = slim.join(classes.select(F.col("rep").alias("id"), "copies"), "id").dropDuplicates(["id"])
+    chosen = slim.join(classes.select(F.col("rep").alias("id"), "copies"), "id")
     reps = chosen.select(F.col("id").alias("rep"), "copies", "v").mapInArrow(hashed, "rep long, copies long, v array<double>, keys array<long>")
     reps = scratch.keep(reps.select("rep", "copies", F.col("v").cast("array<float>" if _single(vectors, vector_col) else "array<double>").alias("v"), "keys"), "reps")
     sizes = reps.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -197,11 +199,14 @@ def near_vectors(
     summary = classes.join(counted, "rep", "left").join(merged.withColumnRenamed("id", "rep"), "rep", "left").select(
         "d1", "d2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component")
     )
-    result = prints.join(summary, ["d1", "d2"], "left").select(
-        F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id")
+    placed = prints.join(summary, ["d1", "d2"], "left").select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component"))
+    placed = scratch.keep(named.select("id", "vec").join(placed, "id"), "placed")
+    first = placed.groupBy("component").agg(F.min("vec").alias("component_id"), F.min("id").alias("first"))
+    result = placed.join(first, "component").select(
+        F.col("vec").alias(id_col), "n_links", "component_id", F.coalesce(F.col("vec") == F.col("component_id"), F.col("component_id").isNull() & (F.col("id") == F.col("first"))).alias("kept")
     )
-    result = scratch.keep(result.withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))), "result")
-    scratch.drop("prints", "classes", "found")
+    result = scratch.keep(result, "result")
+    scratch.drop("rows", "prints", "classes", "found", "placed")
     return result
 
 

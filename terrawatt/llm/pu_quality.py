@@ -96,6 +96,20 @@ def prior_from_histograms(positive: np.ndarray, everything: np.ndarray) -> float
     return float(np.clip(above_u[usable][best] / above_p[usable][best], 0.01, 0.99))
 
 
+def risk_parts(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> tuple[float, float]:
+    """(risk of positives, estimated risk of negatives), with logistic loss; the latter may be below zero."""
+    fp, fu = p @ w, u @ w
+    return prior * np.logaddexp(0, -fp).mean(), np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+
+
+def risk_gradient(w: np.ndarray, p: np.ndarray, u: np.ndarray, prior: float) -> np.ndarray:
+    """Gradient of the sum of both parts, or, where the negative risk is below zero, the one that raises it."""
+    fp, fu = p @ w, u @ w
+    g_negative = u.T @ _sigmoid(fu) / len(u) - prior * p.T @ _sigmoid(fp) / len(p)
+    g_positive = -prior * p.T @ _sigmoid(-fp) / len(p)
+    return g_positive + g_negative if risk_parts(w, p, u, prior)[1] >= 0 else -g_negative
+
+
 def fit_non_negative(positives: np.ndarray, unlabelled: np.ndarray, prior: float) -> Linear:
     """Minimise  prior E_P[l(f)] + max(0, E_U[l(-f)] - prior E_P[l(-f)])  with logistic loss l.
 
@@ -106,17 +120,15 @@ def fit_non_negative(positives: np.ndarray, unlabelled: np.ndarray, prior: float
     p, u = model.rows(positives), model.rows(unlabelled)
 
     def gradient(w: np.ndarray) -> np.ndarray:
-        fp, fu = p @ w, u @ w
-        negative = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
-        g_negative = u.T @ _sigmoid(fu) / len(u) - prior * p.T @ _sigmoid(fp) / len(p)
-        g_positive = -prior * p.T @ _sigmoid(-fp) / len(p)
-        return g_positive + g_negative if negative >= 0 else -g_negative
+        return risk_gradient(w, p, u, prior)
 
     return model.fit(gradient, decay=1.0 / len(p))
 
 
-def score_quality(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """(id, score): how likely each document is good, 0 to 1.
+def score_quality(
+    docs: DataFrame, positives: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS, key_col: str | None = None
+) -> DataFrame:
+    """(id, score): how likely each document is good, 0 to 1; `key_col`, a long of the input if given, is carried along.
 
     `positives` holds the ids of trusted positives. The prior is estimated over all documents; the
     fit takes about `train_rows` positives and as many documents of any kind, chosen by a hash of
@@ -131,11 +143,12 @@ def score_quality(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id",
             for part in slices(batch, "text"):
                 x = features(part.column("text"))
                 offsets = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(x.ravel()))], names=["id", "x"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(x.ravel()))], names=["id", "key", "x"])
 
     scratch = Scratch(spark, "pu")
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    table = scratch.keep(slim.mapInArrow(extract, "id long, x array<float>"), "features")
+    key = F.col(key_col) if key_col else F.lit(None)
+    slim = docs.select(F.col(id_col).cast("long").alias("id"), key.cast("long").alias("key"), F.col(text_col).alias("text"))
+    table = scratch.keep(slim.mapInArrow(extract, "id long, key long, x array<float>"), "features")
     trusted = positives.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL").distinct()
     good = table.join(trusted, "id", "left_semi")
     n_good, n_all = good.count(), table.count()
@@ -178,6 +191,7 @@ def score_quality(docs: DataFrame, positives: DataFrame, id_col: str = "doc_id",
             got = np.ones(len(x))
             if model is not None and len(x):
                 got = _sigmoid(model.logit(np.asarray(x.flatten()).reshape(len(x), -1)))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(got)], names=[id_col, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), pa.array(got)], names=["id", "key", "score"])
 
-    return table.mapInArrow(score, f"{id_col} long, score double")
+    carried = [F.col("key").alias(key_col)] if key_col else []
+    return table.mapInArrow(score, "id long, key long, score double").select(F.col("id").alias(id_col), *carried, "score")

@@ -47,9 +47,12 @@ def test_like_brute_force(spark, kind, block):
 
 
 def test_repeats_nulls_and_empty(spark):
-    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (None, [1.0, 0.0])], "vec_id long, embedding array<float>")
-    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors(vectors).collect()}
-    assert got[1] == (1, 1, True) and got[2] == (1, 1, False) and len(got) == 3
+    """Every row is a vector of its own, whatever its id."""
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (None, [1.0, 0.0]), (1, [0.0, 1.0]), (3, [0.0, 1.0]), (None, [-1.0, 0.0]), (None, [-1.0, 0.01]), (None, [0.0, -1.0]), (None, None)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in near_vectors(vectors).collect()), key=str)
+    want = [(1, 3, 1, True)] * 2 + [(2, 3, 1, False), (None, 3, 1, False), (1, 1, 1, True), (3, 1, 1, False), (None, 1, None, True), (None, 1, None, False), (None, 0, None, True), (None, 0, None, True)]
+    assert got == sorted(want, key=str)
     assert near_vectors(vectors.where("false")).collect() == []
 
 

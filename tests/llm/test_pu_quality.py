@@ -1,7 +1,7 @@
 import numpy as np
 import pyarrow as pa
 
-from terrawatt.llm.pu_quality import features, fit_non_negative, prior_from_histograms, score_quality
+from terrawatt.llm.pu_quality import features, fit_non_negative, prior_from_histograms, risk_gradient, risk_parts, score_quality
 from terrawatt.llm.queries import op4_pu_quality
 from tests.harness import SF_DIR
 
@@ -39,4 +39,30 @@ def test_odd_rows(spark):
     assert [r.score for r in score_quality(docs, nothing).collect()] == [1.0] * 5
     some = spark.createDataFrame([(3,), (None,), (99,)], "doc_id long")
     assert len(score_quality(docs, some).collect()) == 5
+    assert sorted(r.x for r in score_quality(docs.withColumn("x", docs.x.cast("long")), some, key_col="x").collect()) == [5] * 5
     assert score_quality(docs.where("false"), some).count() == 0
+
+
+def test_risk_and_gradient_like_brute_force():
+    """Both parts of the risk row by row, and the gradient by differences, on either side of zero."""
+    rng = np.random.default_rng(1)
+    p, u = rng.normal(1, 1, (30, 3)), rng.normal(0, 0.2, (40, 3))
+    loss = lambda z: np.log(1 + np.exp(-z))
+    sides = set()
+    for w, prior in zip(rng.normal(0, 2, (40, 3)), [0.4, 0.95] * 20, strict=True):
+        good, bad = risk_parts(w, p, u, prior)
+        assert np.isclose(good, prior * sum(loss(x @ w) for x in p) / 30)
+        assert np.isclose(bad, sum(loss(-(x @ w)) for x in u) / 40 - prior * sum(loss(-(x @ w)) for x in p) / 30)
+        part = (lambda v: sum(risk_parts(v, p, u, prior))) if bad >= 0 else (lambda v: -risk_parts(v, p, u, prior)[1])
+        slopes = [(part(w + e) - part(w - e)) / 2e-6 for e in np.eye(3) * 1e-6]
+        assert np.allclose(risk_gradient(w, p, u, prior), slopes, atol=1e-6)
+        sides.add(bool(bad >= 0))
+    assert sides == {True, False}
+
+
+def test_ties_at_the_limit_and_long_texts(spark):
+    """Equal texts have equal scores, and one at the limit counts as good; a long text is scored whole."""
+    rows = [(i, ("fine words in a row. " if i % 2 else "x| # $$ ") * 40) for i in range(200)] + [(900, "fine words in a row. " * 40), (901, "fine words in a row. " * 100_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in score_quality(docs, docs.where("doc_id % 4 = 1 AND doc_id < 200").select("doc_id")).collect()}
+    assert got[900] == got[1] == got[199] > got[0] and 0 <= got[901] <= 1
