@@ -30,10 +30,18 @@ def columns(docs: DataFrame) -> list[Column]:
     return [docs[f"`{c}`"] for c in docs.columns]
 
 
-def without(docs: DataFrame, gone: DataFrame, label: str) -> DataFrame:
-    """Documents whose id is not in `gone`; the ids are written first, so that Spark knows their size when it picks the join."""
-    ids = Scratch(docs.sparkSession, label).keep(gone.select(F.col("doc_id").alias("gone_id")).where("gone_id IS NOT NULL"), "gone")
-    return docs.join(ids, docs["doc_id"] == ids["gone_id"], "left_anti")
+def keyed(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """(stored rows with a key of their own, its name): decisions go by rows, since ids may repeat or be null."""
+    name = "row_key"
+    while name in docs.columns:
+        name += "_"
+    return Scratch(docs.sparkSession, label).keep(docs.withColumn(name, F.monotonically_increasing_id()), "rows"), name
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str, label: str) -> DataFrame:
+    """The rows whose key is not in `gone`; these keys are written first, so that Spark knows their size when it picks the join."""
+    keys = Scratch(rows.sparkSession, label).keep(gone.select(key), "gone")
+    return rows.join(keys, key, "left_anti").drop(key)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,26 +52,24 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents of low quality."""
-    scored = score_quality(docs, trusted_positives(table(spark, sf_dir, "labels")))
-    return without(docs, scored.where(F.col("score") < LEAST_QUALITY), "quality")
+    rows, key = keyed(docs, "quality")
+    scored = score_quality(rows, trusted_positives(table(spark, sf_dir, "labels")), key_col=key)
+    return without(rows, scored.where(F.col("score") < LEAST_QUALITY), key, "quality")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id in each group, and one row of it."""
-    found = near_duplicates(docs)
-    rest = without(docs, found.where(~F.col("kept")), "near-dedup")
-    twice = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    if twice.isEmpty():
-        return rest
-    once = rest.join(twice.withColumnRenamed("doc_id", "twice_id"), F.col("doc_id") == F.col("twice_id"), "left_semi").dropDuplicates(["doc_id"])
-    return without(rest, twice, "near-dedup").unionByName(once)
+    """Keeps one row of each group: that of the smallest id."""
+    rows, key = keyed(docs, "near-dedup")
+    return without(rows, near_duplicates(rows, key_col=key).where(~F.col("kept")), key, "near-dedup")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its fitted rate says, rounded by a hash of its id."""
-    rates = mixed(docs, domains(table(spark, sf_dir, "labels")), MIXTURE, "clean").select(F.col("doc_id").alias("mixed_id"), "copies").where("copies > 0")
-    kept = docs.join(rates, docs["doc_id"].eqNullSafe(rates["mixed_id"]))
-    return kept.select(F.struct(*columns(docs)).alias("row"), F.explode(F.array_repeat(F.lit(0), rates["copies"])).alias("copy")).select("row.*")
+    """Each document as often as its fitted rate says, rounded by a hash of its id and text."""
+    rows, key = keyed(docs, "mixing")
+    rates = mixed(rows, domains(table(spark, sf_dir, "labels")), MIXTURE, "clean", key_col=key).select(key, F.col("copies").alias("mixed_copies")).where("mixed_copies > 0")
+    kept = rows.join(rates.withColumnRenamed(key, "mixed_key"), rows[key] == F.col("mixed_key"))
+    copies = F.explode(F.array_repeat(F.lit(0), rates["mixed_copies"])).alias("copy")
+    return kept.select(F.struct(*columns(rows.drop(key))).alias("row"), copies).select("row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
