@@ -26,7 +26,8 @@ TRAIN_DOCS = 20_000
 #: Parts of the labelled documents; each is scored by words of the other parts to weigh the scores.
 FOLDS = 4
 #: Most gradient steps; fitting ends before where the gap, as a share of a domain's tokens, or the gain of a step is below these.
-ROUNDS, LEAST_GAP, LEAST_GAIN = 40, 1e-9, 1e-4
+ROUNDS, LEAST_GAP, LEAST_GAIN = 25, 1e-9, 1e-3
+STEP_SIZES = (1.0, 0.25, 0.0625, 0.015625)
 #: Bounds of a rate: at least this share of the document's posterior of the anchor domain, and at most so many copies.
 KEPT, MOST_COPIES = 0.8, 4.0
 #: The model is broadcast up to so many words (about 50 bytes each); beyond, the join shuffles.
@@ -214,53 +215,58 @@ def posteriors(docs: DataFrame, labelled: DataFrame, domains: list[str], train_d
 
 
 def fit_rates(table: DataFrame, targets: np.ndarray, low: Column | None = None, high: float = MOST_COPIES, rounds: int = ROUNDS) -> tuple[Column, np.ndarray]:
-    """(rate as an expression over n_tokens and p0 .. pk, expected tokens by domain under it).
+    """(rate as an expression over p0 .. pk, expected tokens by domain under it).
 
     Minimises  sum_k (E_k - T_k)^2 / m_k,  E_k = sum_d r_d n_d p_dk,  over `low` <= r <= `high` (low: 0) by
     projected gradient from r = 1, where m_k are the tokens of domain k at r = 1. A step moves r_d by
     sum_k p_dk c_k and cuts it at the bounds. c is the gap T - E scaled by the k x k curvature,
     sum n_d p_d p_d' over the documents strictly inside the bounds, so a step would close the gap if nothing were cut;
-    the step is halved until the sum falls. Documents weigh n_d, so long ones move no further
-    than short ones. Each step is one aggregation to k + k x k sums; rates are never stored, since they
+    the first of STEP_SIZES that lowers the sum is taken. Documents weigh n_d, so long ones move no further
+    than short ones. Each step is one aggregation to k + k x k sums for each size; rates are never stored, since they
     follow from the posteriors and the steps so far. It ends when every gap is below LEAST_GAP, a step
     gains less than LEAST_GAIN of the sum, or after `rounds` steps.
     """
     k = len(targets)
     p = [F.col(f"p{i}") for i in range(k)]
-    tokens = F.col("n_tokens").cast("double")
     low = F.lit(0.0) if low is None else low
     pairs = [(i, j) for i in range(k) for j in range(i + 1)]
-
-    def at(rate: Column) -> tuple[np.ndarray, np.ndarray]:
-        inside = F.when((F.col("r") > F.col("low")) & (F.col("r") < high), F.col("n")).otherwise(0.0)
-        sums = [F.sum(F.col("n") * F.col("r") * p[i]).alias(f"e{i}") for i in range(k)] + [F.sum(inside * p[i] * p[j]).alias(f"h{i}_{j}") for i, j in pairs]
-        got = table.select(*p, tokens.alias("n"), rate.alias("r"), low.alias("low")).agg(*sums).first()
-        curve = np.zeros((k, k))
-        for i, j in pairs:
-            curve[i, j] = curve[j, i] = got[f"h{i}_{j}"] or 0.0
-        return np.array([got[f"e{i}"] or 0.0 for i in range(k)]), curve
+    base = table.select(*p, F.col("n_tokens").cast("double").alias("n"), low.alias("low"))
+    cut = lambda r: F.least(F.lit(float(high)), F.greatest(low, r))
+
+    def at(rate: Column, moves: list[Column]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(tokens by domain, curvature) after each of the moves."""
+        rows = base.withColumn("rate", rate).select(*p, "n", "low", *[cut(F.col("rate") + m).alias(f"r{s}") for s, m in enumerate(moves)])
+        sums = []
+        for s in range(len(moves)):
+            r = F.col(f"r{s}")
+            inside = F.when((r > F.col("low")) & (r < high), F.col("n")).otherwise(0.0)
+            sums += [F.sum(F.col("n") * r * p[i]).alias(f"e{s}_{i}") for i in range(k)] + [F.sum(inside * p[i] * p[j]).alias(f"h{s}_{i}_{j}") for i, j in pairs]
+        got = rows.agg(*sums).first()
+        out = []
+        for s in range(len(moves)):
+            curve = np.zeros((k, k))
+            for i, j in pairs:
+                curve[i, j] = curve[j, i] = got[f"h{s}_{i}_{j}"] or 0.0
+            out.append((np.array([got[f"e{s}_{i}"] or 0.0 for i in range(k)]), curve))
+        return out
 
     rate: Column = F.lit(1.0)
-    expected, curve = at(rate)
+    ((expected, curve),) = at(rate, [F.lit(0.0)])
     mass = np.maximum(expected, 1.0)
     loss = lambda e: float(((targets - e) ** 2 / mass).sum())
     for _ in range(rounds):
         gap = targets - expected
         if np.abs(gap / mass).max() < LEAST_GAP:
             break
-        step, size = np.linalg.solve(curve + np.diag(1e-6 * mass), gap), 1.0
-        while True:
-            move = sum((p[i] * float(size * step[i]) for i in range(1, k)), p[0] * float(size * step[0]))
-            new = F.least(F.lit(float(high)), F.greatest(low, rate + move))
-            got, inner = at(new)
-            if loss(got) < loss(expected) or size < 1e-3:
-                break
-            size /= 4
-        gain = loss(expected) - loss(got)
-        if gain <= 0:
+        step = np.linalg.solve(curve + np.diag(1e-6 * mass), gap)
+        moves = [sum((p[i] * float(size * step[i]) for i in range(1, k)), p[0] * float(size * step[0])) for size in STEP_SIZES]
+        tried = at(rate, moves)
+        best = next((s for s, (e, _) in enumerate(tried) if loss(e) < loss(expected)), None)
+        if best is None:
             break
+        gain = loss(expected) - loss(tried[best][0])
         small = gain < LEAST_GAIN * loss(expected)
-        rate, expected, curve = new, got, inner
+        rate, (expected, curve) = cut(rate + moves[best]), tried[best]
         if small:
             break
     return rate, expected

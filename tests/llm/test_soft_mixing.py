@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrawatt.llm.queries import domains, held_out, op8_soft_mixing
-from terrawatt.llm.soft_mixing import KEPT, MOST_COPIES, fit_rates, mixed, posteriors
+from terrawatt.llm.soft_mixing import KEPT, LEAST_GAIN, MOST_COPIES, STEP_SIZES, fit_rates, mixed, posteriors
 
 WORDS = {"x": "alpha beta gamma", "y": "delta epsilon zeta"}
 
@@ -39,12 +39,14 @@ def test_steps_like_numpy(spark):
     loss = lambda r: ((sums(r) - target) ** 2 / mass).sum()
     for _ in range(6):
         inside = n * ((r > low) & (r < high))
-        step, size = np.linalg.solve((p * inside[:, None]).T @ p + np.diag(1e-6 * mass), target - sums(r)), 1.0
-        while loss(new := np.clip(r + size * p @ step, low, high)) >= loss(r) and size >= 1e-3:
-            size /= 4
-        if loss(new) >= loss(r):
+        step = np.linalg.solve((p * inside[:, None]).T @ p + np.diag(1e-6 * mass), target - sums(r))
+        better = [new for size in STEP_SIZES if loss(new := np.clip(r + size * p @ step, low, high)) < loss(r)]
+        if not better:
+            break
+        small = loss(r) - loss(better[0]) < LEAST_GAIN * loss(r)
+        r = better[0]
+        if small:
             break
-        r = new
     got = np.array([x.r for x in table.select(rate.alias("r")).collect()])
     assert np.allclose(got, r, atol=1e-6) and np.allclose(expected, sums(r), rtol=1e-6)
 
