@@ -1,7 +1,7 @@
 """Geometry as columns.
 
-A ring or line is `array<struct<x double, y double>>` (lon/lat degrees, EPSG:4326), a geometry is
-`struct<type string, rings array<array<point>>>`. All functions here are plain expressions.
+A ring or line is `array<struct<x double, y double>>` (lon/lat degrees, EPSG:4326); geometries of
+several rings and parts are in `shapes`. All functions here are plain expressions.
 Angles are degrees, lengths metres, areas square metres unless a name says planar.
 """
 
@@ -40,64 +40,6 @@ def st_rectangle(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Colu
     return F.array(*[st_point(x, y) for x, y in corners])
 
 
-# --- text and JSON forms ----------------------------------------------------------------
-
-
-def st_geom_from_text(wkt: Column) -> Column:
-    """Parse POINT, LINESTRING, POLYGON and their MULTI forms; other text gives NULL."""
-    kind = F.upper(F.regexp_extract(wkt, r"^\s*([A-Za-z]+)", 1))
-    groups = F.regexp_extract_all(wkt, F.lit(r"\(([^()]+)\)"), F.lit(1))
-
-    def vertex(text: Column) -> Column:
-        numbers = F.split(F.trim(text), r"\s+")
-        return st_point(F.get(numbers, F.lit(0)).try_cast("double"), F.get(numbers, F.lit(1)).try_cast("double"))
-
-    rings = F.transform(groups, lambda g: F.transform(F.split(g, ","), vertex))
-    known = kind.isin("POINT", "LINESTRING", "POLYGON", "MULTIPOINT", "MULTILINESTRING", "MULTIPOLYGON")
-    return F.when(known & (F.size(groups) > 0), F.struct(kind.alias("type"), rings.alias("rings")))
-
-
-def st_as_text(geom: Column) -> Column:
-    """WKT of POINT, LINESTRING or POLYGON."""
-
-    def vertices(ring: Column) -> Column:
-        return F.array_join(
-            F.transform(ring, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))), ", "
-        )
-
-    parts = F.transform(geom["rings"], vertices)
-    flat = F.concat(F.lit("("), F.element_at(parts, 1), F.lit(")"))
-    nested = F.concat(
-        F.lit("("), F.array_join(F.transform(parts, lambda t: F.concat(F.lit("("), t, F.lit(")"))), ", "), F.lit(")")
-    )
-    return F.concat(geom["type"], F.lit(" "), F.when(geom["type"] == "POLYGON", nested).otherwise(flat))
-
-
-def st_as_geojson_point(point: Column) -> Column:
-    return F.to_json(
-        F.struct(F.lit("Point").alias("type"), F.array(point["x"], point["y"]).alias("coordinates"))
-    )
-
-
-def st_from_geojson(text: Column) -> Column:
-    """GeoJSON Point, LineString or Polygon text to a geometry."""
-    kind = F.upper(F.get_json_object(text, "$.type"))
-    coords = F.get_json_object(text, "$.coordinates")
-    pair = F.from_json(coords, "array<double>")
-    line = F.from_json(coords, "array<array<double>>")
-    poly = F.from_json(coords, "array<array<array<double>>>")
-
-    def ring(points: Column) -> Column:
-        return F.transform(points, lambda p: st_point(F.get(p, F.lit(0)), F.get(p, F.lit(1))))
-
-    rings = (
-        F.when(kind == "POINT", F.array(F.array(st_point(F.get(pair, F.lit(0)), F.get(pair, F.lit(1))))))
-        .when(kind == "LINESTRING", F.array(ring(line)))
-        .when(kind == "POLYGON", F.transform(poly, ring))
-    )
-    return F.when(rings.isNotNull(), F.struct(kind.alias("type"), rings.alias("rings")))
-
-
 # --- measures on rings and lines --------------------------------------------------------
 
 
@@ -187,16 +129,6 @@ def st_end_point(line: Column) -> Column:
     return F.element_at(line, -1)
 
 
-def st_dump(geom: Column) -> Column:
-    """Parts of a MULTI point or line as single geometries; other geometries are their only part."""
-    single = F.regexp_replace(geom["type"], "^MULTI", "")
-    apart = geom["type"].isin("MULTIPOINT", "MULTILINESTRING")
-    points = F.transform(F.flatten(geom["rings"]), lambda p: F.array(p))
-    lines = F.when(geom["type"] == "MULTIPOINT", points).otherwise(geom["rings"])
-    parts = F.transform(lines, lambda r: F.struct(single.alias("type"), F.array(r).alias("rings")))
-    return F.when(apart, parts).otherwise(F.array(geom))
-
-
 def st_segmentize(line: Column, max_length: float) -> Column:
     """Densify so that no planar segment exceeds `max_length` degrees."""
 

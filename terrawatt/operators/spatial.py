@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from terrawatt.functions import geo
+from terrawatt.functions import geo, shapes
 from terrawatt.operators.skew import balanced_join
 from terrawatt.session import scratch_path
 
@@ -362,17 +362,14 @@ def snap_node_to_building(nodes: DataFrame, node_ids: DataFrame, buildings: Data
 
 
 def scan_geo_vector(df: DataFrame, id_col: str = "osm_id", min_area: float = 0.0) -> DataFrame:
-    """(source_object, props, geom) from rows with a `geom` geometry column.
+    """(source_object, props, geom) from rows with a `geom` geometry column of any kind.
 
-    Rows without geometry or id are skipped, and polygons below `min_area` square degrees too.
+    Rows without geometry or id are skipped, and with a `min_area` those below so many square degrees, all parts
+    less their holes; points and lines have no area.
     """
-    planar = F.when(
-        F.col("geom.type").isin("POLYGON"),
-        geo.st_area_planar(F.element_at(F.col("geom.rings"), 1)),
-    ).otherwise(F.lit(0.0))
     rows = df.where(F.col("geom").isNotNull() & F.col(id_col).isNotNull())
     if min_area > 0:
-        rows = rows.where(planar >= min_area)
+        rows = rows.where(shapes.st_area_planar(F.col("geom")) >= min_area)
     rest = [F.col(c) for c in df.columns if c != "geom"]
     return rows.select(F.col(id_col).cast("string").alias("source_object"), F.to_json(F.struct(*rest)).alias("props"), "geom")
 
@@ -382,7 +379,7 @@ def load_plot_geometry(raw: DataFrame, payload: str = "payload") -> DataFrame:
     p = F.from_json(F.col(payload), "struct<id:string,wkt:string,point:struct<lon:double,lat:double>>")
     return raw.select(p.alias("_p")).select(
         F.col("_p.id").alias("plot_id"),
-        geo.st_geom_from_text(F.col("_p.wkt")).alias("geom"),
+        shapes.st_geom_from_text(F.col("_p.wkt")).alias("geom"),
         geo.st_point(F.col("_p.point.lon"), F.col("_p.point.lat")).alias("centroid"),
     )
 

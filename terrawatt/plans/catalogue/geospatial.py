@@ -4,8 +4,8 @@ import math
 
 from pyspark.sql import functions as F
 
-from terrawatt.functions import geo
-from terrawatt.functions.kernels import st_distance_vincenty, st_geom_from_wkb
+from terrawatt.functions import geo, shapes
+from terrawatt.functions.kernels import st_as_wkb, st_distance_vincenty, st_geom_from_wkb
 from terrawatt.operators import aggregates as agg
 from terrawatt.operators import cleaning as cl
 from terrawatt.operators import spatial as sp
@@ -48,48 +48,113 @@ def _(t):
     return t.points.select("id", geo.st_point(F.col("lon"), F.col("lat")).alias("p")).select("id", "p.x", "p.y")
 
 
-@query("st_geom_from_text", """SELECT page_no, 'POLYGON' AS type, 5 AS vertices, CAST(page_no AS DOUBLE) / 4 AS first_x, 2.5 AS last_y FROM
-    (SELECT p_partkey AS page_no FROM part)""", "first_x last_y")
+# Features of every kind from the buildings' boxes, by building_id % 6: none, a point, a line, a box with a
+# hole of half its sides in the middle, that and the same box twice its width to the right, and two lines.
+KIND = "['NONE', 'POINT', 'LINESTRING', 'POLYGON', 'MULTIPOLYGON', 'MULTILINESTRING'][building_id % 6 + 1]"
+HOLED = "SELECT *, maxx - minx AS w, maxy - miny AS h, (minx + maxx) / 2 AS cx, (miny + maxy) / 2 AS cy FROM building_geom"
+
+
+def features(t):
+    minx, miny, maxx, maxy = (F.col(c) for c in BOX)
+    w, h = maxx - minx, maxy - miny
+    hole = F.reverse(geo.st_rectangle(minx + w / 4, miny + h / 4, maxx - w / 4, maxy - h / 4))
+    beside = geo.st_rectangle(minx + 2 * w, miny, maxx + 2 * w, maxy)
+    side = lambda y: F.array(geo.st_point(minx, y), geo.st_point(maxx, y))
+    kinds = [
+        shapes.geometry("POINT", F.array(F.array(F.array(geo.st_point(minx, miny))))),
+        shapes.st_line(F.array(geo.st_point(minx, miny), geo.st_point(maxx, maxy))),
+        shapes.st_polygon(ring(), hole), shapes.st_multi_polygon([ring(), hole], [beside]), shapes.st_multi_line(side(miny), side(maxy)),
+    ]
+    geom = F.lit(None).cast(shapes.GEOMETRY)
+    for k, g in enumerate(kinds, 1):
+        geom = F.when(F.col("building_id") % 6 == k, g).otherwise(geom)
+    return t.building_geom.select("building_id", *BOX, geom.alias("geom"))
+
+
+AREA = "CASE building_id % 6 WHEN 3 THEN 0.75 WHEN 4 THEN 1.75 ELSE 0 END * w * h * 1e6"
+
+
+@query("st_geom_from_text", """SELECT p_partkey AS page_no, ['POLYGON', 'MULTIPOLYGON', 'MULTILINESTRING', 'MULTIPOINT'][p_partkey % 4 + 1] AS type,
+    [1, 2, 2, 3][p_partkey % 4 + 1] AS parts, [2, 3, 2, 3][p_partkey % 4 + 1] AS rings, [9, 13, 5, 3][p_partkey % 4 + 1] AS vertices,
+    CAST(p_partkey AS DOUBLE) / 4 + [0.25, 5, 3, 2][p_partkey % 4 + 1] AS last_x, [2.75, 2.5, -4, 1e-3][p_partkey % 4 + 1] AS last_y FROM part""", "last_x last_y")
 def _(t):
     k = F.col("p_partkey").cast("double") / 4
-    corner = lambda x, y: F.concat(x.cast("string"), F.lit(f" {y}"))
-    wkt = F.concat(F.lit("POLYGON(("), F.concat_ws(", ", corner(k, 2.5), corner(k + 1, 2.5), corner(k + 1, 3.5), corner(k, 3.5), corner(k, 2.5)), F.lit("))"))
-    pages = t.part.select(F.col("p_partkey").alias("page_no"), wkt.alias("wkt"))
-    parsed = pages.withColumn("g", geo.st_geom_from_text(F.col("wkt"))).withColumn("r", F.element_at("g.rings", 1))
-    return parsed.select(
-        "page_no", F.col("g.type").alias("type"), F.size("r").alias("vertices"),
-        F.element_at("r", 1)["x"].alias("first_x"), F.element_at("r", -1)["y"].alias("last_y"),
+    at = lambda x, y: F.concat((k + x).cast("string"), F.lit(f" {y}"))
+    row = lambda *corners: F.concat(F.lit("("), F.concat_ws(", ", *[at(*c) for c in corners]), F.lit(")"))
+    join = lambda *texts: F.concat(F.lit("("), F.concat_ws(" ,", *texts), F.lit(")"))
+    box, hole = row((0, 2.5), (1, 2.5), (1, 3.5), (0, 3.5), (0, 2.5)), row((0.25, 2.75), (0.5, 3.25), (0.75, 2.75), (0.25, 2.75))
+    text = [
+        F.concat(F.lit("POLYGON"), join(box, hole)),
+        F.concat(F.lit("SRID=4326; MultiPolygon "), join(join(box, hole), join(row((5, 2.5), (6, 2.5), (5, 4), (5, 2.5))))),
+        F.concat(F.lit("MULTILINESTRING Z"), join(row((0, "1 9"), (1, "1 9")), row((1, "2 9"), (2, "2 9"), (3, "-4 9")))),
+        F.concat(F.lit("multipoint "), join(row((0, 1)), row((1, 1)), row((2, "1e-3")))),
+    ]
+    wkt = F.get(F.array(*text), (F.col("p_partkey") % 4).cast("int"))
+    parsed = t.part.select(F.col("p_partkey").alias("page_no"), shapes.st_geom_from_text(wkt).alias("g"))
+    rings = parsed.withColumn("rings", F.flatten("g.parts")).withColumn("last", F.element_at(F.flatten("rings"), -1))
+    return rings.select(
+        "page_no", "g.type", F.size("g.parts").alias("parts"), F.size("rings").alias("rings"), F.size(F.flatten("rings")).alias("vertices"),
+        F.col("last.x").alias("last_x"), F.col("last.y").alias("last_y"),
     )
 
 
-@query("st_as_text", """SELECT s_suppkey, concat('LINESTRING (', CAST(s_suppkey AS VARCHAR), '.5 1.25, ', CAST(s_suppkey AS VARCHAR), '.75 2.5)') AS wkt FROM supplier""")
+@query("st_as_text", """SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN concat('LINESTRING (', k, '.5 1.25, ', k, '.75 2.5)')
+    WHEN 1 THEN concat('POLYGON ((', k, '.0 0.0, ', k, '.5 0.0, ', k, '.0 4.0, ', k, '.0 0.0), (', k, '.0 1.0, ', k, '.25 1.0, ', k, '.0 2.0, ', k, '.0 1.0))')
+    ELSE concat('MULTIPOLYGON (((', k, '.0 0.0, ', k, '.5 0.0, ', k, '.0 4.0, ', k, '.0 0.0), (', k, '.0 1.0, ', k, '.25 1.0, ', k, '.0 2.0, ', k, '.0 1.0)), ((',
+         k, '.75 1.0, ', k, '.5 2.0, ', k, '.75 2.0, ', k, '.75 1.0)))') END AS wkt
+    FROM (SELECT s_suppkey, CAST(s_suppkey AS VARCHAR) AS k FROM supplier)""")
 def _(t):
+    return t.supplier.select("s_suppkey", shapes.st_as_text(small_feature()).alias("wkt"))
+
+
+def small_feature():
+    """By s_suppkey % 3: a line, a triangle with a hole, that and another triangle."""
     x = F.col("s_suppkey").cast("double")
-    line = geo.st_make_line(geo.st_point(x + 0.5, F.lit(1.25)), geo.st_point(x + 0.75, F.lit(2.5)))
-    geom = F.struct(F.lit("LINESTRING").alias("type"), F.array(line).alias("rings"))
-    return t.supplier.select("s_suppkey", geo.st_as_text(geom).alias("wkt"))
+    row = lambda *corners: F.array(*[geo.st_point(x + a, F.lit(float(b))) for a, b in corners])
+    outline, hole = row((0, 0), (0.5, 0), (0, 4), (0, 0)), row((0, 1), (0.25, 1), (0, 2), (0, 1))
+    both = shapes.st_multi_polygon([outline, hole], [row((0.75, 1), (0.5, 2), (0.75, 2), (0.75, 1))])
+    kind = F.col("s_suppkey") % 3
+    return F.when(kind == 0, shapes.st_line(row((0.5, 1.25), (0.75, 2.5)))).when(kind == 1, shapes.st_polygon(outline, hole)).otherwise(both)
 
 
-@query("st_geom_from_wkb", """SELECT id, 'POINT' AS type, lon AS x, lat AS y FROM points""", "x y")
+@query("st_geom_from_wkb", f"""SELECT building_id, {KIND} AS type, [1, 1, 1, 2, 2][building_id % 6] AS parts, [1, 1, 2, 3, 2][building_id % 6] AS rings,
+    {AREA} AS area, minx AS first_x FROM ({HOLED}) WHERE building_id % 6 <> 0
+    UNION ALL SELECT -id, 'POINT', 1, 1, 0, lon FROM points""", "area first_x")
 def _(t):
-    # Spark's own packing of doubles is not exposed, so the bytes are built by a small kernel.
+    """Every kind to bytes and back, and points with a reference system, Z and M in the extended form."""
     import struct
 
     import pandas as pd
 
     @F.pandas_udf("binary")
-    def pack(lon: pd.Series, lat: pd.Series) -> pd.Series:
-        return pd.Series([struct.pack("<BIdd", 1, 1, x, y) for x, y in zip(lon, lat)])
+    def extended(lon: pd.Series, lat: pd.Series) -> pd.Series:
+        return pd.Series([struct.pack(">BIIdddd", 0, 0xE0000001, 4326, x, y, 7.0, 8.0) for x, y in zip(lon, lat)])
+
+    rows = features(t).where("geom IS NOT NULL").select("building_id", st_as_wkb("geom").alias("wkb"))
+    rows = rows.unionByName(t.points.select((-F.col("id")).alias("building_id"), extended("lon", "lat").alias("wkb")))
+    decoded = rows.select("building_id", st_geom_from_wkb("wkb").alias("g"))
+    first = F.get(F.flatten(F.flatten("g.parts")), F.lit(0))
+    return decoded.select(
+        "building_id", "g.type", F.size("g.parts").alias("parts"), F.size(F.flatten("g.parts")).alias("rings"),
+        (shapes.st_area_planar(F.col("g")) * 1e6).alias("area"), first["x"].alias("first_x"),
+    )
+
 
-    decoded = t.points.select("id", st_geom_from_wkb(pack("lon", "lat")).alias("g"))
-    first = F.element_at(F.element_at("g.rings", 1), 1)
-    return decoded.select("id", F.col("g.type").alias("type"), first["x"].alias("x"), first["y"].alias("y"))
+@query("st_as_geojson", """SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN concat('{"type":"LineString","coordinates":[[', k, '.5,1.25],[', k, '.75,2.5]]}')
+    WHEN 1 THEN concat('{"type":"Polygon","coordinates":[[[', k, '.0,0.0],[', k, '.5,0.0],[', k, '.0,4.0],[', k, '.0,0.0]],[[', k, '.0,1.0],[', k, '.25,1.0],[', k, '.0,2.0],[', k, '.0,1.0]]]}')
+    ELSE concat('{"type":"MultiPolygon","coordinates":[[[[', k, '.0,0.0],[', k, '.5,0.0],[', k, '.0,4.0],[', k, '.0,0.0]],[[', k, '.0,1.0],[', k, '.25,1.0],[', k, '.0,2.0],[', k, '.0,1.0]]],[[[',
+         k, '.75,1.0],[', k, '.5,2.0],[', k, '.75,2.0],[', k, '.75,1.0]]]]}') END AS geojson
+    FROM (SELECT s_suppkey, CAST(s_suppkey AS VARCHAR) AS k FROM supplier)""")
+def _(t):
+    return t.supplier.select("s_suppkey", shapes.st_as_geojson(small_feature()).alias("geojson"))
 
 
-@query("st_as_geojson", """SELECT s_suppkey, concat('{"type":"Point","coordinates":[', CAST(s_suppkey AS VARCHAR), '.5,25.25]}') AS geojson FROM supplier""")
+@query("st_text_round_trip", f"SELECT building_id, {KIND} AS type, TRUE AS by_text, TRUE AS by_json FROM building_geom WHERE building_id % 6 <> 0")
 def _(t):
-    p = geo.st_point(F.col("s_suppkey") + 0.5, F.lit(25.25))
-    return t.supplier.select("s_suppkey", geo.st_as_geojson_point(p).alias("geojson"))
+    """Text and GeoJSON of every kind are read back as the same geometry."""
+    g = F.col("geom")
+    text, json = shapes.st_geom_from_text(shapes.st_as_text(g)), shapes.st_from_geojson(shapes.st_as_geojson(g))
+    return features(t).where(g.isNotNull()).select("building_id", "geom.type", text.eqNullSafe(g).alias("by_text"), json.eqNullSafe(g).alias("by_json"))
 
 
 @query("st_within_bbox", "SELECT id FROM points WHERE lon > 55.0 AND lon < 55.9 AND lat > 24.8 AND lat < 25.2")
@@ -97,27 +162,39 @@ def _(t):
     return t.points.where(geo.st_within_bbox(F.col("lon"), F.col("lat"), 55.0, 24.8, 55.9, 25.2)).select("id")
 
 
-@query("st_within_polygon", "SELECT id FROM points WHERE lon - 54.9 + lat - 24.63 < 1.0 AND lon > 54.9 AND lat > 24.63")
+@query("st_within_polygon", """SELECT id FROM points WHERE lon > 54.90003 AND lat > 24.63003 AND lon + lat < 80.53006
+    AND NOT (lon BETWEEN 55.00003 AND 55.20003 AND lat BETWEEN 24.70003 AND 24.90003)
+    UNION ALL SELECT id FROM points WHERE lon BETWEEN 55.80003 AND 55.90003 AND lat BETWEEN 25.20003 AND 25.30003""")
 def _(t):
-    corner = [geo.st_point(F.lit(x), F.lit(y)) for x, y in ((54.9, 24.63), (55.9, 24.63), (54.9, 25.63), (54.9, 24.63))]
-    inside = geo.point_in_ring(F.col("lon"), F.col("lat"), F.array(*corner))
-    strictly = (F.col("lon") > 54.9) & (F.col("lat") > 24.63) & (F.col("lon") - 54.9 + F.col("lat") - 24.63 < 1.0)
-    # The even-odd rule is free on the border itself, which the comparison leaves out.
-    return t.points.where(inside & strictly).select("id")
+    """A triangle with a hole and a box beside it; no point lies on a border."""
+    at = lambda *corners: F.array(*[geo.st_point(F.lit(x), F.lit(y)) for x, y in corners])
+    triangle = at((54.90003, 24.63003), (55.90003, 24.63003), (54.90003, 25.63003), (54.90003, 24.63003))
+    box = lambda *edges: geo.st_rectangle(*[F.lit(v) for v in edges])
+    zone = shapes.st_multi_polygon([triangle, box(55.00003, 24.70003, 55.20003, 24.90003)], [box(55.80003, 25.20003, 55.90003, 25.30003)])
+    return t.points.where(shapes.st_contains_point(zone, F.col("lon"), F.col("lat"))).select("id")
 
 
-@query("st_make_valid", "SELECT building_id, 5 AS vertices, CAST(NULL AS VARCHAR) AS problem FROM building_geom")
+@query("st_make_valid", "SELECT building_id, 10 AS vertices, CAST(NULL AS VARCHAR) AS problem, TRUE AS outline_left, TRUE AS hole_right FROM building_geom")
 def _(t):
+    """Clockwise outlines with a repeated vertex and no end, and holes turned the wrong way."""
     p = lambda i: F.element_at(ring(), i)
-    open_ring = F.array(p(1), p(1), p(2), p(3), p(4))
-    fixed = geo.st_make_valid_ring(open_ring)
-    return t.building_geom.select("building_id", F.size(fixed).alias("vertices"), geo.ring_problem(fixed).alias("problem"))
+    w, h = F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")
+    hole = geo.st_rectangle(F.col("minx") + w / 4, F.col("miny") + h / 4, F.col("maxx") - w / 4, F.col("maxy") - h / 4)
+    fixed = shapes.st_make_valid(shapes.st_polygon(F.array(p(1), p(1), p(4), p(3), p(2)), hole))
+    rows = t.building_geom.select("building_id", fixed.alias("g")).withColumn("rings", F.get("g.parts", F.lit(0)))
+    return rows.select(
+        "building_id", F.size(F.flatten("rings")).alias("vertices"), shapes.st_problem(F.col("g")).alias("problem"),
+        (shapes.signed_area(F.get("rings", F.lit(0))) > 0).alias("outline_left"), (shapes.signed_area(F.get("rings", F.lit(1))) < 0).alias("hole_right"),
+    )
 
 
-@query("st_intersects", """SELECT building_id, maxx >= 55.2 AND minx <= 55.6 AND maxy >= 24.8 AND miny <= 25.1 AS hit FROM building_geom""")
+@query("st_intersects", """SELECT building_id, maxx >= 55.20003 AND minx <= 55.60003 AND maxy >= 24.80003 AND miny <= 25.10003
+    AND NOT (minx > 55.30003 AND maxx < 55.50003 AND miny > 24.85003 AND maxy < 25.05003) AS hit FROM building_geom""")
 def _(t):
-    wall = geo.st_rectangle(*[F.lit(v) for v in (55.2, 24.8, 55.6, 25.1)])
-    return t.building_geom.select("building_id", geo.polygons_intersect(ring(), wall).alias("hit"))
+    """Boxes against a frame: a box inside its hole does not meet it."""
+    box = lambda *edges: geo.st_rectangle(*[F.lit(v) for v in edges])
+    frame = shapes.st_polygon(box(55.20003, 24.80003, 55.60003, 25.10003), box(55.30003, 24.85003, 55.50003, 25.05003))
+    return t.building_geom.select("building_id", shapes.st_intersects(shapes.st_polygon(ring()), frame).alias("hit"))
 
 
 @query("st_bounds", "SELECT min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy FROM building_geom", "minx miny maxx maxy")
@@ -125,20 +202,25 @@ def _(t):
     return sp.st_bounds(t.building_geom)
 
 
-@query("st_area_planar", "SELECT building_id, (maxx - minx) * (maxy - miny) * 1e6 AS area FROM building_geom", "area")
+@query("st_area_planar", f"SELECT building_id, {AREA} AS area FROM ({HOLED}) WHERE building_id % 6 <> 0", "area")
 def _(t):
-    return t.building_geom.select("building_id", (geo.st_area_planar(ring()) * 1e6).alias("area"))
+    return features(t).where("geom IS NOT NULL").select("building_id", (shapes.st_area_planar(F.col("geom")) * 1e6).alias("area"))
 
 
-@query("st_area_geog", f"SELECT building_id, {RECT_AREA} AS area_m2 FROM building_geom", "area_m2")
+INNER_AREA = f"abs(radians(w / 2) * ({authalic('(maxy - h / 4)')} - {authalic('(miny + h / 4)')}))"
+
+
+@query("st_area_geog", f"""SELECT building_id, CASE building_id % 6 WHEN 3 THEN {RECT_AREA} - {INNER_AREA} WHEN 4 THEN 2 * {RECT_AREA} - {INNER_AREA} ELSE 0 END AS area_m2
+    FROM ({HOLED}) WHERE building_id % 6 <> 0""", "area_m2:4")
 def _(t):
-    rounded = F.round(geo.st_area_geog(ring()), 4)
-    exact = F.round(geo.rect_area_geog(*[F.col(c) for c in BOX]), 4)
-    # Both forms agree to 0.1 mm²; a row that does not would show as NULL.
-    return t.building_geom.select(
-        "building_id",
-        F.when(F.abs(rounded - exact) < 0.01, geo.rect_area_geog(*[F.col(c) for c in BOX])).alias("area_m2"),
-    )
+    minx, miny, maxx, maxy = (F.col(c) for c in BOX)
+    w, h = maxx - minx, maxy - miny
+    outer, inner = geo.rect_area_geog(minx, miny, maxx, maxy), geo.rect_area_geog(minx, miny + h / 4, minx + w / 2, maxy - h / 4)
+    kind = F.col("building_id") % 6
+    exact = F.when(kind == 3, outer - inner).when(kind == 4, 2 * outer - inner).otherwise(0.0)
+    # The ring sums agree with the closed form to 1 cm²; a row that does not would show as NULL.
+    near = F.abs(shapes.st_area_geog(F.col("geom")) - exact) < 1e-4
+    return features(t).where("geom IS NOT NULL").select("building_id", F.when(near, exact).alias("area_m2"))
 
 
 @query("agg_spatial_stats", f"SELECT 'building_geom' AS table_name, count(*) AS geom_count, avg({RECT_AREA}) AS avg_area FROM building_geom", "avg_area")
@@ -177,9 +259,10 @@ def _(t):
     return rows.select("id", (F.abs(near - F.col("exact")) <= F.col("exact") * 2e-5 + 1e-6).alias("agrees"))
 
 
-@query("st_centroid", "SELECT building_id, (minx + maxx) / 2 AS x, (miny + maxy) / 2 AS y FROM building_geom", "x y")
+@query("st_centroid", f"""SELECT building_id, CASE building_id % 6 WHEN 1 THEN minx WHEN 4 THEN cx + 2 * w / 1.75 ELSE cx END AS x,
+    CASE building_id % 6 WHEN 1 THEN miny ELSE cy END AS y FROM ({HOLED}) WHERE building_id % 6 <> 0""", "x y")
 def _(t):
-    return t.building_geom.select("building_id", geo.st_centroid(ring()).alias("c")).select("building_id", "c.x", "c.y")
+    return features(t).where("geom IS NOT NULL").select("building_id", shapes.st_centroid(F.col("geom")).alias("c")).select("building_id", "c.x", "c.y")
 
 
 @query("st_closest_point", f"""SELECT building_id, greatest(minx, least({CENTRE[0]}, maxx)) AS x, greatest(miny, least({CENTRE[1]}, maxy)) AS y
@@ -200,12 +283,12 @@ def _(t):
     return t.road.select("road_id", F.size(geo.st_segmentize(line(), 0.01)).cast("bigint").alias("vertices"))
 
 
-@query("st_dump", """SELECT road_id, 0 AS pos, 'LINESTRING' AS type, x1 AS x FROM road UNION ALL SELECT road_id, 1, 'LINESTRING', x2 FROM road""")
+@query("st_dump", f"""SELECT building_id, 0 AS pos, replace({KIND}, 'MULTI', '') AS type, CASE building_id % 6 WHEN 3 THEN 2 WHEN 4 THEN 2 ELSE 1 END AS rings,
+    CASE WHEN building_id % 6 IN (3, 4) THEN 0.75 ELSE 0 END * w * h * 1e6 AS area FROM ({HOLED}) WHERE building_id % 6 <> 0
+    UNION ALL SELECT building_id, 1, replace({KIND}, 'MULTI', ''), 1, CASE building_id % 6 WHEN 4 THEN 1 ELSE 0 END * w * h * 1e6 FROM ({HOLED}) WHERE building_id % 6 IN (4, 5)""", "area")
 def _(t):
-    back = F.reverse(line())
-    both = F.struct(F.lit("MULTILINESTRING").alias("type"), F.array(line(), back).alias("rings"))
-    parts = t.road.select("road_id", F.posexplode(geo.st_dump(both)).alias("pos", "g"))
-    return parts.select("road_id", "pos", F.col("g.type").alias("type"), F.element_at(F.element_at("g.rings", 1), 1)["x"].alias("x"))
+    parts = features(t).where("geom IS NOT NULL").select("building_id", F.posexplode(shapes.st_dump(F.col("geom"))).alias("pos", "g"))
+    return parts.select("building_id", "pos", "g.type", F.size(F.flatten("g.parts")).alias("rings"), (shapes.st_area_planar(F.col("g")) * 1e6).alias("area"))
 
 
 @query("st_start_end_point", "SELECT road_id, x1 AS sx, y1 AS sy, x2 AS ex, y2 AS ey FROM road", "sx sy ex ey")
@@ -324,14 +407,15 @@ def _(t):
 def _(t):
     plots = sp.load_plot_geometry(t.cadastral_raw)
     return plots.select(
-        "plot_id", F.col("geom.type").alias("type"), F.size(F.element_at("geom.rings", 1)).alias("vertices"),
+        "plot_id", F.col("geom.type").alias("type"), F.size(F.flatten(F.flatten("geom.parts"))).alias("vertices"),
         F.col("centroid.x").alias("lon"), F.col("centroid.y").alias("lat"),
     )
 
 
-@query("scan_geo_vector", """SELECT CAST(building_id AS VARCHAR) AS source_object FROM building_geom
-    WHERE building_id % 6 <> 0 AND (maxx - minx) * (maxy - miny) >= 1e-8""")
+@query("scan_geo_vector", f"""SELECT CAST(building_id AS VARCHAR) AS source_object, {KIND} AS type, 'all' AS least FROM building_geom WHERE building_id % 6 <> 0
+    UNION ALL SELECT CAST(building_id AS VARCHAR), {KIND}, 'some' FROM ({HOLED}) WHERE {AREA} >= 0.05""")
 def _(t):
-    geom = F.when(F.col("building_id") % 6 != 0, F.struct(F.lit("POLYGON").alias("type"), F.array(ring()).alias("rings")))
-    rows = t.building_geom.select(F.col("building_id").alias("osm_id"), geom.alias("geom"))
-    return sp.scan_geo_vector(rows, min_area=1e-8).select("source_object")
+    """Features of every kind from GeoJSON, and those of at least so many square degrees."""
+    rows = features(t).select(F.col("building_id").alias("osm_id"), shapes.st_from_geojson(shapes.st_as_geojson(F.col("geom"))).alias("geom"))
+    both = [sp.scan_geo_vector(rows, min_area=a).withColumn("least", F.lit(n)) for a, n in ((0.0, "all"), (5e-8, "some"))]
+    return both[0].unionByName(both[1]).select("source_object", "geom.type", "least")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrawatt.functions import geo
+from terrawatt.functions import shapes
 from terrawatt.operators.cleaning import coerce_schema
 
 METER_SCHEMA = T.StructType(
@@ -102,7 +102,7 @@ def scan_geojson(spark: SparkSession, path: str, id_field: str = "osm_id") -> Da
     return rows.select(
         F.col("properties")[id_field].alias(id_field),
         F.col("properties"),
-        geo.st_from_geojson(F.to_json("geometry")).alias("geom"),
+        shapes.st_from_geojson(F.to_json("geometry")).alias("geom"),
     )
 
 

@@ -7,8 +7,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from terrawatt.functions import geo
-from terrawatt.functions.kernels import st_geom_from_wkb, vincenty_m
+from terrawatt.functions import geo, shapes
+from terrawatt.functions.kernels import st_as_wkb, st_geom_from_wkb, vincenty_m
 from terrawatt.operators import intervals as iv
 from terrawatt.operators import spatial as sp
 
@@ -29,25 +29,25 @@ SQUARE = ((0, 0), (2, 0), (2, 2), (0, 2), (0, 0))
 def test_wkt_forms(spark):
     g = one(
         spark,
-        p=geo.st_geom_from_text(F.lit("POINT(1.5 -2)")),
-        y=geo.st_geom_from_text(F.lit("polygon ((0 0, 4 0, 4 4, 0 0), (1 1, 2 1, 2 2, 1 1))")),
-        bad=geo.st_geom_from_text(F.lit("CIRCLE(1 2)")),
-        none=geo.st_geom_from_text(F.lit(None).cast("string")),
+        p=shapes.st_geom_from_text(F.lit("POINT(1.5 -2)")),
+        y=shapes.st_geom_from_text(F.lit("polygon ((0 0, 4 0, 4 4, 0 0), (1 1, 2 1, 2 2, 1 1))")),
+        bad=shapes.st_geom_from_text(F.lit("CIRCLE(1 2)")),
+        none=shapes.st_geom_from_text(F.lit(None).cast("string")),
     )
-    assert g.p.type == "POINT" and (g.p.rings[0][0].x, g.p.rings[0][0].y) == (1.5, -2.0)
-    assert g.y.type == "POLYGON" and [len(r) for r in g.y.rings] == [4, 4]
+    assert g.p.type == "POINT" and (g.p.parts[0][0][0].x, g.p.parts[0][0][0].y) == (1.5, -2.0)
+    assert g.y.type == "POLYGON" and [len(r) for r in g.y.parts[0]] == [4, 4]
     assert g.bad is None and g.none is None
 
 
 def test_dump(spark):
     r = one(
         spark,
-        m=geo.st_dump(geo.st_geom_from_text(F.lit("MULTILINESTRING((0 0, 1 1), (2 2, 3 3, 4 4))"))),
-        p=geo.st_dump(geo.st_geom_from_text(F.lit("MULTIPOINT((0 0), (1 1))"))),
-        s=geo.st_dump(geo.st_geom_from_text(F.lit("LINESTRING(0 0, 1 1)"))),
+        m=shapes.st_dump(shapes.st_geom_from_text(F.lit("MULTILINESTRING((0 0, 1 1), (2 2, 3 3, 4 4))"))),
+        p=shapes.st_dump(shapes.st_geom_from_text(F.lit("MULTIPOINT((0 0), (1 1))"))),
+        s=shapes.st_dump(shapes.st_geom_from_text(F.lit("LINESTRING(0 0, 1 1)"))),
     )
-    assert [(g.type, len(g.rings[0])) for g in r.m] == [("LINESTRING", 2), ("LINESTRING", 3)]
-    assert [(g.type, g.rings[0][0].x) for g in r.p] == [("POINT", 0.0), ("POINT", 1.0)]
+    assert [(g.type, len(g.parts[0][0])) for g in r.m] == [("LINESTRING", 2), ("LINESTRING", 3)]
+    assert [(g.type, g.parts[0][0][0].x) for g in r.p] == [("POINT", 0.0), ("POINT", 1.0)]
     assert [g.type for g in r.s] == ["LINESTRING"]
 
 
@@ -56,8 +56,8 @@ def test_wkb_polygon_and_bad_bytes(spark):
     body = struct.pack("<BII I", 1, 3, 1, 4) + b"".join(struct.pack("<dd", *p) for p in pts)
     df = spark.createDataFrame([(bytearray(body),), (bytearray(b"\x01\x02"),), (None,)], "w binary")
     got = [r.g for r in df.select(st_geom_from_wkb("w").alias("g")).collect()]
-    assert got[0].type == "POLYGON" and [(p.x, p.y) for p in got[0].rings[0]] == pts
-    assert got[1].type is None and got[2].type is None
+    assert got[0].type == "POLYGON" and [(p.x, p.y) for p in got[0].parts[0][0]] == pts
+    assert got[1] is None and got[2] is None
 
 
 def test_validity(spark):
@@ -115,10 +115,10 @@ def test_mercator_round_trip(spark):
 def test_geojson(spark):
     r = one(
         spark,
-        p=geo.st_from_geojson(F.lit('{"type":"Point","coordinates":[1,2]}')),
-        y=geo.st_from_geojson(F.lit('{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}')),
+        p=shapes.st_from_geojson(F.lit('{"type":"Point","coordinates":[1,2]}')),
+        y=shapes.st_from_geojson(F.lit('{"type":"Polygon","coordinates":[[[0,0],[1,0],[1,1],[0,0]]]}')),
     )
-    assert r.p.type == "POINT" and r.p.rings[0][0].x == 1.0 and len(r.y.rings[0]) == 4
+    assert r.p.type == "POINT" and r.p.parts[0][0][0].x == 1.0 and len(r.y.parts[0][0]) == 4
 
 
 coord = st.tuples(st.integers(0, 400), st.integers(0, 300))
@@ -184,7 +184,7 @@ def test_intersects_equals_brute_force(spark, boxes):
 
 def test_geo_vector_filters(spark, rows):
     big, small = ring(*SQUARE), ring((0, 0), (0.001, 0), (0.001, 0.001), (0, 0))
-    geom = lambda r: F.struct(F.lit("POLYGON").alias("type"), F.array(r).alias("rings"))
+    geom = shapes.st_polygon
     base = spark.range(1)
     df = base.select(F.lit("1").alias("osm_id"), geom(big).alias("geom")).unionByName(
         base.select(F.lit("2").alias("osm_id"), geom(small).alias("geom"))
@@ -209,3 +209,69 @@ def test_open_ends_meet_far_ranges(spark):
     for limit in (64, 0):
         got = iv.interval_overlap_check(df, strict=True, direct_limit=limit).collect()
         assert [(r.a_id, r.b_id) for r in got] == [(1, 2)]
+
+
+TEXTS = [
+    "POINT (1.0 2.0)", "MULTIPOINT ((1.0 2.0), (3.0 4.0))", "LINESTRING (0.0 0.0, 3.0 4.0)", "MULTILINESTRING ((0.0 0.0, 3.0 4.0), (5.0 5.0, 6.0 5.0, 6.0 7.0))",
+    "POLYGON ((0.0 0.0, 4.0 0.0, 4.0 4.0, 0.0 4.0, 0.0 0.0), (1.0 1.0, 1.0 2.0, 2.0 2.0, 2.0 1.0, 1.0 1.0))",
+    "MULTIPOLYGON (((0.0 0.0, 4.0 0.0, 4.0 4.0, 0.0 4.0, 0.0 0.0), (1.0 1.0, 1.0 2.0, 2.0 2.0, 2.0 1.0, 1.0 1.0)), ((10.0 0.0, 12.0 0.0, 12.0 2.0, 10.0 2.0, 10.0 0.0)))",
+    "POINT EMPTY", "MULTIPOLYGON EMPTY",
+]
+
+
+def test_every_kind_survives_text_json_and_bytes(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "i int, t string").withColumn("g", shapes.st_geom_from_text(F.col("t")))
+    rows = df.select(
+        "i", shapes.st_as_text(F.col("g")).alias("text"), shapes.st_as_text(st_geom_from_wkb(st_as_wkb("g"))).alias("bytes"),
+        shapes.st_as_text(shapes.st_from_geojson(shapes.st_as_geojson(F.col("g")))).alias("json"),
+    ).collect()
+    assert {(r.text, r.bytes, r.json) for r in rows} == {(t, t, t) for t in TEXTS}
+
+
+def test_other_text_is_no_geometry(spark):
+    bad = ["", "POINT (1)", "POINT (1 2, 3 4)", "POINT (a b)", "LINESTRING 1 2", "GEOMETRYCOLLECTION (POINT (1 2))", "POLYGON ((0 0, 1 x, 1 1, 0 0))", None]
+    df = spark.createDataFrame([(t,) for t in bad], "t string")
+    assert [r.g for r in df.select(shapes.st_geom_from_text(F.col("t")).alias("g")).collect()] == [None] * len(bad)
+    worse = ['{"type":"Point","coordinates":[1]}', '{"type":"Polygon","coordinates":[[[0,0],[1,null]]]}', '{"type":"Circle","coordinates":[1,2]}', '{"a":1}', "x", None]
+    assert [r.g for r in spark.createDataFrame([(t,) for t in worse], "t string").select(shapes.st_from_geojson(F.col("t")).alias("g")).collect()] == [None] * len(worse)
+
+
+def test_bytes_with_z_and_m(spark):
+    def line(code, flags, wide, order="<"):
+        sign = 1 if order == "<" else 0
+        srid = struct.pack(order + "I", 4326) if flags & 0x20000000 else b""
+        points = b"".join(struct.pack(order + f"{wide}d", i, i + 0.5, *range(wide - 2)) for i in range(3))
+        return bytearray(struct.pack(order + "BI", sign, code | flags) + srid + struct.pack(order + "I", 3) + points)
+
+    forms = [line(2, 0, 2), line(1002, 0, 3), line(2002, 0, 3, ">"), line(3002, 0, 4), line(2, 0x80000000, 3), line(2, 0x40000000, 3), line(2, 0xE0000000, 4, ">"), line(4002, 0, 4), line(2, 0, 2)[:-1]]
+    inner = line(1002, 0, 3)
+    forms.append(bytearray(struct.pack("<BII", 1, 1005, 2)) + inner + inner)
+    got = [r.t for r in spark.createDataFrame([(b,) for b in forms], "w binary").select(shapes.st_as_text(st_geom_from_wkb("w")).alias("t")).collect()]
+    plain = "(0.0 0.5, 1.0 1.5, 2.0 2.5)"
+    assert got == ["LINESTRING " + plain] * 7 + [None, None, f"MULTILINESTRING ({plain}, {plain})"]
+
+
+def test_parts_and_holes_count(spark):
+    g = shapes.st_geom_from_text(F.lit(TEXTS[5]))
+    r = one(
+        spark, area=shapes.st_area_planar(g), c=shapes.st_centroid(g), box=shapes.st_envelope(g), n=shapes.st_num_parts(g), parts=shapes.st_dump(g), rings=shapes.st_dump_rings(g),
+        inside=F.array(*[shapes.st_contains_point(g, F.lit(float(x)), F.lit(float(y))) for x, y in ((0.5, 0.5), (1.5, 1.5), (11, 1), (7, 1), (4, 2), (1, 1.5))]),
+        geog=shapes.st_area_geog(g), outer=geo.rect_area_geog(*[F.lit(float(v)) for v in (0, 0, 4, 4)]), hole=geo.rect_area_geog(*[F.lit(float(v)) for v in (1, 1, 2, 2)]),
+        beside=geo.rect_area_geog(*[F.lit(float(v)) for v in (10, 0, 12, 2)]), line=shapes.st_centroid(shapes.st_geom_from_text(F.lit("MULTILINESTRING ((0 0, 2 0), (0 4, 6 4))"))),
+        flat=shapes.st_centroid(shapes.st_geom_from_text(F.lit("POLYGON ((0 0, 2 0, 0 0, 0 0))"))), none=shapes.st_centroid(shapes.st_geom_from_text(F.lit("POLYGON EMPTY"))),
+        turned=shapes.st_area_planar(shapes.st_orient(g)), signs=F.transform(shapes.st_dump_rings(shapes.st_orient(g)), lambda x: F.signum(shapes.signed_area(x["line"]))),
+    )
+    assert r.area == 19.0 and r.n == 2 and [p.type for p in r.parts] == ["POLYGON"] * 2 and [len(p.parts[0]) for p in r.parts] == [2, 1]
+    assert math.isclose(r.c.x, (16 * 2 - 1.5 + 4 * 11) / 19) and math.isclose(r.c.y, (16 * 2 - 1.5 + 4) / 19)
+    assert tuple(r.box) == (0.0, 0.0, 12.0, 4.0) and [(x.part, x.ring) for x in r.rings] == [(0, 0), (0, 1), (1, 0)]
+    assert r.inside == [True, False, True, False, False, False]
+    assert math.isclose(r.geog, r.outer - r.hole + r.beside, rel_tol=1e-9)
+    assert (r.line.x, r.line.y) == (2.5, 3.0) and (r.flat.x, r.flat.y) == (1.0, 0.0) and r.none is None
+    assert r.turned == 19.0 and r.signs == [1.0, -1.0, 1.0]
+
+
+def test_multi_features_are_kept(spark):
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(TEXTS)] + [(None, TEXTS[0]), ("9", None)], "osm_id string, t string").select("osm_id", shapes.st_geom_from_text(F.col("t")).alias("geom"))
+    assert sorted(r.source_object for r in sp.scan_geo_vector(df).collect()) == [str(i) for i in range(len(TEXTS))]
+    assert sorted(r.source_object for r in sp.scan_geo_vector(df, min_area=15.5).collect()) == ["5"]
+    assert sorted(r.source_object for r in sp.scan_geo_vector(df, min_area=15.0).collect()) == ["4", "5"]

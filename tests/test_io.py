@@ -93,7 +93,7 @@ def test_geojson_gtfs_and_directory(spark, tmp_path, rows):
     ]
     (tmp_path / "f.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}, indent=1))
     got = {r.osm_id: r.geom for r in scans.scan_geojson(spark, str(tmp_path / "f.json")).collect()}
-    assert got["1"].rings[0][0].x == 55.1 and got["2"] is None
+    assert got["1"].parts[0][0][0].x == 55.1 and got["2"] is None
 
     (tmp_path / "stops.txt").write_text("stop_id,stop_name,stop_lat,stop_lon\nS1,Main,25.2,55.3\n")
     stop = scans.scan_gtfs_stops(spark, str(tmp_path / "stops.txt")).first()
