@@ -63,9 +63,12 @@ def _(t):
     )
 
 
-@query("v_development_plans", """SELECT p.*, g.area_km2 AS total_zone_area_km2, u.usage_name AS land_use_category,
-    u.area_m2 AS land_use_area_m2, u.area_m2 / sum(u.area_m2) OVER (PARTITION BY p.plan_id) AS land_use_percentage
-    FROM development_plan AS p JOIN plan_geom AS g ON g.plan_id = p.plan_id LEFT JOIN plan_usage AS u ON u.plan_id = p.plan_id""",
+@query("v_development_plans", """WITH shares AS (SELECT plan_id, list({'land_use_category': usage_name, 'land_use_area_m2': area_m2, 'land_use_percentage': part}) AS uses
+    FROM (SELECT *, area_m2 / sum(area_m2) OVER (PARTITION BY plan_id) AS part FROM plan_usage) GROUP BY plan_id),
+    mapped AS (SELECT *, (SELECT any_value(area_km2) FROM plan_geom WHERE plan_geom.plan_id = development_plan.plan_id) AS total_zone_area_km2,
+    unnest(coalesce((SELECT any_value(uses) FROM shares WHERE shares.plan_id = development_plan.plan_id), [NULL])) AS kind
+    FROM development_plan WHERE plan_id IN (SELECT plan_id FROM plan_geom))
+    SELECT * EXCLUDE (kind), kind.land_use_category, kind.land_use_area_m2, kind.land_use_percentage FROM mapped""",
        "total_zone_area_km2 land_use_area_m2 land_use_percentage")
 def _(t):
     return marts.v_development_plans(t.development_plan, t.plan_geom, t.plan_usage)
@@ -83,8 +86,8 @@ def _(t):
     return marts.v_master_developers(t.developer, t.developer_geom, t.completion_status)
 
 
-@query("v_cadastral_maps", """SELECT p.*, g.area_m2 AS plot_polygon_area_m2, (SELECT count(*) FROM plot) AS total_cadastral_samples
-    FROM plot AS p JOIN plot_geom AS g ON g.plot_id = p.plot_id""", "land_area_m2 plot_polygon_area_m2")
+@query("v_cadastral_maps", """SELECT *, (SELECT any_value(area_m2) FROM plot_geom WHERE plot_geom.plot_id = counted.plot_id) AS plot_polygon_area_m2
+    FROM (SELECT *, count(*) OVER () AS total_cadastral_samples FROM plot) AS counted WHERE plot_id IN (SELECT plot_id FROM plot_geom)""", "land_area_m2 plot_polygon_area_m2")
 def _(t):
     return marts.v_cadastral_maps(t.plot, t.plot_geom)
 
@@ -133,12 +136,19 @@ def _(t):
     return marts.v_lease_transactions(t.lease, t.lease_geom, *marts.lease_marts(t.lease))
 
 
-@query("v_population", """SELECT p.*, g.area_km2 AS polygon_area_km2, d.nationality_group, d.people_count AS nationality_people,
-    a.age_group, a.people_count AS age_people, gs.gender, gs.people_count AS gender_people
-    FROM population AS p JOIN population_geom AS g ON g.population_id = p.population_id
-    LEFT JOIN demographics AS d ON d.population_id = p.population_id
-    LEFT JOIN age_distribution AS a ON a.population_id = p.population_id
-    LEFT JOIN gender_split AS gs ON gs.population_id = p.population_id""", "polygon_area_km2")
+def _of_each(table: str, label: str, of: str, name: str) -> str:
+    """The groups of one kind that belong to a row of `of`, one row for each (or one without group)."""
+    return f"""unnest(coalesce((SELECT list({{'label': {label}, 'people': people_count}}) FROM {table}
+        WHERE {table}.population_id = {of}.population_id), [NULL])) AS {name}"""
+
+
+# Every combination of a population's groups: one kind is unfolded after the other.
+@query("v_population", f"""WITH nations AS (SELECT *, {_of_each('demographics', 'nationality_group', 'population', 'nation')} FROM population WHERE population_id IN (SELECT population_id FROM population_geom)),
+    aged AS (SELECT *, {_of_each('age_distribution', 'age_group', 'nations', 'age')} FROM nations),
+    every AS (SELECT *, {_of_each('gender_split', 'gender', 'aged', 'sex')} FROM aged)
+    SELECT * EXCLUDE (nation, age, sex), (SELECT any_value(area_km2) FROM population_geom WHERE population_geom.population_id = every.population_id) AS polygon_area_km2,
+    nation.label AS nationality_group, nation.people AS nationality_people, age.label AS age_group, age.people AS age_people, sex.label AS gender, sex.people AS gender_people
+    FROM every""", "polygon_area_km2")
 def _(t):
     return marts.v_population(t.population, t.population_geom, t.demographics, t.age_distribution, t.gender_split)
 
@@ -188,8 +198,8 @@ def _(t):
     return marts.v_companies(t.company, geom)
 
 
-@query("v_buildings", f"""SELECT b.*, g.area_km2 AS polygon_area_km2, {s.AGE} AS age_group FROM building AS b
-    LEFT JOIN (SELECT id AS building_id, area_km2 FROM zone_geom) AS g ON g.building_id = b.building_id""", "floor_area_m2 polygon_area_km2")
+@query("v_buildings", f"""SELECT *, (SELECT any_value(area_km2) FROM zone_geom WHERE zone_geom.id = building.building_id) AS polygon_area_km2, {s.AGE} AS age_group
+    FROM building""", "floor_area_m2 polygon_area_km2")
 def _(t):
     return marts.v_buildings(t.building, t.zone_geom.withColumnRenamed("id", "building_id"), s.AGE_AS_OF)
 
