@@ -180,13 +180,9 @@ def st_bounds(df: DataFrame) -> DataFrame:
 
 # --- nearest neighbour ------------------------------------------------------------------
 
-_TOP = 45.0  # degrees; at most 8 x 4 (plus border) top cells cover the globe
 _FAN = 4  # children per axis and level
-_FEW = 256  # cells per side that may meet as full pairs when the descent starts
-
-
-def _levels(cell: float) -> int:
-    return max(1, math.ceil(math.log(_TOP / cell, _FAN)))
+_DEEPEST = 12  # levels at most: 16.7 million cells per axis
+_BOX = ("minx", "miny", "maxx", "maxy")
 
 
 def _gap(lo1: Column, hi1: Column, lo2: Column, hi2: Column) -> Column:
@@ -197,62 +193,107 @@ def _reach(lo1: Column, hi1: Column, lo2: Column, hi2: Column) -> Column:
     return F.greatest(hi1 - lo2, hi2 - lo1)
 
 
-def _pyramids(spots: DataFrame, members: DataFrame, levels: int) -> tuple[DataFrame, int]:
-    """Bounding boxes of the members of every non-empty cell, per side (p, g) and level.
-
-    The finest cells are aggregated from the rows once; their ancestors follow from them. The table
-    is written partitioned by side and level: each join reads just its own part, the planner knows
-    the sizes, and a lost executor does not repeat the aggregation. Also returns the finest level
-    on which both sides still have few cells: the descent starts there.
-    """
-    spark = spots.sparkSession
-    box = [F.min("minx").alias("minx"), F.min("miny").alias("miny"), F.max("maxx").alias("maxx"), F.max("maxy").alias("maxy")]
-    rows = spots.withColumn("side", F.lit("p")).unionByName(members.withColumn("side", F.lit("g")))
-    finest = rows.groupBy("side", "cx", "cy").agg(*box)
-    step = lambda c: F.floor(F.col(c) / F.pow(F.lit(float(_FAN)), F.col("level"))).cast("long")
-    spread = finest.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
-    table = spread.groupBy("side", "level", step("cx").alias("cx"), step("cy").alias("cy")).agg(*box)
-    path = scratch_path(spark, "pyramid")
-    table.write.partitionBy("side", "level").parquet(path)
-    stored = spark.read.schema(
-        "cx long, cy long, minx double, miny double, maxx double, maxy double, side string, level int"
-    ).parquet(path)
-    # One number: the finest level with at most _FEW cells per side (degrees fit on the top level).
-    per_level = stored.groupBy("level", "side").agg(F.count(F.lit(1)).alias("n"))
-    few = per_level.groupBy("level").agg(F.max("n").alias("n")).where(F.col("n") <= _FEW)
-    start = few.agg(F.min("level")).first()[0]
-    if start is None and stored.limit(1).count():
-        raise ValueError("coordinates are not degrees: too many top cells")
-    return stored, levels if start is None else start
-
-
-def _cells(stored: DataFrame, side: str, level: int) -> DataFrame:
-    up = lambda c: F.floor(F.col(c) / _FAN).alias(c)
-    return stored.where((F.col("side") == side) & (F.col("level") == level)).select(
-        F.struct("cx", "cy").alias(f"{side}_cell"),
-        F.struct(up("cx"), up("cy")).alias(f"{side}_parent"),
-        F.struct(*_RECT).alias(f"{side}_box"),
-    )
+def _near_far(p: Column, g: Column) -> tuple[Column, Column]:
+    """Least and greatest planar distance between places of two boxes."""
+    near = F.hypot(_gap(p["minx"], p["maxx"], g["minx"], g["maxx"]), _gap(p["miny"], p["maxy"], g["miny"], g["maxy"]))
+    return near, F.hypot(_reach(p["minx"], p["maxx"], g["minx"], g["maxx"]), _reach(p["miny"], p["maxy"], g["miny"], g["maxy"]))
 
 
-def _prune(pairs: DataFrame) -> DataFrame:
-    """Keep cell pairs that can hold the nearest geometry of some point in the point cell."""
-    p = lambda c: F.col(f"p_box.{c}")
-    g = lambda c: F.col(f"g_box.{c}")
-    near = F.hypot(_gap(p("minx"), p("maxx"), g("minx"), g("maxx")), _gap(p("miny"), p("maxy"), g("miny"), g("maxy")))
-    far = F.hypot(_reach(p("minx"), p("maxx"), g("minx"), g("maxx")), _reach(p("miny"), p("maxy"), g("miny"), g("maxy")))
-    # A cell's candidates are bounded by geometry, not by row counts, so this window stays small.
-    bound = F.min("_far").over(W.partitionBy("p_cell"))
+def _within(near: Column, bound: Column) -> Column:
     # The factor absorbs rounding; an extra candidate costs little, a lost one would be wrong.
-    scored = pairs.withColumn("_near", near).withColumn("_far", far)
-    if "_limit" in pairs.columns:
-        # The parent's bound holds for its children: most pairs go before the shuffle.
-        scored = scored.where(F.col("_near") <= F.col("_limit") * (1 + 1e-9) + 1e-12)
-    return (
-        scored
-        .withColumn("_bound", bound).where(F.col("_near") <= F.col("_bound") * (1 + 1e-9) + 1e-12)
-        .select("p_cell", "g_cell", "_bound")
-    )
+    return near <= bound * (1 + 1e-9) + 1e-12
+
+
+class _Quadtree:
+    """Cells of both sides (p points, g geometries), split by how many rows they hold.
+
+    Level 0 is the finest; a cell has 4 x 4 children. A cell with at most `leaf_rows` rows of its side
+    is a leaf wherever it stands, so every branch has its own depth. The root covers all rows, whatever
+    their unit. Rows are folded to finest cells once; the tree's tables are written, so the
+    planner knows their sizes and a lost executor does not repeat them.
+    """
+
+    def __init__(self, spots: DataFrame, leaf_rows: int):
+        spark = spots.sparkSession
+        edge = spots.agg(F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy"), F.count(F.lit(1))).first()
+        self.x0, self.y0 = edge[0] or 0.0, edge[1] or 0.0
+        self.side = max((edge[2] or 0.0) - self.x0, (edge[3] or 0.0) - self.y0) or 1.0
+        boxes = [f(c).alias(c) for f, c in zip((F.min, F.min, F.max, F.max), _BOX)]
+        self.path, self.depth = scratch_path(spark, "quadtree"), _DEEPEST
+        folded = spots.groupBy("side", *self.finest((F.col("minx") + F.col("maxx")) / 2, (F.col("miny") + F.col("maxy")) / 2)).agg(F.count(F.lit(1)).alias("n"), *boxes)
+        folded.write.partitionBy("side").parquet(f"{self.path}/cells")
+        deepest = spark.read.schema("cx long, cy long, n long, minx double, miny double, maxx double, maxy double, side string").parquet(f"{self.path}/cells")
+
+        def folded_to(depth: int) -> DataFrame:
+            return deepest.groupBy("side", *[F.shiftright(c, 2 * (_DEEPEST - depth)).alias(c) for c in ("cx", "cy")]).agg(F.sum("n").alias("n"), *boxes)
+
+        # Even rows need log16(rows / leaf) levels; denser places as many more as it takes to split them.
+        self.depth = min(_DEEPEST, 1 + math.ceil(math.log(max(edge[4], 1) / leaf_rows + 1, _FAN * _FAN)))
+        apart = (F.col("minx") < F.col("maxx")) | (F.col("miny") < F.col("maxy"))
+        while self.depth < _DEEPEST and (folded_to(self.depth).agg(F.max(F.when(apart, F.col("n")))).first()[0] or 0) > leaf_rows:
+            self.depth = min(_DEEPEST, self.depth + 3)
+        cells = folded_to(self.depth)
+        at = lambda c, level: F.shiftright(c, 2 * level)  # noqa: E731  (2 bits a level)
+        spread = cells.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(self.depth))))
+        spread = spread.withColumns({c: F.expr(f"shiftright({c}, 2 * level)") for c in ("cx", "cy")})
+        tree = spread.groupBy("side", "level", "cx", "cy").agg(F.sum("n").alias("n"), *[f(c).alias(c) for f, c in zip((F.min, F.min, F.max, F.max), _BOX)])
+        node = F.struct("level", "cx", "cy")
+        up = F.struct((F.col("level") + 1).alias("level"), at("cx", 1).alias("cx"), at("cy", 1).alias("cy"))
+        tree = tree.select("side", "level", "n", node.alias("node"), up.alias("parent"), F.struct(*_BOX).alias("box"))
+        tree.write.partitionBy("side", "level").parquet(f"{self.path}/tree")
+        kind = "struct<level: int, cx: bigint, cy: bigint>"
+        tree = spark.read.schema(f"n long, node {kind}, parent {kind}, box struct<minx: double, miny: double, maxx: double, maxy: double>, side string, level int").parquet(f"{self.path}/tree")
+        one_place = (F.col("box.minx") == F.col("box.maxx")) & (F.col("box.miny") == F.col("box.maxy"))
+        tree = tree.withColumn("leaf", (F.col("n") <= leaf_rows) | (F.col("level") == 0) | one_place)
+        inner = tree.where(~F.col("leaf")).select("side", F.col("node").alias("parent"))
+        live = tree.where(F.col("level") < self.depth).join(inner, ["side", "parent"], "left_semi").select("side", "level", "node", "parent", "box", "leaf")
+        top = tree.where(F.col("level") == self.depth).select("side", "level", "node", "parent", "box", "leaf")
+        live.unionByName(top).write.partitionBy("side").parquet(f"{self.path}/live")
+        self.live = spark.read.schema(f"level int, node {kind}, parent {kind}, box struct<minx: double, miny: double, maxx: double, maxy: double>, leaf boolean, side string").parquet(f"{self.path}/live")
+        self.cells = cells
+
+    def finest(self, x: Column, y: Column) -> list[Column]:
+        """Numbers of the finest cell of a place."""
+        n = _FAN**_DEEPEST
+        cell = lambda v, start: F.least(F.greatest(F.floor((v - start) / self.side * n), F.lit(0)), F.lit(n - 1)).cast("long")
+        return [F.shiftright(c, 2 * (_DEEPEST - self.depth)).alias(name) for name, c in (("cx", cell(x, self.x0)), ("cy", cell(y, self.y0)))]
+
+    def leaf_of(self, side: str) -> DataFrame:
+        """(cx, cy, node): the leaf that covers each finest cell."""
+        spread = self.cells.where(F.col("side") == side).select("cx", "cy", F.explode(F.sequence(F.lit(0), F.lit(self.depth))).alias("level"))
+        node = F.struct("level", F.expr("shiftright(cx, 2 * level)").alias("cx"), F.expr("shiftright(cy, 2 * level)").alias("cy"))
+        leaves = self.live.where((F.col("side") == side) & F.col("leaf")).select("node")
+        return spread.select("cx", "cy", node.alias("node")).join(leaves, "node")
+
+    def _steps(self, side: str, level: int) -> DataFrame:
+        """(from, node, box): the children of inner cells of `level`, and leaves of it or above as their own."""
+        own = self.live.where(F.col("side") == side)
+        down = own.where(F.col("level") == level - 1).select(F.col("parent").alias(f"{side}_from"), F.col("node").alias(f"{side}_node"), F.col("box").alias(f"{side}_box"))
+        stay = own.where((F.col("level") >= level) & F.col("leaf")).select(F.col("node").alias(f"{side}_from"), F.col("node").alias(f"{side}_node"), F.col("box").alias(f"{side}_box"))
+        return down.unionByName(stay)
+
+    def _prune(self, pairs: DataFrame) -> DataFrame:
+        """Keeps pairs of cells that can hold the nearest geometry of some point."""
+        near, far = _near_far(F.col("p_box"), F.col("g_box"))
+        scored = pairs.withColumn("_near", near).withColumn("_far", far)
+        if "_limit" in pairs.columns:  # what bounds the cell bounds its children
+            scored = scored.where(_within(F.col("_near"), F.col("_limit")))
+        # A cell's candidates are bounded by geometry, not by row counts, so this window stays small.
+        bound = F.min("_far").over(W.partitionBy("p_node"))
+        return scored.withColumn("_bound", bound).where(_within(F.col("_near"), F.col("_bound"))).select("p_node", "g_node", "g_box", "_bound")
+
+    def pairs(self) -> DataFrame:
+        """(p_node, cells): for each leaf of points, the leaves of geometries that may hold a nearest one, with their boxes."""
+        top = lambda side: self.live.where((F.col("side") == side) & (F.col("level") == self.depth)).select(F.col("node").alias(f"{side}_node"), F.col("box").alias(f"{side}_box"))
+        found = self._prune(top("p").withColumn("_one", F.lit(1)).join(top("g").withColumn("_one", F.lit(1)), "_one"))  # one root each
+        for level in range(self.depth, 0, -1):
+            parents = found.select(F.col("p_node").alias("p_from"), F.col("g_node").alias("g_from"), F.col("_bound").alias("_limit"))
+            found = self._prune(parents.join(self._steps("p", level), "p_from").join(self._steps("g", level), "g_from"))
+            if level % 3 == 0:  # short plans; a lost executor repeats three levels at most
+                spark, kept = found.sparkSession, f"{self.path}/pairs{level}"
+                found.write.parquet(kept)
+                found = spark.read.schema(found.schema).parquet(kept)
+        return found.groupBy("p_node").agg(F.collect_list(F.struct("g_node", "g_box")).alias("cells"))
 
 
 def join_knn1(
@@ -262,63 +303,52 @@ def join_knn1(
     metric: str = "spheroid",
     shape: str = "rect",
     with_closest: bool = False,
+    leaf_rows: int = 32,
 ) -> DataFrame:
     """(id, nearest_id, distance_m): the planar nearest geometry of every point, reported in metres.
 
-    Exact for any distribution. Both sides are summarised in a pyramid of cell boxes; starting from
-    the few top cells, pairs of point cell and geometry cell are refined level by level, dropping
-    geometry cells that are farther than another cell's farthest corner. Only the surviving finest
-    pairs meet the rows. Choose `cell` so that a cell holds a handful of geometries. Identical
-    geometries are merged first; ties go to the smallest id.
+    Exact for any distribution and any unit of coordinates. Points and geometries stand in quadtrees whose
+    cells are split by row counts, each branch to its own depth. From the roots, pairs of a point
+    cell and a geometry cell are refined level by level, dropping geometry cells that are farther
+    than another cell's farthest corner. Each point then drops cells once more by its own place
+    before it meets their geometries, about `leaf_rows` a cell. Lines are indexed in pieces of at most
+    `cell` per axis and measured whole. Identical geometries are merged first; ties go to the smallest id.
 
     `shape` is rect (filled rectangle), segment or point.
     """
-    levels = _levels(cell)
-    home = lambda c: F.floor(c / cell).cast("long")
     if shape == "point":
-        coords, boxes = ["lon", "lat"], ["lon", "lat", "lon", "lat"]
-        box = [F.col(c) for c in boxes]
+        coords, box = ["lon", "lat"], [F.col(c) for c in ("lon", "lat", "lon", "lat")]
     elif shape == "segment":
         coords = ["x1", "y1", "x2", "y2"]
         box = [F.least("x1", "x2"), F.least("y1", "y2"), F.greatest("x1", "x2"), F.greatest("y1", "y2")]
     else:
         coords, box = list(_RECT), [F.col(c) for c in _RECT]
 
-    shapes = (
-        geoms.groupBy(*[F.col(c).alias(f"g{i}") for i, c in enumerate(coords)])
-        .agg(F.min("id").alias("nearest_id"))
-    )
-    renamed = shapes.select("nearest_id", *[F.col(f"g{i}").alias(c) for i, c in enumerate(coords)])
-    boxed = renamed.withColumns({f"_{c}": b for c, b in zip(_RECT, box)})
-    # A geometry lives in the cell of its box centre; the cell box covers all of it.
-    cells = boxed.withColumns(
-        {"cx": home((F.col("_minx") + F.col("_maxx")) / 2), "cy": home((F.col("_miny") + F.col("_maxy")) / 2)}
-    )
-    members = cells.select("cx", "cy", *[F.col(f"_{c}").alias(c) for c in _RECT])
-    located = points.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).select("id", "lon", "lat").withColumns(
-        {"cx": home(F.col("lon")), "cy": home(F.col("lat"))}
-    )
-    spots = located.select(
-        "cx", "cy", F.col("lon").alias("minx"), F.col("lat").alias("miny"), F.col("lon").alias("maxx"), F.col("lat").alias("maxy")
-    )
-    stored, start = _pyramids(spots, members, levels)
-
-    # Start level: at most _FEW cells on either side, whatever the data.
-    first = _cells(stored, "g", start).agg(F.collect_list(F.struct("g_cell", "g_box")).alias("cells")).scalar()
-    pairs = _prune(
-        _cells(stored, "p", start).withColumn("_g", F.explode(first)).select("p_cell", "p_box", "_g.g_cell", "_g.g_box")
-    )
-    for level in range(start - 1, -1, -1):
-        parents = pairs.select(
-            F.col("p_cell").alias("p_parent"), F.col("g_cell").alias("g_parent"), F.col("_bound").alias("_limit")
-        )
-        pairs = _prune(
-            parents.join(_cells(stored, "p", level), "p_parent").join(_cells(stored, "g", level), "g_parent")
-        )
-
-    rows = located.withColumn("p_cell", F.struct("cx", "cy")).drop("cx", "cy")
-    kept = cells.withColumn("g_cell", F.struct("cx", "cy")).select("g_cell", "nearest_id", *[F.col(c).alias(f"g_{c}") for c in coords])
-    tried = rows.join(pairs.drop("_bound"), "p_cell").join(kept, "g_cell")
+    whole = geoms.where(F.forall(F.array(*[F.col(c) for c in coords]), lambda c: c.isNotNull()))
+    shapes_ = whole.groupBy(*[F.col(c).alias(f"g{i}") for i, c in enumerate(coords)]).agg(F.min("id").alias("nearest_id"))
+    renamed = shapes_.select("nearest_id", *[F.col(f"g{i}").alias(c) for i, c in enumerate(coords)])
+    if shape == "segment":
+        dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+        many = F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / F.lit(float(cell)))).cast("int")
+        cut = renamed.withColumn("_n", many).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+        ends = [(F.col(c) + d * (F.col("_i") + k) / F.col("_n")) for c, d in (("x1", dx), ("y1", dy)) for k in (0, 1)]
+        box = [F.least(*ends[:2]), F.least(*ends[2:]), F.greatest(*ends[:2]), F.greatest(*ends[2:])]
+        renamed = cut
+    boxed = renamed.select("nearest_id", *[F.col(c).alias(f"g_{c}") for c in coords], *[b.alias(c) for c, b in zip([f"_{c}" for c in _BOX], box)])
+    located = points.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).select("id", "lon", "lat")
+    spots = located.select(F.lit("p").alias("side"), *[F.col(c).alias(n) for n, c in zip(_BOX, ("lon", "lat", "lon", "lat"))])
+    members = boxed.select(F.lit("g").alias("side"), *[F.col(f"_{c}").alias(c) for c in _BOX])
+    tree = _Quadtree(spots.unionByName(members), leaf_rows)
+
+    mine = located.select("*", *tree.finest(F.col("lon"), F.col("lat"))).join(tree.leaf_of("p").withColumnRenamed("node", "p_node"), ["cx", "cy"])
+    here = F.struct(*[F.col(c).alias(n) for n, c in zip(_BOX, ("lon", "lat", "lon", "lat"))])
+    scored = F.transform("cells", lambda c: F.struct(c["g_node"].alias("node"), _near_far(here, c["g_box"])[0].alias("near"), _near_far(here, c["g_box"])[1].alias("far")))
+    tried = mine.join(tree.pairs(), "p_node").select("id", "lon", "lat", scored.alias("scored"))
+    tried = tried.withColumn("_bound", F.array_min(F.transform("scored", lambda c: c["far"])))
+    tried = tried.select("id", "lon", "lat", F.explode(F.filter("scored", lambda c: _within(c["near"], F.col("_bound")))).alias("c")).select("id", "lon", "lat", F.col("c.node").alias("g_node"))
+    centre = tree.finest((F.col("_minx") + F.col("_maxx")) / 2, (F.col("_miny") + F.col("_maxy")) / 2)
+    kept = boxed.select("nearest_id", *[f"g_{c}" for c in coords], *centre).join(tree.leaf_of("g").withColumnRenamed("node", "g_node"), ["cx", "cy"]).drop("cx", "cy")
+    tried = tried.join(kept, "g_node")
     x, y = F.col("lon"), F.col("lat")
     g = [F.col(f"g_{c}") for c in coords]
     if shape == "rect":

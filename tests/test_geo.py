@@ -275,3 +275,31 @@ def test_multi_features_are_kept(spark):
     assert sorted(r.source_object for r in sp.scan_geo_vector(df).collect()) == [str(i) for i in range(len(TEXTS))]
     assert sorted(r.source_object for r in sp.scan_geo_vector(df, min_area=15.5).collect()) == ["5"]
     assert sorted(r.source_object for r in sp.scan_geo_vector(df, min_area=15.0).collect()) == ["4", "5"]
+
+
+def test_knn_where_nearly_all_points_share_a_cell(spark):
+    """A dense place is split to its own depth: few geometries per leaf, and the result is that of brute force."""
+    dense = [(i, 10 + (i * 7919 % 4001) * 1e-7, 20 + (i * 104729 % 4001) * 1e-7) for i in range(1800)]
+    far = [(5000 + i, -170.0 + i * 17, -60.0 + i * 5) for i in range(20)]
+    df = spark.createDataFrame(dense + far, "id long, lon double, lat double")
+    geoms = df.where("id % 3 = 0").selectExpr("id", "lon + 3e-8 AS lon", "lat")
+    rows = geoms.collect()
+    got = {r.id: r.nearest_id for r in sp.join_knn1(df, geoms, shape="point", leaf_rows=8).collect()}
+    for i, x, y in dense[::37] + far:
+        least = min((math.hypot(r.lon - x, r.lat - y), r.id) for r in rows)
+        hit = next(r for r in rows if r.id == got[i])
+        assert math.hypot(hit.lon - x, hit.lat - y) <= least[0] * (1 + 1e-12)
+    spots = df.select(F.lit("p").alias("side"), F.col("lon").alias("minx"), F.col("lat").alias("miny"), F.col("lon").alias("maxx"), F.col("lat").alias("maxy"))
+    tree = sp._Quadtree(spots, 8)
+    where = df.select(*tree.finest(F.col("lon"), F.col("lat"))).join(tree.leaf_of("p"), ["cx", "cy"]).groupBy("node").count().collect()
+    assert sum(r["count"] for r in where) == len(dense) + len(far) and max(r["count"] for r in where) <= 8
+    assert len({r.node.level for r in where}) > 1
+
+
+def test_knn_long_lines_and_other_units(spark):
+    lines = [(1, 0.0, 0.0, 900.0, 0.0), (2, 0.0, 5.0, 0.0, 700.0), (3, 100.0, 100.0, 100.5, 100.0), (4, 0.0, 0.0, None, 1.0)]
+    geoms = spark.createDataFrame(lines, "id int, x1 double, y1 double, x2 double, y2 double")
+    points = spark.createDataFrame([(1, 450.0, 3.0), (2, 1.0, 400.0), (3, 101.0, 98.0), (4, -50.0, -50.0), (5, None, 1.0)], "id int, lon double, lat double")
+    got = {r.id: r.nearest_id for r in sp.join_knn1(points, geoms, cell=7.0, shape="segment").collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 1}
+    assert sp.join_knn1(points, geoms.where("false"), shape="segment").collect() == [] == sp.join_knn1(points.where("false"), geoms, shape="segment").collect()
