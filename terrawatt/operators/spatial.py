@@ -209,7 +209,7 @@ class _Quadtree:
 
     Level 0 is the finest; a cell has 4 x 4 children. A cell with at most `leaf_rows` rows of its side
     is a leaf wherever it stands, so every branch has its own depth. The root covers all rows, whatever
-    their unit. Rows are folded to finest cells once; the tree's tables are written, so the
+    their unit. Rows are folded to finest cells once; these and the tree's live cells are written, so the
     planner knows their sizes and a lost executor does not repeat them.
     """
 
@@ -240,9 +240,7 @@ class _Quadtree:
         node = F.struct("level", "cx", "cy")
         up = F.struct((F.col("level") + 1).alias("level"), at("cx", 1).alias("cx"), at("cy", 1).alias("cy"))
         tree = tree.select("side", "level", "n", node.alias("node"), up.alias("parent"), F.struct(*_BOX).alias("box"))
-        tree.write.partitionBy("side", "level").parquet(f"{self.path}/tree")
         kind = "struct<level: int, cx: bigint, cy: bigint>"
-        tree = spark.read.schema(f"n long, node {kind}, parent {kind}, box struct<minx: double, miny: double, maxx: double, maxy: double>, side string, level int").parquet(f"{self.path}/tree")
         one_place = (F.col("box.minx") == F.col("box.maxx")) & (F.col("box.miny") == F.col("box.maxy"))
         tree = tree.withColumn("leaf", (F.col("n") <= leaf_rows) | (F.col("level") == 0) | one_place)
         inner = tree.where(~F.col("leaf")).select("side", F.col("node").alias("parent"))
@@ -289,7 +287,7 @@ class _Quadtree:
         for level in range(self.depth, 0, -1):
             parents = found.select(F.col("p_node").alias("p_from"), F.col("g_node").alias("g_from"), F.col("_bound").alias("_limit"))
             found = self._prune(parents.join(self._steps("p", level), "p_from").join(self._steps("g", level), "g_from"))
-            if level % 3 == 0:  # short plans; a lost executor repeats three levels at most
+            if (self.depth - level) % 3 == 2 and level > 1:  # short plans; a lost executor repeats three levels at most
                 spark, kept = found.sparkSession, f"{self.path}/pairs{level}"
                 found.write.parquet(kept)
                 found = spark.read.schema(found.schema).parquet(kept)
@@ -303,7 +301,7 @@ def join_knn1(
     metric: str = "spheroid",
     shape: str = "rect",
     with_closest: bool = False,
-    leaf_rows: int = 32,
+    leaf_rows: int = 24,
 ) -> DataFrame:
     """(id, nearest_id, distance_m): the planar nearest geometry of every point, reported in metres.
 
