@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terrawatt.operators.skew import block_of, explode_blocks, first_per_key, next_in_group, top_level
@@ -92,6 +93,36 @@ def interval_overlap_check(
     return direct.unionByName(blocked).withColumnRenamed("k", key)
 
 
+def interval_overlap_exists(
+    assignments: DataFrame,
+    key: str = "contract_id",
+    start: str = "effective_from",
+    end: str = "effective_to",
+    strict: bool = False,
+) -> DataFrame:
+    """(key, first_overlap): the keys with at least one overlapping pair, and the earliest start that falls into an earlier range.
+
+    No pair is formed: ordered by start, a range overlaps an earlier one exactly if it starts no later than the
+    greatest end so far. That maximum is a distributed prefix maximum: ranges are folded by (key, start),
+    months of a key are summed up, and each month then only needs its own rows and the maximum before
+    it, so a key with a large part of all rows is spread over its months. An open end overlaps nothing that starts later
+    unless `strict`. Rows without key or start and ranges that end before they start take no part.
+    """
+    rows = assignments.select(F.col(key).alias("k"), F.col(start).alias("s"), F.col(end).alias("e"))
+    rows = rows.where(F.col("k").isNotNull() & F.col("s").isNotNull() & (F.col("e").isNull() | (F.col("e") >= F.col("s"))))
+    folded = rows.groupBy("k", "s").agg(F.count(F.lit(1)).alias("n"), F.count("e").alias("closed"), F.max("e").alias("last"))
+    folded = folded.withColumn("block", F.year("s") * 12 + F.month("s")).withColumn("open", F.col("closed") < F.col("n"))
+    earlier = lambda c, *by: F.max(c).over(W.partitionBy("k", *by[:-1]).orderBy(by[-1]).rowsBetween(W.unboundedPreceding, -1))
+    blocks = folded.groupBy("k", "block").agg(F.max("last").alias("last"), F.max("open").alias("open"))
+    blocks = blocks.select("k", "block", earlier("last", "block").alias("last_before"), earlier("open", "block").alias("open_before"))
+    inside = folded.withColumn("last_here", earlier("last", "block", "s")).withColumn("open_here", earlier("open", "block", "s")).join(blocks, ["k", "block"])
+    hit = (F.col("n") > 1) & ((F.col("closed") > 0) | F.lit(strict))
+    hit = hit | (F.col("s") <= F.greatest("last_here", "last_before"))
+    if strict:
+        hit = hit | F.col("open_here") | F.col("open_before")
+    return inside.where(F.coalesce(hit, F.lit(False))).groupBy(F.col("k").alias(key)).agg(F.min("s").alias("first_overlap"))
+
+
 _NO_END = "9999-12-31"  # stands for an open end inside the block grid: the last date there is
 
 

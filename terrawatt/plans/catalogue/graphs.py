@@ -53,11 +53,18 @@ CACHE = f"""SELECT node_id, ref_id, node_type, lon, lat, b.building_id, r.road_i
       ORDER BY sqrt((cx - n.lon) * (cx - n.lon) + (cy - n.lat) * (cy - n.lat)), road_id LIMIT 1) AS r"""
 
 
+#: Where each application has stored its node cache, by folder of the tables.
+STORED: dict[tuple[str, str], str] = {}
+
+
 def cache(t):
-    """The cache is a stored table in production; it is written once and read by all its users."""
-    path = scratch_path(t.spark, "node-cache")
-    gr.node_spatial_cache(nodes(t), t.building_geom, t.road).write.parquet(path)
-    return t.spark.read.parquet(path)
+    """The cache is a stored table: it is written once in an application and read by all its users."""
+    own = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if own not in STORED:
+        path = scratch_path(t.spark, "node-cache")
+        gr.node_spatial_cache(nodes(t), t.building_geom, t.road).write.parquet(path)
+        STORED[own] = path
+    return t.spark.read.parquet(STORED[own])
 
 
 @query("node_spatial_cache", f"SELECT node_id, lon, lat, building_id, nearest_road_id, distance_to_bldg, distance_to_road FROM ({CACHE})",

@@ -158,6 +158,21 @@ def _(t):
     return iv.interval_overlap_check(t.customer_meter, "customer_id", "meter_id", "start_date", "end_date", strict=True)
 
 
+@query("interval_overlap_exists", """SELECT a.contract_id, min(greatest(a.effective_from, b.effective_from)) AS first_overlap FROM assignment AS a
+    JOIN assignment AS b ON a.contract_id = b.contract_id WHERE a.assignment_id <> b.assignment_id AND coalesce(a.effective_to >= a.effective_from, TRUE)
+    AND coalesce(b.effective_to >= b.effective_from, TRUE)
+    AND (a.effective_from BETWEEN b.effective_from AND b.effective_to OR a.effective_to BETWEEN b.effective_from AND b.effective_to) GROUP BY 1""")
+def _(t):
+    return iv.interval_overlap_exists(t.assignment)
+
+
+@query("interval_overlap_exists__strict", """SELECT a.customer_id, min(greatest(a.start_date, b.start_date)) AS first_overlap FROM customer_meter AS a
+    JOIN customer_meter AS b ON a.customer_id = b.customer_id WHERE a.meter_id < b.meter_id AND coalesce(a.end_date >= a.start_date, TRUE) AND coalesce(b.end_date >= b.start_date, TRUE)
+    AND a.start_date <= coalesce(b.end_date, DATE '9999-01-01') AND b.start_date <= coalesce(a.end_date, DATE '9999-01-01') GROUP BY 1""")
+def _(t):
+    return iv.interval_overlap_exists(t.customer_meter, "customer_id", "start_date", "end_date", strict=True)
+
+
 @query("lateral_scalar_subquery", """SELECT building_id, (SELECT max(z.total_area_km2) FROM zone AS z WHERE z.id = b.building_id) AS area,
     (SELECT 1 / (1 + max(z.total_area_km2)) FROM zone AS z WHERE z.id = b.building_id) AS score FROM building AS b""", "area score")
 def _(t):

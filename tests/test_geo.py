@@ -303,3 +303,31 @@ def test_knn_long_lines_and_other_units(spark):
     got = {r.id: r.nearest_id for r in sp.join_knn1(points, geoms, cell=7.0, shape="segment").collect()}
     assert got == {1: 1, 2: 2, 3: 3, 4: 1}
     assert sp.join_knn1(points, geoms.where("false"), shape="segment").collect() == [] == sp.join_knn1(points.where("false"), geoms, shape="segment").collect()
+
+
+def test_overlap_exists_without_pairs(spark):
+    """Against all pairs: equal starts, touching ends, open ends, ranges within others and over many months."""
+    import datetime as dt
+    import random
+
+    rng = random.Random(3)
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(n)
+    rows = []
+    for k in range(120):
+        at = 0
+        for _ in range(rng.randint(0, 6)):
+            at += rng.choice([0, 1, 5, 40, 400])
+            length = rng.choice([0, 1, 4, 39, 300])
+            rows.append((k, len(rows), day(at), None if rng.random() < 0.15 else day(at + length)))
+            at += length + rng.choice([1, 1, 1, 0, -3])
+    rows += [(None, 9000, day(0), day(9)), (None, 9001, day(0), day(9)), (500, 9002, None, day(3)), (500, 9003, day(1), day(2)), (501, 9004, day(9), day(1)), (501, 9005, day(0), day(20))]
+    df = spark.createDataFrame(rows, "contract_id int, assignment_id int, effective_from date, effective_to date")
+    for strict in (False, True):
+        want = {}
+        good = [r for r in rows if r[0] is not None and r[2] and (r[3] is None or r[3] >= r[2])]
+        for a in good:
+            for b in good:
+                if a[0] == b[0] and a[1] != b[1] and a[2] >= b[2] and ((a[2] <= b[3]) if b[3] else strict):
+                    want[a[0]] = min(want.get(a[0], a[2]), a[2])
+        got = {r.contract_id: r.first_overlap for r in iv.interval_overlap_exists(df, strict=strict).collect()}
+        assert got == want and len(want) > 20
