@@ -8,6 +8,7 @@ from terrawatt.functions import geo, shapes
 from terrawatt.functions.kernels import st_as_wkb, st_distance_vincenty, st_geom_from_wkb
 from terrawatt.operators import aggregates as agg
 from terrawatt.operators import cleaning as cl
+from terrawatt.operators import clipping as clip
 from terrawatt.operators import spatial as sp
 from terrawatt.plans.registry import query
 
@@ -369,22 +370,80 @@ def _(t):
     return sp.join_spatial_intersects(a, b, cell=0.02)
 
 
-CLIP = [(55.0, 24.7, 55.2, 24.9), (55.1, 24.8, 55.5, 25.0)]
+# Districts: diamonds of half diagonal r with a diamond of half its size cut out. A connected set meets one if its least
+# distance to the centre, counted along the axes, is at most r and its largest at least r / 2.
 
 
-@query("spatial_clip_to_boundary", "SELECT building_id, minx FROM building_geom WHERE " + " OR ".join(
-    f"(maxx >= {a} AND minx <= {c} AND maxy >= {b} AND miny <= {d})" for a, b, c, d in CLIP), "minx")
+def districts(t):
+    def diamond(r):
+        tips = [(r, 0), (0, r), (-r, 0), (0, -r), (r, 0)]
+        return F.array(*[geo.st_point(F.col("cx") + a, F.col("cy") + b) for a, b in tips])
+
+    return t.district_area.select("district_id", "cx", "cy", "r", shapes.st_polygon(diamond(F.col("r")), F.reverse(diamond(F.col("r") / 2))).alias("geom"))
+
+
+def _box_hits(minx, miny, maxx, maxy) -> str:
+    minx, miny, maxx, maxy = (f"({v})" for v in (minx, miny, maxx, maxy))
+    near = f"greatest({minx} - cx, 0, cx - {maxx}) + greatest({miny} - cy, 0, cy - {maxy})"
+    far = f"greatest(abs({minx} - cx), abs({maxx} - cx)) + greatest(abs({miny} - cy), abs({maxy} - cy))"
+    return f"({near} <= r AND {far} >= r / 2)"
+
+
+_W, _H = "(maxx - minx)", "(maxy - miny)"
+_ALONG = [f"greatest(0, least(1, {v}))" for v in (f"(cx - minx) / {_W}", f"(cy - miny) / {_H}")]
+_DIAGONAL = ["0", "1", *_ALONG]
+_LINE_DISTANCE = [f"abs(minx + ({v}) * {_W} - cx) + abs(miny + ({v}) * {_H} - cy)" for v in _DIAGONAL]
+KIND_HITS = f"""CASE building_id % 6 WHEN 1 THEN {_box_hits('minx', 'miny', 'minx', 'miny')}
+    WHEN 2 THEN least({', '.join(_LINE_DISTANCE)}) <= r AND greatest({', '.join(_LINE_DISTANCE[:2])}) >= r / 2
+    WHEN 3 THEN {_box_hits(*BOX)} WHEN 4 THEN {_box_hits(*BOX)} OR {_box_hits(f'minx + 2 * {_W}', 'miny', f'maxx + 2 * {_W}', 'maxy')}
+    WHEN 5 THEN {_box_hits('minx', 'miny', 'maxx', 'miny')} OR {_box_hits('minx', 'maxy', 'maxx', 'maxy')} ELSE FALSE END"""
+
+
+@query("spatial_clip_to_boundary", f"SELECT building_id, minx FROM building_geom WHERE EXISTS (SELECT 1 FROM district_area WHERE {_box_hits(*BOX)})", "minx")
 def _(t):
-    boundary = t.spark.createDataFrame(CLIP, "minx double, miny double, maxx double, maxy double")
-    clipped = sp.spatial_clip_to_boundary(t.building_geom, boundary, key="building_id")
+    """Buildings that meet a district, with the suffix of the join tidied."""
+    boxes = t.building_geom.withColumn("geom", shapes.st_polygon(ring()))
+    clipped = clip.clip_to_boundary(boxes, districts(t), "building_id")
     return cl.rename_affixes(clipped.withColumnRenamed("minx", "minx_left"), suffix="_left").select("building_id", "minx")
 
 
-@query("st_union_agg", "SELECT count(*) AS n FROM building_geom WHERE " + " OR ".join(
-    f"(maxx >= {a} AND minx <= {c} AND maxy >= {b} AND miny <= {d})" for a, b, c, d in CLIP))
+@query("spatial_clip_to_boundary__kinds", f"SELECT building_id FROM building_geom WHERE EXISTS (SELECT 1 FROM district_area WHERE {KIND_HITS})")
+def _(t):
+    """Points, lines, polygons with holes and MULTI forms that meet a district."""
+    return clip.features_in_boundary(features(t), districts(t), "building_id")
+
+
+@query("spatial_clip_to_boundary__boxes", """SELECT building_id, minx FROM building_geom WHERE EXISTS (SELECT 1 FROM district_area
+    WHERE maxx >= cx - r AND minx <= cx + r AND maxy >= cy - r AND miny <= cy + r)""", "minx")
+def _(t):
+    """Buildings that meet the box around a district."""
+    boxes = districts(t).select(shapes.st_envelope(F.col("geom")).alias("b")).select("b.*")
+    return sp.spatial_clip_to_boundary(t.building_geom, boxes, key="building_id").select("building_id", "minx")
+
+
+SWEPT = """WITH b AS (SELECT {by} AS part, minx, {y1} AS y1, maxx + 0.01 AS x2, {y2} AS y2 FROM building_geom),
+    xs AS (SELECT DISTINCT part, unnest([minx, x2]) AS x FROM b),
+    strips AS (SELECT part, x AS lo, lead(x) OVER (PARTITION BY part ORDER BY x) AS hi FROM xs),
+    inside AS (SELECT b.part, hi - lo AS w, y1, y2, max(y2) OVER (PARTITION BY b.part, lo ORDER BY y1, y2 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+        FROM strips JOIN b ON b.part = strips.part AND minx <= lo AND hi <= x2)
+    SELECT {out}sum({w} * greatest(0, y2 - greatest(y1, coalesce(before, y1)))) {scale} AS area FROM inside"""
+
+
+def grown(t):
+    """Boxes widened by a hundredth of a degree, so that many overlap."""
+    return t.building_geom.withColumns({"maxx": F.col("maxx") + 0.01, "maxy": F.col("maxy") + 0.01})
+
+
+@query("st_union_agg", SWEPT.format(by="building_id % 3", y1="miny", y2="maxy + 0.01", out="part, ", w="w", scale="") + " GROUP BY part", "area")
+def _(t):
+    """Square degrees that the boxes of each third of the buildings cover together."""
+    return clip.union_area(grown(t).withColumn("part", F.col("building_id") % 3), ["part"])
+
+
+@query("st_union_agg__geog", SWEPT.format(by="0", y1=authalic("miny"), y2=authalic("(maxy + 0.01)"), out="", w="radians(w)", scale="/ 1e6"), "area")
 def _(t):
-    boundary = t.spark.createDataFrame(CLIP, "minx double, miny double, maxx double, maxy double")
-    return sp.spatial_clip_to_boundary(t.building_geom, boundary, key="building_id").agg(F.count(F.lit(1)).alias("n"))
+    """Square kilometres on the spheroid that all boxes cover together."""
+    return clip.union_area(grown(t), geographic=True).select((F.col("area") / 1e6).alias("area"))
 
 
 NEAREST_RECT = f"""SELECT p.id, g.building_id AS nearest_id, cx, cy, p.lon, p.lat FROM points AS p, LATERAL (

@@ -164,6 +164,10 @@ DATASETS: dict[str, str] = {
                54.9 + CAST(p_partkey * 6841 % 13000 AS DOUBLE) / 10000 + CAST(p_size AS DOUBLE) / 100000 AS maxx,
                24.63 + CAST(p_partkey * 50021 % 7400 AS DOUBLE) / 10000 + CAST(p_size AS DOUBLE) / 100000 AS maxy
         FROM part""",
+    "district_area": """
+        SELECT n_nationkey AS district_id, 54.9 + CAST(n_nationkey * 4787 % 13000 AS DOUBLE) / 10000 + 0.00003 AS cx,
+               24.63 + CAST(n_nationkey * 2903 % 7400 AS DOUBLE) / 10000 + 0.00007 AS cy, 0.02 + CAST(n_nationkey % 7 AS DOUBLE) / 100 AS r
+        FROM nation""",
     "development_plan": """
         SELECT p_partkey - p_partkey % 40 AS plan_id, min(p_name) AS plan_name, min(p_brand) AS source FROM part GROUP BY 1""",
     "plan_geom": """
