@@ -218,8 +218,12 @@ def agg_count_by_key(df: DataFrame, key: str, name: str = "count") -> DataFrame:
 
 
 def agg_invoice_total(lines: DataFrame) -> DataFrame:
-    amount = F.col("quantity") * F.col("unit_price")
-    return lines.groupBy("invoice_id").agg(F.sum(amount).alias("total_amount"))
+    """Totals as DECIMAL(12, 2): quantities of three and prices of four decimals, exact line amounts, rounded once per invoice.
+
+    Values beyond these types count as NULL, as do lines without quantity or price; a total beyond its type is NULL.
+    """
+    quantity, price = F.col("quantity").try_cast("decimal(12,3)"), F.col("unit_price").try_cast("decimal(12,4)")
+    return lines.groupBy("invoice_id").agg(F.sum(quantity * price).try_cast("decimal(12,2)").alias("total_amount"))
 
 
 def update_invoice_totals(invoices: DataFrame, lines: DataFrame, touched: DataFrame) -> DataFrame:

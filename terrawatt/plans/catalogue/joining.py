@@ -181,16 +181,16 @@ def _(t):
     return jn.lateral_scalar_lookup(t.building.select("building_id"), lookup, "building_id", {"area": area, "score": 1 / (1 + area)})
 
 
-@query("agg_invoice_total", "SELECT invoice_id, sum(quantity * unit_price) AS total_amount FROM invoice_lines GROUP BY invoice_id", "total_amount")
+@query("agg_invoice_total", "SELECT invoice_id, CAST(CAST(sum(CAST(quantity AS DECIMAL(12,3)) * CAST(CAST(unit_price AS VARCHAR) AS DECIMAL(12,4))) AS DECIMAL(12,2)) AS DOUBLE) AS total_amount FROM invoice_lines GROUP BY invoice_id", "total_amount")
 def _(t):
     return agg_invoice_total(t.invoice_lines)
 
 
-@query("agg_invoice_total__touched", """SELECT i.invoice_id, CASE WHEN i.invoice_id % 5 = 0 THEN x.total ELSE 0.0 END AS total_amount
-    FROM invoice AS i LEFT JOIN (SELECT invoice_id, sum(quantity * unit_price) AS total FROM invoice_lines GROUP BY 1) AS x
+@query("agg_invoice_total__touched", """SELECT i.invoice_id, CAST(CASE WHEN i.invoice_id % 5 = 0 THEN x.total ELSE 0.0 END AS DOUBLE) AS total_amount
+    FROM invoice AS i LEFT JOIN (SELECT invoice_id, CAST(sum(CAST(quantity AS DECIMAL(12,3)) * CAST(CAST(unit_price AS VARCHAR) AS DECIMAL(12,4))) AS DECIMAL(12,2)) AS total FROM invoice_lines GROUP BY 1) AS x
     ON x.invoice_id = i.invoice_id""", "total_amount")
 def _(t):
-    headers = t.invoice.select("invoice_id", F.lit(0.0).alias("total_amount"))
+    headers = t.invoice.select("invoice_id", F.lit(0).cast("decimal(12,2)").alias("total_amount"))
     touched = t.invoice.where("invoice_id % 5 = 0").select("invoice_id")
     return update_invoice_totals(headers, t.invoice_lines, touched)
 
