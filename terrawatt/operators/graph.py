@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 from terrawatt.functions import geo
 from terrawatt.functions.scalar import epoch_millis, natural_id
 from terrawatt.operators.changes import merge_upsert
+from terrawatt.operators.crowding import others_within
 from terrawatt.operators.joins import join_geometry_equality
 from terrawatt.operators.setops import union_all_edges_reverse
-from terrawatt.operators.spatial import METRIC, join_knn1, join_radius
+from terrawatt.operators.spatial import METRIC, join_knn1
 from terrawatt.session import ensure_checkpoint_dir
 
 
@@ -240,8 +241,7 @@ def feature_store_refresh(
         F.col("building_id").alias("id"), ((F.col("minx") + F.col("maxx")) / 2).alias("lon"),
         ((F.col("miny") + F.col("maxy")) / 2).alias("lat"),
     )
-    close = join_radius(centres, centres, density_radius_m, metric).where("a_id <> b_id")
-    density = close.groupBy(F.col("a_id").alias("building_id")).agg(F.count(F.lit(1)).alias("_density"))
+    density = others_within(centres, density_radius_m, metric).select(F.col("id").alias("building_id"), F.col("n").alias("_density"))
     wide = buildings.select("building_id").join(d, "building_id", "left").join(density, "building_id", "left")
     entry = lambda name, value: F.struct(F.lit(name).alias("feature_name"), value.alias("feature_value"))
     long = wide.select(

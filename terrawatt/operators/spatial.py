@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terrawatt.functions import geo, shapes
+from terrawatt.operators.nearest_lines import nearest_lines
 from terrawatt.operators.skew import balanced_join
 from terrawatt.session import scratch_path
 
@@ -309,16 +310,15 @@ def join_knn1(
     cells are split by row counts, each branch to its own depth. From the roots, pairs of a point
     cell and a geometry cell are refined level by level, dropping geometry cells that are farther
     than another cell's farthest corner. Each point then drops cells once more by its own place
-    before it meets their geometries, about `leaf_rows` a cell. Lines are indexed in pieces of at most
-    `cell` per axis and measured whole. Identical geometries are merged first; ties go to the smallest id.
+    before it meets their geometries, about `leaf_rows` a cell. Identical geometries are merged first; ties
+    go to the smallest id. Lines cross many cells however small, so `nearest_lines` tiles the points instead.
 
     `shape` is rect (filled rectangle), segment or point.
     """
     if shape == "point":
         coords, box = ["lon", "lat"], [F.col(c) for c in ("lon", "lat", "lon", "lat")]
     elif shape == "segment":
-        coords = ["x1", "y1", "x2", "y2"]
-        box = [F.least("x1", "x2"), F.least("y1", "y2"), F.greatest("x1", "x2"), F.greatest("y1", "y2")]
+        coords, box = ["x1", "y1", "x2", "y2"], []
     else:
         coords, box = list(_RECT), [F.col(c) for c in _RECT]
 
@@ -326,12 +326,9 @@ def join_knn1(
     shapes_ = whole.groupBy(*[F.col(c).alias(f"g{i}") for i, c in enumerate(coords)]).agg(F.min("id").alias("nearest_id"))
     renamed = shapes_.select("nearest_id", *[F.col(f"g{i}").alias(c) for i, c in enumerate(coords)])
     if shape == "segment":
-        dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-        many = F.greatest(F.lit(1), F.ceil(F.greatest(F.abs(dx), F.abs(dy)) / F.lit(float(cell)))).cast("int")
-        cut = renamed.withColumn("_n", many).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-        ends = [(F.col(c) + d * (F.col("_i") + k) / F.col("_n")) for c, d in (("x1", dx), ("y1", dy)) for k in (0, 1)]
-        box = [F.least(*ends[:2]), F.least(*ends[2:]), F.greatest(*ends[:2]), F.greatest(*ends[2:])]
-        renamed = cut
+        located = points.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).select("id", "lon", "lat").distinct()
+        best = located.join(nearest_lines(located, renamed).withColumnRenamed("best", "_best"), ["lon", "lat"])
+        return _nearest_columns(best, metric, with_closest)
     boxed = renamed.select("nearest_id", *[F.col(c).alias(f"g_{c}") for c in coords], *[b.alias(c) for c, b in zip([f"_{c}" for c in _BOX], box)])
     located = points.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()).select("id", "lon", "lat")
     spots = located.select(F.lit("p").alias("side"), *[F.col(c).alias(n) for n, c in zip(_BOX, ("lon", "lat", "lon", "lat"))])
@@ -351,8 +348,6 @@ def join_knn1(
     g = [F.col(f"g_{c}") for c in coords]
     if shape == "rect":
         closest = geo.closest_on_rect(x, y, *g)
-    elif shape == "segment":
-        closest = geo.closest_on_segment(x, y, *g)
     else:
         closest = geo.st_point(*g)
     planar = geo.planar_distance(x, y, F.col("_c.x"), F.col("_c.y"))
@@ -362,10 +357,14 @@ def join_knn1(
         .groupBy("id", "lon", "lat")
         .agg(F.min(F.struct(planar.alias("d"), F.col("nearest_id"), F.col("_c.x").alias("x"), F.col("_c.y").alias("y"))).alias("_best"))
     )
+    return _nearest_columns(best, metric, with_closest)
+
+
+def _nearest_columns(best: DataFrame, metric: str, with_closest: bool) -> DataFrame:
     out = [
         "id",
         F.col("_best.nearest_id").alias("nearest_id"),
-        METRIC[metric](x, y, F.col("_best.x"), F.col("_best.y")).alias("distance_m"),
+        METRIC[metric](F.col("lon"), F.col("lat"), F.col("_best.x"), F.col("_best.y")).alias("distance_m"),
     ]
     if with_closest:
         out += [F.col("_best.x").alias("snapped_lon"), F.col("_best.y").alias("snapped_lat")]
