@@ -49,6 +49,11 @@ def _(t):
     return t.points.select("id", geo.st_point(F.col("lon"), F.col("lat")).alias("p")).select("id", "p.x", "p.y")
 
 
+def spread(df):
+    """Rows over all cores: a small file would be one task. What they hold is computed once, before any use of it."""
+    return df.repartition(4 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 # Features of every kind from the buildings' boxes, by building_id % 6: none, a point, a line, a box with a
 # hole of half its sides in the middle, that and the same box twice its width to the right, and two lines.
 KIND = "['NONE', 'POINT', 'LINESTRING', 'POLYGON', 'MULTIPOLYGON', 'MULTILINESTRING'][building_id % 6 + 1]"
@@ -69,7 +74,7 @@ def features(t):
     geom = F.lit(None).cast(shapes.GEOMETRY)
     for k, g in enumerate(kinds, 1):
         geom = F.when(F.col("building_id") % 6 == k, g).otherwise(geom)
-    return t.building_geom.select("building_id", *BOX, geom.alias("geom"))
+    return spread(t.building_geom.select("building_id", *BOX, geom.alias("geom")))
 
 
 AREA = "CASE building_id % 6 WHEN 3 THEN 0.75 WHEN 4 THEN 1.75 ELSE 0 END * w * h * 1e6"
@@ -182,7 +187,7 @@ def _(t):
     w, h = F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")
     hole = geo.st_rectangle(F.col("minx") + w / 4, F.col("miny") + h / 4, F.col("maxx") - w / 4, F.col("maxy") - h / 4)
     fixed = shapes.st_make_valid(shapes.st_polygon(F.array(p(1), p(1), p(4), p(3), p(2)), hole))
-    rows = t.building_geom.select("building_id", fixed.alias("g")).withColumn("rings", F.get("g.parts", F.lit(0)))
+    rows = spread(spread(t.building_geom).select("building_id", fixed.alias("g"))).withColumn("rings", F.get("g.parts", F.lit(0)))
     return rows.select(
         "building_id", F.size(F.flatten("rings")).alias("vertices"), shapes.st_problem(F.col("g")).alias("problem"),
         (shapes.signed_area(F.get("rings", F.lit(0))) > 0).alias("outline_left"), (shapes.signed_area(F.get("rings", F.lit(1))) < 0).alias("hole_right"),
@@ -195,7 +200,8 @@ def _(t):
     """Boxes against a frame: a box inside its hole does not meet it."""
     box = lambda *edges: geo.st_rectangle(*[F.lit(v) for v in edges])
     frame = shapes.st_polygon(box(55.20003, 24.80003, 55.60003, 25.10003), box(55.30003, 24.85003, 55.50003, 25.05003))
-    return t.building_geom.select("building_id", shapes.st_intersects(shapes.st_polygon(ring()), frame).alias("hit"))
+    rows = spread(t.building_geom.select("building_id", shapes.st_polygon(ring()).alias("geom")))
+    return rows.select("building_id", shapes.st_intersects(F.col("geom"), frame).alias("hit"))
 
 
 @query("st_bounds", "SELECT min(minx) AS minx, min(miny) AS miny, max(maxx) AS maxx, max(maxy) AS maxy FROM building_geom", "minx miny maxx maxy")

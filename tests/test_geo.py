@@ -331,3 +331,13 @@ def test_overlap_exists_without_pairs(spark):
                     want[a[0]] = min(want.get(a[0], a[2]), a[2])
         got = {r.contract_id: r.first_overlap for r in iv.interval_overlap_exists(df, strict=strict).collect()}
         assert got == want and len(want) > 20
+
+
+def test_costly_expressions_run_on_all_cores(spark):
+    """Features come from one small file, but their expressions take more than a task."""
+    from terrawatt.plans.catalogue import geospatial
+    from terrawatt.plans.registry import Inputs
+    from tests.harness import SF_DIR
+
+    cores = spark.sparkContext.defaultParallelism
+    assert geospatial.features(Inputs(spark, SF_DIR)).rdd.getNumPartitions() >= cores
