@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,10 +15,12 @@ from terrawatt.operators.crowding import others_within
 from terrawatt.operators.joins import join_geometry_equality
 from terrawatt.operators.setops import union_all_edges_reverse
 from terrawatt.operators.spatial import METRIC, join_knn1
-from terrawatt.session import ensure_checkpoint_dir
+from terrawatt.session import Stored, ensure_checkpoint_dir
 
 
 VERTEX_SCHEMA = "id string, value double, v_type string, properties map<string,string>"
+#: Sketches (up to 4 KB each) that one task merges in memory, and such blocks of vertices in one pass over the links.
+BLOCK_SKETCHES, PASS_BLOCKS = 32_768, 12
 EDGE_SCHEMA = "src string, dst string, weight double, e_type string, properties map<string,string>"
 
 
@@ -157,12 +161,48 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     )
 
 
+def _reached(vertices: DataFrame, edges: DataFrame, k: int, lg_config: int) -> DataFrame:
+    """(id, reached): estimated number of vertices within `k` hops, itself included, by distinct-count sketches.
+
+    Vertices are dealt into blocks by a hash. A sketch travels once to each block in which it has
+    neighbours, not once along each link, and a block's task merges its sketches in memory (beyond
+    twice the expected number of them Spark sorts instead). Blocks are taken `PASS_BLOCKS` at a time, whose
+    shuffle files go when the pass ends. The last hop stores estimates only.
+    """
+    spark = vertices.sparkSession
+    stored = Stored(spark, "k-hops")
+    near = stored.write(_neighbours(edges), "near")
+    ids = vertices.select("id").union(near.select("u")).where("id IS NOT NULL").distinct()
+    links = near.union(ids.select("id", "id"))
+    blocks = max(PASS_BLOCKS, math.ceil(ids.count() / BLOCK_SKETCHES))
+    block = F.pmod(F.xxhash64("u"), F.lit(blocks)).cast("int")
+    links = links.select("u", "v", (block % PASS_BLOCKS).alias("block"), F.floor(block / PASS_BLOCKS).cast("int").alias("pass"))
+    links = stored.write(links, "links", ("pass",))
+    stored.drop("near")
+    limits = {"spark__sql__objectHashAggregate__sortBased__fallbackThreshold": str(2 * BLOCK_SKETCHES)}
+    own = vertices.select("id").where("id IS NOT NULL").distinct()
+    sketches = stored.write(own.groupBy("id").agg(F.hll_sketch_agg("id", lg_config).alias("s")), "hop0")
+    for hop in range(1, k + 1):
+        for i in range(-(-blocks // PASS_BLOCKS)):
+            here = links.where(F.col("pass") == i)
+            wanted = here.select("block", "v").distinct()
+            sent = wanted.join(sketches.withColumnRenamed("id", "v"), "v").repartitionById(PASS_BLOCKS, F.col("block"))
+            met = here.repartitionById(PASS_BLOCKS, F.col("block")).join(sent, ["block", "v"])
+            merged = met.groupBy("block", "u").agg(F.hll_union_agg("s").alias("s"))
+            value = F.col("s") if hop < k else F.hll_sketch_estimate("s").alias("reached")
+            found = stored.write(merged.select(F.col("u").alias("id"), value), f"hop{hop}", **limits)
+        stored.drop(f"hop{hop - 1}")
+        sketches = found
+    stored.drop("links")
+    return sketches if k else sketches.select("id", F.hll_sketch_estimate("s").alias("reached"))
+
+
 def graph_metrics(vertices: DataFrame, edges: DataFrame, k: int | None = None, lg_config: int = 12) -> DataFrame:
     """(id, centrality, reachability_score) of the undirected graph.
 
     Centrality is the degree over n - 1. Reachability is the share of the other vertices that can
     be reached: exactly, over any number of hops, for `k=None`; within `k` hops by merging one
-    bounded-size distinct-count sketch per vertex along the edges. Exact k-hop sets would hold the
+    bounded-size distinct-count sketch per vertex with its neighbours'. Exact k-hop sets would hold the
     product of a hub's neighbours.
     """
     n = vertices.agg(F.count(F.lit(1))).scalar()
@@ -173,15 +213,7 @@ def graph_metrics(vertices: DataFrame, edges: DataFrame, k: int | None = None, l
         sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
         reach = members.join(sizes, "component").select("id", F.try_divide(F.col("size") - 1, others).alias("reachability_score"))
     else:
-        ensure_checkpoint_dir(vertices.sparkSession)
-        near = _neighbours(edges).checkpoint()
-        sketches = vertices.select("id").groupBy("id").agg(F.hll_sketch_agg("id", lg_config).alias("s"))
-        for _ in range(k):
-            incoming = near.join(sketches.withColumnRenamed("id", "v"), "v").select(F.col("u").alias("id"), "s")
-            sketches = sketches.union(incoming).groupBy("id").agg(F.hll_union_agg("s").alias("s")).checkpoint()
-        reach = sketches.select(
-            "id", F.try_divide(F.hll_sketch_estimate("s") - 1, others).alias("reachability_score")
-        )
+        reach = _reached(vertices, edges, k, lg_config).select("id", F.try_divide(F.col("reached") - 1, others).alias("reachability_score"))
     return degree.join(reach, "id")
 
 

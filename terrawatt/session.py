@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -43,6 +45,41 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold for the jobs started inside and are put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+#: Shuffle files of a job go when it ends; otherwise they stay until the driver happens to collect garbage.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+class Stored:
+    """Tables of one operator in a scratch folder; each write cuts the lineage and frees its shuffle files."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.root = spark, scratch_path(spark, label)
+
+    def write(self, df: DataFrame, name: str, by: tuple[str, ...] = (), **conf: str) -> DataFrame:
+        """Appends to the table `name` and returns it; `conf` keys use `__` where Spark uses a dot."""
+        with settings(self.spark, {**FREE_SHUFFLES, **{k.replace("__", "."): v for k, v in conf.items()}}):
+            df.write.mode("append").option("compression", "zstd").partitionBy(*by).parquet(f"{self.root}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            location = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            location.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Make `DataFrame.checkpoint` usable without replacing a folder already configured."""
     if spark.sparkContext.getCheckpointDir() is None:

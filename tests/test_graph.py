@@ -74,3 +74,28 @@ def test_k_hop_estimate_near_exact(spark):
     e = spark.range(29).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
     got = {r.id: r.reachability_score * 29 for r in gr.graph_metrics(v, e, k=3).collect()}
     assert abs(got[0] - 3) < 0.1 and abs(got[15] - 6) < 0.1
+
+
+def test_k_hop_sketches_meet_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(gr, "BLOCK_SKETCHES", 4)
+    monkeypatch.setattr(gr, "PASS_BLOCKS", 3)
+    v = spark.range(40).select(F.col("id")).union(spark.sql("SELECT CAST(NULL AS BIGINT)")).union(spark.range(1))
+    hub = spark.range(1, 30).select(F.lit(0).cast("long").alias("src"), F.col("id").alias("dst"))
+    e = hub.union(hub).union(spark.createDataFrame([(29, 30), (30, 31), (5, 5), (3, 99), (None, 7)], "src long, dst long"))
+    got = {r.id: r.reachability_score * 41 for r in gr.graph_metrics(v, e, k=2).collect()}
+    want = {0: 30, 29: 31, 30: 3, 31: 2, 5: 29, 3: 29, 35: 0}  # 99 is no vertex and not counted
+    assert len(got) == 40 and all(abs(got[i] - n) < 0.1 for i, n in want.items())
+
+
+def test_k_hops_send_one_sketch_to_a_block(spark, monkeypatch):
+    """What is joined grows with vertices and blocks, not with the links."""
+    sent = []
+    write = gr.Stored.write
+    monkeypatch.setattr(gr.Stored, "write", lambda self, df, name, *a, **k: sent.append((name, df)) or write(self, df, name, *a, **k))
+    left, right = spark.range(60), spark.range(100, 160)
+    e = left.select(F.col("id").alias("src")).crossJoin(right.select(F.col("id").alias("dst")))
+    gr.graph_metrics(left.union(right), e, k=1).collect()
+    (merged,) = [df for name, df in sent if name == "hop1"]
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    # No exchange after the links have met the sketches: both sides were dealt by block before.
+    assert "hll_union_agg" in plan and "Exchange" not in plan[: plan.index("Join")]
