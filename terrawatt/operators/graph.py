@@ -127,38 +127,44 @@ def _neighbours(edges: DataFrame) -> DataFrame:
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): the smallest vertex id of each undirected component.
 
-    Alternates two steps that only ever look at one vertex's neighbours: link larger neighbours to
-    the smallest (large-star), then smaller ones to the smallest (small-star). The number of rounds
-    grows with the logarithm of the component size. Neighbour sets are never collected: the minimum
-    is aggregated and joined back. Each round is checkpointed, so lost executors re-run one round.
+    Ids are hashed to longs, with a seed for which no two ids of the graph share one. In each round
+    every vertex takes its smallest neighbour (or itself) as its parent and links are replaced by
+    those between parents, which keeps components together and drops most links at once; the rounds' parents are
+    then followed from the last to the first. What is small is drawn anew each round, so the vertices left fall
+    by a constant factor in expectation, whatever the order of ids. Neighbour sets are never collected: the minimum
+    is aggregated before the shuffle. Each round is stored, so lost executors re-run one round.
     """
-    ensure_checkpoint_dir(vertices.sparkSession)
-    links = edges.where("src <> dst").select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct()
-    links = links.checkpoint()
-
-    def signature(df: DataFrame) -> tuple:
-        row = df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        return tuple(row)
-
-    seen = signature(links)
-    while True:
-        both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        tied = large.join(low, "u")
-        small = tied.select("u", F.col("m").alias("v")).union(
-            tied.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        )
-        links = small.where("u <> v").distinct().checkpoint()
-        now = signature(links)
-        if now == seen:
-            break
-        seen = now
-    roots = links.groupBy("u").agg(F.min("v").alias("component"))
-    return vertices.select("id").join(roots.withColumnRenamed("u", "id"), "id", "left").select(
-        "id", F.coalesce("component", "id").alias("component")
-    )
+    stored = Stored(vertices.sparkSession, "components")
+    pairs = edges.where("src <> dst").select(F.array("src", "dst").alias("p"))
+    ends = stored.write(pairs.select(F.explode("p").alias("id")).distinct(), "ends")
+    n, seed = ends.count(), 42
+    while ends.select(F.xxhash64("id", F.lit(seed))).distinct().count() < n:
+        seed += 1
+    key = lambda c: F.xxhash64(c, F.lit(seed))
+    own = pairs.select(key(F.col("p")[0]).alias("a"), key(F.col("p")[1]).alias("b"))
+    links = stored.write(own.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links0")
+    parents, last = [], 0
+    while not links.isEmpty():
+        turn = F.xxhash64(F.lit(last)) if last else F.lit(0).cast("long")  # flips bits, so it is its own inverse
+        both = links.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
+        least = F.min(F.col("v").bitwiseXOR(turn))
+        up = both.groupBy("u").agg(F.least(least, F.col("u").bitwiseXOR(turn)).bitwiseXOR(turn).alias("p"))
+        up = stored.write(up, f"parents{last}")
+        parents.append(up)
+        met = links.join(up, "u").select(F.col("p").alias("a"), F.col("v").alias("u")).join(up, "u").select("a", F.col("p").alias("b")).where("a <> b")
+        last += 1
+        links = stored.write(met.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), f"links{last}")
+        stored.drop(f"links{last - 1}")
+    if not parents:
+        return vertices.select("id", F.col("id").alias("component"))
+    root = parents.pop()
+    for i, up in reversed([*enumerate(parents)]):
+        above = root.select(F.col("u").alias("p"), F.col("p").alias("q"))
+        root = stored.write(up.join(above, "p", "left").select("u", F.coalesce("q", "p").alias("p")), f"roots{i}")
+    placed = stored.write(ends.select("id", key("id").alias("u")).join(root, "u").select("id", "p"), "placed")
+    names = placed.groupBy("p").agg(F.min("id").alias("component"))
+    found = placed.join(names, "p").select("id", "component")
+    return vertices.select("id").join(found, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
 def _reached(vertices: DataFrame, edges: DataFrame, k: int, lg_config: int) -> DataFrame:

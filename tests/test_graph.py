@@ -96,6 +96,30 @@ def test_k_hops_send_one_sketch_to_a_block(spark, monkeypatch):
     e = left.select(F.col("id").alias("src")).crossJoin(right.select(F.col("id").alias("dst")))
     gr.graph_metrics(left.union(right), e, k=1).collect()
     (merged,) = [df for name, df in sent if name == "hop1"]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     plan = merged._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     # No exchange after the links have met the sketches: both sides were dealt by block before.
     assert "hll_union_agg" in plan and "Exchange" not in plan[: plan.index("Join")]
+
+
+def test_components_shrink_at_once(spark, monkeypatch):
+    """After the first round few links are left, in whatever order ids are; the rounds of a long path stay few."""
+    rows = {}
+    write = gr.Stored.write
+
+    def counted(self, df, name, *a, **k):
+        out = write(self, df, name, *a, **k)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(gr.Stored, "write", counted)
+    v = spark.range(4000).select(F.format_string("v%05d", "id").alias("id"))
+    e = spark.range(60000).select(F.pmod(F.xxhash64("id"), F.lit(2000)).alias("a"), (2000 + F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2000))).alias("b"))
+    e = e.select(F.format_string("v%05d", "a").alias("src"), F.format_string("v%05d", "b").alias("dst"))
+    found = gr.connected_components(v, e).groupBy("component").count().collect()
+    assert max(found, key=lambda r: r["count"])["count"] > 3900 and rows["links1"] < rows["links0"] / 2 and "parents5" not in rows
+    rows.clear()
+    path = spark.range(2000).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    assert gr.connected_components(spark.range(2001), path).where("component <> 0").isEmpty() and len(rows) < 60
