@@ -341,3 +341,27 @@ def test_costly_expressions_run_on_all_cores(spark):
 
     cores = spark.sparkContext.defaultParallelism
     assert geospatial.features(Inputs(spark, SF_DIR)).rdd.getNumPartitions() >= cores
+
+
+def test_radius_measures_few_of_the_pairs_that_meet(spark):
+    """Pairs go by the chord before any distance is computed, without losing one at the border, wherever they lie."""
+    df = frame(spark, [(x, y) for x in range(0, 60, 3) for y in range(0, 60, 3)])
+    for metric in ("haversine", "spheroid"):
+        pairs = sp.join_radius(df, df, 2000, metric)
+        d = sp.METRIC[metric](F.col("a.lon"), F.col("a.lat"), F.col("b.lon"), F.col("b.lat"))
+        want = df.alias("a").crossJoin(df.alias("b")).where(d <= 2000).count()
+        assert pairs.count() == want
+    assert "_ax" in pairs._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_intersects_with_finer_cells(spark):
+    """Crowded cells are halved; the pairs stay the same, with one large box and incomplete ones among them."""
+    x, y = (F.pmod(F.xxhash64("id", F.lit(s)), F.lit(1000)) / 500.0 for s in (1, 2))
+    df = spark.range(4000).select("id", x.alias("minx"), y.alias("miny")).withColumns({"maxx": F.col("minx") + 0.05, "maxy": F.col("miny") + 0.04})
+    odd = spark.createDataFrame([(5000, 0.0, 0.0, 2.0, 1.5), (5001, None, 0.0, 1.0, 1.0)], "id long, minx double, miny double, maxx double, maxy double")
+    df = df.union(odd)
+    a, b = df.alias("a"), df.alias("b")
+    want = a.crossJoin(b).where("a.minx <= b.maxx AND b.minx <= a.maxx AND a.miny <= b.maxy AND b.miny <= a.maxy").select("a.id", "b.id").collect()
+    assert sp._halvings(df, df, 0.5) >= 1
+    got = sp.join_spatial_intersects(df, df, cell=0.5).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
