@@ -66,9 +66,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its fitted rate says, rounded by a hash of its id and text."""
     rows, key = keyed(docs, "mixing")
-    rates = mixed(rows, domains(table(spark, sf_dir, "labels")), MIXTURE, "clean", key_col=key).select(key, F.col("copies").alias("mixed_copies")).where("mixed_copies > 0")
-    kept = rows.join(rates.withColumnRenamed(key, "mixed_key"), rows[key] == F.col("mixed_key"))
-    copies = F.explode(F.array_repeat(F.lit(0), rates["mixed_copies"])).alias("copy")
+    rates = mixed(rows, domains(table(spark, sf_dir, "labels")), MIXTURE, "clean", key_col=key).select(F.col(key).alias("mixed_key"), F.col("copies").alias("mixed_copies"))
+    # Most rows are kept once; the others' rates are written first, so that Spark knows their size when it picks the join.
+    other = Scratch(spark, "mixing").keep(rates.where("mixed_copies <> 1"), "copies")
+    kept = rows.join(other, rows[key] == other["mixed_key"], "left")
+    copies = F.explode(F.array_repeat(F.lit(0), F.coalesce(other["mixed_copies"], F.lit(1)))).alias("copy")
     return kept.select(F.struct(*columns(rows.drop(key))).alias("row"), copies).select("row.*")
 
 

@@ -314,6 +314,7 @@ def near_duplicates(
         return scratch.keep(both.where(similar).select("a", "b"), name)
 
     links = verified(first, "links1")
+    scratch.drop("first", "ids")
     merged = scratch.keep(components(links), "merged")
 
     # What the first comparisons left apart.
@@ -340,16 +341,18 @@ def near_duplicates(
 
     dealt = units.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     more = scratch.keep(dealt.mapInArrow(each_unit(["key", "i", "j"], compared), "a long, b long"), "links2")
+    scratch.drop("members", "codes", "merged")
     merged = components(links.union(more))
 
     found = classes.select("k1", "k2", "rep").join(merged.withColumnRenamed("id", "rep"), "rep", "left")
     found = found.select("k1", "k2", F.coalesce("component", "rep").alias("component"))
     placed = signed.select("id", "k1", "k2").join(found, ["k1", "k2"], "left").select("id", F.coalesce("component", "id").alias("component"))
     every = scratch.keep(named.select("id", "doc").join(placed, "id"), "placed")
+    scratch.drop(*([] if key_col else ["rows"]), "signed", "classes", "links1", "links2")
     first = every.groupBy("component").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "id")).alias("first"))
     result = every.join(first, "component").select(
         F.col("doc").alias(id_col), F.col("first.doc").alias("component_id"), (F.col("id") == F.col("first.id")).alias("kept"), *([F.col("id").alias(key_col)] if key_col else [])
     )
     result = scratch.keep(result, "result")
-    scratch.drop("rows", "signed", "classes", "members", "first", "ids", "codes", "links1", "merged", "links2", "placed")
+    scratch.drop("placed")
     return result

@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from terrawatt.session import FREE_SHUFFLES, settings
+
 
 def shared_root(spark: SparkSession) -> str:
     """`spark.checkpoint.dir`; where it is unset (tests), a folder beside the warehouse."""
@@ -14,7 +16,7 @@ def shared_root(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Writes tables below the shared folder and reads them back, which cuts the lineage.
+    """Writes tables below the shared folder and reads them back, which cuts the lineage and frees the job's shuffle files.
 
     A lost executor re-runs only the job that writes the current table. Tables go when `drop` is
     called or, for those a lazy result still reads, when the application ends.
@@ -29,7 +31,8 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        with settings(self.spark, FREE_SHUFFLES):
+            df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

@@ -15,7 +15,7 @@ from terrawatt.operators.crowding import others_within
 from terrawatt.operators.joins import join_geometry_equality
 from terrawatt.operators.setops import union_all_edges_reverse
 from terrawatt.operators.spatial import METRIC, join_knn1
-from terrawatt.session import Stored, ensure_checkpoint_dir
+from terrawatt.session import Stored
 
 
 VERTEX_SCHEMA = "id string, value double, v_type string, properties map<string,string>"
