@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from terrawatt.functions import geo
 from terrawatt.functions.scalar import epoch_millis, natural_id
+from terrawatt.operators import reach
 from terrawatt.operators.changes import merge_upsert
 from terrawatt.operators.crowding import others_within
 from terrawatt.operators.joins import join_geometry_equality
@@ -19,8 +20,8 @@ from terrawatt.session import Stored
 
 
 VERTEX_SCHEMA = "id string, value double, v_type string, properties map<string,string>"
-#: Sketches (up to 4 KB each) that one task merges in memory, and such blocks of vertices in one pass over the links.
-BLOCK_SKETCHES, PASS_BLOCKS = 32_768, 12
+#: Sketches (up to 4 KB each) that one task merges in memory, the links into them, and such blocks of vertices in one pass.
+BLOCK_SKETCHES, BLOCK_LINKS, PASS_BLOCKS = 49_152, 1 << 22, 24
 EDGE_SCHEMA = "src string, dst string, weight double, e_type string, properties map<string,string>"
 
 
@@ -108,20 +109,22 @@ def enrich_nodes(nodes: DataFrame, geoms: DataFrame, ids: DataFrame) -> DataFram
     return wanted.join(geoms, "building_id").drop("building_id")
 
 
-def graph_degree(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """Number of edges at each vertex; a self-loop counts once, an isolated vertex 0."""
+def _end_counts(edges: DataFrame) -> DataFrame:
     ends = edges.select(F.explode(F.array_distinct(F.array("src", "dst"))).alias("id"))
-    counts = ends.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
+    return ends.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
+
+
+def _degrees(vertices: DataFrame, counts: DataFrame) -> DataFrame:
     return vertices.select("id").join(counts, "id", "left").select("id", F.coalesce("degree", F.lit(0)).alias("degree"))
 
 
-def graph_simple_score(vertices: DataFrame) -> DataFrame:
-    return vertices.select("id", F.col("value").alias("score"))
+def graph_degree(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """Number of edges at each vertex; a self-loop counts once, an isolated vertex 0."""
+    return _degrees(vertices, _end_counts(edges))
 
 
-def _neighbours(edges: DataFrame) -> DataFrame:
-    both = F.array(F.struct(F.col("src").alias("u"), F.col("dst").alias("v")), F.struct(F.col("dst").alias("u"), F.col("src").alias("v")))
-    return edges.select(F.inline(both)).where("u <> v").distinct()
+def graph_simple_score(vertices: DataFrame) -> DataFrame:
+    return vertices.select("id", F.col("value").alias("score"))
 
 
 def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
@@ -167,40 +170,69 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     return vertices.select("id").join(found, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 
 
-def _reached(vertices: DataFrame, edges: DataFrame, k: int, lg_config: int) -> DataFrame:
+def _free_seed(ids: DataFrame) -> int:
+    """A seed for which no two of the distinct `ids` share a hash."""
+    n, seed = ids.count(), 42
+    while ids.select(F.xxhash64("id", F.lit(seed))).distinct().count() < n:
+        seed += 1
+    return seed
+
+
+def _reached(stored: Stored, vertices: DataFrame, edges: DataFrame, ends: DataFrame, k: int, lg_config: int) -> DataFrame:
     """(id, reached): estimated number of vertices within `k` hops, itself included, by distinct-count sketches.
 
-    Vertices are dealt into blocks by a hash. A sketch travels once to each block in which it has
-    neighbours, not once along each link, and a block's task merges its sketches in memory (beyond
-    twice the expected number of them Spark sorts instead). Blocks are taken `PASS_BLOCKS` at a time, whose
-    shuffle files go when the pass ends. The last hop stores estimates only.
+    Vertices are hashed to longs without collisions and dealt into blocks, whose links are stored once, by their
+    sources. In a hop a sketch is packed and travels once to each block in which it has neighbours; a task keeps the
+    sketches of one block in memory and takes in what arrives. Blocks with far more links than others go to several tasks
+    and the parts are united. `PASS_BLOCKS` are taken at a time, whose shuffle files go when the pass ends. The
+    last hop stores estimates only; of sketches with registers they follow from the registers, in whatever order they met.
     """
-    spark = vertices.sparkSession
-    stored = Stored(spark, "k-hops")
-    near = stored.write(_neighbours(edges), "near")
-    ids = vertices.select("id").union(near.select("u")).where("id IS NOT NULL").distinct()
-    links = near.union(ids.select("id", "id"))
-    blocks = max(PASS_BLOCKS, math.ceil(ids.count() / BLOCK_SKETCHES))
-    block = F.pmod(F.xxhash64("u"), F.lit(blocks)).cast("int")
-    links = links.select("u", "v", (block % PASS_BLOCKS).alias("block"), F.floor(block / PASS_BLOCKS).cast("int").alias("pass"))
-    links = stored.write(links, "links", ("pass",))
-    stored.drop("near")
-    limits = {"spark__sql__objectHashAggregate__sortBased__fallbackThreshold": str(2 * BLOCK_SKETCHES)}
-    own = vertices.select("id").where("id IS NOT NULL").distinct()
-    sketches = stored.write(own.groupBy("id").agg(F.hll_sketch_agg("id", lg_config).alias("s")), "hop0")
+    alike = vertices.select("id").union(edges.select("src")).union(edges.select("dst")).schema["id"].dataType
+    own = vertices.select(F.col("id").cast(alike), F.lit(0).cast("long").alias("degree"), F.lit(True).alias("own"))
+    known = own.union(ends.select(F.col("id").cast(alike), "degree", F.lit(False))).where("id IS NOT NULL")
+    ids = stored.write(known.groupBy("id").agg(F.max("degree").alias("degree"), F.max("own").alias("own")), "ids")
+    seed = _free_seed(ids)
+    key = lambda c: F.xxhash64(F.col(c).cast(alike), F.lit(seed))
+    sizes = ids.select(key("id").alias("key"), (F.col("degree") + 1).alias("links"))
+    n, total = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("links"), F.lit(0))).first()
+    most = max(1, (BLOCK_SKETCHES << 12) >> max(12, lg_config))
+    blocks = max(PASS_BLOCKS, math.ceil(n / most), math.ceil(total / BLOCK_LINKS))
+    crowded = sizes.groupBy(F.pmod("key", F.lit(blocks)).alias("block")).agg(F.sum("links").alias("links")).where(F.col("links") > 2 * BLOCK_LINKS)
+    pieces = reach.Pieces(blocks, {r.block: math.ceil(r.links / BLOCK_LINKS) for r in crowded.collect()})
+
+    pairs = edges.where("src <> dst").select(key("src").alias("a"), key("dst").alias("b"))
+    dealt = pairs.union(ids.select(key("id"), key("id"))).mapInArrow(reach.deal(pieces), "piece int, data binary")
+    gathered = dealt.repartitionById(pieces.n, F.col("piece")).mapInArrow(reach.gather(pieces), reach.LINK_ROWS)
+    rows = stored.write(gathered.withColumn("to", F.col("key").isNotNull()), "links", ("to",))
+    links, targets = rows.where("NOT to").select("piece", "turn", "data"), rows.where("to").select("key", "targets")
+
+    named = ids.where("own").select("id", key("id").alias("key"))
+    sketches = named.groupBy("key").agg(F.hll_sketch_agg("id", lg_config).alias("s"))
+    if not k:
+        return stored.write(named.join(sketches, "key").select("id", F.hll_sketch_estimate("s").alias("reached")), "hop0")
+    sketches = stored.write(sketches.join(targets, "key"), "hop0")
+    step = math.ceil(pieces.n / math.ceil(pieces.n / PASS_BLOCKS))
     for hop in range(1, k + 1):
-        for i in range(-(-blocks // PASS_BLOCKS)):
-            here = links.where(F.col("pass") == i)
-            wanted = here.select("block", "v").distinct()
-            sent = wanted.join(sketches.withColumnRenamed("id", "v"), "v").repartitionById(PASS_BLOCKS, F.col("block"))
-            met = here.repartitionById(PASS_BLOCKS, F.col("block")).join(sent, ["block", "v"])
-            merged = met.groupBy("block", "u").agg(F.hll_union_agg("s").alias("s"))
-            value = F.col("s") if hop < k else F.hll_sketch_estimate("s").alias("reached")
-            found = stored.write(merged.select(F.col("u").alias("id"), value), f"hop{hop}", **limits)
+        for low in range(0, pieces.n, step):
+            high = min(low + step, pieces.n)
+            here = links.where(F.col("piece").between(low, high - 1))
+            sent = sketches.select("key", "s", "targets").mapInArrow(reach.send(low, high, lg_config), reach.MESSAGES)
+            met = here.union(sent).repartitionById(high - low, F.col("piece") - low).sortWithinPartitions("piece", "turn")
+            found = met.mapInArrow(reach.meet(pieces, lg_config), reach.SKETCHES)
+            if hop == k:
+                estimate = F.when(F.col("whole"), F.hll_sketch_estimate("s"))
+                found = found.select("key", "whole", F.when(~F.col("whole"), F.col("s")).alias("s"), estimate.alias("reached"))
+            found = stored.write(found, f"met{hop}", spark__sql__execution__arrow__maxBytesPerBatch="16MB")
         stored.drop(f"hop{hop - 1}")
-        sketches = found
-    stored.drop("links")
-    return sketches if k else sketches.select("id", F.hll_sketch_estimate("s").alias("reached"))
+        parts = found.where("NOT whole").groupBy("key").agg(F.hll_union_agg("s").alias("s"))
+        if hop < k:
+            sketches = stored.write(found.where("whole").select("key", "s").union(parts).join(targets, "key"), f"hop{hop}")
+        else:
+            estimates = found.where("whole").select("key", "reached").union(parts.select("key", F.hll_sketch_estimate("s")))
+            sketches = stored.write(named.join(estimates, "key").select("id", "reached"), f"hop{hop}")
+        stored.drop(f"met{hop}")
+    stored.drop("links", "ids")
+    return sketches
 
 
 def graph_metrics(vertices: DataFrame, edges: DataFrame, k: int | None = None, lg_config: int = 12) -> DataFrame:
@@ -213,14 +245,18 @@ def graph_metrics(vertices: DataFrame, edges: DataFrame, k: int | None = None, l
     """
     n = vertices.agg(F.count(F.lit(1))).scalar()
     others = F.nullif(n - 1, F.lit(0).cast("bigint"))
-    degree = graph_degree(vertices, edges).select("id", F.try_divide(F.col("degree"), others).alias("centrality"))
     if k is None:
+        degree = graph_degree(vertices, edges)
         members = connected_components(vertices, edges)
         sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-        reach = members.join(sizes, "component").select("id", F.try_divide(F.col("size") - 1, others).alias("reachability_score"))
+        scores = members.join(sizes, "component").select("id", F.try_divide(F.col("size") - 1, others).alias("reachability_score"))
     else:
-        reach = _reached(vertices, edges, k, lg_config).select("id", F.try_divide(F.col("reached") - 1, others).alias("reachability_score"))
-    return degree.join(reach, "id")
+        stored = Stored(vertices.sparkSession, "k-hops")
+        ends = stored.write(_end_counts(edges), "ends")
+        degree = _degrees(vertices, ends)
+        reached = _reached(stored, vertices, edges, ends, k, lg_config)
+        scores = reached.select("id", F.try_divide(F.col("reached") - 1, others).alias("reachability_score"))
+    return degree.select("id", F.try_divide(F.col("degree"), others).alias("centrality")).join(scores, "id")
 
 
 # --- scores and features ----------------------------------------------------------------

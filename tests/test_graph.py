@@ -1,5 +1,7 @@
 """Degrees, components, formulas."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -123,3 +125,68 @@ def test_components_shrink_at_once(spark, monkeypatch):
     rows.clear()
     path = spark.range(2000).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
     assert gr.connected_components(spark.range(2001), path).where("component <> 0").isEmpty() and len(rows) < 60
+
+
+def hops(v, e, k, **more):
+    others = v.count() - 1
+    return {r.id: round(r.reachability_score * others) + 1 for r in gr.graph_metrics(v, e, k=k, **more).collect()}
+
+
+def test_k_hops_do_not_follow_the_order_of_links(spark):
+    """Estimates follow from who is reached, not from which sketch came first."""
+    v = spark.range(900)
+    e = spark.range(27000).select((F.col("id") % 300).alias("src"), (300 + F.pmod(F.xxhash64("id"), F.lit(600))).alias("dst"))
+    found = [hops(v, e.repartition(n, "dst").orderBy(F.xxhash64("src", "dst", F.lit(n))).repartition(n, "src"), 2) for n in (2, 3, 5)]
+    assert found[0] == found[1] == found[2] and all(abs(n / 644 - 1) < 0.07 for i, n in found[0].items() if i >= 300)
+
+
+@pytest.mark.parametrize("lg", [4, 7, 9, 12])
+def test_k_hop_estimates_equal_those_of_united_sketches(spark, lg):
+    half = F.col("id") % 2
+    e = spark.range(700).select((F.col("id") * 2).alias("src")).crossJoin(spark.range(3).select((F.col("id") * 2 + 1).alias("dst")))
+    e = e.union(spark.range(700).select((F.col("id") * 2 + 1).alias("src")).crossJoin(spark.range(3).select((F.col("id") * 2).alias("dst"))))
+    sketches = spark.range(1400).groupBy(half).agg(F.hll_sketch_agg("id", lg).alias("s"))
+    want = sketches.agg(F.hll_sketch_estimate(F.hll_union_agg("s"))).scalar()
+    assert {n for i, n in hops(spark.range(1400), e, 3, lg_config=lg).items()} == {spark.range(1).select(want).first()[0]}
+
+
+def test_crowded_blocks_are_shared_out(spark, monkeypatch):
+    """A hub's links go to several tasks and its parts are united."""
+    v, hub = spark.range(2001), spark.range(1, 2001).select(F.lit(0).cast("long").alias("src"), F.col("id").alias("dst"))
+    e = hub.union(hub.select("dst", "src")).union(spark.createDataFrame([(1, 2), (2, 2)], "src long, dst long"))
+    whole = hops(v, e, 2)
+    dealt, gather = [], gr.reach.gather
+    monkeypatch.setattr(gr.reach, "gather", lambda pieces: dealt.append(pieces) or gather(pieces))
+    monkeypatch.setattr(gr, "BLOCK_LINKS", 800)
+    monkeypatch.setattr(gr, "PASS_BLOCKS", 3)
+    shared = hops(v, e, 2)
+    assert dealt[0].share.max() > 2 and len(shared) == 2001 and all(abs(n / 2001 - 1) < 0.06 and abs(n / whole[i] - 1) < 0.04 for i, n in shared.items())
+    assert all(abs(n - (2 if i > 2 else 3)) <= 0 for i, n in hops(v, e, 1).items() if i)
+
+
+def test_k_hops_of_words_strangers_and_odd_rows(spark):
+    v = spark.createDataFrame([("a",), ("b",), ("b",), (None,), ("c",), ("",)], "id string")
+    e = spark.createDataFrame([("a", "x"), ("x", "b"), ("b", "b"), (None, "a"), ("c", None), ("", "c"), ("y", "z")], "src string, dst string")
+    for k, want in ((0, (1, 1, 1, 0)), (1, (1, 1, 1, 1)), (2, (2, 2, 1, 1)), (3, (2, 2, 1, 1))):  # an empty word leaves no mark in a sketch
+        assert hops(v, e, k) == dict(zip("abc", want)) | {"": want[3]}
+    assert hops(v.limit(0).union(v.limit(0)), e.limit(0), 2) == {}
+
+
+def test_sketches_go_to_a_piece_in_one_row():
+    """What a task sends to a piece is one row, however many sketches it holds."""
+    n = 20_000
+    listed = np.zeros((n, 12), np.uint8)
+    listed[:, :8] = [2, 1, 7, 12, 3, 8, 1, 8]
+    listed[:, 8:] = (np.arange(n, dtype="<u4") | 1 << 26).view(np.uint8).reshape(n, 4)
+    to = pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * n + 1, 2), pa.int32()), pa.array(np.tile([3, 5], n).astype(np.int32)))
+    rows = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), gr.reach._binaries(listed, np.full(n, 12)), to], ["key", "s", "targets"])
+    sent = [*gr.reach.send(4, 9, 12)(iter([rows.slice(0, 7000), rows.slice(7000)]))]
+    assert [x.column("piece").to_pylist() for x in sent] == [[5]] and sent[0].nbytes < 21 * n
+
+
+def test_registers_are_packed_whole():
+    some = np.random.default_rng(3)
+    for share in (0, 0.01, 0.2, 1):
+        rows = (some.random((50, 256)) < share) * some.integers(1, 63, (50, 256), np.uint8)
+        rows[7] = 0
+        assert np.array_equal(gr.reach.unpacked_registers(*gr.reach.packed_registers(rows.astype(np.uint8)), 256), rows)
